@@ -80,3 +80,55 @@ def manifest(shard_size: int, name: str) -> str:
          '{name}_' || split || '_' || lpad(shard::VARCHAR, 6, '0') AS name,
          least({shard_size}, tokens - shard * {shard_size})::BIGINT AS n_tokens
   FROM (SELECT split, tokens, unnest(range(shards)) AS shard FROM totals))"""
+
+
+def window_counts(B: int, T: int, N: int) -> str:
+    bt = B * T
+    return f"""wcounts AS (
+  SELECT split, shard, name, rank::INTEGER AS rank, n_tokens,
+         greatest(1, (n_tokens - 1 - {bt} * rank) // {bt * N})::BIGINT AS windows
+  FROM (SELECT *, unnest(range({N})) AS rank FROM manifest)),
+wfirst AS (
+  SELECT *, coalesce(sum(windows) OVER (PARTITION BY split, rank ORDER BY shard
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first
+  FROM wcounts),
+wlist AS (
+  SELECT split, rank, shard, first + k AS ordinal, k::BIGINT AS k
+  FROM (SELECT split, rank, shard, first, unnest(range(windows)) AS k FROM wfirst)),
+wtotal AS (SELECT split, rank, sum(windows)::BIGINT AS total FROM wcounts GROUP BY split, rank)"""
+
+
+def step_plan(total_batch: int, B: int, T: int, N: int) -> str:
+    btn = B * T * N
+    accum = total_batch // btn
+    return f"""plan AS (
+  SELECT split, count(*)::BIGINT AS shards, {accum}::BIGINT AS grad_accum,
+         sum((n_tokens - 1) // {btn})::BIGINT AS micro_batches,
+         (sum((n_tokens - 1) // {btn}) // {accum})::BIGINT AS max_steps
+  FROM manifest GROUP BY split)"""
+
+
+def reads(split: str, count_sql: str, B: int, T: int, N: int) -> str:
+    bt = B * T
+    return f"""reads AS (
+  SELECT '{split}' AS split, r.read::BIGINT AS read, k.rank::INTEGER AS rank
+  FROM range(({count_sql})) r(read), range({N}) k(rank)),
+assigned AS (
+  SELECT r.split, r.rank, r.read, w.shard, w.k, ({bt} * r.rank + w.k * {bt * N})::BIGINT AS start
+  FROM reads r JOIN wtotal t ON r.split = t.split AND r.rank = t.rank
+  JOIN wlist w ON w.split = r.split AND w.rank = r.rank AND w.ordinal = r.read % t.total)"""
+
+
+def window_tokens(B: int, T: int, shard_size: int) -> str:
+    bt = B * T
+    return f"""wtok AS (
+  SELECT a.split, a.rank, a.read, t.gpos - (a.shard * {shard_size} + a.start) AS p, t.tok
+  FROM assigned a JOIN toks t ON t.split = a.split
+   AND t.gpos >= a.shard * {shard_size} + a.start AND t.gpos <= a.shard * {shard_size} + a.start + {bt}),
+wx AS (
+  SELECT split, rank, read, (p // {T})::INTEGER AS row, string_agg(tok::VARCHAR, ' ' ORDER BY p) AS x
+  FROM wtok WHERE p < {bt} GROUP BY ALL),
+wy AS (
+  SELECT split, rank, read, ((p - 1) // {T})::INTEGER AS row, string_agg(tok::VARCHAR, ' ' ORDER BY p) AS y
+  FROM wtok WHERE p >= 1 GROUP BY ALL),
+wrows AS (SELECT * FROM wx JOIN wy USING (split, rank, read, row))"""

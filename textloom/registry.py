@@ -72,3 +72,102 @@ def q_split_totals(spark, sf_dir):
 SELECT split, shard, name, n_tokens FROM manifest""")
 def q_shard_manifest(spark, sf_dir):
     return C.corpus_manifest(X.corpus(spark, sf_dir), SHARD, NAME)
+
+
+# ---------------------------------------------------------------- windows / steps
+
+B, T, N = 4, 256, 2
+ACCUM = 2
+TOTAL_BATCH = B * T * N * ACCUM
+VAL_N = 20
+
+_MANIFEST_CTES = (O.CORPUS, O.DOC_IDS, O.OFFSETS, O.totals(SHARD), O.manifest(SHARD, NAME))
+
+
+def _manifest(spark, sf_dir):
+    return C.corpus_manifest(X.corpus(spark, sf_dir), SHARD, NAME)
+
+
+def _counts(spark, sf_dir):
+    from textloom.operators.windows import window_counts
+    return window_counts(_manifest(spark, sf_dir), B, T, N)
+
+
+def _max_steps(spark, sf_dir) -> int:
+    from textloom.operators.windows import plan_steps
+    return int(plan_steps(_manifest(spark, sf_dir), TOTAL_BATCH, B, T, N)
+               .where(F.col("split") == "train").first()["max_steps"])
+
+
+@register("window_counts", _with(*_MANIFEST_CTES, O.window_counts(B, T, N)) + """
+SELECT split, shard, name, rank, n_tokens, windows FROM wcounts""")
+def q_window_counts(spark, sf_dir):
+    return _counts(spark, sf_dir).withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("step_plan", _with(*_MANIFEST_CTES, O.step_plan(TOTAL_BATCH, B, T, N)) + """
+SELECT split, shards, grad_accum, micro_batches, max_steps FROM plan""")
+def q_step_plan(spark, sf_dir):
+    from textloom.operators.windows import plan_steps
+    return plan_steps(_manifest(spark, sf_dir), TOTAL_BATCH, B, T, N)
+
+
+_STEPS_SQL = "SELECT max_steps FROM plan WHERE split = 'train'"
+
+
+@register("step_schedule", _with(*_MANIFEST_CTES, O.step_plan(TOTAL_BATCH, B, T, N)) + f"""
+SELECT s.step::BIGINT AS step, s.step = m - 1 AS last_step,
+       (s.step % 250 = 0 OR s.step = m - 1) AS evaluate,
+       ((s.step > 0 AND s.step % 250 = 0) OR s.step = m - 1) AS generate,
+       ((s.step % 250 = 0 OR s.step = m - 1) AND s.step > 0 AND (s.step % 5000 = 0 OR s.step = m - 1)) AS checkpoint
+FROM (SELECT max_steps AS m FROM plan WHERE split = 'train') p, range(p.m) s(step)""")
+def q_step_schedule(spark, sf_dir):
+    from textloom.operators.windows import step_schedule
+    return step_schedule(spark, _max_steps(spark, sf_dir))
+
+
+@register("train_steps", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
+                                O.reads("train", f"SELECT max_steps * {ACCUM} FROM plan WHERE split = 'train'", B, T, N)) + f"""
+SELECT split, (read // {ACCUM})::BIGINT AS step, (read % {ACCUM})::BIGINT AS micro_step, rank, read, shard, k, start
+FROM assigned""")
+def q_train_steps(spark, sf_dir):
+    from textloom.operators.windows import assign_steps
+    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
+    return a.withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("validation_windows", _with(*_MANIFEST_CTES, O.window_counts(B, T, N),
+                                      O.reads("val", str(VAL_N), B, T, N)) + """
+SELECT split, rank, read, shard, k, start FROM assigned""")
+def q_validation_windows(spark, sf_dir):
+    from textloom.operators.windows import validation_windows
+    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
+    return v.withColumn("rank", F.col("rank").cast("int"))
+
+
+def _window_batches(spark, sf_dir, windows):
+    from textloom.operators.windows import cut_windows, window_rows
+    chunks = C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK)
+    xy = cut_windows(chunks, windows, B, T, SHARD, CHUNK)
+    r = window_rows(xy, B, T)
+    return r.select("split", F.col("rank").cast("int").alias("rank"), "read", F.col("row").cast("int").alias("row"),
+                    ids_text("x").alias("x"), ids_text("y").alias("y"))
+
+
+@register("validation_batches", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.reads("val", str(VAL_N), B, T, N),
+                                      O.tokens_long(SHARD, CHUNK), O.window_tokens(B, T, SHARD)) + """
+SELECT split, rank, read, row, x, y FROM wrows""")
+def q_validation_batches(spark, sf_dir):
+    from textloom.operators.windows import validation_windows
+    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
+    return _window_batches(spark, sf_dir, v)
+
+
+@register("train_batches", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
+                                 O.reads("train", f"SELECT max_steps * {ACCUM} FROM plan WHERE split = 'train'", B, T, N),
+                                 O.tokens_long(SHARD, CHUNK), O.window_tokens(B, T, SHARD)) + """
+SELECT split, rank, read, row, x, y FROM wrows""")
+def q_train_batches(spark, sf_dir):
+    from textloom.operators.windows import assign_steps
+    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
+    return _window_batches(spark, sf_dir, a)
