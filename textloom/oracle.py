@@ -132,3 +132,58 @@ wy AS (
   SELECT split, rank, read, ((p - 1) // {T})::INTEGER AS row, string_agg(tok::VARCHAR, ' ' ORDER BY p) AS y
   FROM wtok WHERE p >= 1 GROUP BY ALL),
 wrows AS (SELECT * FROM wx JOIN wy USING (split, rank, read, row))"""
+
+
+INSTRUCTIONS = """conv AS (
+  SELECT conv_id, turn, role, text,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
+  FROM conversations),
+sysp AS (SELECT conv_id, arg_min(text, turn) AS system_prompt FROM conversations WHERE role = 'system' GROUP BY conv_id),
+instructions AS (
+  SELECT c.conv_id::BIGINT AS conv_id, c.turn::BIGINT AS turn, s.system_prompt, c.text AS question,
+         CASE WHEN c.next_role = 'assistant' THEN c.next_text END AS response
+  FROM conv c LEFT JOIN sysp s ON s.conv_id = c.conv_id WHERE c.role = 'user')"""
+
+NL = "chr(10)"
+
+CHAT_TEXT = f"""normed AS (
+  SELECT conv_id, turn, {normalize('system_prompt')} AS s, {normalize('question')} AS q, {normalize('response')} AS r
+  FROM instructions),
+chat AS (
+  SELECT conv_id, turn, r,
+         concat_ws({NL}, CASE WHEN s <> '' THEN '<|im_start|>system' || {NL} || s || '<|im_end|>' END,
+                   '<|im_start|>user' || {NL} || q || '<|im_end|>', '<|im_start|>assistant' || {NL}) AS prompt_text
+  FROM normed WHERE q <> '' AND r <> ''),
+chat2 AS (SELECT conv_id, turn, prompt_text, prompt_text || r || '<|im_end|>' AS full_text FROM chat)"""
+
+
+def sft(max_len: int) -> str:
+    return f"""enc AS (
+  SELECT conv_id, turn, prompt_text, full_text,
+         list_slice({byte_ids('prompt_text')}, 1, {max_len}) AS p_ids,
+         list_slice({byte_ids('full_text')}, 1, {max_len}) AS ids
+  FROM chat2),
+sft AS (
+  SELECT conv_id, turn, ids, least(len(p_ids), len(ids))::BIGINT AS prompt_len FROM enc
+  WHERE len(ids) >= 2 AND least(len(p_ids), len(ids)) < len(ids))"""
+
+
+def collate(src: str, order: str, batch: int, max_len: int, eos: int, pad: int, warm: bool) -> str:
+    if warm:
+        tgt = f"list_transform(padded[2:width], lambda v, i: CASE WHEN v = {pad} AND i <> coalesce(list_position(padded[2:width], {pad}), 0) THEN -100 ELSE v END)"
+        extra = ""
+    else:
+        tgt = "list_transform(padded[2:width], lambda v, i: CASE WHEN i - 1 < prompt_len - 1 OR i >= real_len THEN -100 ELSE v END)"
+        extra = ", prompt_len"
+    return f"""numbered AS (
+  SELECT *, (row_number() OVER (ORDER BY {order}) - 1)::BIGINT AS row_idx FROM {src}),
+seqs AS (
+  SELECT *, row_idx // {batch} AS batch_id, (row_idx % {batch})::INTEGER AS batch_row,
+         CASE WHEN len(ids) < {max_len} THEN ids || [{eos}] ELSE ids END AS seq FROM numbered),
+widths AS (SELECT *, len(seq) AS real_len, max(len(seq)) OVER (PARTITION BY batch_id) AS width FROM seqs),
+padded AS (SELECT *, seq || list_transform(range(width - real_len), lambda x: {pad}) AS padded FROM widths),
+collated AS (
+  SELECT *, padded[1:width - 1] AS inputs, {tgt} AS targets,
+         list_transform(range(1, width), lambda j: CASE WHEN j <= real_len THEN 1 ELSE 0 END) AS attention
+  FROM padded)"""

@@ -171,3 +171,72 @@ def q_train_batches(spark, sf_dir):
     from textloom.operators.windows import assign_steps
     a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
     return _window_batches(spark, sf_dir, a)
+
+
+# ---------------------------------------------------------------- chat and warm-up batches
+
+from textloom.functions.tokens import EOT, PAD  # noqa: E402
+from textloom.plans import chat as CH  # noqa: E402
+
+
+@register("chat_text", _with(O.INSTRUCTIONS, O.CHAT_TEXT) + """
+SELECT conv_id, turn, prompt_text, full_text FROM chat2""")
+def q_chat_text(spark, sf_dir):
+    return CH.chat_text(X.instructions(spark, sf_dir)).select("conv_id", "turn", "prompt_text", "full_text")
+
+
+@register("sft_examples", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN)) + f"""
+SELECT conv_id, turn, len(ids)::BIGINT AS n_ids, prompt_len, {O.ids_text('ids')} AS ids FROM sft""")
+def q_sft_examples(spark, sf_dir):
+    s = CH.sft_examples(X.instructions(spark, sf_dir))
+    return s.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"),
+                    F.col("prompt_len").cast("long").alias("prompt_len"), ids_text("ids").alias("ids"))
+
+
+def _batch_out(df, extra=()):
+    return df.select(*extra, "batch_id", "batch_row", F.size("ids").cast("long").alias("n_ids"),
+                     ids_text("inputs").alias("inputs"), ids_text("targets").alias("targets"),
+                     ids_text("attention").alias("attention"))
+
+
+_CHAT_COLLATE = O.collate("sft", "conv_id, turn", CH.CHAT_BATCH, CH.CHAT_MAX_LEN, EOT, PAD, warm=False)
+
+
+@register("chat_batches", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN), _CHAT_COLLATE) + f"""
+SELECT conv_id, turn, batch_id, batch_row, len(ids)::BIGINT AS n_ids, {O.ids_text('inputs')} AS inputs,
+       {O.ids_text('targets')} AS targets, {O.ids_text('attention')} AS attention FROM collated""")
+def q_chat_batches(spark, sf_dir):
+    return _batch_out(CH.chat_batches(X.instructions(spark, sf_dir)), ("conv_id", "turn"))
+
+
+_WARM_COLLATE = O.collate("warm", "doc_id", CH.WARMUP_BATCH, CH.WARMUP_MAX_LEN, EOT, EOT, warm=True)
+_WARM_SRC = f"""warm AS (
+  SELECT doc_id::BIGINT AS doc_id, list_slice({O.byte_ids("coalesce(text, '')")}, 1, {CH.WARMUP_MAX_LEN}) AS ids
+  FROM documents)"""
+
+
+@register("warmup_batches", _with(_WARM_SRC, _WARM_COLLATE) + f"""
+SELECT doc_id, batch_id, batch_row, len(ids)::BIGINT AS n_ids, {O.ids_text('inputs')} AS inputs,
+       {O.ids_text('targets')} AS targets, {O.ids_text('attention')} AS attention FROM collated""")
+def q_warmup_batches(spark, sf_dir):
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _batch_out(CH.warmup_batches(docs), ("doc_id",))
+
+
+@register("chat_batch_tokens", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN), _CHAT_COLLATE) + """
+SELECT batch_id, count(*)::BIGINT AS rows, sum(len(ids))::BIGINT AS dataset_tokens,
+       sum(len(list_filter(targets, lambda v: v <> -100)))::BIGINT AS target_tokens
+FROM collated GROUP BY batch_id""")
+def q_chat_batch_tokens(spark, sf_dir):
+    from textloom.operators.collate import batch_token_counts
+    return batch_token_counts(CH.chat_batches(X.instructions(spark, sf_dir)))
+
+
+@register("warmup_batch_tokens", _with(_WARM_SRC, _WARM_COLLATE) + """
+SELECT batch_id, count(*)::BIGINT AS rows, sum(len(ids))::BIGINT AS dataset_tokens,
+       sum(len(list_filter(targets, lambda v: v <> -100)))::BIGINT AS target_tokens
+FROM collated GROUP BY batch_id""")
+def q_warmup_batch_tokens(spark, sf_dir):
+    from textloom.operators.collate import batch_token_counts
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return batch_token_counts(CH.warmup_batches(docs))
