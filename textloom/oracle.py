@@ -187,3 +187,60 @@ collated AS (
   SELECT *, padded[1:width - 1] AS inputs, {tgt} AS targets,
          list_transform(range(1, width), lambda j: CASE WHEN j <= real_len THEN 1 ELSE 0 END) AS attention
   FROM padded)"""
+
+
+def choice_items() -> str:
+    return """bwords AS (
+  SELECT item_id::BIGINT AS item, string_split(text, ' ') AS w FROM benchmark),
+halves AS (
+  SELECT item, array_to_string(list_slice(w, 1, len(w) // 2), ' ') AS ctx,
+         array_to_string(list_slice(w, len(w) // 2 + 1, len(w)), ' ') AS tail FROM bwords),
+nitems AS (SELECT count(*) AS n FROM halves),
+want AS (
+  SELECT h.item, h.ctx, (h.item % 4)::INTEGER AS label, e.ending::INTEGER AS ending,
+         (((h.item + e.ending - h.item % 4) % n.n) + n.n) % n.n AS src
+  FROM halves h, nitems n, range(4) e(ending)),
+items AS (
+  SELECT w.item, w.ctx, w.label, list(t.tail ORDER BY w.ending) AS endings
+  FROM want w JOIN halves t ON t.item = w.src GROUP BY w.item, w.ctx, w.label)"""
+
+
+BYTE_LOSSES = f"""bytecounts AS (
+  SELECT b AS token, count(*) AS n FROM (SELECT unnest({plain_bytes("coalesce(text, '')")}) AS b FROM documents) GROUP BY b),
+alltok AS (SELECT t.token::INTEGER AS token, coalesce(c.n, 0) AS n FROM range({BYTE_VOCAB + len(SID)}) t(token)
+  LEFT JOIN bytecounts c ON c.token = t.token),
+byte_losses AS (SELECT token, -ln((n + 1) / ((SELECT sum(n) FROM alltok) + 256)) AS loss FROM alltok)"""
+
+RENDERED = f"""rbase AS (
+  SELECT i.item, i.label, e.ending::INTEGER AS ending, {byte_ids('i.ctx')} AS ctx_ids,
+         {byte_ids("' ' || i.endings[e.ending + 1]")} AS end_ids
+  FROM items i, range(4) e(ending)),
+rtm AS (
+  SELECT item, label, ending, len(ctx_ids) AS n_ctx, ctx_ids || end_ids AS t,
+         list_transform(range(len(ctx_ids)), lambda x: 0) || list_transform(range(len(end_ids)), lambda x: 1) AS m
+  FROM rbase),
+rendered AS (
+  SELECT item, label, ending, n_ctx, max(len(t)) OVER (PARTITION BY item) AS width,
+         t || list_transform(range(max(len(t)) OVER (PARTITION BY item) - len(t)), lambda x: 0) AS tokens,
+         m || list_transform(range(max(len(t)) OVER (PARTITION BY item) - len(t)), lambda x: 0) AS mask
+  FROM rtm),
+tpos AS (
+  SELECT item, ending, unnest(tokens) AS token, unnest(range(len(tokens))) AS p,
+         unnest(mask) AS m FROM rendered),
+tlosses AS (
+  SELECT a.item, a.ending, a.p - 1 AS pos, l.loss FROM tpos a JOIN byte_losses l ON l.token = a.token WHERE a.p >= 1),
+masked AS (
+  SELECT l.item, l.ending, l.pos, l.loss * b.m AS masked_loss, b.m FROM tlosses l
+  JOIN tpos b ON b.item = l.item AND b.ending = l.ending AND b.p = l.pos + 1),
+closs AS (
+  SELECT item, ending, sum(masked_loss) AS sum_loss, sum(m)::BIGINT AS n_mask,
+         CASE WHEN sum(m) > 0 THEN sum(masked_loss) / sum(m) ELSE 'NaN'::DOUBLE END AS mean_loss
+  FROM masked GROUP BY item, ending),
+preds AS (
+  SELECT item, arg_min(ending, [sum_loss, ending]) AS pred,
+         arg_min(ending, [CASE WHEN isnan(mean_loss) THEN 0 ELSE 1 END, mean_loss, ending]) AS pred_norm
+  FROM closs GROUP BY item),
+labelled AS (
+  SELECT p.item, p.pred, p.pred_norm, i.label, (p.pred = i.label)::INTEGER AS correct,
+         (p.pred_norm = i.label)::INTEGER AS correct_norm
+  FROM preds p JOIN items i ON i.item = p.item)"""

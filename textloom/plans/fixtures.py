@@ -79,16 +79,17 @@ def logits_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(token int, loss double), 256 rows: ``-ln((count(b) + 1) / (total + 256))``
-    over the UTF-8 bytes of all documents. Counted with a map-side partial
-    aggregate, so at most 256 rows per task leave the map side."""
-    from textloom.functions.tokens import utf8_byte_ids
+    """(token int, loss double) for every id of the byte encoder:
+    ``-ln((count(b) + 1) / (total + 256))`` over the UTF-8 bytes of all documents
+    (special ids have count 0). Counted with a map-side partial aggregate, so at
+    most 256 rows per task leave the map side."""
+    from textloom.functions.tokens import BYTE_VOCAB_SIZE, utf8_byte_ids
 
     d = read_table(spark, sf_dir, "documents").select(coerce_text("text").alias("text"))
     counts = d.select(F.explode(utf8_byte_ids("text")).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n"))
-    all_bytes = spark.range(256).select(F.col("id").cast("int").alias("token"))
-    c = all_bytes.join(counts, "token", "left").fillna(0, ["n"])
-    w = Window.partitionBy(F.lit(0))  # 256 rows: the total over one small task
+    ids = spark.range(BYTE_VOCAB_SIZE).select(F.col("id").cast("int").alias("token"))
+    c = ids.join(counts, "token", "left").fillna(0, ["n"])
+    w = Window.partitionBy(F.lit(0))  # 266 rows: the total over one small task
     tot = F.sum("n").over(w)
     return c.select("token", (-F.ln((F.col("n") + 1) / (tot + 256))).alias("loss"))

@@ -240,3 +240,95 @@ def q_warmup_batch_tokens(spark, sf_dir):
     from textloom.operators.collate import batch_token_counts
     docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return batch_token_counts(CH.warmup_batches(docs))
+
+
+# ---------------------------------------------------------------- multiple choice
+
+from textloom.operators import choice as CE  # noqa: E402
+
+_CHOICE = (O.choice_items(), O.BYTE_LOSSES, O.RENDERED)
+
+
+def _rendered(spark, sf_dir):
+    items = X.choice_items(spark, sf_dir)
+    return items, CE.render_choices(items)
+
+
+def _choice_losses(spark, sf_dir):
+    items, r = _rendered(spark, sf_dir)
+    tl = CE.token_losses(r, X.byte_losses(spark, sf_dir))
+    return items, CE.completion_loss(CE.shift_and_mask(tl, r))
+
+
+def _labelled(spark, sf_dir):
+    items, cl = _choice_losses(spark, sf_dir)
+    return items, cl, CE.with_labels(CE.pick_choice(cl), items)
+
+
+def _r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+@register("choice_items", _with(O.choice_items()) + """
+SELECT item, ctx, label, array_to_string(endings, ' || ') AS endings FROM items""")
+def q_choice_items(spark, sf_dir):
+    i = X.choice_items(spark, sf_dir)
+    return i.select("item", "ctx", "label", F.array_join("endings", " || ").alias("endings"))
+
+
+@register("byte_losses", _with(O.BYTE_LOSSES) + """
+SELECT token, round(loss, 6) AS loss FROM byte_losses""")
+def q_byte_losses(spark, sf_dir):
+    return X.byte_losses(spark, sf_dir).select("token", _r6("loss"))
+
+
+@register("rendered_choices", _with(*_CHOICE) + f"""
+SELECT item, ending, n_ctx::BIGINT AS n_ctx, width::BIGINT AS width, {O.ids_text('tokens')} AS tokens,
+       {O.ids_text('mask')} AS mask FROM rendered""")
+def q_rendered_choices(spark, sf_dir):
+    _, r = _rendered(spark, sf_dir)
+    return r.select("item", "ending", F.col("n_ctx").cast("long").alias("n_ctx"),
+                    F.col("width").cast("long").alias("width"), ids_text("tokens").alias("tokens"),
+                    ids_text("mask").alias("mask"))
+
+
+@register("choice_losses", _with(*_CHOICE) + """
+SELECT item, ending, round(sum_loss, 6) AS sum_loss, n_mask, round(mean_loss, 6) AS mean_loss FROM closs""")
+def q_choice_losses(spark, sf_dir):
+    _, cl = _choice_losses(spark, sf_dir)
+    return cl.select("item", "ending", _r6("sum_loss"), "n_mask", _r6("mean_loss"))
+
+
+@register("choice_predictions", _with(*_CHOICE) + """
+SELECT item, label, pred, pred_norm, correct, correct_norm FROM labelled""")
+def q_choice_predictions(spark, sf_dir):
+    _, _, lab = _labelled(spark, sf_dir)
+    return lab.select("item", "label", "pred", "pred_norm", "correct", "correct_norm")
+
+
+@register("choice_accuracy", _with(*_CHOICE) + """
+SELECT count(*)::BIGINT AS total, sum(correct)::BIGINT AS correct, sum(correct_norm)::BIGINT AS correct_norm,
+       round(sum(correct) / count(*), 6) AS acc, round(sum(correct_norm) / count(*), 6) AS acc_norm FROM labelled""")
+def q_choice_accuracy(spark, sf_dir):
+    _, _, lab = _labelled(spark, sf_dir)
+    return CE.choice_accuracy(lab, ranks=N).select("total", "correct", "correct_norm", _r6("acc"), _r6("acc_norm"))
+
+
+@register("running_accuracy", _with(*_CHOICE) + """
+SELECT item, count(*) OVER w AS seen, sum(correct_norm) OVER w AS correct_norm_so_far,
+       round(sum(correct_norm) OVER w / count(*) OVER w, 6) AS acc_norm
+FROM labelled WINDOW w AS (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_running_accuracy(spark, sf_dir):
+    _, _, lab = _labelled(spark, sf_dir)
+    return CE.running_accuracy(lab).select("item", "seen", "correct_norm_so_far", _r6("acc_norm"))
+
+
+@register("choice_report", _with(*_CHOICE) + """
+SELECT i.item, i.ctx, i.label, e.ending::INTEGER AS ending, i.endings[e.ending + 1] AS ending_text,
+       round(c.mean_loss, 6) AS mean_loss, p.pred_norm
+FROM (SELECT * FROM items ORDER BY item LIMIT 9) i, range(4) e(ending)
+JOIN closs c ON c.item = i.item AND c.ending = e.ending JOIN preds p ON p.item = i.item""")
+def q_choice_report(spark, sf_dir):
+    items, cl, lab = _labelled(spark, sf_dir)
+    r = CE.example_report(items, cl, lab)
+    return r.select("item", "ctx", "label", "ending", "ending_text", _r6("mean_loss"), "pred_norm")
