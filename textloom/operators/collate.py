@@ -74,8 +74,9 @@ def shift(df: DataFrame) -> DataFrame:
 def labels_keep_first_pad(targets, pad: int) -> Column:
     """Every target equal to pad except the first becomes -100."""
     t = _col(targets)
-    first = F.array_position(t, pad)
-    return F.transform(t, lambda v, i: F.when((v == pad) & ((i + 1) != first), F.lit(IGNORE_INDEX)).otherwise(v))
+    first = F.array_repeat(F.array_position(t, pad), F.size(t))  # evaluated once per row
+    return F.transform(F.arrays_zip(t.alias("v"), first.alias("f")),
+                       lambda s, i: F.when((s["v"] == pad) & ((i + 1) != s["f"]), F.lit(IGNORE_INDEX)).otherwise(s["v"]))
 
 
 def labels_mask_prompt(targets, real_len, prompt_len) -> Column:

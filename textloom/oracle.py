@@ -244,3 +244,15 @@ labelled AS (
   SELECT p.item, p.pred, p.pred_norm, i.label, (p.pred = i.label)::INTEGER AS correct,
          (p.pred_norm = i.label)::INTEGER AS correct_norm
   FROM preds p JOIN items i ON i.item = p.item)"""
+
+
+LOGITS = """lg AS (
+  SELECT vec_id::BIGINT AS row_id, label::INTEGER AS target, list_transform(embedding, lambda x: x::DOUBLE) AS z
+  FROM embeddings),
+lg2 AS (SELECT *, list_max(z) AS m FROM lg),
+lg3 AS (SELECT *, list_sum(list_transform(z, lambda x: exp(x - m))) AS se FROM lg2),
+scored AS (
+  SELECT row_id, target, z, m, se, m + ln(se) - z[target + 1] AS loss,
+         (list_position(z, m) - 1)::INTEGER AS greedy,
+         list_transform(z, lambda x: exp(x - m) / se) AS probs
+  FROM lg3)"""

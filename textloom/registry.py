@@ -332,3 +332,90 @@ def q_choice_report(spark, sf_dir):
     items, cl, lab = _labelled(spark, sf_dir)
     r = CE.example_report(items, cl, lab)
     return r.select("item", "ctx", "label", "ending", "ending_text", _r6("mean_loss"), "pred_norm")
+
+
+# ---------------------------------------------------------------- logits
+
+from textloom.operators import scores as S  # noqa: E402
+
+TOPK = 50
+THRESH_K = 10
+SEQ_LEN = 16
+GEN_BATCH = 4
+GEN_EOS = 0
+
+
+@register("logit_scores", _with(O.LOGITS) + """
+SELECT row_id, target, round(loss, 6) AS loss, greedy, round(1.0 / se, 6) AS max_prob FROM scored""")
+def q_logit_scores(spark, sf_dir):
+    lg = X.logits_table(spark, sf_dir)
+    return lg.select("row_id", "target", F.round(S.token_cross_entropy("logits", "target"), 6).alias("loss"),
+                     S.greedy_pick("logits").alias("greedy"),
+                     F.round(F.array_max(S.softmax("logits")), 6).alias("max_prob"))
+
+
+@register("mean_cross_entropy", _with(O.LOGITS) + """
+SELECT target, count(loss)::BIGINT AS n_targets, round(avg(loss), 6) AS mean_loss FROM scored GROUP BY target""")
+def q_mean_cross_entropy(spark, sf_dir):
+    lg = X.logits_table(spark, sf_dir).withColumn("loss", S.token_cross_entropy("logits", "target"))
+    return S.mean_cross_entropy(lg, "loss", ["target"]).select("target", "n_targets", _r6("mean_loss"))
+
+
+@register("topk_tokens", _with(O.LOGITS) + f"""
+SELECT row_id, rank, token, round(prob, 6) AS prob FROM (
+  SELECT row_id, (t.i - 1)::INTEGER AS token, t.p AS prob,
+         row_number() OVER (PARTITION BY row_id ORDER BY t.p DESC, t.i) AS rank
+  FROM (SELECT row_id, unnest(probs) AS p, unnest(range(1, len(probs) + 1)) AS i FROM scored) t)
+WHERE rank <= {TOPK}""")
+def q_topk_tokens(spark, sf_dir):
+    t = S.topk_exact(X.logits_table(spark, sf_dir), TOPK)
+    return t.select("row_id", F.col("rank").cast("long").alias("rank"), F.col("token").cast("int").alias("token"),
+                    _r6("prob"))
+
+
+@register("topk_threshold", _with(O.LOGITS) + f"""
+SELECT row_id, len(list_filter(z, lambda x: x >= list_sort(z, 'DESC')[greatest(1, least({THRESH_K}, len(z)))]))::BIGINT AS kept,
+       round(list_sort(z, 'DESC')[greatest(1, least({THRESH_K}, len(z)))], 6) AS kth FROM scored""")
+def q_topk_threshold(spark, sf_dir):
+    lg = X.logits_table(spark, sf_dir).withColumn("t", S.topk_threshold("logits", THRESH_K))
+    return lg.select("row_id",
+                     F.size(F.filter("t", lambda x: ~F.isnan(x) & (x > float("-inf")))).cast("long").alias("kept"),
+                     F.round(F.array_min(F.filter("t", lambda x: x > float("-inf"))), 6).alias("kth"))
+
+
+@register("sampled_tokens", _with(O.LOGITS) + f"""
+, top AS (
+  SELECT row_id, list_slice(list_sort(list_transform(probs, lambda p, i: {{'neg': -p, 'token': i - 1}})), 1, {TOPK}) AS top,
+         ('0x' || substr(md5('42:' || row_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u
+  FROM scored),
+cum AS (
+  SELECT row_id, top, u, list_transform(top, lambda s, i: list_sum(list_transform(list_slice(top, 1, i), lambda t: -t.neg))) AS cum
+  FROM top)
+SELECT row_id, (top[coalesce(nullif(list_position(list_transform(cum, lambda c: c > u * cum[-1]), true), 0), len(cum))]).token::INTEGER AS token
+FROM cum""")
+def q_sampled_tokens(spark, sf_dir):
+    lg = X.logits_table(spark, sf_dir)
+    return S.sample_pick(lg, "logits", "row_id", TOPK, 42).select("row_id", F.col("token").cast("int").alias("token"))
+
+
+@register("generation_tail", _with(O.LOGITS) + f"""
+, seqs AS (
+  SELECT row_id // {SEQ_LEN} AS seq_id, list(greedy ORDER BY row_id) AS ids FROM scored GROUP BY row_id // {SEQ_LEN}),
+firsts AS (
+  SELECT seq_id, seq_id // {GEN_BATCH} AS batch_id, ids, coalesce(list_position(ids, {GEN_EOS}), 0) AS f FROM seqs),
+lens AS (
+  SELECT *, least(len(ids), max(CASE WHEN f > 0 THEN f ELSE len(ids) END) OVER (PARTITION BY batch_id))::INTEGER AS gen_len
+  FROM firsts)
+SELECT seq_id, batch_id, gen_len,
+  {O.ids_text(f"list_slice(list_transform(ids, lambda x, i: CASE WHEN f > 0 AND i > f THEN {GEN_EOS} ELSE x END), 1, gen_len)")} AS new_ids,
+  {O.ids_text("list_slice(list_transform(ids, lambda x, i: CASE WHEN f > 0 AND i >= f THEN 0 ELSE 1 END), 1, gen_len)")} AS new_mask
+FROM lens""")
+def q_generation_tail(spark, sf_dir):
+    lg = X.logits_table(spark, sf_dir).select("row_id", S.greedy_pick("logits").alias("tok"))
+    seq = lg.groupBy((F.col("row_id") / SEQ_LEN).cast("long").alias("seq_id")).agg(
+        F.sort_array(F.collect_list(F.struct("row_id", "tok"))).alias("s"))
+    seq = seq.select("seq_id", (F.col("seq_id") / GEN_BATCH).cast("long").alias("batch_id"),
+                     F.transform("s", lambda x: x["tok"]).alias("ids"))
+    g = S.pad_after_eos(seq, "ids", GEN_EOS)
+    return g.select("seq_id", "batch_id", "gen_len", ids_text("new_ids").alias("new_ids"),
+                    ids_text("new_mask").alias("new_mask"))
