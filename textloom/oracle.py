@@ -256,3 +256,32 @@ scored AS (
          (list_position(z, m) - 1)::INTEGER AS greedy,
          list_transform(z, lambda x: exp(x - m) / se) AS probs
   FROM lg3)"""
+
+
+def batch_losses(src: str) -> str:
+    """Mean byte loss over the targets of each batch of ``src`` (a collated CTE)."""
+    return f"""bt AS (SELECT batch_id, unnest(targets) AS token FROM {src}),
+btl AS (SELECT b.batch_id, avg(l.loss) AS loss, count(*)::BIGINT AS targets FROM bt b
+        JOIN byte_losses l ON l.token = b.token WHERE b.token <> -100 GROUP BY b.batch_id),
+bdt AS (SELECT batch_id, sum(len(ids))::BIGINT AS dataset_tokens FROM {src} GROUP BY batch_id),
+blosses AS (SELECT d.batch_id, coalesce(t.loss, 'NaN'::DOUBLE) AS loss, coalesce(t.targets, 0)::BIGINT AS targets,
+            d.dataset_tokens FROM bdt d LEFT JOIN btl t ON t.batch_id = d.batch_id)"""
+
+
+def cycled(steps: int, accum: int, epochs: int) -> str:
+    per = steps * accum
+    return f"""nb AS (SELECT count(*) AS n FROM blosses),
+cyc AS (
+  SELECT r.i AS read, (r.i // {per})::INTEGER AS epoch, ((r.i % {per}) // {accum})::BIGINT AS step,
+         b.loss, b.targets, b.dataset_tokens
+  FROM range({per * epochs}) r(i), nb JOIN blosses b ON b.batch_id = r.i % nb.n)"""
+
+
+def window_loss_sums(shard_size: int, bt: int) -> str:
+    return f"""tl AS (
+  SELECT t.split, t.gpos, sum(l.loss) OVER (PARTITION BY t.split ORDER BY t.gpos) AS cum
+  FROM toks t JOIN byte_losses l ON l.token = t.tok),
+wl AS (
+  SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM assigned a
+  JOIN tl s ON s.split = a.split AND s.gpos = a.shard * {shard_size} + a.start
+  JOIN tl e ON e.split = a.split AND e.gpos = a.shard * {shard_size} + a.start + {bt})"""

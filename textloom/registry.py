@@ -419,3 +419,172 @@ def q_generation_tail(spark, sf_dir):
     g = S.pad_after_eos(seq, "ids", GEN_EOS)
     return g.select("seq_id", "batch_id", "gen_len", ids_text("new_ids").alias("new_ids"),
                     ids_text("new_mask").alias("new_mask"))
+
+
+# ---------------------------------------------------------------- training metrics
+
+from textloom.operators import metrics as M  # noqa: E402
+from textloom.operators.collate import batch_token_counts, cycle_batches, mask_targets_by_attention  # noqa: E402
+from textloom.plans import training as TR  # noqa: E402
+
+CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS = 100, 4, 2
+WARM_ACCUM = 3
+
+
+def _batch_losses(spark, sf_dir, batches):
+    bl = X.byte_losses(spark, sf_dir)
+    sl = M.sequence_loss(batches, ["batch_id"], "targets", bl)
+    return sl.join(batch_token_counts(batches).select("batch_id", "dataset_tokens"), "batch_id")
+
+
+def _chat_losses(spark, sf_dir):
+    b = CH.chat_batches(X.instructions(spark, sf_dir))
+    b = b.withColumn("targets", mask_targets_by_attention("targets", "attention"))  # B9, as the model does
+    return _batch_losses(spark, sf_dir, b)
+
+
+def _warm_losses(spark, sf_dir):
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _batch_losses(spark, sf_dir, CH.warmup_batches(docs))
+
+
+_CHAT_LOSS_CTES = (O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN), _CHAT_COLLATE, O.BYTE_LOSSES,
+                   O.batch_losses("collated"))
+
+
+@register("chat_batch_losses", _with(*_CHAT_LOSS_CTES) + """
+SELECT batch_id, round(loss, 6) AS loss, targets, dataset_tokens FROM blosses""")
+def q_chat_batch_losses(spark, sf_dir):
+    return _chat_losses(spark, sf_dir).select("batch_id", _r6("loss"), "targets", "dataset_tokens")
+
+
+@register("chat_epoch_metrics", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)) + """
+SELECT epoch, round(sum(loss * targets) / sum(targets), 6) AS epoch_loss, sum(targets)::BIGINT AS targets,
+       sum(dataset_tokens)::BIGINT AS dataset_tokens,
+       round(CASE WHEN sum(loss * targets) / sum(targets) < 50 THEN exp(sum(loss * targets) / sum(targets))
+                  ELSE 'Infinity'::DOUBLE END, 6) AS ppl
+FROM cyc GROUP BY epoch""")
+def q_chat_epoch_metrics(spark, sf_dir):
+    c = cycle_batches(spark, _chat_losses(spark, sf_dir), CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)
+    e = M.epoch_loss(c)
+    return e.select("epoch", _r6("epoch_loss"), "targets", "dataset_tokens", _r6("ppl"))
+
+
+@register("chat_step_losses", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)) + f"""
+SELECT epoch, step, round(sum(loss) / {CHAT_ACCUM}, 6) AS step_loss FROM cyc GROUP BY epoch, step""")
+def q_chat_step_losses(spark, sf_dir):
+    c = cycle_batches(spark, _chat_losses(spark, sf_dir), CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)
+    c = c.withColumn("batch_index", F.col("read") - F.col("epoch") * (CHAT_STEPS * CHAT_ACCUM))
+    return M.step_loss(c, CHAT_ACCUM).select("epoch", "step", _r6("step_loss"))
+
+
+_WARM_LOSS_CTES = (_WARM_SRC, _WARM_COLLATE, O.BYTE_LOSSES, O.batch_losses("collated"))
+
+
+@register("warmup_step_losses", _with(*_WARM_LOSS_CTES) + f"""
+SELECT 0 AS epoch, (batch_id // least({WARM_ACCUM}, greatest(1, (SELECT count(*) FROM blosses))))::BIGINT AS step,
+       round(sum(loss) / least({WARM_ACCUM}, greatest(1, (SELECT count(*) FROM blosses))), 6) AS step_loss
+FROM blosses GROUP BY 2""")
+def q_warmup_step_losses(spark, sf_dir):
+    b = _warm_losses(spark, sf_dir).withColumn("epoch", F.lit(0)).withColumn("batch_index", F.col("batch_id"))
+    return M.step_loss(b, WARM_ACCUM, rule="warmup").select("epoch", "step", _r6("step_loss"))
+
+
+@register("warmup_epoch_metrics", _with(*_WARM_LOSS_CTES) + """
+SELECT 0 AS epoch, round(sum(loss * targets) / sum(targets), 6) AS epoch_loss, sum(targets)::BIGINT AS targets,
+       sum(dataset_tokens)::BIGINT AS dataset_tokens,
+       round(CASE WHEN isnan(sum(loss * targets) / sum(targets)) THEN 'NaN'::DOUBLE
+                  WHEN sum(loss * targets) / sum(targets) < 50 THEN exp(sum(loss * targets) / sum(targets))
+                  ELSE 'Infinity'::DOUBLE END, 6) AS ppl
+FROM blosses""")
+def q_warmup_epoch_metrics(spark, sf_dir):
+    e = M.epoch_loss(_warm_losses(spark, sf_dir).withColumn("epoch", F.lit(0)))
+    e = e.withColumn("ppl", M.perplexity("epoch_loss", rule="warmup"))
+    return e.select("epoch", _r6("epoch_loss"), "targets", "dataset_tokens", _r6("ppl"))
+
+
+def _window_losses(spark, sf_dir, windows):
+    from textloom.operators.windows import cut_windows
+    chunks = C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK)
+    xy = cut_windows(chunks, windows, B, T, SHARD, CHUNK)
+    return TR.window_losses(xy, X.byte_losses(spark, sf_dir))
+
+
+def _val_loss(spark, sf_dir):
+    from textloom.operators.windows import validation_windows
+    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
+    return M.validation_loss(_window_losses(spark, sf_dir, v), VAL_N)
+
+
+def _train_loss(spark, sf_dir):
+    from textloom.operators.windows import assign_steps
+    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
+    return TR.train_step_losses(a, _window_losses(spark, sf_dir, a), ACCUM)
+
+
+_VAL_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.reads("val", str(VAL_N), B, T, N),
+                  O.tokens_long(SHARD, CHUNK), O.BYTE_LOSSES, O.window_loss_sums(SHARD, B * T))
+_TRAIN_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
+                    O.reads("train", f"SELECT max_steps * {ACCUM} FROM plan WHERE split = 'train'", B, T, N),
+                    O.tokens_long(SHARD, CHUNK), O.BYTE_LOSSES, O.window_loss_sums(SHARD, B * T))
+_VAL_SQL = f"SELECT avg(l) FROM (SELECT rank, sum(loss) / {VAL_N} AS l FROM wl GROUP BY rank)"
+
+
+@register("validation_loss", _with(*_VAL_LOSS_CTES) + f"""
+SELECT round(avg(l), 6) AS val_loss, count(*)::BIGINT AS ranks
+FROM (SELECT rank, sum(loss) / {VAL_N} AS l FROM wl GROUP BY rank)""")
+def q_validation_loss(spark, sf_dir):
+    return _val_loss(spark, sf_dir).select(_r6("val_loss"), "ranks")
+
+
+@register("train_step_losses", _with(*_TRAIN_LOSS_CTES) + f"""
+SELECT step, round(avg(l), 6) AS loss FROM (
+  SELECT read // {ACCUM} AS step, rank, sum(loss / {ACCUM}) AS l FROM wl GROUP BY read // {ACCUM}, rank)
+GROUP BY step""")
+def q_train_step_losses(spark, sf_dir):
+    return _train_loss(spark, sf_dir).select(F.col("step").cast("long").alias("step"), _r6("loss"))
+
+
+def _metric_rows(spark, sf_dir):
+    from textloom.operators.windows import step_schedule
+    val = _val_loss(spark, sf_dir).first()["val_loss"]
+    _, _, lab = _labelled(spark, sf_dir)
+    hella = CE.choice_accuracy(lab, ranks=N).first()["acc_norm"]
+    sched = step_schedule(spark, _max_steps(spark, sf_dir))
+    return TR.metric_log(sched, _train_loss(spark, sf_dir), val, hella)
+
+
+_LOG_SQL = _with(*_TRAIN_LOSS_CTES, *[c for c in _CHOICE if c != O.BYTE_LOSSES]) + f""",
+vl AS ({_VAL_SQL.replace('wl', 'wlv')}),
+trl AS (SELECT step, avg(l) AS v FROM (
+  SELECT read // {ACCUM} AS step, rank, sum(loss / {ACCUM}) AS l FROM wl GROUP BY read // {ACCUM}, rank) GROUP BY step),
+hel AS (SELECT sum(correct_norm) / count(*) AS v FROM labelled),
+ev AS (SELECT step FROM trl WHERE step % 250 = 0 OR step = (SELECT max(step) FROM trl)),
+rows_ AS (
+  SELECT step::BIGINT AS step, 'val' AS kind, (SELECT * FROM vl) AS value FROM ev
+  UNION ALL SELECT step::BIGINT, 'hella', (SELECT v FROM hel) FROM ev
+  UNION ALL SELECT step::BIGINT, 'train', v FROM trl)
+"""
+
+
+def _log_sql(select: str) -> str:
+    # validation window losses (val reads) next to the train ones
+    val_ctes = (O.reads("val", str(VAL_N), B, T, N).replace("reads AS", "vreads AS").replace("FROM reads r", "FROM vreads r")
+                .replace("assigned AS", "vassigned AS"))
+    wlv = O.window_loss_sums(SHARD, B * T).split("wl AS", 1)[1].replace("FROM assigned a", "FROM vassigned a")
+    sql = _LOG_SQL.replace("\nvl AS", f"\n{val_ctes},\nwlv AS{wlv},\nvl AS", 1)
+    return sql + select
+
+
+@register("metric_log", _log_sql("""SELECT step, kind, CASE WHEN kind = 'train' THEN step::VARCHAR || ' train ' || printf('%.6f', value)
+       ELSE step::VARCHAR || ' ' || kind || ' ' || printf('%.4f', value) END AS line FROM rows_"""))
+def q_metric_log(spark, sf_dir):
+    from textloom.sources.io import metric_lines
+    return metric_lines(_metric_rows(spark, sf_dir)).select(F.col("step").cast("long").alias("step"), "kind", "line")
+
+
+@register("loss_curve", _log_sql("""SELECT (row_number() OVER (ORDER BY step) - 1)::BIGINT AS x, step,
+       round(value, 6) AS loss FROM rows_ WHERE kind = 'train'"""))
+def q_loss_curve(spark, sf_dir):
+    c = M.loss_curve(_metric_rows(spark, sf_dir), "train")
+    return c.select("x", F.col("step").cast("long").alias("step"), _r6("loss"))
