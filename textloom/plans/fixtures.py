@@ -83,11 +83,14 @@ def byte_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``-ln((count(b) + 1) / (total + 256))`` over the UTF-8 bytes of all documents
     (special ids have count 0). Counted with a map-side partial aggregate, so at
     most 256 rows per task leave the map side."""
-    from textloom.functions.tokens import BYTE_VOCAB_SIZE, utf8_byte_ids
+    from textloom.functions.tokens import BYTE_VOCAB_SIZE
 
     d = read_table(spark, sf_dir, "documents").select(coerce_text("text").alias("text"))
-    counts = d.select(F.explode(utf8_byte_ids("text")).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"))
+    # one Latin-1 character per UTF-8 byte; counted as characters (a native generator
+    # and a partial aggregate) and turned into byte values on the <= 256 result rows
+    chars = F.split(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), "")
+    counts = d.select(F.explode(chars).alias("ch")).where(F.col("ch") != "").groupBy("ch").agg(
+        F.count(F.lit(1)).alias("n")).select(F.ascii("ch").cast("int").alias("token"), "n")
     ids = spark.range(BYTE_VOCAB_SIZE).select(F.col("id").cast("int").alias("token"))
     c = ids.join(counts, "token", "left").fillna(0, ["n"])
     w = Window.partitionBy(F.lit(0))  # 266 rows: the total over one small task
