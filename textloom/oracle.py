@@ -278,10 +278,13 @@ cyc AS (
 
 
 def window_loss_sums(shard_size: int, bt: int) -> str:
-    return f"""tl AS (
+    return f"""tl AS MATERIALIZED (
   SELECT t.split, t.gpos, sum(l.loss) OVER (PARTITION BY t.split ORDER BY t.gpos) AS cum
   FROM toks t JOIN byte_losses l ON l.token = t.tok),
+ak AS MATERIALIZED (
+  SELECT split, rank, read, shard, k, shard * {shard_size} + start AS gs,
+         shard * {shard_size} + start + {bt} AS ge FROM assigned),
 wl AS (
-  SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM assigned a
-  JOIN tl s ON s.split = a.split AND s.gpos = a.shard * {shard_size} + a.start
-  JOIN tl e ON e.split = a.split AND e.gpos = a.shard * {shard_size} + a.start + {bt})"""
+  SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM ak a
+  JOIN tl s ON s.split = a.split AND s.gpos = a.gs
+  JOIN tl e ON e.split = a.split AND e.gpos = a.ge)"""

@@ -571,8 +571,9 @@ def _log_sql(select: str) -> str:
     # validation window losses (val reads) next to the train ones
     val_ctes = (O.reads("val", str(VAL_N), B, T, N).replace("reads AS", "vreads AS").replace("FROM reads r", "FROM vreads r")
                 .replace("assigned AS", "vassigned AS"))
-    wlv = O.window_loss_sums(SHARD, B * T).split("wl AS", 1)[1].replace("FROM assigned a", "FROM vassigned a")
-    sql = _LOG_SQL.replace("\nvl AS", f"\n{val_ctes},\nwlv AS{wlv},\nvl AS", 1)
+    wlv = O.window_loss_sums(SHARD, B * T).split("wl AS", 1)[1].replace("FROM ak a", "FROM vak a")
+    vak = O.window_loss_sums(SHARD, B * T).split("ak AS", 1)[1].split("wl AS", 1)[0].replace("FROM assigned", "FROM vassigned")
+    sql = _LOG_SQL.replace("\nvl AS", f"\n{val_ctes},\nvak AS{vak}wlv AS{wlv},\nvl AS", 1)
     return sql + select
 
 
