@@ -589,3 +589,57 @@ def q_metric_log(spark, sf_dir):
 def q_loss_curve(spark, sf_dir):
     c = M.loss_curve(_metric_rows(spark, sf_dir), "train")
     return c.select("x", F.col("step").cast("long").alias("step"), _r6("loss"))
+
+
+# ---------------------------------------------------------------- streaming (same oracles as batch)
+
+from textloom.session import scratch_path  # noqa: E402
+from textloom.streaming import streams as ST  # noqa: E402
+
+
+@register("stream_sft_examples", ORACLE["sft_examples"])
+def q_stream_sft_examples(spark, sf_dir):
+    src, sink, ck = (scratch_path(spark, n) for n in ("sft-in", "sft-out", "sft-ck"))
+    instr = X.instructions(spark, sf_dir)
+    ST.stage_files(instr, src, "conv_id")
+    ST.stream_sft(spark, ST.file_stream(spark, src, instr.schema), sink, ck, CH.CHAT_MAX_LEN)
+    s = spark.read.parquet(sink)
+    return s.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"), "prompt_len",
+                    ids_text("ids").alias("ids"))
+
+
+@register("stream_choice_accuracy", ORACLE["choice_accuracy"])
+def q_stream_choice_accuracy(spark, sf_dir):
+    src, sink, ck = (scratch_path(spark, n) for n in ("acc-in", "acc-out", "acc-ck"))
+    _, _, lab = _labelled(spark, sf_dir)
+    lab = lab.select("item", "pred", "pred_norm", "label", "correct", "correct_norm")
+    ST.stage_files(lab, src, "item", rows_per_file=10_000)
+    ST.stream_accuracy(spark, ST.file_stream(spark, src, lab.schema), sink, ck)
+    return ST.accuracy_result(spark, sink).select("total", "correct", "correct_norm", _r6("acc"), _r6("acc_norm"))
+
+
+@register("stream_packed_chunks", ORACLE["packed_chunks"])
+def q_stream_packed_chunks(spark, sf_dir):
+    src, pieces, state, ck = (scratch_path(spark, n) for n in ("pack-in", "pack-pieces", "pack-state", "pack-ck"))
+    docs = X.corpus(spark, sf_dir)
+    ST.stage_files(docs, src, "doc_id", rows_per_file=20_000)
+    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), pieces, state, ck, CHUNK)
+    ch = ST.packed_from_pieces(spark, pieces, SHARD, CHUNK)
+    return ch.select("split", "shard", "chunk", "chunk_in_shard", "n_tokens", ids_text("tokens").alias("tokens"))
+
+
+@register("stream_metric_latest", _log_sql("""SELECT kind, max(step)::INTEGER AS step,
+       arg_max(CASE WHEN kind = 'train' THEN printf('%.6f', value) ELSE printf('%.4f', value) END, step)::DOUBLE AS value,
+       count(*)::BIGINT AS lines FROM rows_ GROUP BY kind"""))
+def q_stream_metric_latest(spark, sf_dir):
+    from textloom.sources.io import metric_lines
+    folder, sink, ck = (scratch_path(spark, n) for n in ("log-in", "log-out", "log-ck"))
+    lines = metric_lines(_metric_rows(spark, sf_dir))
+    row = lines.agg(F.max("step").alias("hi")).first()
+    parts = 4
+    width = max(1, -(-(int(row["hi"]) + 1) // parts))
+    for i in range(parts):  # log files arrive one after another
+        lines.where((F.col("step") >= i * width) & (F.col("step") < (i + 1) * width)).select("line") \
+            .coalesce(1).write.mode("append").text(folder)
+    ST.stream_metric_log(spark, folder, sink, ck)
+    return spark.read.parquet(sink).select("kind", F.col("step").cast("int").alias("step"), "value", "lines")
