@@ -643,3 +643,69 @@ def q_stream_metric_latest(spark, sf_dir):
             .coalesce(1).write.mode("append").text(folder)
     ST.stream_metric_log(spark, folder, sink, ck)
     return spark.read.parquet(sink).select("kind", F.col("step").cast("int").alias("step"), "value", "lines")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+from textloom.sources import io as IO  # noqa: E402
+
+
+@register("stored_shards", ORACLE["packed_chunks"])
+def q_stored_shards(spark, sf_dir):
+    """S4 write, S5 read of each split (partition pruning), union."""
+    path = scratch_path(spark, "shards")
+    IO.write_shards(C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK), path)
+    parts = [IO.read_shards(spark, path, s) for s in IO.SPLITS]
+    ch = parts[0].unionByName(parts[1])
+    return ch.select("split", F.col("shard").cast("long").alias("shard"), "chunk", "chunk_in_shard", "n_tokens",
+                     ids_text("tokens").alias("tokens"))
+
+
+_NPY_CTES = (O.CORPUS, O.DOC_IDS, O.OFFSETS, O.tokens_long(SHARD, CHUNK))
+
+
+@register("npy_shards", _with(*_NPY_CTES) + f"""
+SELECT split, (gpos // {SHARD})::BIGINT AS shard, count(*)::BIGINT AS n_tokens, sum(tok)::BIGINT AS token_sum,
+       sum(tok * ((gpos % {SHARD}) % 997))::BIGINT AS weighted_sum
+FROM toks GROUP BY split, gpos // {SHARD}""")
+def q_npy_shards(spark, sf_dir):
+    """S6 export to .npy files and import back; per-shard count and checksums."""
+    folder = scratch_path(spark, "npy")
+    docs = X.corpus(spark, sf_dir)
+    IO.export_npy(C.corpus_chunks(docs, SHARD, CHUNK), C.corpus_manifest(docs, SHARD, NAME), folder, NAME)
+    back = IO.import_npy(spark, folder, CHUNK)
+    t = back.select("split", "shard", "chunk_in_shard", F.posexplode("tokens").alias("i", "tok"))
+    p = F.col("chunk_in_shard") * CHUNK + F.col("i")
+    return t.groupBy("split", "shard").agg(
+        F.count(F.lit(1)).cast("long").alias("n_tokens"), F.sum("tok").cast("long").alias("token_sum"),
+        F.sum(F.col("tok") * F.pmod(p, F.lit(997))).cast("long").alias("weighted_sum"))
+
+
+@register("shard_list", _with(*_MANIFEST_CTES) + """
+SELECT name, split, (row_number() OVER (ORDER BY name) - 1)::BIGINT AS position FROM manifest WHERE contains(name, 'train')""")
+def q_shard_list(spark, sf_dir):
+    """Shard names holding the split name, sorted as strings (position by row index)."""
+    from textloom.operators.order import row_index
+    names = IO.list_shards(_manifest(spark, sf_dir), "train").select("name", "split", "shard")
+    return row_index(names, ["shard"], out="position", max_groups=1).select("name", "split", "position")
+
+
+@register("metric_log_file", _log_sql("""SELECT step::INTEGER AS step, kind,
+       (CASE WHEN kind = 'train' THEN printf('%.6f', value) ELSE printf('%.4f', value) END)::DOUBLE AS value FROM rows_"""))
+def q_metric_log_file(spark, sf_dir):
+    """The metric log written as text lines and parsed back."""
+    path = scratch_path(spark, "log")
+    IO.write_metric_log(_metric_rows(spark, sf_dir), path)
+    return IO.read_metric_log(spark, path)
+
+
+# ---------------------------------------------------------------- tokens: decode, special tokens, encoders
+
+@register("decoded_documents", _with(O.CORPUS) + """
+SELECT doc_id, split, text AS decoded, strlen(text)::BIGINT AS n_bytes FROM corpus""")
+def q_decoded_documents(spark, sf_dir):
+    """T10 round trip over whole texts: decode(encode(text)) with the delimiter dropped."""
+    from textloom.functions.tokens import byte_decode
+    ids = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
+    return ids.select("doc_id", "split", byte_decode("ids", skip_special=True).alias("decoded"),
+                      (F.size("ids") - 1).cast("long").alias("n_bytes"))

@@ -103,3 +103,96 @@ def parse_metric_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_metric_lines(spark.read.text(path))
+
+
+NPY_DTYPE = "<u2"  # uint16, little endian, as the reference's shard files
+
+
+def _npy_header(n: int) -> bytes:
+    """Version 1.0 header of a 1-D uint16 array of length n."""
+    d = "{'descr': '%s', 'fortran_order': False, 'shape': (%d,), }" % (NPY_DTYPE, n)
+    pad = 64 - (10 + len(d) + 1) % 64
+    body = (d + " " * pad + "\n").encode("latin1")
+    return b"\x93NUMPY\x01\x00" + len(body).to_bytes(2, "little") + body
+
+
+def export_npy(chunks: DataFrame, manifest: DataFrame, folder: str, name: str = "corpus") -> None:
+    """S6 export: one ``{name}_{split}_{shard:06d}.npy`` per shard in a shared folder.
+
+    Rows are partitioned by shard and sorted by chunk inside each task, so a task
+    streams one chunk at a time into the open file; the header length comes from
+    the manifest (a table of one row per shard). A retried task rewrites its files
+    from the start through a temporary name."""
+    import numpy as np
+
+    lengths = {(r["split"], int(r["shard"])): int(r["n_tokens"]) for r in manifest.select("split", "shard", "n_tokens").collect()}
+    bc = chunks.sparkSession.sparkContext.broadcast(lengths)
+    os.makedirs(folder, exist_ok=True)
+
+    def write_part(rows):
+        import os as _os
+        cur, fh, tmp, final = None, None, None, None
+        for r in rows:
+            key = (r["split"], int(r["shard"]))
+            if key != cur:
+                if fh is not None:
+                    fh.close()
+                    _os.replace(tmp, final)
+                cur = key
+                final = _os.path.join(folder, f"{name}_{key[0]}_{key[1]:06d}.npy")
+                tmp = final + f".tmp-{_os.getpid()}"
+                fh = open(tmp, "wb")
+                fh.write(_npy_header(bc.value[key]))
+            fh.write(np.asarray(r["tokens"], dtype=np.uint16).tobytes())
+        if fh is not None:
+            fh.close()
+            _os.replace(tmp, final)
+
+    (chunks.select("split", "shard", "chunk", "tokens").repartition("split", "shard")
+     .sortWithinPartitions("split", "shard", "chunk").foreachPartition(write_part))
+
+
+def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> DataFrame:
+    """S6 import: ``.npy`` shards back to (split, shard, chunk, tokens) rows. The
+    driver lists file names only; headers are read by tasks, which emit byte ranges
+    of ``chunk_size`` tokens; other tasks read the ranges. No task holds a file."""
+    import glob
+
+    paths = sorted(glob.glob(os.path.join(folder, "*.npy")))
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+
+    def ranges(batches):
+        import numpy as np  # noqa: F401
+        import pandas as pd
+        import re as _re
+        for pdf in batches:
+            out = []
+            for p in pdf["path"]:
+                with open(p, "rb") as fh:
+                    magic = fh.read(10)
+                    hlen = int.from_bytes(magic[8:10], "little")
+                    header = fh.read(hlen).decode("latin1")
+                n = int(_re.search(r"\((\d+),?\)", header).group(1))
+                base = _re.sub(r"\.npy$", "", p.rsplit("/", 1)[-1])
+                split, shard = base.rsplit("_", 2)[-2], int(base.rsplit("_", 1)[-1])
+                for c in range(0, -(-n // chunk_size)):
+                    cnt = min(chunk_size, n - c * chunk_size)
+                    out.append((p, split, shard, c, 10 + hlen + 2 * c * chunk_size, cnt))
+            yield pd.DataFrame(out, columns=["path", "split", "shard", "chunk_in_shard", "offset", "count"])
+
+    r = files.mapInPandas(ranges, "path string, split string, shard long, chunk_in_shard long, offset long, count long")
+
+    def read(batches):
+        import numpy as np
+        import pandas as pd
+        for pdf in batches:
+            toks = []
+            for p, off, cnt in zip(pdf["path"], pdf["offset"], pdf["count"]):
+                with open(p, "rb") as fh:
+                    fh.seek(int(off))
+                    toks.append(np.frombuffer(fh.read(2 * int(cnt)), dtype="<u2").astype(np.int32))
+            yield pd.DataFrame({"split": pdf["split"], "shard": pdf["shard"],
+                                "chunk_in_shard": pdf["chunk_in_shard"], "tokens": toks})
+
+    return r.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
+        read, "split string, shard long, chunk_in_shard long, tokens array<int>")
