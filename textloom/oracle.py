@@ -288,3 +288,25 @@ wl AS (
   SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM ak a
   JOIN tl s ON s.split = a.split AND s.gpos = a.gs
   JOIN tl e ON e.split = a.split AND e.gpos = a.ge)"""
+
+
+WORD_PATTERN = r"(\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\x0B\f\r ]+)"
+
+
+def word_vocab(size: int) -> str:
+    return f"""wcount AS (
+  SELECT w AS word, count(*)::BIGINT AS count
+  FROM (SELECT unnest(regexp_extract_all(text, {q(WORD_PATTERN)}, 1)) AS w FROM corpus) GROUP BY w),
+wvocab AS (
+  SELECT word, count, (row_number() OVER (ORDER BY count DESC, word) - 1)::INTEGER AS id
+  FROM wcount ORDER BY count DESC, word LIMIT {size})"""
+
+
+def word_ids(size: int) -> str:
+    return f"""wpos AS (
+  SELECT doc_id, split, unnest(ws) AS word, unnest(range(len(ws))) AS p
+  FROM (SELECT doc_id, split, regexp_extract_all(text, {q(WORD_PATTERN)}, 1) AS ws FROM corpus)),
+wids AS (
+  SELECT c.doc_id, c.split, coalesce(list(coalesce(v.id, {size}) ORDER BY w.p) FILTER (WHERE w.p IS NOT NULL), [])::INTEGER[] AS ids
+  FROM corpus c LEFT JOIN wpos w ON w.doc_id = c.doc_id LEFT JOIN wvocab v ON v.word = w.word
+  GROUP BY c.doc_id, c.split)"""

@@ -709,3 +709,138 @@ def q_decoded_documents(spark, sf_dir):
     ids = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
     return ids.select("doc_id", "split", byte_decode("ids", skip_special=True).alias("decoded"),
                       (F.size("ids") - 1).cast("long").alias("n_bytes"))
+
+
+from textloom.operators import vocab as V  # noqa: E402
+from textloom.operators import extend as U  # noqa: E402
+from textloom.functions.tokens import BYTE_VOCAB, byte_encode_length  # noqa: E402
+
+WORD_V = 4096
+
+_SPECIAL_VALUES = ", ".join(f"('{t}', {BYTE_VOCAB + i - 32256}, '{' '.join(['bos', 'eos'] if t == '<|endoftext|>' else ['pad'] if t == '<|pad|>' else ['additional'])}')"
+                            for t, i in __import__("textloom.functions.tokens", fromlist=["SPECIAL_TOKENS"]).SPECIAL_TOKENS)
+
+
+@register("special_token_counts", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN)) + f"""
+, st AS (SELECT * FROM (VALUES {_SPECIAL_VALUES}) v(token, id, roles)),
+occ AS (SELECT t AS id, count(*) AS n FROM (SELECT unnest(ids) AS t FROM sft) WHERE t >= {BYTE_VOCAB} GROUP BY t)
+SELECT st.token, st.id::INTEGER AS id, st.roles, coalesce(occ.n, 0)::BIGINT AS occurrences,
+       ({BYTE_VOCAB} + 10)::BIGINT AS vocab_size, {EOT}::INTEGER AS eos_id, {PAD}::INTEGER AS pad_id
+FROM st LEFT JOIN occ ON occ.id = st.id""")
+def q_special_token_counts(spark, sf_dir):
+    """T1-T3 + T5: the special-token table (byte ids), its use in SFT examples, the
+    vocabulary size and the resolved eos / pad ids."""
+    st = V.special_tokens(spark, base=BYTE_VOCAB)
+    ids = CH.sft_examples(X.instructions(spark, sf_dir)).select(F.explode("ids").alias("id")).where(F.col("id") >= BYTE_VOCAB)
+    occ = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    size = V.vocab_size(BYTE_VOCAB, st).first()["vocab_size"]
+    eos = V.resolve_token_id(st, "eos").first()["eos_id"]
+    pad = V.resolve_token_id(st, "pad").first()["pad_id"]
+    return F.broadcast(st).join(occ, "id", "left").select(  # 10 rows
+        "token", "id", F.array_join("roles", " ").alias("roles"), F.coalesce("n", F.lit(0)).cast("long").alias("occurrences"),
+        F.lit(size).cast("long").alias("vocab_size"), F.lit(eos).cast("int").alias("eos_id"),
+        F.lit(pad).cast("int").alias("pad_id"))
+
+
+@register("word_vocab", _with(O.CORPUS, O.word_vocab(WORD_V)) + """
+SELECT word, count, id FROM wvocab""")
+def q_word_vocab(spark, sf_dir):
+    return V.word_vocab(X.corpus(spark, sf_dir), WORD_V).select("word", "count", "id")
+
+
+@register("word_token_ids", _with(O.CORPUS, O.word_vocab(WORD_V), O.word_ids(WORD_V)) + f"""
+SELECT doc_id, split, len(ids)::BIGINT AS n_ids, {O.ids_text('ids')} AS ids FROM wids""")
+def q_word_token_ids(spark, sf_dir):
+    docs = X.corpus(spark, sf_dir)
+    e = V.word_encode(docs, V.word_vocab(docs, WORD_V), WORD_V)
+    return e.select("doc_id", "split", F.size("ids").cast("long").alias("n_ids"), ids_text("ids").alias("ids"))
+
+
+@register("encoder_totals", _with(O.CORPUS) + f"""
+SELECT split, count(*)::BIGINT AS documents, sum(strlen(text))::BIGINT AS bytes_tokens,
+       sum(len(regexp_extract_all(text, {O.q(O.WORD_PATTERN)}, 1)))::BIGINT AS words_tokens,
+       round(sum(strlen(text)) / sum(len(regexp_extract_all(text, {O.q(O.WORD_PATTERN)}, 1))), 6) AS bytes_per_word
+FROM corpus GROUP BY split""")
+def q_encoder_totals(spark, sf_dir):
+    """T11 + T12: token totals per split under the byte and word encoders, one pass."""
+    t = V.compare_encoders(X.corpus(spark, sf_dir), {"bytes": byte_encode_length("text"),
+                                                      "words": F.size(V.word_pieces("text"))})
+    return t.withColumn("bytes_per_word", F.round(F.col("bytes_tokens") / F.col("words_tokens"), 6))
+
+
+@register("row_positions", _with(O.CORPUS) + """
+SELECT split, doc_id, (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1)::BIGINT AS idx FROM corpus""")
+def q_row_positions(spark, sf_dir):
+    """Dense position per split in key order (two-level numbering)."""
+    from textloom.operators.order import row_index
+    return row_index(X.corpus(spark, sf_dir).select("split", "doc_id"), ["doc_id"], ["split"], out="idx", max_groups=2)
+
+
+@register("rank_shares", _with(O.CORPUS) + """
+, n AS (SELECT count(*) AS total FROM corpus),
+pos AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM corpus)
+SELECT doc_id, (i % 2)::INTEGER AS rank_modulo,
+       (CASE WHEN i < (total % 3) * (total // 3 + 1) THEN i // (total // 3 + 1)
+             ELSE (total % 3) + (i - (total % 3) * (total // 3 + 1)) // (total // 3) END)::INTEGER AS worker_contiguous
+FROM pos, n""")
+def q_rank_shares(spark, sf_dir):
+    """A row's rank under the modulo rule (2 ranks) and its worker under the
+    contiguous rule (3 workers), over the dense row index."""
+    from textloom.operators.order import row_index, shard_rows
+    d = row_index(X.corpus(spark, sf_dir).select("doc_id"), ["doc_id"], out="i", max_groups=1)
+    m = shard_rows(d, "i", 2, None, mode="modulo").withColumnRenamed("worker", "rank_modulo")
+    c = shard_rows(m, "i", 3, None, mode="contiguous").withColumnRenamed("worker", "worker_contiguous")
+    return c.select("doc_id", "rank_modulo", "worker_contiguous")
+
+
+def _py_bytes_encoder():
+    def enc(texts):
+        return [list(t.encode("utf-8")) for t in texts]
+    return enc
+
+
+@register("custom_encoder_ids", _with(O.CORPUS) + f"""
+SELECT doc_id, len({O.plain_bytes('text')})::BIGINT AS n_ids, {O.ids_text(O.plain_bytes('text'))} AS ids FROM corpus""")
+def q_custom_encoder_ids(spark, sf_dir):
+    """A user encoder (here plain UTF-8 bytes in Python) through mapInPandas."""
+    e = U.with_encoder(X.corpus(spark, sf_dir), _py_bytes_encoder)
+    return e.select("doc_id", F.size("ids").cast("long").alias("n_ids"), ids_text("ids").alias("ids"))
+
+
+@register("mapped_documents", _with(O.CORPUS) + """
+SELECT doc_id, strlen(text)::BIGINT AS n_bytes, length(text)::BIGINT AS n_chars FROM corpus""")
+def q_mapped_documents(spark, sf_dir):
+    """A user function over document batches (byte and character counts in pandas)."""
+    def fn(pdf):
+        import pandas as pd
+        return pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["text"].map(lambda t: len(t.encode("utf-8"))),
+                             "n_chars": pdf["text"].str.len()})
+    return U.map_documents(X.corpus(spark, sf_dir).select("doc_id", "text"), fn, "doc_id long, n_bytes long, n_chars long")
+
+
+def _pandas_chat_collate(pdf):
+    """A user's collate function written with pandas: same rules as B3-B5, B7."""
+    import pandas as pd
+    eos, pad, cap = EOT, PAD, CH.CHAT_MAX_LEN
+    seqs = [list(ids) + ([eos] if len(ids) < cap else []) for ids in pdf["ids"]]
+    width = max(len(s) for s in seqs)
+    out = []
+    for (conv, turn, brow, ids, plen), s in zip(pdf[["conv_id", "turn", "batch_row", "ids", "prompt_len"]].itertuples(index=False), seqs):
+        n = len(s)
+        padded = s + [pad] * (width - n)
+        att = [1] * n + [0] * (width - n)
+        tg = padded[1:]
+        tg = [-100 if (i + 1 >= n or i < plen - 1) else v for i, v in enumerate(tg)]
+        out.append((conv, turn, int(pdf["batch_id"].iloc[0]), brow, len(ids), " ".join(map(str, padded[:-1])),
+                    " ".join(map(str, tg)), " ".join(map(str, att[:-1]))))
+    return pd.DataFrame(out, columns=["conv_id", "turn", "batch_id", "batch_row", "n_ids", "inputs", "targets", "attention"])
+
+
+@register("custom_collate", ORACLE["chat_batches"])
+def q_custom_collate(spark, sf_dir):
+    """The user's batch function through groupBy(batch).applyInPandas."""
+    from textloom.operators.collate import assign_batches
+    ex = CH.sft_examples(X.instructions(spark, sf_dir))
+    b = assign_batches(ex, ["conv_id", "turn"], CH.CHAT_BATCH).select("conv_id", "turn", "batch_id", "batch_row", "ids", "prompt_len")
+    return U.collate(b, _pandas_chat_collate, "conv_id long, turn long, batch_id long, batch_row int, n_ids long, "
+                     "inputs string, targets string, attention string")
