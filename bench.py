@@ -33,18 +33,31 @@ HEADLINE = {
 def operator_frames(spark, sf_dir):
     """The headline operators with array outputs (the registered queries add a
     string rendering of every array for the oracle; that is not timed here)."""
-    from textloom.operators.windows import assign_steps, cut_windows, window_rows
+    from textloom.operators.windows import assign_steps, read_windows, window_buffers, window_rows
     from textloom.plans import chat as CH
     from textloom.plans import corpus as C
     from textloom.plans import fixtures as X
     from textloom import registry as R
+    from pyspark.sql import functions as F
+
+    from textloom.session import scratch_path
+    from textloom.sources import io as IO
+
+    shards = scratch_path(spark, "bench-shards")
 
     def encode_pack():
-        return C.corpus_chunks(X.corpus(spark, sf_dir), R.SHARD, R.CHUNK)
+        """Documents -> shards written as parquet (the sink is part of the work)."""
+        IO.write_shards(C.corpus_chunks(X.corpus(spark, sf_dir), R.SHARD, R.CHUNK), shards)
+        return spark.read.parquet(shards).limit(0)
 
     def cut():
-        a = assign_steps(spark, R._counts(spark, sf_dir), R._max_steps(spark, sf_dir), R.ACCUM, R.B, R.T, R.N)
-        return window_rows(cut_windows(encode_pack(), a, R.B, R.T, R.SHARD, R.CHUNK), R.B, R.T)
+        """Training windows read from the stored shards, as a data loader does."""
+        chunks = IO.read_shards(spark, shards, "train").unionByName(IO.read_shards(spark, shards, "val"))
+        chunks = chunks.withColumn("tokens", F.transform("tokens", lambda x: x.cast("int")))
+        counts = R._counts(spark, sf_dir)
+        a = assign_steps(spark, counts, R._max_steps(spark, sf_dir), R.ACCUM, R.B, R.T, R.N)
+        buffers = window_buffers(chunks, counts, R.B, R.T, R.N, R.SHARD, R.CHUNK)
+        return window_rows(read_windows(buffers, a), R.B, R.T)
 
     def chat():
         return CH.chat_batches(X.instructions(spark, sf_dir))

@@ -128,3 +128,20 @@ def test_take_and_shard_rows(spark):
     assert sorted(r.k for r in shard_rows(df, "k", 3, 1).collect()) == [1, 4, 7]
     w = shard_rows(df, "k", 3, None, mode="contiguous", total=10).orderBy("k").collect()
     assert [r.worker for r in w] == [0, 0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
+def test_window_buffers_equal_cut_windows(spark):
+    from textloom.operators.windows import read_windows, window_buffers
+    random.seed(11)
+    lengths = [random.randint(1, 60) for _ in range(40)]
+    d = _docs(spark, lengths).withColumn("n_tokens", F.size("ids"))
+    offs = token_offsets(d, F.col("n_tokens"))
+    shard, chunk, B, T, N = 300, 60, 2, 7, 3  # chunk not a multiple of B*T
+    chunks = pack_chunks(offs, shard, chunk)
+    counts = window_counts(shard_manifest(split_totals(offs, shard), shard), B, T, N)
+    reads = spark.range(25).select(F.lit("train").alias("split"), F.col("id").alias("read"),
+                                   F.explode(F.sequence(F.lit(0), F.lit(N - 1))).alias("rank"))
+    w = assign_windows(counts, reads, B, T, N)
+    a = {(r.rank, r.read): (r.x, r.y) for r in cut_windows(chunks, w, B, T, shard, chunk).collect()}
+    b = {(r.rank, r.read): (r.x, r.y) for r in read_windows(window_buffers(chunks, counts, B, T, N, shard, chunk), w).collect()}
+    assert a == b and len(a) == 75

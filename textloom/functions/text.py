@@ -44,3 +44,12 @@ def chat_prompt(system: Column, question: Column) -> Column:
 def chat_full(prompt: Column, response: Column) -> Column:
     """P4 full text: prompt + response + end marker."""
     return F.concat(prompt, response, F.lit(IM_END))
+
+
+def compute_once(df, **exprs):
+    """Adds expensive columns evaluated once per row. A filter or projection above a
+    plain ``withColumn`` may be rewritten to repeat the expression (filters are pushed
+    below the projection with the alias substituted); a one-element ``inline``
+    generator is a plan node that neither happens through."""
+    s = F.struct(*[e.alias(k) for k, e in exprs.items()])
+    return df.select("*", F.inline(F.array(s)))

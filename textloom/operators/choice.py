@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.text import compute_once
 from textloom.functions.tokens import byte_encode
 from textloom.operators.order import running_totals
 
 
 def render_choices(items: DataFrame, encode=byte_encode) -> DataFrame:
     """(item, label, ending, n_ctx, tokens, mask), rows of an item padded with 0."""
-    base = items.select("item", "label", encode(F.col("ctx")).alias("ctx_ids"),
-                        F.posexplode("endings").alias("ending", "ending_text"))
-    r = base.select("item", "label", F.col("ending").cast("int").alias("ending"), "ctx_ids",
-                    encode(F.concat(F.lit(" "), F.col("ending_text"))).alias("end_ids"))
+    base = compute_once(items.select("item", "label", "ctx", "endings"), ctx_ids=encode(F.col("ctx")))
+    base = base.select("item", "label", "ctx_ids", F.posexplode("endings").alias("ending", "ending_text"))
+    r = compute_once(base.select("item", "label", F.col("ending").cast("int").alias("ending"), "ctx_ids", "ending_text"),
+                     end_ids=encode(F.concat(F.lit(" "), F.col("ending_text")))).drop("ending_text")
     r = r.select("item", "label", "ending", F.size("ctx_ids").alias("n_ctx"),
                  F.concat("ctx_ids", "end_ids").alias("_t"),
                  F.concat(F.array_repeat(F.lit(0), F.size("ctx_ids")),

@@ -138,3 +138,54 @@ def window_rows(windows: DataFrame, B: int, T: int, keys: tuple[str, ...] = ("sp
                        lambda b: F.struct(b.alias("row"), F.slice("x", b * T + 1, T).alias("x"),
                                           F.slice("y", b * T + 1, T).alias("y")))
     return windows.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.row", "r.x", "r.y")
+
+
+def window_buffers(chunks: DataFrame, counts: DataFrame, B: int, T: int, N: int, shard_size: int,
+                   chunk_size: int) -> DataFrame:
+    """K4 without a join on chunks: every window of every rank, cut from the chunk rows.
+
+    Window starts are multiples of B*T inside a shard, so the windows of all ranks
+    tile the shard in blocks of B*T tokens: block j is the body of window
+    (rank j mod N, k j div N), and its first token is the last token of the window
+    of block j-1. Each chunk is cut into pieces per block (each token goes to one
+    window, block heads to two), grouped by window; windows beyond a rank's count
+    (the unused tail of a shard) are dropped by a join on the small counts table.
+    Output: (split, shard, rank, k, x, y)."""
+    bt = B * T
+    per_shard = shard_size // chunk_size
+    BT = F.lit(bt).cast("long")
+    c0 = F.pmod(F.col("chunk"), F.lit(per_shard)).cast("long") * F.lit(chunk_size)  # chunk start in its shard
+    n = F.size("tokens").cast("long")
+
+    def body(j):
+        lo = F.greatest(j * BT, c0)
+        hi = F.least((j + 1) * BT, c0 + n)
+        return F.struct(j.alias("block"), lo.alias("pos"),
+                        F.slice("tokens", (lo - c0 + 1).cast("int"), (hi - lo).cast("int")).alias("piece"))
+
+    bodies = F.transform(F.sequence(F.floor(c0 / BT).cast("long"), F.floor((c0 + n - 1) / BT).cast("long")), body)
+    # block heads inside this chunk: the extra token of the previous block's window
+    first_head = F.ceil(c0 / BT).cast("long")
+    last_head = F.floor((c0 + n - 1) / BT).cast("long")
+    heads = F.transform(
+        F.filter(F.sequence(first_head, F.greatest(last_head, first_head)),
+                 lambda j: (j >= 1) & (j * BT >= c0) & (j * BT < c0 + n)),
+        lambda j: F.struct((j - 1).alias("block"), (j * BT).alias("pos"),
+                           F.slice("tokens", (j * BT - c0 + 1).cast("int"), 1).alias("piece")))
+    pieces = chunks.select("split", "shard", F.explode(F.concat(bodies, heads)).alias("p")) \
+        .select("split", "shard", "p.block", "p.pos", "p.piece")
+    pieces = pieces.withColumn("rank", F.pmod(F.col("block"), F.lit(N)).cast("int")) \
+        .withColumn("k", F.floor(F.col("block") / N).cast("long"))
+    valid = counts.select("split", "shard", F.col("rank").cast("int").alias("rank"), "windows")
+    pieces = pieces.join(F.broadcast(valid), ["split", "shard", "rank"]).where(F.col("k") < F.col("windows"))
+    w = pieces.groupBy("split", "shard", "rank", "k").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
+    buf = F.flatten(F.transform("parts", lambda s: s["piece"]))
+    return w.select("split", "shard", "rank", "k", buf.alias("buf")) \
+        .select("split", "shard", "rank", "k", F.slice("buf", 1, bt).alias("x"), F.slice("buf", 2, bt).alias("y"))
+
+
+def read_windows(buffers: DataFrame, reads: DataFrame, keys=("split", "rank", "read")) -> DataFrame:
+    """The windows that the reads of K9 / K10 take, by an equi-join on (split, rank, shard, k)."""
+    return reads.select(*keys, "shard", "k").join(buffers, ["split", "rank", "shard", "k"]) \
+        .select(*keys, "x", "y")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import chat_full, chat_prompt, coerce_text, normalize_text
+from textloom.functions.text import chat_full, chat_prompt, coerce_text, compute_once, normalize_text
 from textloom.functions.tokens import EOT, PAD, byte_encode, truncate
 from textloom.operators.collate import assign_batches, collate_chat, collate_warmup
 from textloom.operators.order import row_index
@@ -32,8 +32,8 @@ def sft_examples(instr: DataFrame, max_len: int = CHAT_MAX_LEN) -> DataFrame:
     """Prompt and full text encoded apart and truncated; rows with fewer than
     two ids or no response token left are dropped."""
     t = chat_text(instr)
-    t = t.withColumn("_p", truncate(byte_encode("prompt_text"), max_len)) \
-        .withColumn("ids", truncate(byte_encode("full_text"), max_len))
+    t = compute_once(t, _p=truncate(byte_encode("prompt_text"), max_len),
+                     ids=truncate(byte_encode("full_text"), max_len))
     t = t.withColumn("prompt_len", F.least(F.size("_p"), F.size("ids")))
     return t.where((F.size("ids") >= 2) & (F.col("prompt_len") < F.size("ids"))).drop("_p")
 
@@ -54,7 +54,7 @@ def chat_batches(instr: DataFrame, batch_size: int = CHAT_BATCH, max_len: int =
 
 def warmup_ids(docs: DataFrame, max_len: int = WARMUP_MAX_LEN) -> DataFrame:
     """P1 + T4 + T8: text coerced (no strip), encoded, first ``max_len`` ids."""
-    return docs.withColumn("ids", truncate(byte_encode(coerce_text("text")), max_len))
+    return compute_once(docs, ids=truncate(byte_encode(coerce_text("text")), max_len))
 
 
 def warmup_batches(docs: DataFrame, batch_size: int = WARMUP_BATCH, max_len: int = WARMUP_MAX_LEN,

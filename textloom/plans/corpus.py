@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.text import compute_once
 from textloom.functions.tokens import EOT, byte_encode, byte_encode_length, checked_ids, prepend
 from textloom.operators.pack import pack_chunks, shard_manifest, split_totals, token_offsets
 
@@ -27,7 +28,7 @@ def document_offsets(docs: DataFrame) -> DataFrame:
 
 def document_ids(offsets: DataFrame) -> DataFrame:
     """T4 + T5 + T6 + T7 after the offsets: ids = [EOT] + bytes, range checked."""
-    return offsets.withColumn("ids", checked_ids(prepend(byte_encode("text"), EOT)))
+    return compute_once(offsets, ids=checked_ids(prepend(byte_encode("text"), EOT)))
 
 
 def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE,

@@ -85,7 +85,7 @@ def byte_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     most 256 rows per task leave the map side."""
     from textloom.functions.tokens import BYTE_VOCAB_SIZE
 
-    d = read_table(spark, sf_dir, "documents").select(coerce_text("text").alias("text"))
+    d = read_table(spark, sf_dir, "documents", spread=True).select(coerce_text("text").alias("text"))
     # one Latin-1 character per UTF-8 byte; counted as characters (a native generator
     # and a partial aggregate) and turned into byte values on the <= 256 result rows
     chars = F.split(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), "")

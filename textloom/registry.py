@@ -145,10 +145,17 @@ def q_validation_windows(spark, sf_dir):
     return v.withColumn("rank", F.col("rank").cast("int"))
 
 
-def _window_batches(spark, sf_dir, windows):
-    from textloom.operators.windows import cut_windows, window_rows
+def _window_xy(spark, sf_dir, windows, counts=None):
+    """x, y of the windows that ``windows`` (split, rank, read, shard, k) read."""
+    from textloom.operators.windows import read_windows, window_buffers
     chunks = C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK)
-    xy = cut_windows(chunks, windows, B, T, SHARD, CHUNK)
+    counts = _counts(spark, sf_dir) if counts is None else counts
+    return read_windows(window_buffers(chunks, counts, B, T, N, SHARD, CHUNK), windows)
+
+
+def _window_batches(spark, sf_dir, windows):
+    from textloom.operators.windows import window_rows
+    xy = _window_xy(spark, sf_dir, windows)
     r = window_rows(xy, B, T)
     return r.select("split", F.col("rank").cast("int").alias("rank"), "read", F.col("row").cast("int").alias("row"),
                     ids_text("x").alias("x"), ids_text("y").alias("y"))
@@ -219,7 +226,7 @@ _WARM_SRC = f"""warm AS (
 SELECT doc_id, batch_id, batch_row, len(ids)::BIGINT AS n_ids, {O.ids_text('inputs')} AS inputs,
        {O.ids_text('targets')} AS targets, {O.ids_text('attention')} AS attention FROM collated""")
 def q_warmup_batches(spark, sf_dir):
-    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _batch_out(CH.warmup_batches(docs), ("doc_id",))
 
 
@@ -238,7 +245,7 @@ SELECT batch_id, count(*)::BIGINT AS rows, sum(len(ids))::BIGINT AS dataset_toke
 FROM collated GROUP BY batch_id""")
 def q_warmup_batch_tokens(spark, sf_dir):
     from textloom.operators.collate import batch_token_counts
-    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return batch_token_counts(CH.warmup_batches(docs))
 
 
@@ -444,7 +451,7 @@ def _chat_losses(spark, sf_dir):
 
 
 def _warm_losses(spark, sf_dir):
-    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _batch_losses(spark, sf_dir, CH.warmup_batches(docs))
 
 
@@ -504,10 +511,7 @@ def q_warmup_epoch_metrics(spark, sf_dir):
 
 
 def _window_losses(spark, sf_dir, windows):
-    from textloom.operators.windows import cut_windows
-    chunks = C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK)
-    xy = cut_windows(chunks, windows, B, T, SHARD, CHUNK)
-    return TR.window_losses(xy, X.byte_losses(spark, sf_dir))
+    return TR.window_losses(_window_xy(spark, sf_dir, windows), X.byte_losses(spark, sf_dir))
 
 
 def _val_loss(spark, sf_dir):
@@ -546,12 +550,22 @@ def q_train_step_losses(spark, sf_dir):
 
 
 def _metric_rows(spark, sf_dir):
-    from textloom.operators.windows import step_schedule
-    val = _val_loss(spark, sf_dir).first()["val_loss"]
+    """Train and validation windows are cut in one plan (one pass over the chunks);
+    their losses, one row per window, are kept for the two aggregates."""
+    from pyspark import StorageLevel
+    from textloom.operators.windows import assign_steps, step_schedule, validation_windows
+    counts = _counts(spark, sf_dir)
+    steps = _max_steps(spark, sf_dir)
+    a = assign_steps(spark, counts, steps, ACCUM, B, T, N)
+    v = validation_windows(spark, counts, B, T, N, VAL_N)
+    cols = ["split", "rank", "read", "shard", "k", "start"]
+    wl = _window_losses(spark, sf_dir, a.select(*cols).unionByName(v.select(*cols)))
+    wl = wl.persist(StorageLevel.MEMORY_AND_DISK)  # one row per window
+    val = M.validation_loss(wl.where(F.col("split") == "val"), VAL_N).first()["val_loss"]
     _, _, lab = _labelled(spark, sf_dir)
     hella = CE.choice_accuracy(lab, ranks=N).first()["acc_norm"]
-    sched = step_schedule(spark, _max_steps(spark, sf_dir))
-    return TR.metric_log(sched, _train_loss(spark, sf_dir), val, hella)
+    train = TR.train_step_losses(a, wl.where(F.col("split") == "train"), ACCUM)
+    return TR.metric_log(step_schedule(spark, steps), train, val, hella)
 
 
 _LOG_SQL = _with(*_TRAIN_LOSS_CTES, *[c for c in _CHOICE if c != O.BYTE_LOSSES]) + f""",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.text import compute_once
 from textloom.functions.tokens import EOT, byte_encode, byte_encode_length, checked_ids, prepend
 from textloom.operators.order import prefix_sum
 from textloom.plans.chat import sft_examples
@@ -80,7 +81,7 @@ def stream_pack(spark: SparkSession, docs: DataFrame, pieces_path: str, state_pa
         offs = prefix_sum(lengths, "n_tokens", ["doc_id"], ["split"], out="local_start")
         offs = offs.join(F.broadcast(prev), "split", "left")  # one row per split
         offs = offs.withColumn("start", F.col("local_start") + F.coalesce("base", F.lit(0)))
-        ids = offs.withColumn("ids", checked_ids(prepend(byte_encode("text"), EOT)))
+        ids = compute_once(offs, ids=checked_ids(prepend(byte_encode("text"), EOT)))
         n = F.size("ids").cast("long")
         start = F.col("start")
         end = start + n
