@@ -76,13 +76,11 @@ def byte_encode(c, specials: bool = True) -> Column:
         return plain
     sid = byte_special_ids()
     pieces = F.regexp_extract_all(t, F.lit(SPECIAL_SPLIT_PATTERN), 1)
+    table = F.create_map(*[x for tok, i in sid.items() for x in (F.lit(tok), F.lit(i))])
 
     def piece_ids(p):
-        expr = None
-        for tok, i in sid.items():
-            cond = p == F.lit(tok)
-            expr = F.when(cond, F.array(F.lit(i))) if expr is None else expr.when(cond, F.array(F.lit(i)))
-        return expr.otherwise(utf8_byte_ids(p))
+        hit = F.element_at(table, p)
+        return F.when(hit.isNotNull(), F.array(hit)).otherwise(utf8_byte_ids(p))
 
     split_path = F.flatten(F.transform(pieces, piece_ids))
     return F.when(F.instr(t, "<|") > 0, split_path).otherwise(plain)

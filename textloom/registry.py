@@ -84,6 +84,42 @@ VAL_N = 20
 _MANIFEST_CTES = (O.CORPUS, O.DOC_IDS, O.OFFSETS, O.totals(SHARD), O.manifest(SHARD, NAME))
 
 
+class _Small:
+    """Small tables of one query, computed once and kept (sizes bounded: one row per
+    shard and rank, 266 byte losses)."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._m = self._c = self._s = self._b = None
+
+    @property
+    def manifest(self):
+        if self._m is None:
+            self._m = C.corpus_manifest(X.corpus(self.spark, self.sf_dir), SHARD, NAME).persist()
+        return self._m
+
+    @property
+    def counts(self):
+        from textloom.operators.windows import window_counts
+        if self._c is None:
+            self._c = window_counts(self.manifest, B, T, N).persist()
+        return self._c
+
+    @property
+    def max_steps(self) -> int:
+        from textloom.operators.windows import plan_steps
+        if self._s is None:
+            self._s = int(plan_steps(self.manifest, TOTAL_BATCH, B, T, N)
+                          .where(F.col("split") == "train").first()["max_steps"])
+        return self._s
+
+    @property
+    def byte_losses(self):
+        if self._b is None:
+            self._b = X.byte_losses(self.spark, self.sf_dir).persist()
+        return self._b
+
+
 def _manifest(spark, sf_dir):
     return C.corpus_manifest(X.corpus(spark, sf_dir), SHARD, NAME)
 
@@ -153,6 +189,10 @@ def _window_xy(spark, sf_dir, windows, counts=None):
     return read_windows(window_buffers(chunks, counts, B, T, N, SHARD, CHUNK), windows)
 
 
+def _window_losses_ctx(ctx, windows):
+    return TR.window_losses(_window_xy(ctx.spark, ctx.sf_dir, windows, ctx.counts), ctx.byte_losses)
+
+
 def _window_batches(spark, sf_dir, windows):
     from textloom.operators.windows import window_rows
     xy = _window_xy(spark, sf_dir, windows)
@@ -554,15 +594,17 @@ def _metric_rows(spark, sf_dir):
     their losses, one row per window, are kept for the two aggregates."""
     from pyspark import StorageLevel
     from textloom.operators.windows import assign_steps, step_schedule, validation_windows
-    counts = _counts(spark, sf_dir)
-    steps = _max_steps(spark, sf_dir)
-    a = assign_steps(spark, counts, steps, ACCUM, B, T, N)
-    v = validation_windows(spark, counts, B, T, N, VAL_N)
+    ctx = _Small(spark, sf_dir)
+    steps = ctx.max_steps
+    a = assign_steps(spark, ctx.counts, steps, ACCUM, B, T, N)
+    v = validation_windows(spark, ctx.counts, B, T, N, VAL_N)
     cols = ["split", "rank", "read", "shard", "k", "start"]
-    wl = _window_losses(spark, sf_dir, a.select(*cols).unionByName(v.select(*cols)))
+    wl = _window_losses_ctx(ctx, a.select(*cols).unionByName(v.select(*cols)))
     wl = wl.persist(StorageLevel.MEMORY_AND_DISK)  # one row per window
     val = M.validation_loss(wl.where(F.col("split") == "val"), VAL_N).first()["val_loss"]
-    _, _, lab = _labelled(spark, sf_dir)
+    items, r = _rendered(spark, sf_dir)
+    cl = CE.completion_loss(CE.shift_and_mask(CE.token_losses(r, ctx.byte_losses), r))
+    lab = CE.with_labels(CE.pick_choice(cl), items)
     hella = CE.choice_accuracy(lab, ranks=N).first()["acc_norm"]
     train = TR.train_step_losses(a, wl.where(F.col("split") == "train"), ACCUM)
     return TR.metric_log(step_schedule(spark, steps), train, val, hella)
@@ -858,3 +900,38 @@ def q_custom_collate(spark, sf_dir):
     b = assign_batches(ex, ["conv_id", "turn"], CH.CHAT_BATCH).select("conv_id", "turn", "batch_id", "batch_row", "ids", "prompt_len")
     return U.collate(b, _pandas_chat_collate, "conv_id long, turn long, batch_id long, batch_row int, n_ids long, "
                      "inputs string, targets string, attention string")
+
+
+@register("choice_items_json", ORACLE["choice_items"])
+def q_choice_items_json(spark, sf_dir):
+    """Items written as JSON lines and read back with the explicit item schema."""
+    path = scratch_path(spark, "items-json")
+    X.choice_items(spark, sf_dir).select(F.col("item").alias("ind"), "ctx", "label", "endings") \
+        .write.mode("overwrite").json(path)
+    i = IO.read_choice_items(spark, path)
+    return i.select(F.col("ind").alias("item"), "ctx", "label", F.array_join("endings", " || ").alias("endings"))
+
+
+@register("instructions_json", _with(O.INSTRUCTIONS) + """
+SELECT conv_id, turn, system_prompt, question, response FROM instructions""")
+def q_instructions_json(spark, sf_dir):
+    """S3: instruction rows as JSON lines, read back with the instruction schema plus keys;
+    null fields stay null."""
+    from pyspark.sql import types as Ty
+    path = scratch_path(spark, "instr-json")
+    X.instructions(spark, sf_dir).write.mode("overwrite").json(path)
+    schema = Ty.StructType([Ty.StructField("conv_id", Ty.LongType()), Ty.StructField("turn", Ty.LongType())]
+                           + list(IO.INSTRUCTION_SCHEMA.fields))
+    return IO.read_instructions(spark, path, schema=schema)
+
+
+@register("context_crop", _with(O.CORPUS, O.DOC_IDS) + f"""
+SELECT doc_id, split, least(len(ids), {CH.CHAT_MAX_LEN})::BIGINT AS n_ids,
+       {O.ids_text(f"CASE WHEN len(ids) > {CH.CHAT_MAX_LEN} THEN ids[len(ids) - {CH.CHAT_MAX_LEN} + 1:] ELSE ids END")} AS ids
+FROM doc_ids""")
+def q_context_crop(spark, sf_dir):
+    """The last 1,024 ids of each document (delimiter first), as a context crop."""
+    from textloom.functions.tokens import keep_last
+    ids = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
+    k = ids.select("doc_id", "split", keep_last("ids", CH.CHAT_MAX_LEN).alias("ids"))
+    return k.select("doc_id", "split", F.size("ids").cast("long").alias("n_ids"), ids_text("ids").alias("ids"))
