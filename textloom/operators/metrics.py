@@ -16,16 +16,33 @@ NAN = float("nan")
 INF = float("inf")
 
 
+MAX_LOOKUP = 1 << 20  # a per-token table is bounded by the vocabulary size
+
+
 def sequence_loss(df: DataFrame, keys, targets_col: str, losses_by_token: DataFrame) -> DataFrame:
     """Loss of a row under a per-token loss table: mean over targets that are not
-    -100 (NaN if none), and the number of such targets. The table is bounded by the
-    vocabulary size and broadcast."""
+    -100 (NaN if none), and the number of such targets.
+
+    The table has one row per token id (bounded by the vocabulary size, checked), so
+    it is turned into an array and looked up inside each row: no explode and no
+    shuffle of the token positions. Rows are grouped by ``keys`` only when a key
+    holds several rows (e.g. a batch)."""
     keys = list(keys)
-    t = df.select(*keys, F.explode(targets_col).alias("token")).where(F.col("token") != IGNORE_INDEX)
-    t = t.join(F.broadcast(losses_by_token), "token")
-    g = t.groupBy(*keys).agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).cast("long").alias("targets"))
-    return df.select(*keys).distinct().join(g, keys, "left").select(
-        *keys, F.coalesce("loss", F.lit(NAN)).alias("loss"), F.coalesce("targets", F.lit(0)).cast("long").alias("targets"))
+    n = losses_by_token.count()
+    if n > MAX_LOOKUP:
+        raise ValueError("per-token loss table larger than a vocabulary")
+    pairs = sorted((int(r["token"]), float(r["loss"])) for r in losses_by_token.select("token", "loss").collect())
+    if [t for t, _ in pairs] != list(range(len(pairs))):
+        raise ValueError("per-token loss table must cover ids 0..V-1")
+    table = F.array(*[F.lit(v) for _, v in pairs])
+    t = F.filter(F.col(targets_col), lambda x: x != IGNORE_INDEX)
+    init = F.struct(F.lit(0.0).cast("double").alias("s"), F.lit(0).cast("long").alias("n"))
+    acc = F.aggregate(t, init, lambda st, x: F.struct((st["s"] + F.element_at(table, x + 1)).alias("s"),
+                                                      (st["n"] + 1).alias("n")))
+    rows = df.select(*keys, acc.alias("_a"))
+    g = rows.groupBy(*keys).agg(F.sum("_a.s").alias("_s"), F.sum("_a.n").cast("long").alias("targets"))
+    return g.select(*keys, F.when(F.col("targets") > 0, F.col("_s") / F.col("targets"))
+                    .otherwise(F.lit(NAN)).alias("loss"), "targets")
 
 
 def epoch_loss(batches: DataFrame, epoch_col: str = "epoch") -> DataFrame:
