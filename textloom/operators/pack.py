@@ -32,15 +32,28 @@ def token_offsets(docs: DataFrame, n_tokens, key: str = "doc_id", split_col: str
                       max_groups=max_splits)
 
 
+# Tokens of one aggregation group (64 MB of ids); a group never spans more than a shard.
+GROUP_TOKENS = 16_000_000
+
+
 def pack_chunks(docs: DataFrame, shard_size: int, chunk_size: int, ids_col: str = "ids",
-                start_col: str = "start", split_col: str = "split") -> DataFrame:
+                start_col: str = "start", split_col: str = "split",
+                group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """K2: concatenates documents in order and cuts rows of ``chunk_size`` tokens.
 
     Input rows: (split, start, ids). Output: (split, shard, chunk, chunk_in_shard,
-    n_tokens, tokens); ``chunk`` counts from 0 within the split."""
+    n_tokens, tokens); ``chunk`` counts from 0 within the split.
+
+    Pieces are shuffled once, by (split, group) where a group is ``group_tokens`` of
+    consecutive chunks (at most one shard), and aggregated per chunk inside that
+    partitioning (a hash partitioning on a subset of the grouping keys needs no second
+    exchange). The output stays partitioned by group: a shard is written by a few
+    tasks (about shard_size / group_tokens) without another shuffle, while the
+    aggregation runs over many bounded groups in parallel."""
     if shard_size % chunk_size != 0:
         raise ValueError("chunk_size must divide shard_size")
     per_shard = shard_size // chunk_size
+    group = max(1, min(per_shard, group_tokens // chunk_size))
     C = F.lit(chunk_size).cast("long")
     ids = F.col(ids_col)
     start = F.col(start_col).cast("long")
@@ -57,7 +70,8 @@ def pack_chunks(docs: DataFrame, shard_size: int, chunk_size: int, ids_col: str
                                                    F.floor((end - 1) / C).cast("long")), piece))
     exploded = docs.select(F.col(split_col).alias("split"),
                            F.explode(pieces).alias("p")).select("split", "p.chunk", "p.pos", "p.piece")
-    grouped = exploded.groupBy("split", "chunk").agg(
+    exploded = exploded.withColumn("_grp", F.floor(F.col("chunk") / group).cast("long"))
+    grouped = exploded.repartition("split", "_grp").groupBy("split", "_grp", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
     tokens = F.flatten(F.transform(F.col("parts"), lambda s: s["piece"]))
     return grouped.select(

@@ -86,11 +86,15 @@ def read_instructions(spark: SparkSession, path: str, fmt: str = "json", streami
     return reader.schema(schema).format(fmt).load(path)
 
 
-def write_shards(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_shards(chunks: DataFrame, path: str, mode: str = "overwrite", packed: bool = True) -> None:
     """Packed chunks as parquet partitioned by split and shard, rows in chunk order.
-    Each shard is written by the tasks that hold its chunks; no task holds a shard."""
-    (chunks.repartition("split", "shard")
-     .sortWithinPartitions("split", "shard", "chunk")
+
+    Output of ``pack_chunks`` is already partitioned by groups of chunks of one shard,
+    so each shard is written by a few tasks without another shuffle (``packed``).
+    Other input is first partitioned the same way (by split and shard group)."""
+    if not packed:
+        chunks = chunks.repartition("split", (F.col("chunk") / 8).cast("long"))
+    (chunks.sortWithinPartitions("split", "shard", "chunk")
      .write.mode(mode).partitionBy("split", "shard").parquet(path))
 
 
