@@ -97,3 +97,33 @@ def test_word_encoder_with_specials(spark):
     e = {r.doc_id: r.ids for r in V.word_encode(docs, vocab, 3).collect()}
     assert e[0] == [2, 0, 3, 2, 1, 3]
     assert e[1] == [0, 3, 1, 3] and e[2] == []
+
+
+def test_bpe_encode_matches_brute_force(spark):
+    import re
+    import regex
+    from textloom.functions.tokens import byte_special_ids
+    # merges over byte ids: "t"+"h" -> 300, 300+"e" -> 301, " "+301 -> 302, "a"+"t" -> 303
+    merges = [(0, 116, 104, 300), (1, 300, 101, 301), (2, 32, 301, 302), (3, 97, 116, 303)]
+    mdf = spark.createDataFrame(merges, "rank int, left int, right int, id int")
+    texts = ["the cat at the hat", "that<|endoftext|>the", "", "  théta 42!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in V.bpe_encode(docs, mdf).collect()}
+    ranks = {(a, b): (r, i) for r, a, b, i in merges}
+    vocab = {i: bytes([i]) for i in range(256)}
+    for _, a, b, i in merges:
+        vocab[i] = vocab[a] + vocab[b]
+    sid = byte_special_ids()
+    for k, text in enumerate(texts):
+        want = []
+        for seg in re.split("(" + "|".join(re.escape(t) for t in sid) + ")", text):
+            if seg in sid:
+                want.append(sid[seg])
+                continue
+            for pre in regex.findall(V.BPE_PRETOKEN, seg):
+                want += V._apply_merges(list(pre.encode("utf-8")), ranks)
+        assert got[k] == want
+        # lossless: the tokens spell the text again
+        spelled = b"".join(vocab[i] if i in vocab else [t for t, j in sid.items() if j == i][0].encode() for i in got[k])
+        assert spelled.decode("utf-8") == text
+    assert got[0][:2] == [301, 32]  # "the" then " " before "cat"

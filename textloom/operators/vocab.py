@@ -93,3 +93,70 @@ def compare_encoders(df: DataFrame, counts: dict, split_col: str = "split") -> D
     aggs = [F.count(F.lit(1)).cast("long").alias("documents")]
     aggs += [F.sum(c).cast("long").alias(f"{name}_tokens") for name, c in counts.items()]
     return df.groupBy(split_col).agg(*aggs)
+
+
+# Byte-level pre-tokens: a run of letters, digits or other non-space characters with
+# at most one leading space, or a run of spaces; together they cover the text.
+BPE_PRETOKEN = r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+)"
+MAX_MERGES = 1 << 20
+
+
+def _apply_merges(ids: list[int], ranks: dict) -> list[int]:
+    """Standard BPE: merge the adjacent pair of lowest rank, everywhere, until none is left."""
+    while len(ids) > 1:
+        best = None
+        for a, b in zip(ids, ids[1:]):
+            r = ranks.get((a, b))
+            if r is not None and (best is None or r[0] < best[0]):
+                best = (r[0], a, b, r[1])
+        if best is None:
+            break
+        _, a, b, new = best
+        out, i = [], 0
+        while i < len(ids):
+            if i + 1 < len(ids) and ids[i] == a and ids[i + 1] == b:
+                out.append(new)
+                i += 2
+            else:
+                out.append(ids[i])
+                i += 1
+        ids = out
+    return ids
+
+
+def bpe_encode(df: DataFrame, merges: DataFrame, key: str = "doc_id", text_col: str = "text",
+               out: str = "ids") -> DataFrame:
+    """T4 ``bpe``: byte-level BPE with a given merges table (rank, left, right, id) over
+    byte ids (0-255; specials from 256 as in the byte encoder). Only distinct
+    pre-tokens go through the merge loop (Arrow batches); their ids join back by
+    pre-token (AQE splits a hot pre-token), then are put in order per row."""
+    from textloom.functions.tokens import byte_special_ids
+
+    if merges.count() > MAX_MERGES:
+        raise ValueError("merges table larger than a vocabulary")
+    ranks = {(int(r["left"]), int(r["right"])): (int(r["rank"]), int(r["id"]))
+             for r in merges.select("rank", "left", "right", "id").collect()}
+    bc = df.sparkSession.sparkContext.broadcast(ranks)
+    sid = byte_special_ids()
+    t = F.col(text_col)
+    segs = F.when(F.instr(t, "<|") > 0, F.split(t, SPECIAL_BOUNDARY)).otherwise(F.array(t))
+    seg = df.select(key, F.posexplode(segs).alias("s", "seg"))
+    table = F.create_map(*[x for tok, i in sid.items() for x in (F.lit(tok), F.lit(i))])
+    seg = seg.withColumn("sp", F.element_at(table, F.col("seg")))
+    toks = seg.select(key, "s", "sp", F.posexplode(F.when(F.col("sp").isNull(), F.regexp_extract_all(
+        "seg", F.lit(BPE_PRETOKEN), 1)).otherwise(F.array(F.lit(None).cast("string")))).alias("p", "pre"))
+
+    def encode(batches):
+        import pandas as pd
+        r = bc.value
+        for pdf in batches:
+            yield pd.DataFrame({"pre": pdf["pre"],
+                                "pids": [_apply_merges(list(w.encode("utf-8")), r) for w in pdf["pre"]]})
+
+    distinct = toks.where(F.col("pre").isNotNull()).select("pre").distinct()
+    enc = distinct.mapInPandas(encode, "pre string, pids array<int>")
+    j = toks.join(enc, "pre", "left")
+    piece = F.when(F.col("sp").isNotNull(), F.array(F.col("sp"))).otherwise(F.col("pids"))
+    got = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("s", "p", piece.alias("ids")))).alias("_l"))
+    got = got.select(key, F.flatten(F.transform("_l", lambda x: x["ids"])).alias(out))
+    return df.join(got, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
