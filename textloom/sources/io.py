@@ -149,65 +149,83 @@ def _npy_header(n: int) -> bytes:
     return b"\x93NUMPY\x01\x00" + len(body).to_bytes(2, "little") + body
 
 
+def _fs(path: str):
+    """(file system, path inside it) for a local path or any URI pyarrow knows
+    (hdfs://, s3://, ...), so tasks on any executor reach the shared folder."""
+    from pyarrow import fs as pafs
+
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), os.path.abspath(path)
+
+
 def export_npy(chunks: DataFrame, manifest: DataFrame, folder: str, name: str = "corpus") -> None:
     """S6 export: one ``{name}_{split}_{shard:06d}.npy`` per shard in a shared folder.
 
-    Rows are partitioned by shard and sorted by chunk inside each task, so a task
-    streams one chunk at a time into the open file; the header length comes from
-    the manifest (a table of one row per shard). A retried task rewrites its files
-    from the start through a temporary name."""
+    Chunks are partitioned by shard and sorted by chunk inside each task, so a task
+    streams one chunk at a time into the open file; the header length comes from the
+    manifest (one row per shard, broadcast). A retried task rewrites its files from the
+    start through a temporary name that is moved into place at the end."""
     import numpy as np
 
-    lengths = {(r["split"], int(r["shard"])): int(r["n_tokens"]) for r in manifest.select("split", "shard", "n_tokens").collect()}
+    lengths = {(r["split"], int(r["shard"])): int(r["n_tokens"])
+               for r in manifest.select("split", "shard", "n_tokens").collect()}
     bc = chunks.sparkSession.sparkContext.broadcast(lengths)
-    os.makedirs(folder, exist_ok=True)
+    fs, base = _fs(folder)
+    fs.create_dir(base, recursive=True)
 
     def write_part(rows):
-        import os as _os
+        import uuid
+
+        fs_, base_ = _fs(folder)
         cur, fh, tmp, final = None, None, None, None
         for r in rows:
             key = (r["split"], int(r["shard"]))
             if key != cur:
                 if fh is not None:
                     fh.close()
-                    _os.replace(tmp, final)
+                    fs_.move(tmp, final)
                 cur = key
-                final = _os.path.join(folder, f"{name}_{key[0]}_{key[1]:06d}.npy")
-                tmp = final + f".tmp-{_os.getpid()}"
-                fh = open(tmp, "wb")
+                final = f"{base_}/{name}_{key[0]}_{key[1]:06d}.npy"
+                tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+                fh = fs_.open_output_stream(tmp)
                 fh.write(_npy_header(bc.value[key]))
-            fh.write(np.asarray(r["tokens"], dtype=np.uint16).tobytes())
+            fh.write(np.asarray(r["tokens"], dtype="<u2").tobytes())
         if fh is not None:
             fh.close()
-            _os.replace(tmp, final)
+            fs_.move(tmp, final)
 
     (chunks.select("split", "shard", "chunk", "tokens").repartition("split", "shard")
      .sortWithinPartitions("split", "shard", "chunk").foreachPartition(write_part))
 
 
 def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> DataFrame:
-    """S6 import: ``.npy`` shards back to (split, shard, chunk, tokens) rows. The
-    driver lists file names only; headers are read by tasks, which emit byte ranges
-    of ``chunk_size`` tokens; other tasks read the ranges. No task holds a file."""
-    import glob
+    """S6 import: ``.npy`` shards back to (split, shard, chunk_in_shard, tokens) rows.
+    The driver lists file names only; tasks read the headers and emit byte ranges of
+    ``chunk_size`` tokens, which other tasks read. No task holds a file."""
+    from pyarrow import fs as pafs
 
-    paths = sorted(glob.glob(os.path.join(folder, "*.npy")))
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    fs, base = _fs(folder)
+    infos = fs.get_file_info(pafs.FileSelector(base))
+    paths = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.path.endswith(".npy"))
+    prefix = folder.split("://", 1)[0] + "://" if "://" in folder else ""
+    files = spark.createDataFrame([(prefix + p if prefix and "://" not in p else p,) for p in paths], "path string")
 
     def ranges(batches):
-        import numpy as np  # noqa: F401
-        import pandas as pd
         import re as _re
+
+        import pandas as pd
         for pdf in batches:
             out = []
             for p in pdf["path"]:
-                with open(p, "rb") as fh:
+                fs_, path = _fs(p)
+                with fs_.open_input_file(path) as fh:
                     magic = fh.read(10)
                     hlen = int.from_bytes(magic[8:10], "little")
                     header = fh.read(hlen).decode("latin1")
                 n = int(_re.search(r"\((\d+),?\)", header).group(1))
-                base = _re.sub(r"\.npy$", "", p.rsplit("/", 1)[-1])
-                split, shard = base.rsplit("_", 2)[-2], int(base.rsplit("_", 1)[-1])
+                stem = _re.sub(r"\.npy$", "", p.rsplit("/", 1)[-1])
+                split, shard = stem.rsplit("_", 2)[-2], int(stem.rsplit("_", 1)[-1])
                 for c in range(0, -(-n // chunk_size)):
                     cnt = min(chunk_size, n - c * chunk_size)
                     out.append((p, split, shard, c, 10 + hlen + 2 * c * chunk_size, cnt))
@@ -221,7 +239,8 @@ def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> Da
         for pdf in batches:
             toks = []
             for p, off, cnt in zip(pdf["path"], pdf["offset"], pdf["count"]):
-                with open(p, "rb") as fh:
+                fs_, path = _fs(p)
+                with fs_.open_input_file(path) as fh:
                     fh.seek(int(off))
                     toks.append(np.frombuffer(fh.read(2 * int(cnt)), dtype="<u2").astype(np.int32))
             yield pd.DataFrame({"split": pdf["split"], "shard": pdf["shard"],
