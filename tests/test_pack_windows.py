@@ -145,3 +145,17 @@ def test_window_buffers_equal_cut_windows(spark):
     a = {(r.rank, r.read): (r.x, r.y) for r in cut_windows(chunks, w, B, T, shard, chunk).collect()}
     b = {(r.rank, r.read): (r.x, r.y) for r in read_windows(window_buffers(chunks, counts, B, T, N, shard, chunk), w).collect()}
     assert a == b and len(a) == 75
+
+
+def test_prefix_sum_with_clustered_keys(spark):
+    # a third of the rows in a narrow key range: equal-count buckets keep buckets small
+    from textloom.operators.order import add_bucket, bucket_column
+    keys = list(range(0, 3000_000_000, 1_500_000)) + list(range(10_000, 11_000))
+    df = spark.createDataFrame([(k, 1) for k in keys], "k long, v long")
+    spec, n = bucket_column(df, "k", 64)
+    sizes = [r[1] for r in add_bucket(df, "k", spec).groupBy("_bucket").count().collect()]
+    assert max(sizes) <= 3 * len(keys) / 64
+    got = {r.k: r.c for r in prefix_sum(df, "v", ["k"], out="c", target_buckets=64).collect()}
+    assert [got[k] for k in sorted(keys)] == list(range(len(keys)))
+    rng = {r.k: r.c for r in prefix_sum(df, "v", ["k"], out="c", target_buckets=64, buckets="range").collect()}
+    assert rng == got

@@ -1,12 +1,14 @@
 """Ordered numbering and running sums without a single-task window.
 
 A window without ``partitionBy`` puts every row in one task. Instead the rows
-are cut into key buckets: (1) bucket = (key - min) div width, with the width
-chosen from the key range so that there are at most ``target_buckets`` buckets
-per group; (2) one sum per bucket; (3) a running sum over the bucket table,
-which is small by construction; (4) broadcast of that table (bounded: groups x
-target_buckets rows) back to the rows; (5) a running sum inside each bucket,
-partitioned by (group, bucket). Deterministic and retry-safe.
+are cut into key buckets: (1) buckets of about equal row counts from approximate
+quantiles of the key (or, with ``buckets="range"``, of equal key width), at most
+``target_buckets`` of them; (2) one sum per (group, bucket); (3) a running sum
+over the bucket table, which is small by construction; (4) broadcast of that
+table (bounded: groups x target_buckets rows) back to the rows; (5) a running sum
+inside each bucket, partitioned by (group, bucket). Equal-count buckets keep a
+bucket near rows / target_buckets even when the keys are clustered, so no task
+gets a hot third of the rows. Deterministic and retry-safe.
 """
 
 from __future__ import annotations
@@ -21,6 +23,35 @@ DEFAULT_TARGET_BUCKETS = 4096
 MAX_BUCKET_ROWS = 2_000_000
 
 
+QUANTILE_ERROR = 1e-5
+
+
+def bucket_column(df: DataFrame, key: str, target_buckets: int, buckets: str = "quantile"):
+    """A monotone bucketing of ``key``: (spec, number of buckets).
+
+    ``quantile``: boundaries at approximate quantiles (one distributed pass over the
+    key column), applied per row by the fitted ``Bucketizer`` (a JVM binary search).
+    ``range``: equal width over [min, max]."""
+    if buckets == "quantile":
+        from pyspark.ml.feature import QuantileDiscretizer
+
+        qd = QuantileDiscretizer(numBuckets=target_buckets, inputCol="_bucket_key", outputCol="_bucket_q",
+                                 relativeError=QUANTILE_ERROR, handleInvalid="keep")
+        model = qd.fit(df.select(F.col(key).cast("double").alias("_bucket_key")).where(F.col("_bucket_key").isNotNull()))
+        return model, len(model.getSplits()) - 1
+    lo, hi = _key_range(df, key)
+    width = max(1, -(-(hi - lo + 1) // target_buckets))
+    return (lo, width), -(-(hi - lo + 1) // width)
+
+
+def add_bucket(df: DataFrame, key: str, spec, out: str = "_bucket") -> DataFrame:
+    if isinstance(spec, tuple):
+        lo, width = spec
+        return df.withColumn(out, F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long"))
+    d = spec.transform(df.withColumn("_bucket_key", F.col(key).cast("double")))
+    return d.withColumn(out, F.col("_bucket_q").cast("long")).drop("_bucket_key", "_bucket_q")
+
+
 def _key_range(df: DataFrame, key: str) -> tuple[int, int]:
     row = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     lo = 0 if row is None or row["lo"] is None else int(row["lo"])
@@ -39,7 +70,7 @@ def with_buckets(df: DataFrame, key: str, target_buckets: int = DEFAULT_TARGET_B
 def prefix_sum(df: DataFrame, value: Column | str, order_cols: Sequence[str],
                partition_cols: Sequence[str] = (), out: str = "cum", inclusive: bool = False,
                max_groups: int = 16, target_buckets: int = DEFAULT_TARGET_BUCKETS,
-               lengths: DataFrame | None = None) -> DataFrame:
+               lengths: DataFrame | None = None, buckets: str = "quantile") -> DataFrame:
     """Running sum of ``value`` in ``order_cols`` order within ``partition_cols``.
 
     ``order_cols[0]`` must be integral; it defines the buckets. ``max_groups``
@@ -55,18 +86,13 @@ def prefix_sum(df: DataFrame, value: Column | str, order_cols: Sequence[str],
         raise ValueError("bucket table too large to broadcast; lower target_buckets or max_groups")
     val = F.col(value) if isinstance(value, str) else value
     src = lengths if lengths is not None else df
-    lo, hi = _key_range(src, key)
-    width = max(1, -(-(hi - lo + 1) // target_buckets))
-
-    def bucket(c: str) -> Column:
-        return F.floor((F.col(c) - F.lit(lo)) / F.lit(width)).cast("long")
-
-    sums = src.select(*parts, bucket(key).alias("_bucket"), val.cast("long").alias("_v")) \
+    spec, _ = bucket_column(src, key, target_buckets, buckets)
+    sums = add_bucket(src, key, spec).select(*parts, "_bucket", val.cast("long").alias("_v")) \
         .groupBy(*parts, "_bucket").agg(F.sum("_v").alias("_bsum"))
     wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*parts, "_bucket",
                           F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).cast("long").alias("_boff"))
-    rows = df.withColumn("_bucket", bucket(key))
+    rows = add_bucket(df, key, spec)
     rows = rows.join(F.broadcast(offsets), on=[*parts, "_bucket"], how="inner")
     end = 0 if inclusive else -1
     wr = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
@@ -76,23 +102,21 @@ def prefix_sum(df: DataFrame, value: Column | str, order_cols: Sequence[str],
 
 def row_index(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
               out: str = "idx", max_groups: int = 16,
-              target_buckets: int = DEFAULT_TARGET_BUCKETS) -> DataFrame:
+              target_buckets: int = DEFAULT_TARGET_BUCKETS, buckets: str = "quantile") -> DataFrame:
     """Dense 0-based position in ``order_cols`` order within ``partition_cols``."""
     return prefix_sum(df, F.lit(1), order_cols, partition_cols, out=out, inclusive=False,
-                      max_groups=max_groups, target_buckets=target_buckets)
+                      max_groups=max_groups, target_buckets=target_buckets, buckets=buckets)
 
 
 def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), max_groups: int = 16,
-                   target_buckets: int = DEFAULT_TARGET_BUCKETS) -> DataFrame:
+                   target_buckets: int = DEFAULT_TARGET_BUCKETS, buckets: str = "quantile") -> DataFrame:
     """Several inclusive running sums at once (E6), sharing one bucket table and one window."""
     parts = list(partition_cols)
     order = list(order_cols)
     key = order[0]
-    lo, hi = _key_range(df, key)
-    width = max(1, -(-(hi - lo + 1) // target_buckets))
-    b = F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long")
-    rows = df.withColumn("_bucket", b)
+    spec, _ = bucket_column(df, key, target_buckets, buckets)
+    rows = add_bucket(df, key, spec)
     sums = rows.groupBy(*parts, "_bucket").agg(
         *[F.sum(v.cast("long")).alias(f"_bs_{k}") for k, v in values.items()])
     wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
