@@ -29,6 +29,7 @@ def get_session(master: str | None = None, app: str = "textloom",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,27 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``textloom`` importable in the Python workers of every executor: the
+    package is zipped once per SparkContext and added with ``addPyFile`` (functions
+    given to mapInPandas / applyInPandas are pickled by reference to this package)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_textloom_shipped", False):
+        return
+    import textloom
+
+    pkg = os.path.dirname(os.path.abspath(textloom.__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="textloom-py-"), "textloom.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._textloom_shipped = True
