@@ -91,3 +91,20 @@ def test_metrics(spark):
     assert s.step_loss == 3.0  # accum clamped to the 2 batches, short window divided by it
     c = cycle_batches(spark, spark.createDataFrame([(0, "a"), (1, "b")], "batch_id long, v string"), 3, 1, 1)
     assert [r.v for r in c.orderBy("read").collect()] == ["a", "b", "a"]
+
+
+def test_instructions_dense_and_gapped_turns(spark, tmp_dir):
+    import os
+
+    from textloom.plans.fixtures import instructions
+    rows = [(0, 0, "system", "be brief"), (0, 1, "user", "q1"), (0, 2, "assistant", "a1"), (0, 3, "user", "q2"),
+            (1, 0, "user", "q3"), (1, 1, "user", "q4"), (1, 2, "assistant", "a4")]
+    want = {(0, 1): ("be brief", "q1", "a1"), (0, 3): ("be brief", "q2", None),
+            (1, 0): (None, "q3", None), (1, 1): (None, "q4", "a4")}
+    for name, rs in (("dense", rows), ("gapped", [(c, t * 10, r, x) for c, t, r, x in rows])):
+        d = os.path.join(tmp_dir, name)
+        spark.createDataFrame(rs, "conv_id long, turn long, role string, text string") \
+            .write.parquet(os.path.join(d, "conversations.parquet"))
+        got = {(r.conv_id, r.turn // (10 if name == "gapped" else 1)): (r.system_prompt, r.question, r.response)
+               for r in instructions(spark, d).collect()}
+        assert got == want

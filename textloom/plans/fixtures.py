@@ -32,10 +32,21 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One row per user turn; the response is the next turn's text when that turn
     is the assistant's, else null. The system prompt is the conversation's system
-    turn (null if none); it is joined per conversation, a bounded group."""
+    turn (null if none). When the turns of every conversation are dense (checked in
+    one partially aggregated pass), the next turn is an equi-join on
+    (conv_id, turn + 1), a key unique per row, so a conversation holding a large
+    share of all turns is spread over many tasks; otherwise ``lead`` over a window
+    per conversation is used."""
     c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    t = c.withColumn("next_role", F.lead("role").over(w)).withColumn("next_text", F.lead("text").over(w))
+    gaps = c.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1 - F.count(F.lit(1))).alias("gap")) \
+        .where(F.col("gap") != 0).limit(1).count()
+    if gaps == 0:
+        nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"),
+                       F.col("text").alias("next_text"))
+        t = c.join(nxt, ["conv_id", "turn"], "left")
+    else:
+        w = Window.partitionBy("conv_id").orderBy("turn")
+        t = c.withColumn("next_role", F.lead("role").over(w)).withColumn("next_text", F.lead("text").over(w))
     users = t.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"),
         F.when(F.col("next_role") == "assistant", F.col("next_text")).alias("response"))
