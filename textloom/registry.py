@@ -362,7 +362,7 @@ def q_choice_accuracy(spark, sf_dir):
 
 
 @register("running_accuracy", _with(*_CHOICE) + """
-SELECT item, count(*) OVER w AS seen, sum(correct_norm) OVER w AS correct_norm_so_far,
+SELECT item, count(*) OVER w AS seen, (sum(correct_norm) OVER w)::BIGINT AS correct_norm_so_far,
        round(sum(correct_norm) OVER w / count(*) OVER w, 6) AS acc_norm
 FROM labelled WINDOW w AS (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_running_accuracy(spark, sf_dir):
