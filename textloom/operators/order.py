@@ -23,7 +23,9 @@ DEFAULT_TARGET_BUCKETS = 4096
 MAX_BUCKET_ROWS = 2_000_000
 
 
-QUANTILE_ERROR = 1e-5
+# Rank error of the quantile sketch, as a share of a bucket: buckets stay within
+# about +-25% of rows / target_buckets.
+QUANTILE_ERROR_PER_BUCKET = 0.25
 
 
 def bucket_column(df: DataFrame, key: str, target_buckets: int, buckets: str = "quantile"):
@@ -36,7 +38,8 @@ def bucket_column(df: DataFrame, key: str, target_buckets: int, buckets: str = "
         from pyspark.ml.feature import QuantileDiscretizer
 
         qd = QuantileDiscretizer(numBuckets=target_buckets, inputCol="_bucket_key", outputCol="_bucket_q",
-                                 relativeError=QUANTILE_ERROR, handleInvalid="keep")
+                                 relativeError=QUANTILE_ERROR_PER_BUCKET / target_buckets,
+                                 handleInvalid="keep")
         model = qd.fit(df.select(F.col(key).cast("double").alias("_bucket_key")).where(F.col("_bucket_key").isNotNull()))
         return model, len(model.getSplits()) - 1
     lo, hi = _key_range(df, key)
