@@ -150,10 +150,15 @@ def _npy_header(n: int) -> bytes:
 
 
 def _fs(path: str):
-    """(file system, path inside it) for a local path or any URI pyarrow knows
-    (hdfs://, s3://, ...), so tasks on any executor reach the shared folder."""
+    """(file system, path inside it) for a local path, a ``file:`` URI or any URI
+    pyarrow knows (hdfs://, s3://, ...), so tasks on any executor reach the shared
+    folder."""
+    from urllib.parse import urlparse
+
     from pyarrow import fs as pafs
 
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), urlparse(path).path
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), os.path.abspath(path)
@@ -208,8 +213,8 @@ def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> Da
     fs, base = _fs(folder)
     infos = fs.get_file_info(pafs.FileSelector(base))
     paths = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.path.endswith(".npy"))
-    prefix = folder.split("://", 1)[0] + "://" if "://" in folder else ""
-    files = spark.createDataFrame([(prefix + p if prefix and "://" not in p else p,) for p in paths], "path string")
+    scheme = folder.split("://", 1)[0] + "://" if "://" in folder and not folder.startswith("file:") else ""
+    files = spark.createDataFrame([(scheme + p if scheme and "://" not in p else p,) for p in paths], "path string")
 
     def ranges(batches):
         import re as _re
