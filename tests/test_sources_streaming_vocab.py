@@ -39,6 +39,8 @@ def test_shards_write_read_and_split_check(spark, tmp_dir):
     assert [t for r in back for t in r.tokens] == list(range(total))
     with pytest.raises(ValueError):
         IO.read_shards(spark, tmp_dir, "test")
+    with pytest.raises(ValueError, match="no shards"):
+        IO.read_shards(spark, tmp_dir, "val")
 
 
 def test_metric_log_roundtrip(spark, tmp_dir):

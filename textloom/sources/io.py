@@ -100,10 +100,12 @@ def write_shards(chunks: DataFrame, path: str, mode: str = "overwrite", packed:
 
 def read_shards(spark: SparkSession, path: str, split: str) -> DataFrame:
     """The chunks of one split (partition pruning), ids widened to long.
-    Refuses an unknown split; an empty split is an error at the first action."""
+    Refuses an unknown split and a split without shards."""
     if split not in SPLITS:
         raise ValueError(f"split must be one of {SPLITS}, got {split!r}")
     df = spark.read.parquet(path).where(F.col("split") == split)
+    if df.select("chunk").limit(1).count() == 0:  # one partition pruned probe, not a scan
+        raise ValueError(f"no shards found for split {split}")
     return df.withColumn("tokens", F.transform("tokens", lambda x: x.cast("long")))
 
 
