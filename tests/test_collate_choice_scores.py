@@ -108,3 +108,25 @@ def test_instructions_dense_and_gapped_turns(spark, tmp_dir):
         got = {(r.conv_id, r.turn // (10 if name == "gapped" else 1)): (r.system_prompt, r.question, r.response)
                for r in instructions(spark, d).collect()}
         assert got == want
+
+
+def test_take_valid_rows_counts_after_drops(spark):
+    from textloom.plans.chat import sft_examples, take_valid_rows
+    rows = [(i, 0, None, f"q{i}", None if i % 3 == 0 else f"a{i}") for i in range(12)]
+    instr = spark.createDataFrame(rows, "conv_id long, turn long, system_prompt string, question string, response string")
+    ex = sft_examples(instr, 64)
+    got = sorted(r.conv_id for r in take_valid_rows(ex, ["conv_id", "turn"], 5).collect())
+    assert got == [1, 2, 4, 5, 7]  # the first five rows left after dropping empty responses
+    assert take_valid_rows(ex, ["conv_id", "turn"], None).count() == 8
+
+
+def test_example_report_first_items(spark):
+    from textloom.operators.choice import example_report
+    items = spark.createDataFrame([(i, f"c{i}", i % 4, ["a", "b", "c", "d"]) for i in range(12)],
+                                  "item long, ctx string, label int, endings array<string>")
+    losses = spark.createDataFrame([(i, e, float(e)) for i in range(12) for e in range(4)],
+                                   "item long, ending int, mean_loss double")
+    preds = spark.createDataFrame([(i, 0) for i in range(12)], "item long, pred_norm int")
+    r = example_report(items, losses, preds).collect()
+    assert sorted({x.item for x in r}) == list(range(9)) and len(r) == 36
+    assert all(x.mean_loss == float(x.ending) for x in r)
