@@ -130,3 +130,10 @@ def test_example_report_first_items(spark):
     r = example_report(items, losses, preds).collect()
     assert sorted({x.item for x in r}) == list(range(9)) and len(r) == 36
     assert all(x.mean_loss == float(x.ending) for x in r)
+
+
+def test_throughput(spark):
+    from textloom.operators.metrics import throughput
+    steps = spark.createDataFrame([(0, 0.5), (1, 2.0)], "step int, dt double")
+    r = throughput(steps, 16, 1024, 1, 33).orderBy("step").collect()
+    assert r[0].tokens == 540_672 and r[0].tokens_per_sec == 1_081_344.0 and r[1].ms_per_step == 2000.0
