@@ -34,3 +34,29 @@ def op4(spark, sf_dir):
 
     out = exact_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op1_warc_normalise")
+def op1(spark, sf_dir):
+    from textloom.llm.warc import archive_pages
+    from textloom.session import scratch_path
+
+    out = archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_vector_packing")
+def op3(spark, sf_dir):
+    import public_tokenizers
+
+    from textloom.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_source_mixing")
+def op6(spark, sf_dir):
+    from textloom.llm.mixing import mix_documents
+
+    return mix_documents(table(spark, sf_dir, "documents"))
