@@ -60,3 +60,11 @@ def op6(spark, sf_dir):
     from textloom.llm.mixing import mix_documents
 
     return mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash_components")
+def op7(spark, sf_dir):
+    from textloom.llm.simhash import hex_fingerprint, near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", hex_fingerprint(out.fp).alias("fingerprint"), "component_id")
