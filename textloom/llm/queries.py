@@ -68,3 +68,32 @@ def op7(spark, sf_dir):
 
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", hex_fingerprint(out.fp).alias("fingerprint"), "component_id")
+
+
+@query("op9_chat_tokens")
+def op9(spark, sf_dir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from textloom.llm.chat_tokens import digests, format_turns, read_turns
+    from textloom.llm.common import stored
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    files = (path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    first = Tokenizer.from_file(path).get_vocab_size()
+    probe = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    turns = stored(format_turns(rows.unionByName(extra), files, first), "chat-turns")
+    return digests(read_turns(turns, files, first))
+
+
+@query("op10_crf_language")
+def op10(spark, sf_dir):
+    from textloom.llm.common import training_row
+    from textloom.llm.crf import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(training_row("doc_id", 5)))
+    fold = docs.select("doc_id", (~training_row("doc_id", 5)).alias("held_out"), "text")
+    return predict(fold, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
