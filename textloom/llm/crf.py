@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ SPLICE, SEQUENCE = 40, 640
 #: Words whose scores a task keeps; the store starts anew beyond it.
 KEPT_TYPES = 1_500_000
 #: Word scores (words by labels) that are labelled at a time.
-STEP_SCORES = 1_600_000
+STEP_SCORES = 800_000
 
 
 @lru_cache(maxsize=1)
@@ -106,60 +107,56 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
     text = np.repeat(np.arange(len(lengths)), lengths)
     inside = np.arange(n) - begin[text]
     row, col = first[text] + inside // PIECE, inside % PIECE
-    top = scores.max(axis=1, keepdims=True)
-    e = np.zeros((PIECE, total, labels))
-    e[col, row] = np.exp(scores - top)
+    e = np.zeros((PIECE, labels, total))  # pieces last: every operation runs along them
+    e[col, :, row] = np.exp(scores - scores.max(axis=1, keepdims=True))
     real = np.zeros((PIECE, total), bool)
     real[col, row] = True
     step = np.exp(transitions - transitions.max())
     starts = np.zeros(total, bool)
     starts[first] = True
 
-    def forward(state, t, begins):
-        """One word further: state (pieces, ..., labels)."""
-        moved = state @ step
+    def forward(state: np.ndarray, t: int) -> np.ndarray:
+        """One word further: state (labels, anything, pieces), scaled to a largest value of 1."""
+        moved = (step.T @ state.reshape(labels, -1)).reshape(state.shape)
         if t == 0:
-            moved = np.where(begins.reshape(-1, *[1] * (state.ndim - 1)), state, moved)
-        moved = moved * (e[t] if state.ndim == 2 else e[t][:, None, :])
-        size = moved.max(axis=tuple(range(1, state.ndim)), keepdims=True)
-        keep = real[t].reshape(-1, *[1] * (state.ndim - 1))
-        return np.where(keep, moved / np.where(keep, size, 1), state)
+            moved = np.where(starts, state, moved)
+        moved *= e[t][:, None]
+        size = moved.max(axis=(0, 1))
+        return np.where(real[t], moved / np.where(real[t], size, 1), state)
 
-    product = np.broadcast_to(np.eye(labels), (total, labels, labels)).copy()
+    product = np.repeat(np.eye(labels)[:, :, None], total, axis=2)  # label now, label before the piece
     for t in range(PIECE):
-        product = forward(product, t, starts)
-    enter = np.ones((total, labels))
-    leave = np.ones((total, labels))
+        product = forward(product, t)
+    enter, leave = np.ones((labels, total)), np.ones((labels, total))
     for k in range(1, int(pieces.max(initial=0))):
         at = first[pieces > k] + k
-        x = np.einsum("pi,pij->pj", enter[at - 1], product[at - 1])
-        enter[at] = x / x.max(axis=1, keepdims=True)
+        x = np.einsum("ip,jip->jp", enter[:, at - 1], product[:, :, at - 1])
+        enter[:, at] = x / x.max(axis=0)
     for k in range(int(pieces.max(initial=0)) - 1, 0, -1):
         at = first[pieces > k] + k
-        x = np.einsum("pij,pj->pi", product[at], leave[at])
-        leave[at - 1] = x / x.max(axis=1, keepdims=True)
+        x = np.einsum("jip,jp->ip", product[:, :, at], leave[:, at])
+        leave[:, at - 1] = x / x.max(axis=0)
 
-    alpha = np.empty((PIECE, total, labels))
-    state = enter
+    alpha = np.empty((PIECE, labels, total))
+    state = enter[:, None]
     for t in range(PIECE):
-        state = alpha[t] = forward(state, t, starts)
-    beta, ahead = np.empty((PIECE, total, labels)), leave
+        state = forward(state, t)
+        alpha[t] = state[:, 0]
+    beta, ahead = np.empty((PIECE, labels, total)), leave
     for t in range(PIECE - 1, -1, -1):
         beta[t] = ahead
-        x = (e[t] * ahead) @ step.T
-        if t == 0:
-            break
-        size = x.max(axis=1, keepdims=True)
-        ahead = np.where(real[t][:, None], x / np.where(size > 0, size, 1), ahead)
+        x = step @ (e[t] * ahead)
+        size = x.max(axis=0)
+        ahead = np.where(real[t], x / np.where(size > 0, size, 1), ahead)
     both = alpha * beta
-    out = (both / both.sum(axis=2, keepdims=True).clip(1e-300))[col, row]
+    out = (both / both.sum(axis=1, keepdims=True).clip(1e-300))[col, :, row]
     if not pairs:
         return out
-    before = np.concatenate([enter[None], alpha[:-1]])[col, row]
-    after = (e * beta)[col, row]
+    before = np.concatenate([enter[None], alpha[:-1]])[col, :, row]
+    after = (e * beta)[col, :, row]
     inner = inside > 0
-    norm = np.einsum("ni,ij,nj->n", before, step, after)
-    expected = step * np.einsum("ni,nj,n->ij", before[inner], after[inner], 1 / norm[inner].clip(1e-300))
+    norm = ((before @ step) * after).sum(axis=1)
+    expected = step * (before[inner].T @ (after[inner] / norm[inner].clip(1e-300)[:, None]))
     return out, expected
 
 
@@ -260,39 +257,34 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     return Model(labels, weights, transitions, lexicon)
 
 
+class _Places(dict):
+    """word -> its number, given at first sight."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Scores:
     """Scores of words met so far in a task."""
 
     def __init__(self, model: Model):
-        self.model, self.place, self.scores, self.has, self.n = model, {}, None, None, 0
+        self.model, self.place = model, _Places()
+        self.scores, self.has = np.zeros((0, len(model.labels))), np.zeros(0, bool)
 
     def rows(self, texts: list[list[str]]) -> np.ndarray:
         if len(self.place) > KEPT_TYPES:
-            self.place, self.n = {}, 0
-        place, fresh = self.place, []
-        out = np.empty(sum(map(len, texts)), np.int64)
-        at = 0
-        for w in texts:
-            found = [place.get(x, -1) for x in w]
-            for i, k in enumerate(found):
-                if k < 0:
-                    k = place.get(w[i], -1)
-                    if k < 0:
-                        k = place[w[i]] = len(place)
-                        fresh.append(w[i])
-                    found[i] = k
-            out[at:at + len(w)] = found
-            at += len(w)
+            self.__init__(self.model)
+        known = len(self.place)
+        out = np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        fresh = list(islice(self.place, known, None))
         if fresh:
             scores, has = emissions(fresh, self.model.weights, self.model.lexicon)
-            need = self.n + len(fresh)
-            if self.scores is None or need > len(self.scores):
-                grown = np.zeros((max(2 * need, 1 << 16), scores.shape[1])), np.zeros(max(2 * need, 1 << 16), bool)
-                if self.n:
-                    grown[0][:self.n], grown[1][:self.n] = self.scores[:self.n], self.has[:self.n]
-                self.scores, self.has = grown
-            self.scores[self.n:need], self.has[self.n:need] = scores, has
-            self.n = need
+            if len(self.place) > len(self.has):
+                more = 2 * len(self.place) - len(self.has)
+                self.scores = np.concatenate([self.scores, np.zeros((more, self.scores.shape[1]))])
+                self.has = np.concatenate([self.has, np.zeros(more, bool)])
+            self.scores[known:len(self.place)], self.has[known:len(self.place)] = scores, has
         return out
 
 
