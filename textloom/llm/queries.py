@@ -97,3 +97,11 @@ def op10(spark, sf_dir):
     model = train(docs.where(training_row("doc_id", 5)))
     fold = docs.select("doc_id", (~training_row("doc_id", 5)).alias("held_out"), "text")
     return predict(fold, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op5_maxent_lm")
+def op5(spark, sf_dir):
+    from textloom.llm.common import training_row
+    from textloom.llm.maxent_lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), training_row("doc_id", 10))
