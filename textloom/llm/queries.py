@@ -105,3 +105,33 @@ def op5(spark, sf_dir):
     from textloom.llm.maxent_lm import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"), training_row("doc_id", 10))
+
+
+_SP = r"[\x20\x09-\x0D]+"
+_WD = r"[^\x20\x09-\x0D]+"
+
+
+@query("op2_line_frequency", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, t, regexp_extract_all(t, '{_WD}') AS w FROM d),
+p AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+      FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM p) WHERE n > 1),
+cov AS (SELECT r, count(DISTINCT k)::BIGINT AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM rep) GROUP BY r),
+l AS (SELECT r, host, t, unnest(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WD}'))) AS line FROM d),
+dup AS (SELECT r, (count(*) - count(DISTINCT line))::BIGINT AS n FROM l GROUP BY r),
+h AS (SELECT r, host, t, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SP}', ' ', 'g'), ' ') AS k,
+             len(regexp_extract_all(line, '{_WD}')) AS n FROM l),
+common AS (SELECT host, k FROM h GROUP BY host, k HAVING count(DISTINCT t) > 20),
+gone AS (SELECT r, sum(n)::BIGINT AS n FROM h JOIN common USING (host, k) GROUP BY r),
+f AS (SELECT doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(d.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+             coalesce(cov.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS n_removed_words
+      FROM d JOIN w USING (r) LEFT JOIN cov USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_words - n_removed_words AS rest FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * rest >= 30 * n_words AND rest >= 20 AS kept, n_removed_words FROM b""")
+def op2(spark, sf_dir):
+    from textloom.llm.line_frequency import line_frequency
+
+    return line_frequency(table(spark, sf_dir, "documents"))
