@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from textloom.llm.common import training_row
-from textloom.llm.maxent_lm import (CLASSES, HEAD, STATES, TAIL, Model, class_logs, features_of, score_documents, states_before,
+from textloom.llm.maxent_lm import (CLASSES, FEATURES, HEAD, STATES, TAIL, Model, class_logs, features_of, score_documents, states_before,
                                     tail_class, tail_class_column, word_logs)
 
 from conftest_llm import ascii_lower, words
@@ -59,7 +59,7 @@ def test_model_beats_the_unigram_on_held_out_text(spark):
 
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
-    weights = rng.normal(0, 1, (8192, CLASSES))
+    weights = rng.normal(0, 1, (FEATURES, CLASSES))
     pairs = np.arange(0, STATES * STATES, 7)
     assert np.allclose(np.exp(class_logs(weights, pairs)).sum(axis=1), 1)
     sizes, kinds = np.zeros(CLASSES), np.zeros(CLASSES)

@@ -39,7 +39,7 @@ BLOCK_BYTES = 16 << 20
 HEAD, TAIL = 47, 48
 CLASSES = 1 + HEAD + TAIL  # class 0: the end of a text
 STATES = CLASSES + 1       # the last state: before the first word
-FEATURES = 8192
+FEATURES = 4096
 #: Stands for the end of a text in tables of words; a word holds no white space.
 END = b"\n"
 #: Words handled at a time.
@@ -189,13 +189,15 @@ def _class_counts(docs: DataFrame, head: list[bytes]) -> DataFrame:
     return stored(pairs.select("pair", "x.class", "x.n").toDF("pair", "classes", "counts"), "lm-pairs")
 
 
-def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float, tasks: int = 4) -> np.ndarray:
+def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float, tasks: int = 2) -> np.ndarray:
     """Gradient updates of the class model over the table of pairs; a task sends its sums of gradient and curvature."""
     weights = np.zeros((FEATURES, CLASSES))
     start = np.log((totals + 0.5) / (totals + 0.5).sum())
     weights[features_of(np.zeros(1, np.int64))[0, 0]] = start
 
     def sums(weights: np.ndarray):
+        weights = weights.astype(np.float32)  # what goes to the tasks
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g, h = np.zeros((2, FEATURES, CLASSES), np.float32)
             rows = list(rows_of(batches, "pair", "classes", "counts"))  # bounded by the number of pairs
@@ -219,19 +221,19 @@ def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float,
         parts = dealt.mapInArrow(sums(weights), "g binary, h binary").collect()  # a row per task
         if not parts:
             break
-        g, h = (sum(np.frombuffer(r[k], np.float32).reshape(weights.shape).astype(float) for r in parts) for k in ("g", "h"))
+        g, h = (sum(np.frombuffer(r[k], np.float32).reshape(weights.shape) for r in parts) for k in ("g", "h"))
         # the four features of a pair move together, hence the damping
         weights = weights + np.clip(0.3 * (g - ridge * weights) / (h + ridge + 0.5), -0.7, 0.7)
     return weights
 
 
-def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0) -> Model:
+def train(docs: DataFrame, words: DataFrame, rounds: int = 10, ridge: float = 2.0) -> Model:
     head, table = _class_table(words)
     size, kinds, once, twice = table.T.astype(float)
     discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
     discount[:1 + HEAD] = 0
     weights = fit_weights(_class_counts(docs, head), size, rounds, ridge)
-    return Model(head, int(size.sum()), int(kinds.sum()), size, kinds, discount, weights)
+    return Model(head, int(size.sum()), int(kinds.sum()), size, kinds, discount, weights.astype(np.float32))
 
 
 def word_logs(model: Model, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -293,7 +295,7 @@ def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
-                    block_bytes: int = BLOCK_BYTES, rounds: int = 12) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, rounds: int = 10) -> DataFrame:
     """Trains on the rows where ``training`` holds and scores all rows."""
     rows = _documents(docs, id_col, text_col, training)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
