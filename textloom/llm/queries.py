@@ -135,3 +135,10 @@ def op2(spark, sf_dir):
     from textloom.llm.line_frequency import line_frequency
 
     return line_frequency(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    from textloom.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
