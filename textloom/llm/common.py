@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import ensure_checkpoint_dir, scratch_path, ship_package
@@ -54,6 +54,32 @@ def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def keep_rows(docs: DataFrame, keys: dict[str, Column], decisions: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` keeps, with all their columns.
+
+    ``keys`` are expressions on ``docs`` that the columns of the same names in ``decisions`` hold, one row there per
+    row here, and ``kept``. Keys with no kept row go; of a key with several rows as many stay as were kept. Only
+    keys that lose rows are matched, by broadcast behind a count or else by a shuffle."""
+    short = stored(decisions.groupBy(*keys).agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count(F.lit(1)).alias("_all"))
+                   .where("_stay < _all"), "keep-rows").toDF(*(f"_r_{k}" for k in keys), "_stay", "_all")
+    rows = docs.withColumns({f"_l_{k}": c for k, c in keys.items()})
+    same = lambda: _all([F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    out = rows.join(broadcast_if(short, broadcast_rows), same(), "left_anti")
+    part = short.where("_stay > 0")
+    if not part.isEmpty():
+        number = F.row_number().over(Window.partitionBy(*(f"_l_{k}" for k in keys)).orderBy(F.lit(0)))
+        some = rows.join(part, same()).withColumn("_n", number).where("_n <= _stay")
+        out = out.unionByName(some.select(*out.columns))
+    return out.select(*docs.columns)
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches, one at a time, as tuples of Python values."""
     for b in batches:

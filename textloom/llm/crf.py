@@ -289,7 +289,7 @@ class _Scores:
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", with_words: bool = False,
-            keep: tuple[str, ...] = ()) -> DataFrame:
+            keep: tuple[str, ...] = (), id_out: str | None = None) -> DataFrame:
     """(id, lang_pred, score) per row and the columns to ``keep``, which pass by unread; ``with_words`` adds the
     label of every word (null: no letter)."""
     spark = docs.sparkSession
@@ -333,4 +333,4 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     yield label([c.slice(at, i - at) for c in head], texts)
                     texts, n, at = [], 0, i
 
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_out or id_col)

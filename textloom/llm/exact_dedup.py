@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ascii_lower, broadcast_if, stored
+from textloom.llm.common import ascii_lower, broadcast_if, keep_rows, stored
 
 #: Candidate digests up to this many rows (about 40 bytes each) are broadcast; beyond it the join shuffles.
 BROADCAST_DIGESTS = 200_000
@@ -73,11 +73,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows that stay, with all their columns; a row that is repeated whole stays once.
-
-    The rows to drop are matched by id and digest, so two rows that share an id but not a text don't drop each other."""
-    groups = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("digest").alias("_digest"))
+    """The input rows that stay, with all their columns; of a row that is repeated whole one stays."""
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumn("_copy", F.row_number().over(Window.partitionBy(id_col, sha256(text)).orderBy(F.lit(0))))
-    hit = F.col(id_col).eqNullSafe(F.col("_id")) & (sha256(text) == F.col("_digest"))
-    return rows.where("_copy = 1").join(groups, hit, "left_semi").select(*docs.columns)
+    decisions = exact_groups(docs, id_col, text_col).select(F.col(id_col).alias("id"), "digest", "kept")
+    return keep_rows(docs, {"id": F.col(id_col), "digest": sha256(text)}, decisions)

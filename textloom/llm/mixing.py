@@ -155,12 +155,31 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[int, ...]
         max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, dict, dict, dict]:
     """(rows, sources by pattern, source sizes, targets). Rows: ``id_col``, ``size``, ``pattern`` (JSON list of sources), ``h``,
     ``repeats`` and ``taken`` words, for each input row."""
-    key = F.to_json(F.sort_array(F.array_distinct(members)), {"ignoreNullFields": "false"})
+    rows, plan, lists, sources, quota = _plan(docs, members, size, weights, share, seed, id_col, text_col, max_repeats)
+    out = rows.join(F.broadcast(plan), "pattern").withColumn("repeats", _repeats())
+    return (out.select(F.col("id").alias(id_col), "size", "pattern", "h", "repeats", (F.col("size") * F.col("repeats")).alias("taken")),
+            lists, sources, quota)
+
+
+def _pattern(members: Column) -> Column:
+    return F.to_json(F.sort_array(F.array_distinct(members)), {"ignoreNullFields": "false"})
+
+
+def _place(row_hash: Column, copy: Column) -> Column:
+    return F.xxhash64(row_hash, copy).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
+def _repeats() -> Column:
+    return F.col("whole") + (F.col("h") < F.col("cut")).cast("long")
+
+
+def _plan(docs, members, size, weights, share, seed, id_col, text_col, max_repeats):
+    """Rows (id, size, pattern, h) and the plan: how often each pattern is read whole, and below which ``h`` once more."""
+    key = _pattern(members)
     base = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), key)
     rows = docs.select(F.col(id_col).alias("id"), size.cast("long").alias("size"), key.alias("pattern"), base.alias("b"))
     copy = F.row_number().over(Window.partitionBy("b").orderBy("b"))
-    mask = F.lit((1 << HASH_BITS) - 1)
-    rows = stored(rows.withColumn("h", F.xxhash64("b", copy).bitwiseAND(mask)).drop("b"), "mix-rows")
+    rows = stored(rows.withColumn("h", _place(F.col("b"), copy)).drop("b"), "mix-rows")
 
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
@@ -177,10 +196,20 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[int, ...]
     whole = {p: amount[p] // sizes[p] if sizes[p] else 0 for p in sizes}
     cut = _cuts(rows, {p: amount[p] - whole[p] * sizes[p] for p in sizes})
     plan = docs.sparkSession.createDataFrame([(p, whole[p], cut[p]) for p in sizes], "pattern string, whole long, cut long")
-    repeats = F.col("whole") + (F.col("h") < F.col("cut")).cast("long")
-    out = rows.join(F.broadcast(plan), "pattern").withColumn("repeats", repeats)
-    return (out.select(F.col("id").alias(id_col), "size", "pattern", "h", "repeats", (F.col("size") * F.col("repeats")).alias("taken")),
-            lists, dict(sources), quota)
+    return rows, plan, lists, dict(sources), quota
+
+
+def mixed_rows(docs: DataFrame, members: Column, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, seed: int = 0,
+               id_col: str = "doc_id", text_col: str = "text", max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The input rows, each as often as the mixture reads it, with all their columns. The plan is applied where the
+    rows are, without a shuffle; rows that are repeated whole are read equally often."""
+    _, plan, *_ = _plan(docs, members, word_count(text_col), weights, share, seed, id_col, text_col, max_repeats)
+    plan = plan.toDF("_pattern", "whole", "cut").select("_pattern", F.struct("whole", "cut").alias("_plan"))
+    base = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), _pattern(members))
+    rows = docs.withColumns({"_own": _pattern(members), "_h": _place(base, F.lit(1))})
+    rows = rows.join(F.broadcast(plan), F.col("_own") == F.col("_pattern"))
+    times = (F.col("_plan.whole") + (F.col("_h") < F.col("_plan.cut")).cast("long")).cast("int")
+    return rows.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
 
 
 def word_count(text_col: str = "text") -> Column:

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import rows_of, stored, text_bytes
+from textloom.llm.common import keep_rows, rows_of, stored, text_bytes
 from textloom.llm.components import components
 
 #: Buckets above this many fingerprints are dealt again.
@@ -52,13 +52,18 @@ def fingerprint(text: bytes, shingle: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp long) per row."""
+    """(id, tie, fp long) per row; ``tie`` is a hash of the text, to tell rows with one id apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t, shingle, seed) for (t,) in rows_of([b], "t")]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["id", "tie", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t")).mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), tie(text_col).alias("tie"), text_bytes(text_col).alias("t"))
+    return rows.mapInArrow(run, "id long, tie long, fp long")
+
+
+def tie(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def covering_masks(radius: int, seed: int) -> list[int]:
@@ -158,14 +163,30 @@ def close_links(fps: DataFrame, radius: int = 3, split: int = SPLIT) -> DataFram
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
                     seed: int = 42, split: int = SPLIT) -> DataFrame:
     """One row per input row: ``id_col``, ``fp`` (signed 64 bits), ``component_id``."""
+    rows, named = _components(docs, id_col, text_col, shingle, radius, seed, split)
+    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, seed: int, split: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprints, and per fingerprint its component's smallest id and first (null, id, tie)."""
     rows = stored(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-rows")
-    nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(close_links(nodes.select("fp"), radius, split))
-    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "tie")
+    nodes = rows.groupBy("fp").agg(F.min("id").alias("least"), F.min(place).alias("place"))
+    roots = components(close_links(rows.select("fp").distinct(), radius, split))
+    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", "place", F.coalesce("root", "fp").alias("root"))
     nodes = stored(nodes, "simhash-nodes")
-    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.min("place").alias("stays"))
+    return rows, nodes.join(ids, "root").select("fp", "component_id", "stays")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
+                     seed: int = 42, split: int = SPLIT) -> DataFrame:
+    """The input rows that stay, one of each component, with all their columns: the row with the smallest id."""
+    rows, named = _components(docs, id_col, text_col, shingle, radius, seed, split)
+    own = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("tie") == F.col("stays.tie"))
+    first = F.row_number().over(Window.partitionBy("id", "tie").orderBy("fp")) == 1  # of rows repeated whole
+    decisions = rows.withColumn("first", first).join(named, "fp").select("id", "tie", (own & F.col("first")).alias("kept"))
+    return keep_rows(docs, {"id": F.col(id_col).cast("long"), "tie": tie(text_col)}, decisions)
 
 
 def hex_fingerprint(fp: Column) -> Column:
