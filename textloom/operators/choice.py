@@ -36,18 +36,24 @@ def render_choices(items: DataFrame, encode=byte_encode) -> DataFrame:
 
 def token_losses(rendered: DataFrame, losses_by_token: DataFrame) -> DataFrame:
     """Stand-in for a model: loss at position p is the loss of token p+1 under a
-    per-token table (bounded by the vocabulary size, so broadcast)."""
+    per-token table (bounded by the vocabulary size, so broadcast). A token without a
+    loss is an error: leaving it out would change sums and counts."""
     t = rendered.select("item", "ending", F.posexplode("tokens").alias("p", "token")).where(F.col("p") >= 1)
-    j = t.join(F.broadcast(losses_by_token), "token")
-    return j.select("item", "ending", (F.col("p") - 1).alias("pos"), "loss")
+    j = t.join(F.broadcast(losses_by_token), "token", "left")
+    return j.select("item", "ending", (F.col("p") - 1).alias("pos"), _present("token"))
 
 
 def shift_and_mask(losses: DataFrame, rendered: DataFrame) -> DataFrame:
     """Loss at p weighted by the mask at p+1 (equi-join on the shifted position)."""
     m = rendered.select("item", "ending", F.posexplode("mask").alias("mpos", "m")).where(F.col("mpos") >= 1)
     m = m.select("item", "ending", (F.col("mpos") - 1).alias("pos"), "m")
-    return losses.join(m, ["item", "ending", "pos"]).select(
-        "item", "ending", "pos", (F.col("loss") * F.col("m")).alias("masked_loss"), "m")
+    j = m.join(losses, ["item", "ending", "pos"], "left").withColumn("loss", _present("pos"))
+    return j.select("item", "ending", "pos", (F.col("loss") * F.col("m")).alias("masked_loss"), "m")
+
+
+def _present(what: str):
+    missing = F.raise_error(F.concat(F.lit(f"no loss for {what} "), F.col(what).cast("string")))
+    return F.when(F.col("loss").isNull(), missing).otherwise(F.col("loss")).alias("loss")
 
 
 def completion_loss(masked: DataFrame) -> DataFrame:
@@ -60,11 +66,10 @@ def completion_loss(masked: DataFrame) -> DataFrame:
 
 def pick_choice(losses: DataFrame) -> DataFrame:
     """Ending with the lowest sum (pred) and lowest mean (pred_norm); ties to the
-    lowest index; a NaN mean counts as the smallest, as in the reference library."""
-    nan_first = F.when(F.isnan("mean_loss"), 0).otherwise(1)
-    return losses.groupBy("item").agg(
-        F.min(F.struct("sum_loss", "ending"))["ending"].alias("pred"),
-        F.min(F.struct(nan_first, F.col("mean_loss"), F.col("ending")))["ending"].alias("pred_norm"))
+    lowest index; a NaN counts as the smallest, as an argmin over the values does."""
+    def lowest(c):
+        return F.min(F.struct(F.when(F.isnan(c), 0).otherwise(1), F.col(c), F.col("ending")))["ending"]
+    return losses.groupBy("item").agg(lowest("sum_loss").alias("pred"), lowest("mean_loss").alias("pred_norm"))
 
 
 def with_labels(preds: DataFrame, items: DataFrame) -> DataFrame:

@@ -1,14 +1,14 @@
 """Ordered numbering and running sums without a single-task window.
 
-A window without ``partitionBy`` puts every row in one task. Instead the rows
-are cut into key buckets: (1) buckets of about equal row counts from approximate
-quantiles of the key (or, with ``buckets="range"``, of equal key width), at most
-``target_buckets`` of them; (2) one sum per (group, bucket); (3) a running sum
-over the bucket table, which is small by construction; (4) broadcast of that
-table (bounded: groups x target_buckets rows) back to the rows; (5) a running sum
-inside each bucket, partitioned by (group, bucket). Equal-count buckets keep a
-bucket near rows / target_buckets even when the keys are clustered, so no task
-gets a hot third of the rows. Deterministic and retry-safe.
+A window without ``partitionBy`` puts every row in one task. Instead: (1) the input is
+written once to the shared folder, with a row number, so everything above it runs once;
+(2) its keys and values alone, without the other columns, are dealt into ranges of the
+partition columns, all order columns and the row number, so that rows with equal keys,
+and a key that holds most rows, are split over ranges as well; Spark chooses the number
+of ranges from the size; (3) one sum per range and group, a table of one row per range
+and group, gives each range's starting value; (4) a window inside each range, and the
+result is joined back by the row number, which is unique. No row is lost: null keys sort
+first, null groups are groups, an empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,118 +18,50 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_TARGET_BUCKETS = 4096
-# A broadcast bucket table holds at most this many rows (groups x buckets).
-MAX_BUCKET_ROWS = 2_000_000
+from textloom.session import written_once
 
 
-# Rank error of the quantile sketch, as a share of a bucket: buckets stay within
-# about +-25% of rows / target_buckets.
-QUANTILE_ERROR_PER_BUCKET = 0.25
-
-
-def bucket_column(df: DataFrame, key: str, target_buckets: int, buckets: str = "quantile"):
-    """A monotone bucketing of ``key``: (spec, number of buckets).
-
-    ``quantile``: boundaries at approximate quantiles (one distributed pass over the
-    key column), applied per row by the fitted ``Bucketizer`` (a JVM binary search).
-    ``range``: equal width over [min, max]."""
-    if buckets == "quantile":
-        from pyspark.ml.feature import QuantileDiscretizer
-
-        qd = QuantileDiscretizer(numBuckets=target_buckets, inputCol="_bucket_key", outputCol="_bucket_q",
-                                 relativeError=QUANTILE_ERROR_PER_BUCKET / target_buckets,
-                                 handleInvalid="keep")
-        model = qd.fit(df.select(F.col(key).cast("double").alias("_bucket_key")).where(F.col("_bucket_key").isNotNull()))
-        return model, len(model.getSplits()) - 1
-    lo, hi = _key_range(df, key)
-    width = max(1, -(-(hi - lo + 1) // target_buckets))
-    return (lo, width), -(-(hi - lo + 1) // width)
-
-
-def add_bucket(df: DataFrame, key: str, spec, out: str = "_bucket") -> DataFrame:
-    if isinstance(spec, tuple):
-        lo, width = spec
-        return df.withColumn(out, F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long"))
-    d = spec.transform(df.withColumn("_bucket_key", F.col(key).cast("double")))
-    return d.withColumn(out, F.col("_bucket_q").cast("long")).drop("_bucket_key", "_bucket_q")
-
-
-def _key_range(df: DataFrame, key: str) -> tuple[int, int]:
-    row = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo = 0 if row is None or row["lo"] is None else int(row["lo"])
-    hi = lo if row is None or row["hi"] is None else int(row["hi"])
-    return lo, hi
-
-
-def with_buckets(df: DataFrame, key: str, target_buckets: int = DEFAULT_TARGET_BUCKETS,
-                 out: str = "_bucket") -> DataFrame:
-    """Adds an integer bucket of the integral ``key``: at most ``target_buckets`` distinct values."""
-    lo, hi = _key_range(df, key)
-    width = max(1, -(-(hi - lo + 1) // target_buckets))
-    return df.withColumn(out, F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long"))
+def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequence[str],
+                   partition_cols: Sequence[str] = (), inclusive: bool = True) -> DataFrame:
+    """Running sums of several values at once (E6) in ``order_cols`` order within
+    ``partition_cols``; rows with equal keys come in the order they are read."""
+    rows = written_once(df.withColumn("_row", F.monotonically_increasing_id()), "order-rows")
+    groups = {f"_g{i}": F.col(c) for i, c in enumerate(partition_cols)}
+    order = {f"_o{i}": F.col(c) for i, c in enumerate(order_cols)}
+    sums = {f"_v{i}": v.cast("long") for i, v in enumerate(values.values())}
+    keys = rows.select("_row", *[c.alias(n) for n, c in {**groups, **order, **sums}.items()])
+    ranged = keys.repartitionByRange(*groups, *order, "_row")
+    keys = written_once(ranged.withColumn("_range", F.spark_partition_id()), "order-keys")
+
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = keys.groupBy(*groups, "_range").agg(*[F.sum(v).alias(v) for v in sums])
+    starts = per_range.select(F.col("_range").alias("_r"), *[F.col(g).alias(f"_s{g}") for g in groups],
+                              *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_b{v}") for v in sums])
+    inside = Window.partitionBy(*groups, "_range").orderBy(*order, "_row") \
+        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    keys = keys.select("_row", "_range", *groups, *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(v) for v in sums])
+    same = F.col("_range") == F.col("_r")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_s{g}"))
+    totals = keys.join(starts, same).select(
+        "_row", *[(F.col(f"_b{v}") + F.col(v)).cast("long").alias(f"_t{v}") for v in sums])
+    out = rows.join(totals, "_row")
+    named = {name: F.col(f"_t{v}") for name, v in zip(values, sums)}
+    kept = [c for c in df.columns if c not in named]
+    return out.select(*kept, *[c.alias(n) for n, c in named.items()])
 
 
 def prefix_sum(df: DataFrame, value: Column | str, order_cols: Sequence[str],
-               partition_cols: Sequence[str] = (), out: str = "cum", inclusive: bool = False,
-               max_groups: int = 16, target_buckets: int = DEFAULT_TARGET_BUCKETS,
-               lengths: DataFrame | None = None, buckets: str = "quantile") -> DataFrame:
-    """Running sum of ``value`` in ``order_cols`` order within ``partition_cols``.
-
-    ``order_cols[0]`` must be integral; it defines the buckets. ``max_groups``
-    bounds the number of distinct ``partition_cols`` values (e.g. 2 for a split),
-    which bounds the broadcast bucket table. ``lengths``, if given, is a cheaper
-    frame with the same keys and ``value`` computable on it: the bucket sums are
-    taken from it instead of ``df``.
-    """
-    parts = list(partition_cols)
-    order = list(order_cols)
-    key = order[0]
-    if max_groups * target_buckets > MAX_BUCKET_ROWS:
-        raise ValueError("bucket table too large to broadcast; lower target_buckets or max_groups")
+               partition_cols: Sequence[str] = (), out: str = "cum", inclusive: bool = False) -> DataFrame:
+    """Running sum of ``value`` before each row (with ``inclusive``: up to it)."""
     val = F.col(value) if isinstance(value, str) else value
-    src = lengths if lengths is not None else df
-    spec, _ = bucket_column(src, key, target_buckets, buckets)
-    sums = add_bucket(src, key, spec).select(*parts, "_bucket", val.cast("long").alias("_v")) \
-        .groupBy(*parts, "_bucket").agg(F.sum("_v").alias("_bsum"))
-    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*parts, "_bucket",
-                          F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).cast("long").alias("_boff"))
-    rows = add_bucket(df, key, spec)
-    rows = rows.join(F.broadcast(offsets), on=[*parts, "_bucket"], how="inner")
-    end = 0 if inclusive else -1
-    wr = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    inside = F.coalesce(F.sum(val.cast("long")).over(wr), F.lit(0))
-    return rows.withColumn(out, (F.col("_boff") + inside).cast("long")).drop("_bucket", "_boff")
+    return running_totals(df, {out: val}, order_cols, partition_cols, inclusive)
 
 
 def row_index(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
-              out: str = "idx", max_groups: int = 16,
-              target_buckets: int = DEFAULT_TARGET_BUCKETS, buckets: str = "quantile") -> DataFrame:
+              out: str = "idx") -> DataFrame:
     """Dense 0-based position in ``order_cols`` order within ``partition_cols``."""
-    return prefix_sum(df, F.lit(1), order_cols, partition_cols, out=out, inclusive=False,
-                      max_groups=max_groups, target_buckets=target_buckets, buckets=buckets)
-
-
-def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequence[str],
-                   partition_cols: Sequence[str] = (), max_groups: int = 16,
-                   target_buckets: int = DEFAULT_TARGET_BUCKETS, buckets: str = "quantile") -> DataFrame:
-    """Several inclusive running sums at once (E6), sharing one bucket table and one window."""
-    parts = list(partition_cols)
-    order = list(order_cols)
-    key = order[0]
-    spec, _ = bucket_column(df, key, target_buckets, buckets)
-    rows = add_bucket(df, key, spec)
-    sums = rows.groupBy(*parts, "_bucket").agg(
-        *[F.sum(v.cast("long")).alias(f"_bs_{k}") for k, v in values.items()])
-    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*parts, "_bucket", *[
-        F.coalesce(F.sum(f"_bs_{k}").over(wb), F.lit(0)).alias(f"_bo_{k}") for k in values])
-    rows = rows.join(F.broadcast(offsets), on=[*parts, "_bucket"], how="inner")
-    wr = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    for k, v in values.items():
-        rows = rows.withColumn(k, (F.col(f"_bo_{k}") + F.sum(v.cast("long")).over(wr)).cast("long"))
-    return rows.drop("_bucket", *[f"_bo_{k}" for k in values])
+    return prefix_sum(df, F.lit(1), order_cols, partition_cols, out=out)
 
 
 def take_rows(df: DataFrame, order_cols: Sequence[str], n: int | None) -> DataFrame:

@@ -21,18 +21,17 @@ DEFAULT_CHUNK_SIZE = 62_500
 
 
 def token_offsets(docs: DataFrame, n_tokens, key: str = "doc_id", split_col: str = "split",
-                  out: str = "start", max_splits: int = 2) -> DataFrame:
+                  out: str = "start") -> DataFrame:
     """K1: start of each document in the token stream of its split (exclusive prefix sum).
 
     ``n_tokens`` is a column with the document's token count (delimiter included);
     it should be cheap (e.g. an octet length) so that the offsets are computed on
     lengths only and the token arrays are shuffled once, later, into chunks."""
     d = docs.withColumn("n_tokens", n_tokens.cast("long"))
-    return prefix_sum(d, "n_tokens", [key], [split_col], out=out, inclusive=False,
-                      max_groups=max_splits)
+    return prefix_sum(d, "n_tokens", [key], [split_col], out=out, inclusive=False)
 
 
-# Tokens of one aggregation group (64 MB of ids); a group never spans more than a shard.
+# Tokens of one aggregation group (64 MB of ids).
 GROUP_TOKENS = 16_000_000
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import chat_full, chat_prompt, coerce_text, compute_once, normalize_text
 from textloom.functions.tokens import EOT, PAD, byte_encode, truncate
 from textloom.operators.collate import assign_batches, collate_chat, collate_warmup
-from textloom.operators.order import row_index
+from textloom.operators.order import take_rows
 
 # Chat batches of 4 rows capped at 1,024 tokens; warm-up batches of
 # 8 rows capped at 100 tokens.
@@ -39,10 +39,8 @@ def sft_examples(instr: DataFrame, max_len: int = CHAT_MAX_LEN) -> DataFrame:
 
 
 def take_valid_rows(examples: DataFrame, order_cols, n: int | None) -> DataFrame:
-    """First n rows after all drops (all when n is None)."""
-    if n is None:
-        return examples
-    return row_index(examples, order_cols, out="_valid_idx").where(F.col("_valid_idx") < n).drop("_valid_idx")
+    """First n rows after all drops (all when n is None). A top-k, not a numbering."""
+    return take_rows(examples, order_cols, n)
 
 
 def chat_batches(instr: DataFrame, batch_size: int = CHAT_BATCH, max_len: int = CHAT_MAX_LEN,

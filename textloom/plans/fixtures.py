@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import coerce_text
+from textloom.operators.order import row_index
+from textloom.session import written_once
 from textloom.sources.io import read_table
 
 VAL_EVERY = 20
@@ -32,21 +34,15 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One row per user turn; the response is the next turn's text when that turn
     is the assistant's, else null. The system prompt is the conversation's system
-    turn (null if none). When the turns of every conversation are dense (checked in
-    one partially aggregated pass), the next turn is an equi-join on
-    (conv_id, turn + 1), a key unique per row, so a conversation holding a large
-    share of all turns is spread over many tasks; otherwise ``lead`` over a window
-    per conversation is used."""
+    turn (null if none). Turns are numbered densely within their conversation, which
+    takes gaps and repeated turn numbers, and the next turn is an equi-join on
+    (conv_id, number + 1), a key unique per row, so a conversation holding a large share
+    of all turns is spread over many tasks."""
     c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    gaps = c.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1 - F.count(F.lit(1))).alias("gap")) \
-        .where(F.col("gap") != 0).limit(1).count()
-    if gaps == 0:
-        nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"),
-                       F.col("text").alias("next_text"))
-        t = c.join(nxt, ["conv_id", "turn"], "left")
-    else:
-        w = Window.partitionBy("conv_id").orderBy("turn")
-        t = c.withColumn("next_role", F.lead("role").over(w)).withColumn("next_text", F.lead("text").over(w))
+    c = written_once(row_index(c, ["turn"], ["conv_id"], out="_n"), "turns")
+    nxt = c.select("conv_id", (F.col("_n") - 1).alias("_n"), F.col("role").alias("next_role"),
+                   F.col("text").alias("next_text"))
+    t = c.join(nxt, ["conv_id", "_n"], "left")
     users = t.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"),
         F.when(F.col("next_role") == "assistant", F.col("next_text")).alias("response"))
@@ -96,7 +92,7 @@ def byte_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     most 256 rows per task leave the map side."""
     from textloom.functions.tokens import BYTE_VOCAB_SIZE
 
-    d = read_table(spark, sf_dir, "documents", spread=True).select(coerce_text("text").alias("text"))
+    d = read_table(spark, sf_dir, "documents").select(coerce_text("text").alias("text"))
     # one Latin-1 character per UTF-8 byte; counted as characters (a native generator
     # and a partial aggregate) and turned into byte values on the <= 256 result rows
     chars = F.split(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), "")

@@ -266,7 +266,7 @@ _WARM_SRC = f"""warm AS (
 SELECT doc_id, batch_id, batch_row, len(ids)::BIGINT AS n_ids, {O.ids_text('inputs')} AS inputs,
        {O.ids_text('targets')} AS targets, {O.ids_text('attention')} AS attention FROM collated""")
 def q_warmup_batches(spark, sf_dir):
-    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _batch_out(CH.warmup_batches(docs), ("doc_id",))
 
 
@@ -285,7 +285,7 @@ SELECT batch_id, count(*)::BIGINT AS rows, sum(len(ids))::BIGINT AS dataset_toke
 FROM collated GROUP BY batch_id""")
 def q_warmup_batch_tokens(spark, sf_dir):
     from textloom.operators.collate import batch_token_counts
-    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return batch_token_counts(CH.warmup_batches(docs))
 
 
@@ -491,7 +491,7 @@ def _chat_losses(spark, sf_dir):
 
 
 def _warm_losses(spark, sf_dir):
-    docs = X.read_table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _batch_losses(spark, sf_dir, CH.warmup_batches(docs))
 
 
@@ -743,7 +743,7 @@ def q_shard_list(spark, sf_dir):
     """Shard names holding the split name, sorted as strings (position by row index)."""
     from textloom.operators.order import row_index
     names = IO.list_shards(_manifest(spark, sf_dir), "train").select("name", "split", "shard")
-    return row_index(names, ["shard"], out="position", max_groups=1).select("name", "split", "position")
+    return row_index(names, ["shard"], out="position").select("name", "split", "position")
 
 
 @register("metric_log_file", _log_sql("""SELECT step::INTEGER AS step, kind,
@@ -829,7 +829,7 @@ SELECT split, doc_id, (row_number() OVER (PARTITION BY split ORDER BY doc_id) -
 def q_row_positions(spark, sf_dir):
     """Dense position per split in key order (two-level numbering)."""
     from textloom.operators.order import row_index
-    return row_index(X.corpus(spark, sf_dir).select("split", "doc_id"), ["doc_id"], ["split"], out="idx", max_groups=2)
+    return row_index(X.corpus(spark, sf_dir).select("split", "doc_id"), ["doc_id"], ["split"], out="idx")
 
 
 @register("rank_shares", _with(O.CORPUS) + """
@@ -843,7 +843,7 @@ def q_rank_shares(spark, sf_dir):
     """A row's rank under the modulo rule (2 ranks) and its worker under the
     contiguous rule (3 workers), over the dense row index."""
     from textloom.operators.order import row_index, shard_rows
-    d = row_index(X.corpus(spark, sf_dir).select("doc_id"), ["doc_id"], out="i", max_groups=1)
+    d = row_index(X.corpus(spark, sf_dir).select("doc_id"), ["doc_id"], out="i")
     m = shard_rows(d, "i", 2, None, mode="modulo").withColumnRenamed("worker", "rank_modulo")
     c = shard_rows(m, "i", 3, None, mode="contiguous").withColumnRenamed("worker", "worker_contiguous")
     return c.select("doc_id", "rank_modulo", "worker_contiguous")
@@ -874,32 +874,24 @@ def q_mapped_documents(spark, sf_dir):
     return U.map_documents(X.corpus(spark, sf_dir).select("doc_id", "text"), fn, "doc_id long, n_bytes long, n_chars long")
 
 
-def _pandas_chat_collate(pdf):
-    """A user's collate function written with pandas: same rules as B3-B5, B7."""
+def _length_report(pdf):
+    """A user's batch function: how long a batch's sequences are and what padding to the longest adds."""
     import pandas as pd
-    eos, pad, cap = EOT, PAD, CH.CHAT_MAX_LEN
-    seqs = [list(ids) + ([eos] if len(ids) < cap else []) for ids in pdf["ids"]]
-    width = max(len(s) for s in seqs)
-    out = []
-    for (conv, turn, brow, ids, plen), s in zip(pdf[["conv_id", "turn", "batch_row", "ids", "prompt_len"]].itertuples(index=False), seqs):
-        n = len(s)
-        padded = s + [pad] * (width - n)
-        att = [1] * n + [0] * (width - n)
-        tg = padded[1:]
-        tg = [-100 if (i + 1 >= n or i < plen - 1) else v for i, v in enumerate(tg)]
-        out.append((conv, turn, int(pdf["batch_id"].iloc[0]), brow, len(ids), " ".join(map(str, padded[:-1])),
-                    " ".join(map(str, tg)), " ".join(map(str, att[:-1]))))
-    return pd.DataFrame(out, columns=["conv_id", "turn", "batch_id", "batch_row", "n_ids", "inputs", "targets", "attention"])
-
-
-@register("custom_collate", ORACLE["chat_batches"])
+    n = pdf["ids"].map(len)
+    return pd.DataFrame({"batch_id": [pdf["batch_id"].iloc[0]], "n_rows": [len(n)], "longest": [n.max()],
+                         "total": [n.sum()], "padding": [(n.max() - n).sum()]})
+
+
+@register("custom_collate", f"""
+SELECT batch_id, count(*)::BIGINT AS n_rows, max(n_ids)::BIGINT AS longest, sum(n_ids)::BIGINT AS total,
+       (count(*) * max(n_ids) - sum(n_ids))::BIGINT AS padding
+FROM ({ORACLE["chat_batches"]}) GROUP BY batch_id""")
 def q_custom_collate(spark, sf_dir):
     """The user's batch function through groupBy(batch).applyInPandas."""
     from textloom.operators.collate import assign_batches
     ex = CH.sft_examples(X.instructions(spark, sf_dir))
-    b = assign_batches(ex, ["conv_id", "turn"], CH.CHAT_BATCH).select("conv_id", "turn", "batch_id", "batch_row", "ids", "prompt_len")
-    return U.collate(b, _pandas_chat_collate, "conv_id long, turn long, batch_id long, batch_row int, n_ids long, "
-                     "inputs string, targets string, attention string")
+    b = assign_batches(ex, ["conv_id", "turn"], CH.CHAT_BATCH).select("batch_id", "ids")
+    return U.collate(b, _length_report, "batch_id long, n_rows long, longest long, total long, padding long")
 
 
 @register("choice_items_json", ORACLE["choice_items"])

@@ -36,14 +36,16 @@ def get_session(master: str | None = None, app: str = "textloom",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh folder under the system temp dir is set."""
+    Read from ``spark.checkpoint.dir``. Only a local master (tests) may have none: a
+    fresh folder under the system temp dir is set then; on a cluster that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="textloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -57,10 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: what is above runs once and
+    a lost executor costs no recomputation of it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:

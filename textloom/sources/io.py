@@ -28,37 +28,9 @@ INSTRUCTION_SCHEMA = T.StructType([
 METRIC_KINDS = ("val", "hella", "train")
 
 
-# Inputs smaller than this per core are read by few tasks (a file with one row
-# group is one task); they are spread over the cores once after the scan.
-SMALL_INPUT_PER_CORE = 64 << 20
-SPREAD_MIN_BYTES = 8 << 20
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a path through the Hadoop file system of the session (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A table of the test layout. With ``spread``, for flows whose heavy per-row work
-    comes before any shuffle, a mid-sized input that would be scanned by fewer tasks
-    than cores is spread round-robin over the cores (a no-op at scale, where the scan
-    itself is parallel)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = input_bytes(spark, path)
-    except Exception:  # noqa: BLE001 - size unknown: read as is
-        return df
-    if SPREAD_MIN_BYTES <= size < SMALL_INPUT_PER_CORE * cores:
-        return df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the test layout."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",
@@ -68,6 +40,8 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", text_co
         df = spark.read.text(path).withColumnRenamed("value", text_col)
     else:
         df = spark.read.format(fmt).load(path)
+    if text_col not in df.columns:  # a row without the column has no text
+        df = df.withColumn(text_col, F.lit(None).cast("string"))
     cols = [coerce_text(text_col).alias("text")]
     if key is not None and key in df.columns:
         cols.insert(0, F.col(key).alias("doc_id"))

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from textloom.functions.text import compute_once
 from textloom.functions.tokens import EOT, byte_encode, byte_encode_length, checked_ids, prepend
+from pyspark.errors import AnalysisException
+
 from textloom.operators.order import prefix_sum
 from textloom.plans.chat import sft_examples
 
@@ -76,7 +78,9 @@ def stream_pack(spark: SparkSession, docs: DataFrame, pieces_path: str, state_pa
         try:
             prev = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id) \
                 .groupBy("split").agg(F.sum("tokens").alias("base"))
-        except Exception:  # noqa: BLE001 - no state yet
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # only a missing folder means: no state yet
+                raise
             prev = spark.createDataFrame([], "split string, base long")
         offs = prefix_sum(lengths, "n_tokens", ["doc_id"], ["split"], out="local_start")
         offs = offs.join(F.broadcast(prev), "split", "left")  # one row per split
