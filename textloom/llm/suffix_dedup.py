@@ -35,7 +35,7 @@ from textloom.llm.common import rows_of, stored, text_bytes
 
 GRAM = 24
 #: Bytes hashed at a time, minimizer rows settled locally at a time, bytes of a suffix array.
-STEP, LOCAL_ROWS, ARRAY_BYTES = 1 << 20, 2_000_000, 1 << 20
+STEP, LOCAL_ROWS, ARRAY_BYTES = 1 << 19, 500_000, 1 << 20
 HOT = 20_000
 #: Documents whose candidate places or removed ranges are broadcast; beyond it the join shuffles.
 BROADCAST_DOCS = 250_000
