@@ -46,3 +46,9 @@ def corpus_totals(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> DataFra
 
 def corpus_manifest(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, name: str = "corpus") -> DataFrame:
     return shard_manifest(corpus_totals(docs, shard_size), shard_size, name)
+
+
+def assign_split(train: DataFrame, val: DataFrame) -> DataFrame:
+    """Two corpora as one, rows labelled by the corpus they come from."""
+    label = lambda df, name: df.select(F.lit(name).alias("split"), *df.columns)
+    return label(train, "train").unionByName(label(val, "val"))

@@ -894,6 +894,17 @@ def q_custom_collate(spark, sf_dir):
     return U.collate(b, _length_report, "batch_id long, n_rows long, longest long, total long, padding long")
 
 
+@register("split_corpora", """
+SELECT 'train' AS split, doc_id, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents
+UNION ALL SELECT 'val', item_id, length(coalesce(text, ''))::BIGINT FROM benchmark""")
+def q_split_corpora(spark, sf_dir):
+    """``documents`` as the training corpus, ``benchmark`` as the validation corpus."""
+    from textloom.functions.text import coerce_text
+    train = X.read_table(spark, sf_dir, "documents").select("doc_id", coerce_text("text").alias("text"))
+    val = X.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), coerce_text("text").alias("text"))
+    return C.assign_split(train, val).select("split", "doc_id", F.length("text").cast("long").alias("n_chars"))
+
+
 @register("choice_items_json", ORACLE["choice_items"])
 def q_choice_items_json(spark, sf_dir):
     """Items written as JSON lines and read back with the explicit item schema."""
