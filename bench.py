@@ -53,9 +53,10 @@ def operator_frames(spark, sf_dir):
     def cut():
         """Training windows read from the stored shards, as a data loader does."""
         chunks = IO.read_shards(spark, shards, "train").unionByName(IO.read_shards(spark, shards, "val"))
-        chunks = chunks.withColumn("tokens", F.transform("tokens", lambda x: x.cast("int")))
-        counts = R._counts(spark, sf_dir)
-        a = assign_steps(spark, counts, R._max_steps(spark, sf_dir), R.ACCUM, R.B, R.T, R.N)
+        chunks = chunks.withColumn("tokens", F.col("tokens").cast("array<int>"))
+        m = R._manifest(spark, sf_dir)
+        counts = R._counts(m)
+        a = assign_steps(spark, counts, R._max_steps(m), R.ACCUM, R.B, R.T, R.N)
         buffers = window_buffers(chunks, counts, R.B, R.T, R.N, R.SHARD, R.CHUNK)
         return window_rows(read_windows(buffers, a), R.B, R.T)
 

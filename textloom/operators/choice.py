@@ -1,50 +1,64 @@
 """Multiple-choice evaluation.
 
 Items are rendered per ending (context ids + ending ids, mask over the ending,
-zero padding to the item's longest row). A token-loss table (loss at position p
-predicts token p+1) is joined to the shifted mask; the lowest summed and the
-lowest mean loss pick the answer.
+zero padding to the item's longest row). The loss at position p (predicting token p+1)
+is weighted by the shifted mask; tokens, mask and losses are arrays of one row, so nothing
+is shuffled before the lowest summed and the lowest mean loss pick the answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import compute_once
-from textloom.functions.tokens import byte_encode
+from textloom.operators.encoders import BYTES, Encoder
+from textloom.operators.metrics import token_loss, with_loss_table
 from textloom.operators.order import running_totals
 
 
-def render_choices(items: DataFrame, encode=byte_encode) -> DataFrame:
-    """(item, label, ending, n_ctx, tokens, mask), rows of an item padded with 0."""
-    base = compute_once(items.select("item", "label", "ctx", "endings"), ctx_ids=encode(F.col("ctx")))
-    base = base.select("item", "label", "ctx_ids", F.posexplode("endings").alias("ending", "ending_text"))
-    r = compute_once(base.select("item", "label", F.col("ending").cast("int").alias("ending"), "ctx_ids", "ending_text"),
-                     end_ids=encode(F.concat(F.lit(" "), F.col("ending_text")))).drop("ending_text")
-    r = r.select("item", "label", "ending", F.size("ctx_ids").alias("n_ctx"),
-                 F.concat("ctx_ids", "end_ids").alias("_t"),
-                 F.concat(F.array_repeat(F.lit(0), F.size("ctx_ids")),
-                          F.array_repeat(F.lit(1), F.size("end_ids"))).alias("_m"))
-    w = Window.partitionBy("item")  # four rows per item
-    r = r.withColumn("width", F.max(F.size("_t")).over(w))
-    fill = F.col("width") - F.size("_t")
-    return r.select("item", "label", "ending", "n_ctx", "width",
-                    F.concat("_t", F.array_repeat(F.lit(0), fill)).alias("tokens"),
-                    F.concat("_m", F.array_repeat(F.lit(0), fill)).alias("mask"))
+def render_choices(items: DataFrame, encoder: Encoder = BYTES, n_endings: int = 4) -> DataFrame:
+    """(item, label, ending, n_ctx, width, tokens, mask), rows of an item padded with 0.
+    An item's context and its ``n_endings`` endings at most are encoded in one row, so its
+    width needs no shuffle; more endings are an error."""
+    many = F.raise_error(F.lit(f"more than {n_endings} endings")).cast("array<string>")
+    it = items.select("item", "label", "ctx", F.when(F.size("endings") > n_endings, many).otherwise(
+        F.col("endings")).alias("endings"))
+    texts = {f"_e{i}": F.concat(F.lit(" "), F.get("endings", F.lit(i))) for i in range(n_endings)}
+    r = encoder.with_ids(it, _ctx=F.col("ctx"), **texts)
+    ends = F.slice(F.array(*texts), 1, F.size("endings"))
+    r = r.select("item", "label", F.size("_ctx").alias("n_ctx"), "_ctx",
+                 (F.size("_ctx") + F.array_max(F.transform(ends, F.size))).alias("width"),
+                 F.posexplode(ends).alias("ending", "_end"))
+    fill = F.array_repeat(F.lit(0), F.col("width") - F.col("n_ctx") - F.size("_end"))
+    return r.select("item", "label", F.col("ending").cast("int").alias("ending"), "n_ctx", "width",
+                    F.concat("_ctx", "_end", fill).alias("tokens"),
+                    F.concat(F.array_repeat(F.lit(0), F.col("n_ctx")),
+                             F.array_repeat(F.lit(1), F.size("_end")), fill).alias("mask"))
 
 
 def token_losses(rendered: DataFrame, losses_by_token: DataFrame) -> DataFrame:
-    """Stand-in for a model: loss at position p is the loss of token p+1 under a
-    per-token table (bounded by the vocabulary size, so broadcast). A token without a
-    loss is an error: leaving it out would change sums and counts."""
-    t = rendered.select("item", "ending", F.posexplode("tokens").alias("p", "token")).where(F.col("p") >= 1)
-    j = t.join(F.broadcast(losses_by_token), "token", "left")
-    return j.select("item", "ending", (F.col("p") - 1).alias("pos"), _present("token"))
+    """Stand-in for a model: ``losses`` holds at position p the loss of token p+1 under a
+    per-token table, looked up inside the row. A token without a loss is an error: leaving
+    it out would change sums and counts."""
+    return with_loss_table(rendered, losses_by_token).withColumn("losses", F.transform(
+        F.slice("tokens", 2, F.greatest(F.size("tokens") - 1, F.lit(0))), token_loss)).drop("_table")
+
+
+def ending_losses(scored: DataFrame) -> DataFrame:
+    """E2 + E3 inside a row: the loss at p weighted by the mask at p+1, its sum, and its
+    mean over the mask (NaN if there is none). A position without a loss is an error."""
+    shifted = F.slice("mask", 2, F.greatest(F.size("mask") - 1, F.lit(0)))
+    gap = F.raise_error(F.lit("no loss for a position")).cast("double")
+    weighted = F.zip_with("losses", shifted, lambda l, m: F.coalesce(l, gap) * m)
+    s = scored.select(*[c for c in ("item", "label", "ending") if c in scored.columns],
+                      F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x).alias("sum_loss"),
+                      F.aggregate(shifted, F.lit(0).cast("long"), lambda a, m: a + m).alias("n_mask"))
+    return s.withColumn("mean_loss", _mean())
 
 
 def shift_and_mask(losses: DataFrame, rendered: DataFrame) -> DataFrame:
-    """Loss at p weighted by the mask at p+1 (equi-join on the shifted position)."""
+    """E2 for a loss table of its own, one row per position (item, ending, pos, loss), as a
+    model writes it: loss at p weighted by the mask at p+1 (equi-join on the position)."""
     m = rendered.select("item", "ending", F.posexplode("mask").alias("mpos", "m")).where(F.col("mpos") >= 1)
     m = m.select("item", "ending", (F.col("mpos") - 1).alias("pos"), "m")
     j = m.join(losses, ["item", "ending", "pos"], "left").withColumn("loss", _present("pos"))
@@ -57,11 +71,14 @@ def _present(what: str):
 
 
 def completion_loss(masked: DataFrame) -> DataFrame:
-    """Sum and mean (over the mask) of the loss per ending; mean NaN if no mask."""
+    """E3 for such a table: sum and mean (over the mask) per ending; mean NaN if no mask."""
     g = masked.groupBy("item", "ending").agg(F.sum("masked_loss").alias("sum_loss"),
                                              F.sum("m").cast("long").alias("n_mask"))
-    mean = F.when(F.col("n_mask") > 0, F.col("sum_loss") / F.col("n_mask")).otherwise(F.lit(float("nan")))
-    return g.withColumn("mean_loss", mean)
+    return g.withColumn("mean_loss", _mean())
+
+
+def _mean():
+    return F.when(F.col("n_mask") > 0, F.col("sum_loss") / F.col("n_mask")).otherwise(F.lit(float("nan")))
 
 
 def pick_choice(losses: DataFrame) -> DataFrame:
@@ -69,11 +86,12 @@ def pick_choice(losses: DataFrame) -> DataFrame:
     lowest index; a NaN counts as the smallest, as an argmin over the values does."""
     def lowest(c):
         return F.min(F.struct(F.when(F.isnan(c), 0).otherwise(1), F.col(c), F.col("ending")))["ending"]
-    return losses.groupBy("item").agg(lowest("sum_loss").alias("pred"), lowest("mean_loss").alias("pred_norm"))
+    label = [F.first("label").alias("label")] if "label" in losses.columns else []
+    return losses.groupBy("item").agg(lowest("sum_loss").alias("pred"), lowest("mean_loss").alias("pred_norm"), *label)
 
 
-def with_labels(preds: DataFrame, items: DataFrame) -> DataFrame:
-    p = preds.join(items.select("item", "label"), "item")
+def with_correct(p: DataFrame) -> DataFrame:
+    """Whether the picks are the item's label, which the losses carry."""
     return p.withColumn("correct", (F.col("pred") == F.col("label")).cast("int")) \
         .withColumn("correct_norm", (F.col("pred_norm") == F.col("label")).cast("int"))
 

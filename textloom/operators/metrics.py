@@ -19,28 +19,36 @@ INF = float("inf")
 MAX_LOOKUP = 1 << 20  # a per-token table is bounded by the vocabulary size
 
 
+def with_loss_table(df: DataFrame, losses_by_token: DataFrame) -> DataFrame:
+    """``df`` with ``_table``, (token, loss) pairs as one array whose position is the token, null
+    where a token has no loss. The table is bounded by the vocabulary size, checked, and comes
+    by a scalar subquery: no driver job, no shuffle of tokens."""
+    few = losses_by_token.where(F.col("token") >= 0).limit(MAX_LOOKUP + 1)
+    wide = F.raise_error(F.lit("per-token loss table larger than a vocabulary")).cast("int")
+    size = few.agg(F.when(F.max("token") < MAX_LOOKUP, F.max("token") + 1).when(
+        F.max("token").isNull(), F.lit(0)).otherwise(wide).alias("n")).scalar()
+    ids = losses_by_token.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), size)).alias("token"))
+    full = ids.join(few, "token", "left").groupBy("token").agg(F.first("loss").alias("loss"))
+    table = full.agg(F.transform(F.array_sort(F.collect_list(F.struct("token", "loss"))), lambda p: p["loss"]).alias("t"))
+    return df.withColumn("_table", table.scalar())
+
+
+def token_loss(t) -> Column:
+    """Loss of a token by ``_table``; a token without one is an error."""
+    missing = F.raise_error(F.concat(F.lit("no loss for token "), t.cast("string"))).cast("double")
+    return F.coalesce(F.get("_table", t), missing)
+
+
 def sequence_loss(df: DataFrame, keys, targets_col: str, losses_by_token: DataFrame) -> DataFrame:
     """Loss of a row under a per-token loss table: mean over targets that are not
-    -100 (NaN if none), and the number of such targets.
-
-    The table has one row per token id (bounded by the vocabulary size, checked), so
-    it is turned into an array and looked up inside each row: no explode and no
-    shuffle of the token positions. Rows are grouped by ``keys`` only when a key
-    holds several rows (e.g. a batch)."""
+    -100 (NaN if none), and the number of such targets. Rows are grouped by ``keys``, which
+    hold several rows each (e.g. a batch)."""
     keys = list(keys)
-    n = losses_by_token.count()
-    if n > MAX_LOOKUP:
-        raise ValueError("per-token loss table larger than a vocabulary")
-    pairs = sorted((int(r["token"]), float(r["loss"])) for r in losses_by_token.select("token", "loss").collect())
-    if [t for t, _ in pairs] != list(range(len(pairs))):
-        raise ValueError("per-token loss table must cover ids 0..V-1")
-    table = F.array(*[F.lit(v) for _, v in pairs])
     t = F.filter(F.col(targets_col), lambda x: x != IGNORE_INDEX)
-    init = F.struct(F.lit(0.0).cast("double").alias("s"), F.lit(0).cast("long").alias("n"))
-    acc = F.aggregate(t, init, lambda st, x: F.struct((st["s"] + F.element_at(table, x + 1)).alias("s"),
-                                                      (st["n"] + 1).alias("n")))
-    rows = df.select(*keys, acc.alias("_a"))
-    g = rows.groupBy(*keys).agg(F.sum("_a.s").alias("_s"), F.sum("_a.n").cast("long").alias("targets"))
+    rows = with_loss_table(df, losses_by_token).select(
+        *keys, F.aggregate(t, F.lit(0.0), lambda s, x: s + token_loss(x)).alias("_s"),
+        F.size(t).cast("long").alias("_n"))
+    g = rows.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_n").cast("long").alias("targets"))
     return g.select(*keys, F.when(F.col("targets") > 0, F.col("_s") / F.col("targets"))
                     .otherwise(F.lit(NAN)).alias("loss"), "targets")
 
@@ -90,7 +98,8 @@ def rank_reduce(df: DataFrame, keys, value: str, how: str = "avg") -> DataFrame:
 def validation_loss(window_losses: DataFrame, n: int) -> DataFrame:
     """M4: equal-weight mean of the n window losses of each rank, then the mean over ranks."""
     per_rank = window_losses.groupBy("rank").agg((F.sum("loss") / F.lit(n)).alias("loss"))
-    return per_rank.agg(F.avg("loss").alias("val_loss"), F.count(F.lit(1)).cast("long").alias("ranks"))
+    ranks = per_rank.agg(F.count(F.lit(1)).cast("long").alias("n")).scalar()
+    return rank_reduce(per_rank, [], "loss").select(F.col("loss").alias("val_loss"), ranks.alias("ranks"))
 
 
 def throughput(steps: DataFrame, B: int, T: int, grad_accum: int, N: int) -> DataFrame:

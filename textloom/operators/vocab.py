@@ -67,25 +67,12 @@ def word_vocab(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
     return top.withColumn("id", (F.row_number().over(w) - 1).cast("int"))
 
 
-def word_encode(df: DataFrame, vocab: DataFrame, size: int, key: str = "doc_id", text_col: str = "text",
-                out: str = "ids") -> DataFrame:
-    """T4 ``words``: per row, ids of its words in order (unknown = size). The vocabulary
-    has at most ``size`` rows and is broadcast. Specials are split off first."""
-    sid = {t: size + k for k, (t, _) in enumerate(SPECIAL_TOKENS)}
-    t = F.col(text_col)
-    segs = F.when(F.instr(t, "<|") > 0, F.split(t, SPECIAL_BOUNDARY)).otherwise(F.array(t))
-    seg = df.select(key, F.posexplode(segs).alias("s", "seg"))
-    special = None
-    for tok, i in sid.items():
-        special = F.when(F.col("seg") == tok, F.lit(i)) if special is None else special.when(F.col("seg") == tok, F.lit(i))
-    pieces = seg.select(key, "s", special.alias("sp"),
-                        F.when(special.isNull(), word_pieces("seg")).otherwise(F.array(F.lit(None).cast("string"))).alias("ws"))
-    words = pieces.select(key, "s", "sp", F.posexplode("ws").alias("p", "word"))
-    j = words.join(F.broadcast(vocab.select("word", "id")), "word", "left")
-    tid = F.coalesce(F.col("sp"), F.col("id"), F.lit(size)).cast("int")
-    got = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("s", "p", tid.alias("t")))).alias("_l"))
-    got = got.select(key, F.transform("_l", lambda x: x["t"]).alias(out))
-    return df.join(got, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+def word_encode(df: DataFrame, vocab: DataFrame, size: int, text_col: str = "text", out: str = "ids") -> DataFrame:
+    """T4 ``words``: per row, ids of its words in order (unknown = size, specials from size + 1),
+    looked up inside the row."""
+    from textloom.operators.encoders import WordEncoder
+
+    return WordEncoder(vocab, size).with_ids(df, **{out: F.col(text_col)})
 
 
 def compare_encoders(df: DataFrame, counts: dict, split_col: str = "split") -> DataFrame:
@@ -98,7 +85,6 @@ def compare_encoders(df: DataFrame, counts: dict, split_col: str = "split") -> D
 # Byte-level pre-tokens: a run of letters, digits or other non-space characters with
 # at most one leading space, or a run of spaces; together they cover the text.
 BPE_PRETOKEN = r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+)"
-MAX_MERGES = 1 << 20
 
 
 def _apply_merges(ids: list[int], ranks: dict) -> list[int]:
@@ -124,39 +110,38 @@ def _apply_merges(ids: list[int], ranks: dict) -> list[int]:
     return ids
 
 
-def bpe_encode(df: DataFrame, merges: DataFrame, key: str = "doc_id", text_col: str = "text",
-               out: str = "ids") -> DataFrame:
-    """T4 ``bpe``: byte-level BPE with a given merges table (rank, left, right, id) over
-    byte ids (0-255; specials from 256 as in the byte encoder). Only distinct
-    pre-tokens go through the merge loop (Arrow batches); their ids join back by
-    pre-token (AQE splits a hot pre-token), then are put in order per row."""
-    from textloom.functions.tokens import byte_special_ids
-
-    if merges.count() > MAX_MERGES:
-        raise ValueError("merges table larger than a vocabulary")
-    ranks = {(int(r["left"]), int(r["right"])): (int(r["rank"]), int(r["id"]))
-             for r in merges.select("rank", "left", "right", "id").collect()}
-    bc = df.sparkSession.sparkContext.broadcast(ranks)
-    sid = byte_special_ids()
-    t = F.col(text_col)
-    segs = F.when(F.instr(t, "<|") > 0, F.split(t, SPECIAL_BOUNDARY)).otherwise(F.array(t))
-    seg = df.select(key, F.posexplode(segs).alias("s", "seg"))
-    table = F.create_map(*[x for tok, i in sid.items() for x in (F.lit(tok), F.lit(i))])
-    seg = seg.withColumn("sp", F.element_at(table, F.col("seg")))
-    toks = seg.select(key, "s", "sp", F.posexplode(F.when(F.col("sp").isNull(), F.regexp_extract_all(
-        "seg", F.lit(BPE_PRETOKEN), 1)).otherwise(F.array(F.lit(None).cast("string")))).alias("p", "pre"))
-
-    def encode(batches):
-        import pandas as pd
-        r = bc.value
-        for pdf in batches:
-            yield pd.DataFrame({"pre": pdf["pre"],
-                                "pids": [_apply_merges(list(w.encode("utf-8")), r) for w in pdf["pre"]]})
-
-    distinct = toks.where(F.col("pre").isNotNull()).select("pre").distinct()
-    enc = distinct.mapInPandas(encode, "pre string, pids array<int>")
-    j = toks.join(enc, "pre", "left")
-    piece = F.when(F.col("sp").isNotNull(), F.array(F.col("sp"))).otherwise(F.col("pids"))
-    got = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("s", "p", piece.alias("ids")))).alias("_l"))
-    got = got.select(key, F.flatten(F.transform("_l", lambda x: x["ids"])).alias(out))
-    return df.join(got, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+def bpe_encode(df: DataFrame, merges: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
+    """T4 ``bpe``: byte-level BPE with a given merges table over byte ids (0-255; specials
+    from 256 as in the byte encoder)."""
+    from textloom.operators.encoders import BpeEncoder
+
+    return BpeEncoder(merges).with_ids(df, **{out: F.col(text_col)})
+
+
+def read_tokenizer_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """T1 from a tokenizer's folder: ``added_tokens.json`` (token -> id) and the roles of
+    ``special_tokens_map.json`` (``*_token`` keys; a role is a string or an object with
+    ``content``). Same columns as ``special_tokens``."""
+    def text(name):
+        return spark.read.text(f"{folder.rstrip('/')}/{name}", wholetext=True)
+
+    ids = text("added_tokens.json").select(F.explode(F.from_json("value", "map<string,int>")).alias("token", "id"))
+    raw = text("special_tokens_map.json").select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "v"))
+    single = raw.where(F.col("key").endswith("_token"))
+    roles = single.select(F.coalesce(F.get_json_object("v", "$.content"), F.col("v")).alias("token"),
+                          F.regexp_replace("key", "_token$", "").alias("role"))
+    roles = roles.where(F.col("role").isin("bos", "eos", "pad")).groupBy("token").agg(
+        F.array_sort(F.collect_set("role")).alias("roles"))
+    return ids.join(roles, "token", "left").select(
+        "token", "id", F.coalesce("roles", F.array(F.lit("additional"))).alias("roles"), F.lit(True).alias("special"))
+
+
+def write_tokenizer_folder(vocab: DataFrame, folder: str) -> None:
+    """The two files of ``read_tokenizer_folder`` from a special-token table (a few rows)."""
+    def put(df, name):
+        df.select(F.to_json("m").alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder.rstrip('/')}/{name}")
+
+    put(vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("m")), "added_tokens.json")
+    roles = vocab.select("token", F.explode("roles").alias("role")).where(F.col("role") != "additional")
+    put(roles.agg(F.map_from_entries(F.collect_list(F.struct(F.concat("role", F.lit("_token")), "token"))).alias("m")),
+        "special_tokens_map.json")

@@ -67,22 +67,38 @@ def window_ordinals(counts: DataFrame) -> DataFrame:
     The running count over shards is over the small (shard x rank) table."""
     w = Window.partitionBy("split", "rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     c = counts.withColumn("first", F.coalesce(F.sum("windows").over(w), F.lit(0)).cast("long"))
-    e = c.select("split", "rank", "shard", "n_tokens", "first",
+    e = c.select("split", "rank", "shard", "first",
                  F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1)).alias("k"))
-    return e.select("split", "rank", (F.col("first") + F.col("k")).alias("ordinal"), "shard", "k", "n_tokens")
+    return e.select("split", "rank", (F.col("first") + F.col("k")).alias("ordinal"), "shard", "k")
 
 
 def assign_windows(counts: DataFrame, reads: DataFrame, B: int, T: int, N: int) -> DataFrame:
     """K9 core: ``reads`` has (split, rank, read) with the read number of that rank
-    from the start; the rank wraps to shard 0 after its last window."""
+    from the start; the rank wraps to shard 0 after its last window.
+
+    Where all shards of a split but the last are full, as K2 packs them, a rank has the same
+    number of windows in each of them, and the shard and window of a read are arithmetic on
+    three numbers per (split, rank): windows of a full shard, last shard, all windows. Reads
+    of ranks whose shards differ (manifests from elsewhere) find theirs by a join on the
+    windows in reading order, which is empty otherwise."""
     bt = B * T
-    totals = counts.groupBy("split", "rank").agg(F.sum("windows").cast("long").alias("total"))
-    r = reads.join(F.broadcast(totals), ["split", "rank"])  # splits x ranks rows
-    r = r.withColumn("ordinal", F.pmod(F.col("read"), F.col("total")))
-    o = window_ordinals(counts)
-    j = r.join(o, ["split", "rank", "ordinal"])
-    return j.withColumn("start", (F.lit(bt) * F.col("rank") + F.col("k") * F.lit(bt * N)).cast("long")) \
-        .drop("total", "ordinal", "n_tokens")
+    ends = counts.groupBy("split", "rank").agg(
+        F.min_by("windows", "shard").alias("full"), F.max_by("windows", "shard").alias("last"),
+        F.max("shard").alias("end"), F.count(F.lit(1)).alias("n"), F.sum("windows").cast("long").alias("total"),
+        F.min("windows").alias("least"), F.max("windows").alias("most"))
+    # equal before the last: the sum fits, and no shard has more windows (or, but for the last, fewer) than the first
+    even = (F.col("end") + 1 == F.col("n")) & (F.col("most") == F.col("full")) & \
+        (F.col("least") == F.col("last")) & (F.col("total") == F.col("full") * F.col("end") + F.col("last"))
+    ends = ends.select("split", "rank", "full", "end", "total", even.alias("even"))
+    r = reads.join(F.broadcast(ends), ["split", "rank"])  # one row per split and rank
+    r = r.withColumn("ordinal", F.expr("read % total"))
+    near = r.where("even").withColumn("shard", F.least(F.expr("ordinal div full"), F.col("end"))) \
+        .withColumn("k", F.col("ordinal") - F.col("shard") * F.col("full"))
+    odd = counts.join(F.broadcast(ends.where("not even").select("split", "rank")), ["split", "rank"], "left_semi")
+    far = r.where("not even").join(window_ordinals(odd), ["split", "rank", "ordinal"])
+    w = near.unionByName(far)
+    return w.withColumn("start", (F.lit(bt) * F.col("rank") + F.col("k") * F.lit(bt * N)).cast("long")) \
+        .drop("total", "ordinal", "full", "end", "even")
 
 
 def assign_steps(spark: SparkSession, counts: DataFrame, max_steps: int, grad_accum: int,
@@ -141,7 +157,7 @@ def window_rows(windows: DataFrame, B: int, T: int, keys: tuple[str, ...] = ("sp
 
 
 def window_buffers(chunks: DataFrame, counts: DataFrame, B: int, T: int, N: int, shard_size: int,
-                   chunk_size: int) -> DataFrame:
+                   chunk_size: int, wanted: DataFrame | None = None) -> DataFrame:
     """K4 without a join on chunks: every window of every rank, cut from the chunk rows.
 
     Window starts are multiples of B*T inside a shard, so the windows of all ranks
@@ -149,8 +165,9 @@ def window_buffers(chunks: DataFrame, counts: DataFrame, B: int, T: int, N: int,
     (rank j mod N, k j div N), and its first token is the last token of the window
     of block j-1. Each chunk is cut into pieces per block (each token goes to one
     window, block heads to two), grouped by window; windows beyond a rank's count
-    (the unused tail of a shard) are dropped by a join on the small counts table.
-    Output: (split, shard, rank, k, x, y)."""
+    (the unused tail of a shard) are dropped by the formula of K6, with the last shard and
+    its length per split. ``wanted`` (split, shard, rank, k) keeps these windows only,
+    before anything is grouped. Output: (split, shard, rank, k, x, y)."""
     bt = B * T
     per_shard = shard_size // chunk_size
     BT = F.lit(bt).cast("long")
@@ -176,8 +193,13 @@ def window_buffers(chunks: DataFrame, counts: DataFrame, B: int, T: int, N: int,
         .select("split", "shard", "p.block", "p.pos", "p.piece")
     pieces = pieces.withColumn("rank", F.pmod(F.col("block"), F.lit(N)).cast("int")) \
         .withColumn("k", F.floor(F.col("block") / N).cast("long"))
-    valid = counts.select("split", "shard", F.col("rank").cast("int").alias("rank"), "windows")
-    pieces = pieces.join(F.broadcast(valid), ["split", "shard", "rank"]).where(F.col("k") < F.col("windows"))
+    ends = counts.groupBy("split").agg(F.max("shard").alias("_end"), F.max_by("n_tokens", "shard").alias("_n"))
+    pieces = pieces.join(F.broadcast(ends), "split")  # one row per split
+    length = F.when(F.col("shard") < F.col("_end"), F.lit(shard_size)).otherwise(F.col("_n"))
+    pieces = pieces.withColumn("_room", length - 1 - F.lit(bt) * F.col("rank")) \
+        .where(F.col("k") < F.greatest(F.lit(1), F.expr(f"_room div {bt * N}"))).drop("_end", "_n", "_room")
+    if wanted is not None:
+        pieces = pieces.join(wanted.select("split", "shard", "rank", "k").distinct(), ["split", "shard", "rank", "k"], "left_semi")
     w = pieces.groupBy("split", "shard", "rank", "k").agg(
         F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
     buf = F.flatten(F.transform("parts", lambda s: s["piece"]))

@@ -108,14 +108,14 @@ def step_plan(total_batch: int, B: int, T: int, N: int) -> str:
   FROM manifest GROUP BY split)"""
 
 
-def reads(split: str, count_sql: str, B: int, T: int, N: int) -> str:
+def reads(split: str, count_sql: str, B: int, T: int, N: int, p: str = "") -> str:
     bt = B * T
-    return f"""reads AS (
+    return f"""{p}reads AS (
   SELECT '{split}' AS split, r.read::BIGINT AS read, k.rank::INTEGER AS rank
   FROM range(({count_sql})) r(read), range({N}) k(rank)),
-assigned AS (
+{p}assigned AS (
   SELECT r.split, r.rank, r.read, w.shard, w.k, ({bt} * r.rank + w.k * {bt * N})::BIGINT AS start
-  FROM reads r JOIN wtotal t ON r.split = t.split AND r.rank = t.rank
+  FROM {p}reads r JOIN wtotal t ON r.split = t.split AND r.rank = t.rank
   JOIN wlist w ON w.split = r.split AND w.rank = r.rank AND w.ordinal = r.read % t.total)"""
 
 
@@ -158,11 +158,11 @@ chat AS (
 chat2 AS (SELECT conv_id, turn, prompt_text, prompt_text || r || '<|im_end|>' AS full_text FROM chat)"""
 
 
-def sft(max_len: int) -> str:
+def sft(max_len: int, ids=byte_ids) -> str:
     return f"""enc AS (
   SELECT conv_id, turn, prompt_text, full_text,
-         list_slice({byte_ids('prompt_text')}, 1, {max_len}) AS p_ids,
-         list_slice({byte_ids('full_text')}, 1, {max_len}) AS ids
+         list_slice({ids('prompt_text')}, 1, {max_len}) AS p_ids,
+         list_slice({ids('full_text')}, 1, {max_len}) AS ids
   FROM chat2),
 sft AS (
   SELECT conv_id, turn, ids, least(len(p_ids), len(ids))::BIGINT AS prompt_len FROM enc
@@ -268,28 +268,35 @@ blosses AS (SELECT d.batch_id, coalesce(t.loss, 'NaN'::DOUBLE) AS loss, coalesce
             d.dataset_tokens FROM bdt d LEFT JOIN btl t ON t.batch_id = d.batch_id)"""
 
 
-def cycled(steps: int, accum: int, epochs: int) -> str:
-    per = steps * accum
-    return f"""nb AS (SELECT count(*) AS n FROM blosses),
+def cycled(accum: int, epochs: int) -> str:
+    """Epochs of as many steps as read every batch once."""
+    return f"""nb AS (SELECT count(*) AS n, (count(*) + {accum - 1}) // {accum} * {accum} AS per FROM blosses),
 cyc AS (
-  SELECT r.i AS read, (r.i // {per})::INTEGER AS epoch, ((r.i % {per}) // {accum})::BIGINT AS step,
+  SELECT r.i AS read, (r.i // nb.per)::INTEGER AS epoch, ((r.i % nb.per) // {accum})::BIGINT AS step,
          b.loss, b.targets, b.dataset_tokens
-  FROM range({per * epochs}) r(i), nb JOIN blosses b ON b.batch_id = r.i % nb.n)"""
+  FROM range((SELECT (per * {epochs})::BIGINT FROM nb)) r(i), nb JOIN blosses b ON b.batch_id = r.i % nb.n)"""
 
 
-def window_loss_sums(shard_size: int, bt: int) -> str:
-    return f"""tl AS MATERIALIZED (
+TOKEN_LOSSES = """tl AS MATERIALIZED (
   SELECT t.split, t.gpos, sum(l.loss) OVER (PARTITION BY t.split ORDER BY t.gpos) AS cum
-  FROM toks t JOIN byte_losses l ON l.token = t.tok),
-ak AS MATERIALIZED (
+  FROM toks t JOIN byte_losses l ON l.token = t.tok)"""
+
+
+def window_losses(shard_size: int, bt: int, p: str = "") -> str:
+    """Losses of the windows in ``{p}assigned`` as ``{p}wl``."""
+    return f"""{p}ak AS MATERIALIZED (
   SELECT split, rank, read, shard, k, shard * {shard_size} + start AS gs,
-         shard * {shard_size} + start + {bt} AS ge FROM assigned),
-wl AS (
-  SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM ak a
+         shard * {shard_size} + start + {bt} AS ge FROM {p}assigned),
+{p}wl AS (
+  SELECT a.split, a.rank, a.read, a.shard, a.k, (e.cum - s.cum) / {bt} AS loss FROM {p}ak a
   JOIN tl s ON s.split = a.split AND s.gpos = a.gs
   JOIN tl e ON e.split = a.split AND e.gpos = a.ge)"""
 
 
+def window_loss_sums(shard_size: int, bt: int) -> str:
+    return f"{TOKEN_LOSSES},\n{window_losses(shard_size, bt)}"
+
+
 WORD_PATTERN = r"(\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\x0B\f\r ]+)"
 
 
@@ -302,6 +309,19 @@ wvocab AS (
   FROM wcount ORDER BY count DESC, word LIMIT {size})"""
 
 
+BPE_PATTERN = r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+)"
+
+
+def bpe_ids(text: str, merges) -> str:
+    """Ids of ``text`` as a string of numbers: its pre-tokens' bytes as ``<b>``, pre-tokens apart
+    by ``|``, and one replacement for each merge in rank order."""
+    byte = f"list_transform({plain_bytes('w')}, lambda b: '<' || b::VARCHAR || '>')"
+    out = f"array_to_string(list_transform(regexp_extract_all({text}, {q(BPE_PATTERN)}, 1), lambda w: array_to_string({byte}, '')), '|')"
+    for _, left, right, new in merges:
+        out = f"replace({out}, '<{left}><{right}>', '<{new}>')"
+    return f"trim(replace(replace({out}, '|', ''), '><', ' '), '<>')"
+
+
 def word_ids(size: int) -> str:
     return f"""wpos AS (
   SELECT doc_id, split, unnest(ws) AS word, unnest(range(len(ws))) AS p

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.text import chat_full, chat_prompt, coerce_text, compute_once, normalize_text
-from textloom.functions.tokens import EOT, PAD, byte_encode, truncate
+from textloom.functions.text import chat_full, chat_prompt, coerce_text, normalize_text
+from textloom.functions.tokens import truncate
 from textloom.operators.collate import assign_batches, collate_chat, collate_warmup
+from textloom.operators.encoders import BYTES, Encoder
 from textloom.operators.order import take_rows
 
 # Chat batches of 4 rows capped at 1,024 tokens; warm-up batches of
@@ -28,37 +29,44 @@ def chat_text(instr: DataFrame) -> DataFrame:
         .drop("_s", "_q", "_r")
 
 
-def sft_examples(instr: DataFrame, max_len: int = CHAT_MAX_LEN) -> DataFrame:
+def sft_examples(instr: DataFrame, max_len: int = CHAT_MAX_LEN, encoder: Encoder = BYTES) -> DataFrame:
     """Prompt and full text encoded apart and truncated; rows with fewer than
     two ids or no response token left are dropped."""
     t = chat_text(instr)
-    t = compute_once(t, _p=truncate(byte_encode("prompt_text"), max_len),
-                     ids=truncate(byte_encode("full_text"), max_len))
+    t = encoder.with_ids(t, _p=F.col("prompt_text"), ids=F.col("full_text"))
+    t = t.withColumn("_p", truncate("_p", max_len)).withColumn("ids", truncate("ids", max_len))
     t = t.withColumn("prompt_len", F.least(F.size("_p"), F.size("ids")))
     return t.where((F.size("ids") >= 2) & (F.col("prompt_len") < F.size("ids"))).drop("_p")
 
 
-def take_valid_rows(examples: DataFrame, order_cols, n: int | None) -> DataFrame:
-    """First n rows after all drops (all when n is None). A top-k, not a numbering."""
-    return take_rows(examples, order_cols, n)
+def take_valid_rows(examples: DataFrame, order_cols, n: int | None, worker_col: str | None = None) -> DataFrame:
+    """First n rows after all drops (all when n is None), a top-k and no numbering. With
+    ``worker_col`` the cap holds for each worker: up to n rows of every worker's share, which
+    Spark cuts to n before the shuffle."""
+    if n is None or worker_col is None:
+        return take_rows(examples, order_cols, n)
+    first = F.row_number().over(Window.partitionBy(worker_col).orderBy(*order_cols))
+    return examples.withColumn("_n", first).where(F.col("_n") <= int(n)).drop("_n")
 
 
 def chat_batches(instr: DataFrame, batch_size: int = CHAT_BATCH, max_len: int = CHAT_MAX_LEN,
-                 max_rows: int | None = None, order_cols=("conv_id", "turn")) -> DataFrame:
-    ex = take_valid_rows(sft_examples(instr, max_len), list(order_cols), max_rows)
+                 max_rows: int | None = None, order_cols=("conv_id", "turn"), encoder: Encoder = BYTES) -> DataFrame:
+    ex = take_valid_rows(sft_examples(instr, max_len, encoder), list(order_cols), max_rows)
     b = assign_batches(ex, list(order_cols), batch_size)
-    return collate_chat(b, max_len, EOT, PAD)
+    return collate_chat(b, max_len, encoder.eot, encoder.pad)
 
 
-def warmup_ids(docs: DataFrame, max_len: int = WARMUP_MAX_LEN) -> DataFrame:
+def warmup_ids(docs: DataFrame, max_len: int = WARMUP_MAX_LEN, encoder: Encoder = BYTES) -> DataFrame:
     """P1 + T4 + T8: text coerced (no strip), encoded, first ``max_len`` ids."""
-    return compute_once(docs, ids=truncate(byte_encode(coerce_text("text")), max_len))
+    ids = encoder.with_ids(docs.select(*[c for c in docs.columns if c != "text"], coerce_text("text").alias("text")),
+                           ids=F.col("text"))
+    return ids.withColumn("ids", truncate("ids", max_len)).drop("text")
 
 
 def warmup_batches(docs: DataFrame, batch_size: int = WARMUP_BATCH, max_len: int = WARMUP_MAX_LEN,
-                   max_rows: int | None = None, order_cols=("doc_id",)) -> DataFrame:
+                   max_rows: int | None = None, order_cols=("doc_id",), encoder: Encoder = BYTES) -> DataFrame:
     """P5 (cap on raw rows, before encoding) + B1 + B3-B6 with pad = EOS."""
     if max_rows is not None:
-        docs = docs.orderBy(*order_cols).limit(max_rows)
-    b = assign_batches(warmup_ids(docs, max_len), list(order_cols), batch_size)
-    return collate_warmup(b, max_len, EOT)
+        docs = take_rows(docs, order_cols, max_rows)
+    b = assign_batches(warmup_ids(docs, max_len, encoder), list(order_cols), batch_size)
+    return collate_warmup(b, max_len, encoder.eot)

@@ -1,10 +1,8 @@
 """Corpus to token shards: documents -> byte ids -> offsets -> chunks -> manifest.
 
-Plan shape: the offsets are a prefix sum over (split, doc_id, length) only; the
-text is shuffled once by (split, bucket) for the in-bucket running sum, encoded
-after that shuffle, cut into pieces per chunk and shuffled once more by
-(split, chunk). No task ever holds more than one bucket of document texts or one
-chunk of tokens.
+Plan shape: the offsets are a prefix sum over (split, doc_id, length) only, joined
+back to the texts, which are encoded after that, cut into pieces per chunk and
+shuffled once more by (split, chunk group).
 """
 
 from __future__ import annotations
@@ -12,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import compute_once
-from textloom.functions.tokens import EOT, byte_encode, byte_encode_length, checked_ids, prepend
+from textloom.functions.tokens import byte_encode_length, prepend
+from textloom.operators.encoders import BYTES, Encoder
 from textloom.operators.pack import pack_chunks, shard_manifest, split_totals, token_offsets
 
 # Sizes used on the test tables (the reference's own are 100M-token shards).
@@ -23,19 +21,24 @@ TEST_CHUNK_SIZE = 4_096
 
 def document_offsets(docs: DataFrame) -> DataFrame:
     """K1 over (split, doc_id, text): adds n_tokens (EOT included) and start."""
-    return token_offsets(docs, F.lit(1) + byte_encode_length("text"))
+    return token_offsets(docs, F.lit(1) + BYTES.length("text"))
 
 
-def document_ids(offsets: DataFrame) -> DataFrame:
-    """T4 + T5 + T6 + T7 after the offsets: ids = [EOT] + bytes, range checked."""
-    return compute_once(offsets, ids=checked_ids(prepend(byte_encode("text"), EOT)))
+def document_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
+    """T4 + T5 + T6: ids = [delimiter] + ids of the text."""
+    return encoder.with_ids(docs, ids=F.col("text")).withColumn("ids", prepend("ids", encoder.eot))
 
 
-def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE,
-                  chunk_size: int = TEST_CHUNK_SIZE) -> DataFrame:
-    """K2 over a corpus (split, doc_id, text)."""
-    ids = document_ids(document_offsets(docs)).select("split", "start", "ids")
-    return pack_chunks(ids, shard_size, chunk_size)
+def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, chunk_size: int = TEST_CHUNK_SIZE,
+                  encoder: Encoder = BYTES) -> DataFrame:
+    """K2 over a corpus (split, doc_id, text). An encoder that knows lengths without encoding
+    encodes after the offsets; any other one encodes once, before them."""
+    if encoder.length("text") is None:
+        ids = document_ids(docs, encoder).select("split", "doc_id", "ids")
+        ids = token_offsets(ids, F.size("ids"))
+    else:
+        ids = document_ids(token_offsets(docs, F.lit(1) + encoder.length("text")), encoder)
+    return pack_chunks(ids.select("split", "start", "ids"), shard_size, chunk_size)
 
 
 def corpus_totals(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> DataFrame:

@@ -4,7 +4,7 @@ metric log of the training loop."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.metrics import sequence_loss
@@ -22,11 +22,16 @@ def train_step_losses(windows: DataFrame, wl: DataFrame, grad_accum: int) -> Dat
     return per_rank.groupBy("step").agg(F.avg("loss").alias("loss"))
 
 
-def metric_log(schedule: DataFrame, train_loss: DataFrame, val_loss: float, hella_acc: float) -> DataFrame:
+def train_rows(train_loss: DataFrame) -> DataFrame:
+    """(step, kind, value) rows of the training losses."""
+    return train_loss.select("step", F.lit("train").alias("kind"), F.col("loss").alias("value"))
+
+
+def metric_log(schedule: DataFrame, train_loss: DataFrame, val_loss: Column, hella_acc: Column) -> DataFrame:
     """(step, kind, value) rows of the loop: val and hella at evaluation steps, train
-    at every step. ``val_loss`` and ``hella_acc`` are scalars of one-row aggregates."""
+    at every step. ``val_loss`` and ``hella_acc`` are scalar subqueries of one-row aggregates,
+    so building the log runs no job."""
     ev = schedule.where("evaluate").select("step")
-    val = ev.select("step", F.lit("val").alias("kind"), F.lit(float(val_loss)).alias("value"))
-    hel = ev.select("step", F.lit("hella").alias("kind"), F.lit(float(hella_acc)).alias("value"))
-    tr = train_loss.select("step", F.lit("train").alias("kind"), F.col("loss").alias("value"))
-    return val.unionByName(hel).unionByName(tr)
+    val = ev.select("step", F.lit("val").alias("kind"), val_loss.alias("value"))
+    hel = ev.select("step", F.lit("hella").alias("kind"), hella_acc.alias("value"))
+    return val.unionByName(hel).unionByName(train_rows(train_loss))

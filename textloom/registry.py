@@ -43,8 +43,7 @@ def _with(*ctes: str) -> str:
 @register("doc_token_ids", _with(O.CORPUS, O.DOC_IDS) + f"""
 SELECT split, doc_id, len(ids)::BIGINT AS n_tokens, {O.ids_text('ids')} AS ids FROM doc_ids""")
 def q_doc_token_ids(spark, sf_dir):
-    offs = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
-    return offs.select("split", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    return C.document_ids(X.corpus(spark, sf_dir)).select("split", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        ids_text("ids").alias("ids"))
 
 
@@ -84,61 +83,36 @@ VAL_N = 20
 _MANIFEST_CTES = (O.CORPUS, O.DOC_IDS, O.OFFSETS, O.totals(SHARD), O.manifest(SHARD, NAME))
 
 
-class _Small:
-    """Small tables of one query, computed once and kept (sizes bounded: one row per
-    shard and rank, 266 byte losses)."""
-
-    def __init__(self, spark, sf_dir):
-        self.spark, self.sf_dir = spark, sf_dir
-        self._m = self._c = self._s = self._b = None
-
-    @property
-    def manifest(self):
-        if self._m is None:
-            self._m = C.corpus_manifest(X.corpus(self.spark, self.sf_dir), SHARD, NAME).persist()
-        return self._m
-
-    @property
-    def counts(self):
-        from textloom.operators.windows import window_counts
-        if self._c is None:
-            self._c = window_counts(self.manifest, B, T, N).persist()
-        return self._c
+def _manifest(spark, sf_dir):
+    """The manifest as a written table: the corpus is measured once for all that reads it."""
+    from textloom.session import written_once
+    return written_once(C.corpus_manifest(X.corpus(spark, sf_dir), SHARD, NAME), "manifest")
 
-    @property
-    def max_steps(self) -> int:
-        from textloom.operators.windows import plan_steps
-        if self._s is None:
-            self._s = int(plan_steps(self.manifest, TOTAL_BATCH, B, T, N)
-                          .where(F.col("split") == "train").first()["max_steps"])
-        return self._s
 
-    @property
-    def byte_losses(self):
-        if self._b is None:
-            self._b = X.byte_losses(self.spark, self.sf_dir).persist()
-        return self._b
+def _counts(manifest):
+    from textloom.operators.windows import window_counts
+    return window_counts(manifest, B, T, N)
 
 
-def _manifest(spark, sf_dir):
-    return C.corpus_manifest(X.corpus(spark, sf_dir), SHARD, NAME)
+def _max_steps(manifest) -> int:
+    from textloom.operators.windows import plan_steps
+    return int(plan_steps(manifest, TOTAL_BATCH, B, T, N).where(F.col("split") == "train").first()["max_steps"])
 
 
-def _counts(spark, sf_dir):
-    from textloom.operators.windows import window_counts
-    return window_counts(_manifest(spark, sf_dir), B, T, N)
+def _train_windows(spark, manifest):
+    from textloom.operators.windows import assign_steps
+    return assign_steps(spark, _counts(manifest), _max_steps(manifest), ACCUM, B, T, N)
 
 
-def _max_steps(spark, sf_dir) -> int:
-    from textloom.operators.windows import plan_steps
-    return int(plan_steps(_manifest(spark, sf_dir), TOTAL_BATCH, B, T, N)
-               .where(F.col("split") == "train").first()["max_steps"])
+def _val_windows(spark, manifest):
+    from textloom.operators.windows import validation_windows
+    return validation_windows(spark, _counts(manifest), B, T, N, VAL_N)
 
 
 @register("window_counts", _with(*_MANIFEST_CTES, O.window_counts(B, T, N)) + """
 SELECT split, shard, name, rank, n_tokens, windows FROM wcounts""")
 def q_window_counts(spark, sf_dir):
-    return _counts(spark, sf_dir).withColumn("rank", F.col("rank").cast("int"))
+    return _counts(_manifest(spark, sf_dir)).withColumn("rank", F.col("rank").cast("int"))
 
 
 @register("step_plan", _with(*_MANIFEST_CTES, O.step_plan(TOTAL_BATCH, B, T, N)) + """
@@ -159,7 +133,7 @@ SELECT s.step::BIGINT AS step, s.step = m - 1 AS last_step,
 FROM (SELECT max_steps AS m FROM plan WHERE split = 'train') p, range(p.m) s(step)""")
 def q_step_schedule(spark, sf_dir):
     from textloom.operators.windows import step_schedule
-    return step_schedule(spark, _max_steps(spark, sf_dir))
+    return step_schedule(spark, _max_steps(_manifest(spark, sf_dir)))
 
 
 @register("train_steps", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
@@ -167,8 +141,7 @@ def q_step_schedule(spark, sf_dir):
 SELECT split, (read // {ACCUM})::BIGINT AS step, (read % {ACCUM})::BIGINT AS micro_step, rank, read, shard, k, start
 FROM assigned""")
 def q_train_steps(spark, sf_dir):
-    from textloom.operators.windows import assign_steps
-    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
+    a = _train_windows(spark, _manifest(spark, sf_dir))
     return a.withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -176,27 +149,20 @@ def q_train_steps(spark, sf_dir):
                                       O.reads("val", str(VAL_N), B, T, N)) + """
 SELECT split, rank, read, shard, k, start FROM assigned""")
 def q_validation_windows(spark, sf_dir):
-    from textloom.operators.windows import validation_windows
-    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
+    v = _val_windows(spark, _manifest(spark, sf_dir))
     return v.withColumn("rank", F.col("rank").cast("int"))
 
 
-def _window_xy(spark, sf_dir, windows, counts=None):
+def _window_xy(spark, sf_dir, manifest, windows):
     """x, y of the windows that ``windows`` (split, rank, read, shard, k) read."""
     from textloom.operators.windows import read_windows, window_buffers
-    chunks = C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK)
-    counts = _counts(spark, sf_dir) if counts is None else counts
-    return read_windows(window_buffers(chunks, counts, B, T, N, SHARD, CHUNK), windows)
-
-
-def _window_losses_ctx(ctx, windows):
-    return TR.window_losses(_window_xy(ctx.spark, ctx.sf_dir, windows, ctx.counts), ctx.byte_losses)
+    docs = X.corpus(spark, sf_dir)
+    return read_windows(window_buffers(C.corpus_chunks(docs, SHARD, CHUNK), _counts(manifest), B, T, N, SHARD, CHUNK, windows), windows)
 
 
-def _window_batches(spark, sf_dir, windows):
+def _window_batches(spark, sf_dir, manifest, windows):
     from textloom.operators.windows import window_rows
-    xy = _window_xy(spark, sf_dir, windows)
-    r = window_rows(xy, B, T)
+    r = window_rows(_window_xy(spark, sf_dir, manifest, windows), B, T)
     return r.select("split", F.col("rank").cast("int").alias("rank"), "read", F.col("row").cast("int").alias("row"),
                     ids_text("x").alias("x"), ids_text("y").alias("y"))
 
@@ -205,9 +171,8 @@ def _window_batches(spark, sf_dir, windows):
                                       O.tokens_long(SHARD, CHUNK), O.window_tokens(B, T, SHARD)) + """
 SELECT split, rank, read, row, x, y FROM wrows""")
 def q_validation_batches(spark, sf_dir):
-    from textloom.operators.windows import validation_windows
-    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
-    return _window_batches(spark, sf_dir, v)
+    m = _manifest(spark, sf_dir)
+    return _window_batches(spark, sf_dir, m, _val_windows(spark, m))
 
 
 @register("train_batches", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
@@ -215,9 +180,8 @@ def q_validation_batches(spark, sf_dir):
                                  O.tokens_long(SHARD, CHUNK), O.window_tokens(B, T, SHARD)) + """
 SELECT split, rank, read, row, x, y FROM wrows""")
 def q_train_batches(spark, sf_dir):
-    from textloom.operators.windows import assign_steps
-    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
-    return _window_batches(spark, sf_dir, a)
+    m = _manifest(spark, sf_dir)
+    return _window_batches(spark, sf_dir, m, _train_windows(spark, m))
 
 
 # ---------------------------------------------------------------- chat and warm-up batches
@@ -303,13 +267,12 @@ def _rendered(spark, sf_dir):
 
 def _choice_losses(spark, sf_dir):
     items, r = _rendered(spark, sf_dir)
-    tl = CE.token_losses(r, X.byte_losses(spark, sf_dir))
-    return items, CE.completion_loss(CE.shift_and_mask(tl, r))
+    return items, CE.ending_losses(CE.token_losses(r, X.byte_losses(spark, sf_dir)))
 
 
 def _labelled(spark, sf_dir):
     items, cl = _choice_losses(spark, sf_dir)
-    return items, cl, CE.with_labels(CE.pick_choice(cl), items)
+    return items, cl, CE.with_correct(CE.pick_choice(cl))
 
 
 def _r6(c):
@@ -474,13 +437,12 @@ from textloom.operators import metrics as M  # noqa: E402
 from textloom.operators.collate import batch_token_counts, cycle_batches, mask_targets_by_attention  # noqa: E402
 from textloom.plans import training as TR  # noqa: E402
 
-CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS = 100, 4, 2
+CHAT_ACCUM, CHAT_EPOCHS = 4, 2
 WARM_ACCUM = 3
 
 
 def _batch_losses(spark, sf_dir, batches):
-    bl = X.byte_losses(spark, sf_dir)
-    sl = M.sequence_loss(batches, ["batch_id"], "targets", bl)
+    sl = M.sequence_loss(batches, ["batch_id"], "targets", X.byte_losses(spark, sf_dir))
     return sl.join(batch_token_counts(batches).select("batch_id", "dataset_tokens"), "batch_id")
 
 
@@ -490,6 +452,15 @@ def _chat_losses(spark, sf_dir):
     return _batch_losses(spark, sf_dir, b)
 
 
+def _chat_epochs(spark, sf_dir):
+    """B2 with as many steps an epoch as read every batch; the loss table (a row per batch)
+    is written, since its count sets the steps."""
+    from textloom.session import written_once
+    b = written_once(_chat_losses(spark, sf_dir), "batch-losses")
+    steps = max(1, -(-b.count() // CHAT_ACCUM))
+    return cycle_batches(spark, b, steps, CHAT_ACCUM, CHAT_EPOCHS), steps * CHAT_ACCUM
+
+
 def _warm_losses(spark, sf_dir):
     docs = X.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _batch_losses(spark, sf_dir, CH.warmup_batches(docs))
@@ -505,23 +476,23 @@ def q_chat_batch_losses(spark, sf_dir):
     return _chat_losses(spark, sf_dir).select("batch_id", _r6("loss"), "targets", "dataset_tokens")
 
 
-@register("chat_epoch_metrics", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)) + """
+@register("chat_epoch_metrics", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_ACCUM, CHAT_EPOCHS)) + """
 SELECT epoch, round(sum(loss * targets) / sum(targets), 6) AS epoch_loss, sum(targets)::BIGINT AS targets,
        sum(dataset_tokens)::BIGINT AS dataset_tokens,
        round(CASE WHEN sum(loss * targets) / sum(targets) < 50 THEN exp(sum(loss * targets) / sum(targets))
                   ELSE 'Infinity'::DOUBLE END, 6) AS ppl
 FROM cyc GROUP BY epoch""")
 def q_chat_epoch_metrics(spark, sf_dir):
-    c = cycle_batches(spark, _chat_losses(spark, sf_dir), CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)
+    c, _ = _chat_epochs(spark, sf_dir)
     e = M.epoch_loss(c)
     return e.select("epoch", _r6("epoch_loss"), "targets", "dataset_tokens", _r6("ppl"))
 
 
-@register("chat_step_losses", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)) + f"""
+@register("chat_step_losses", _with(*_CHAT_LOSS_CTES, O.cycled(CHAT_ACCUM, CHAT_EPOCHS)) + f"""
 SELECT epoch, step, round(sum(loss) / {CHAT_ACCUM}, 6) AS step_loss FROM cyc GROUP BY epoch, step""")
 def q_chat_step_losses(spark, sf_dir):
-    c = cycle_batches(spark, _chat_losses(spark, sf_dir), CHAT_STEPS, CHAT_ACCUM, CHAT_EPOCHS)
-    c = c.withColumn("batch_index", F.col("read") - F.col("epoch") * (CHAT_STEPS * CHAT_ACCUM))
+    c, per_epoch = _chat_epochs(spark, sf_dir)
+    c = c.withColumn("batch_index", F.col("read") - F.col("epoch") * per_epoch)
     return M.step_loss(c, CHAT_ACCUM).select("epoch", "step", _r6("step_loss"))
 
 
@@ -550,20 +521,19 @@ def q_warmup_epoch_metrics(spark, sf_dir):
     return e.select("epoch", _r6("epoch_loss"), "targets", "dataset_tokens", _r6("ppl"))
 
 
-def _window_losses(spark, sf_dir, windows):
-    return TR.window_losses(_window_xy(spark, sf_dir, windows), X.byte_losses(spark, sf_dir))
+def _window_losses(spark, sf_dir, manifest, windows):
+    return TR.window_losses(_window_xy(spark, sf_dir, manifest, windows), X.byte_losses(spark, sf_dir))
 
 
 def _val_loss(spark, sf_dir):
-    from textloom.operators.windows import validation_windows
-    v = validation_windows(spark, _counts(spark, sf_dir), B, T, N, VAL_N)
-    return M.validation_loss(_window_losses(spark, sf_dir, v), VAL_N)
+    m = _manifest(spark, sf_dir)
+    return M.validation_loss(_window_losses(spark, sf_dir, m, _val_windows(spark, m)), VAL_N)
 
 
 def _train_loss(spark, sf_dir):
-    from textloom.operators.windows import assign_steps
-    a = assign_steps(spark, _counts(spark, sf_dir), _max_steps(spark, sf_dir), ACCUM, B, T, N)
-    return TR.train_step_losses(a, _window_losses(spark, sf_dir, a), ACCUM)
+    m = _manifest(spark, sf_dir)
+    a = _train_windows(spark, m)
+    return TR.train_step_losses(a, _window_losses(spark, sf_dir, m, a), ACCUM)
 
 
 _VAL_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.reads("val", str(VAL_N), B, T, N),
@@ -571,7 +541,6 @@ _VAL_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.reads("val", str(
 _TRAIN_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
                     O.reads("train", f"SELECT max_steps * {ACCUM} FROM plan WHERE split = 'train'", B, T, N),
                     O.tokens_long(SHARD, CHUNK), O.BYTE_LOSSES, O.window_loss_sums(SHARD, B * T))
-_VAL_SQL = f"SELECT avg(l) FROM (SELECT rank, sum(loss) / {VAL_N} AS l FROM wl GROUP BY rank)"
 
 
 @register("validation_loss", _with(*_VAL_LOSS_CTES) + f"""
@@ -590,28 +559,28 @@ def q_train_step_losses(spark, sf_dir):
 
 
 def _metric_rows(spark, sf_dir):
-    """Train and validation windows are cut in one plan (one pass over the chunks);
-    their losses, one row per window, are kept for the two aggregates."""
-    from pyspark import StorageLevel
-    from textloom.operators.windows import assign_steps, step_schedule, validation_windows
-    ctx = _Small(spark, sf_dir)
-    steps = ctx.max_steps
-    a = assign_steps(spark, ctx.counts, steps, ACCUM, B, T, N)
-    v = validation_windows(spark, ctx.counts, B, T, N, VAL_N)
+    """Train and validation windows are cut in one plan (one pass over the chunks); their
+    losses, one row per window, are written for the two aggregates. Validation loss and
+    accuracy enter as scalar subqueries."""
+    from textloom.operators.windows import step_schedule
+    from textloom.session import written_once
+    m = _manifest(spark, sf_dir)
+    a, v = _train_windows(spark, m), _val_windows(spark, m)
     cols = ["split", "rank", "read", "shard", "k", "start"]
-    wl = _window_losses_ctx(ctx, a.select(*cols).unionByName(v.select(*cols)))
-    wl = wl.persist(StorageLevel.MEMORY_AND_DISK)  # one row per window
-    val = M.validation_loss(wl.where(F.col("split") == "val"), VAL_N).first()["val_loss"]
-    items, r = _rendered(spark, sf_dir)
-    cl = CE.completion_loss(CE.shift_and_mask(CE.token_losses(r, ctx.byte_losses), r))
-    lab = CE.with_labels(CE.pick_choice(cl), items)
-    hella = CE.choice_accuracy(lab, ranks=N).first()["acc_norm"]
+    wl = written_once(_window_losses(spark, sf_dir, m, a.select(*cols).unionByName(v.select(*cols))), "window-losses")
+    val = M.validation_loss(wl.where(F.col("split") == "val"), VAL_N).select("val_loss").scalar()
+    _, _, lab = _labelled(spark, sf_dir)
+    hella = CE.choice_accuracy(lab, ranks=N).select("acc_norm").scalar()
     train = TR.train_step_losses(a, wl.where(F.col("split") == "train"), ACCUM)
-    return TR.metric_log(step_schedule(spark, steps), train, val, hella)
+    return TR.metric_log(step_schedule(spark, _max_steps(m)), train, val, hella)
+
 
+_LOG_CTES = (*_TRAIN_LOSS_CTES, O.reads("val", str(VAL_N), B, T, N, "v"), O.window_losses(SHARD, B * T, "v"),
+             *[c for c in _CHOICE if c != O.BYTE_LOSSES])
 
-_LOG_SQL = _with(*_TRAIN_LOSS_CTES, *[c for c in _CHOICE if c != O.BYTE_LOSSES]) + f""",
-vl AS ({_VAL_SQL.replace('wl', 'wlv')}),
+
+def _log_sql(select: str) -> str:
+    return _with(*_LOG_CTES, f"""vl AS (SELECT avg(l) FROM (SELECT rank, sum(loss) / {VAL_N} AS l FROM vwl GROUP BY rank)),
 trl AS (SELECT step, avg(l) AS v FROM (
   SELECT read // {ACCUM} AS step, rank, sum(loss / {ACCUM}) AS l FROM wl GROUP BY read // {ACCUM}, rank) GROUP BY step),
 hel AS (SELECT sum(correct_norm) / count(*) AS v FROM labelled),
@@ -619,18 +588,7 @@ ev AS (SELECT step FROM trl WHERE step % 250 = 0 OR step = (SELECT max(step) FRO
 rows_ AS (
   SELECT step::BIGINT AS step, 'val' AS kind, (SELECT * FROM vl) AS value FROM ev
   UNION ALL SELECT step::BIGINT, 'hella', (SELECT v FROM hel) FROM ev
-  UNION ALL SELECT step::BIGINT, 'train', v FROM trl)
-"""
-
-
-def _log_sql(select: str) -> str:
-    # validation window losses (val reads) next to the train ones
-    val_ctes = (O.reads("val", str(VAL_N), B, T, N).replace("reads AS", "vreads AS").replace("FROM reads r", "FROM vreads r")
-                .replace("assigned AS", "vassigned AS"))
-    wlv = O.window_loss_sums(SHARD, B * T).split("wl AS", 1)[1].replace("FROM ak a", "FROM vak a")
-    vak = O.window_loss_sums(SHARD, B * T).split("ak AS", 1)[1].split("wl AS", 1)[0].replace("FROM assigned", "FROM vassigned")
-    sql = _LOG_SQL.replace("\nvl AS", f"\n{val_ctes},\nvak AS{vak}wlv AS{wlv},\nvl AS", 1)
-    return sql + select
+  UNION ALL SELECT step::BIGINT, 'train', v FROM trl)""") + select
 
 
 @register("metric_log", _log_sql("""SELECT step, kind, CASE WHEN kind = 'train' THEN step::VARCHAR || ' train ' || printf('%.6f', value)
@@ -643,7 +601,7 @@ def q_metric_log(spark, sf_dir):
 @register("loss_curve", _log_sql("""SELECT (row_number() OVER (ORDER BY step) - 1)::BIGINT AS x, step,
        round(value, 6) AS loss FROM rows_ WHERE kind = 'train'"""))
 def q_loss_curve(spark, sf_dir):
-    c = M.loss_curve(_metric_rows(spark, sf_dir), "train")
+    c = M.loss_curve(TR.train_rows(_train_loss(spark, sf_dir)), "train")
     return c.select("x", F.col("step").cast("long").alias("step"), _r6("loss"))
 
 
@@ -690,7 +648,8 @@ def q_stream_packed_chunks(spark, sf_dir):
 def q_stream_metric_latest(spark, sf_dir):
     from textloom.sources.io import metric_lines
     folder, sink, ck = (scratch_path(spark, n) for n in ("log-in", "log-out", "log-ck"))
-    lines = metric_lines(_metric_rows(spark, sf_dir))
+    from textloom.session import written_once
+    lines = written_once(metric_lines(_metric_rows(spark, sf_dir)), "log-lines")
     row = lines.agg(F.max("step").alias("hi")).first()
     parts = 4
     width = max(1, -(-(int(row["hi"]) + 1) // parts))
@@ -762,7 +721,7 @@ SELECT doc_id, split, text AS decoded, strlen(text)::BIGINT AS n_bytes FROM corp
 def q_decoded_documents(spark, sf_dir):
     """T10 round trip over whole texts: decode(encode(text)) with the delimiter dropped."""
     from textloom.functions.tokens import byte_decode
-    ids = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
+    ids = C.document_ids(X.corpus(spark, sf_dir))
     return ids.select("doc_id", "split", byte_decode("ids", skip_special=True).alias("decoded"),
                       (F.size("ids") - 1).cast("long").alias("n_bytes"))
 
@@ -771,7 +730,7 @@ from textloom.operators import vocab as V  # noqa: E402
 from textloom.operators import extend as U  # noqa: E402
 from textloom.functions.tokens import BYTE_VOCAB, byte_encode_length  # noqa: E402
 
-WORD_V = 4096
+WORD_V = 32256  # the reference's base vocabulary size
 
 _SPECIAL_VALUES = ", ".join(f"('{t}', {BYTE_VOCAB + i - 32256}, '{' '.join(['bos', 'eos'] if t == '<|endoftext|>' else ['pad'] if t == '<|pad|>' else ['additional'])}')"
                             for t, i in __import__("textloom.functions.tokens", fromlist=["SPECIAL_TOKENS"]).SPECIAL_TOKENS)
@@ -784,9 +743,11 @@ SELECT st.token, st.id::INTEGER AS id, st.roles, coalesce(occ.n, 0)::BIGINT AS o
        ({BYTE_VOCAB} + 10)::BIGINT AS vocab_size, {EOT}::INTEGER AS eos_id, {PAD}::INTEGER AS pad_id
 FROM st LEFT JOIN occ ON occ.id = st.id""")
 def q_special_token_counts(spark, sf_dir):
-    """T1-T3 + T5: the special-token table (byte ids), its use in SFT examples, the
+    """T1-T3 + T5: the special-token table (byte ids) read from a tokenizer folder, its use in SFT examples, the
     vocabulary size and the resolved eos / pad ids."""
-    st = V.special_tokens(spark, base=BYTE_VOCAB)
+    folder = scratch_path(spark, "tokenizer")
+    V.write_tokenizer_folder(V.special_tokens(spark, base=BYTE_VOCAB), folder)
+    st = V.read_tokenizer_folder(spark, folder)
     ids = CH.sft_examples(X.instructions(spark, sf_dir)).select(F.explode("ids").alias("id")).where(F.col("id") >= BYTE_VOCAB)
     occ = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     size = V.vocab_size(BYTE_VOCAB, st).first()["vocab_size"]
@@ -935,6 +896,131 @@ FROM doc_ids""")
 def q_context_crop(spark, sf_dir):
     """The last 1,024 ids of each document (delimiter first), as a context crop."""
     from textloom.functions.tokens import keep_last
-    ids = C.document_ids(X.corpus(spark, sf_dir).withColumn("n_tokens", F.lit(0)))
+    ids = C.document_ids(X.corpus(spark, sf_dir))
     k = ids.select("doc_id", "split", keep_last("ids", CH.CHAT_MAX_LEN).alias("ids"))
     return k.select("doc_id", "split", F.size("ids").cast("long").alias("n_ids"), ids_text("ids").alias("ids"))
+
+
+# ---------------------------------------------------------------- encoders as a parameter, caps, draws, reductions
+
+from textloom.operators.encoders import MAX_TABLE, BpeEncoder, UserEncoder, WordEncoder, decode_ids  # noqa: E402
+
+WORD_EOT = WORD_V + 1
+# Merges (rank, left, right, id) over byte ids: th, the, " the", in, ing, er, an, and, de
+MERGES = [(0, 116, 104, 300), (1, 300, 101, 301), (2, 32, 301, 302), (3, 105, 110, 303), (4, 303, 103, 304),
+          (5, 101, 114, 305), (6, 97, 110, 306), (7, 306, 100, 307), (8, 100, 101, 308)]
+
+
+def _word_encoder(spark, sf_dir):
+    docs = X.corpus(spark, sf_dir)
+    return docs, WordEncoder(V.word_vocab(docs, WORD_V), WORD_V)
+
+
+@register("packed_word_chunks", _with(O.CORPUS, O.word_vocab(WORD_V), O.word_ids(WORD_V),
+                                      f"doc_ids AS (SELECT split, doc_id, [{WORD_EOT}] || ids AS ids FROM wids)",
+                                      O.OFFSETS, O.tokens_long(SHARD, CHUNK)) + f"""
+SELECT split, (chunk // {SHARD // CHUNK})::BIGINT AS shard, chunk, n_tokens, tokens FROM chunks""")
+def q_packed_word_chunks(spark, sf_dir):
+    """K2 with the word encoder."""
+    docs, words = _word_encoder(spark, sf_dir)
+    ch = C.corpus_chunks(docs, SHARD, CHUNK, words)
+    return ch.select("split", "shard", "chunk", "n_tokens", ids_text("tokens").alias("tokens"))
+
+
+def _plain_bytes():
+    return lambda texts: [list(t.encode("utf-8")) for t in texts]
+
+
+@register("sft_examples_user_encoder", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN, O.plain_bytes)) + f"""
+SELECT conv_id, turn, len(ids)::BIGINT AS n_ids, prompt_len, {O.ids_text('ids')} AS ids FROM sft""")
+def q_sft_examples_user_encoder(spark, sf_dir):
+    """B8 with a user's encoder (U1): UTF-8 bytes, control strings not special."""
+    s = CH.sft_examples(X.instructions(spark, sf_dir), encoder=UserEncoder(_plain_bytes, EOT, PAD))
+    return s.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"),
+                    F.col("prompt_len").cast("long").alias("prompt_len"), ids_text("ids").alias("ids"))
+
+
+@register("bpe_token_ids", _with(O.CORPUS) + f"""
+SELECT doc_id, split, {O.bpe_ids('text', MERGES)} AS ids FROM corpus""")
+def q_bpe_token_ids(spark, sf_dir):
+    """T4 ``bpe`` with a small fixed merges table."""
+    bpe = BpeEncoder(spark.createDataFrame(MERGES, "rank int, left int, right int, id int"))
+    return bpe.with_ids(X.corpus(spark, sf_dir), ids=F.col("text")).select("doc_id", "split", ids_text("ids").alias("ids"))
+
+
+@register("decoded_words", _with(O.CORPUS, O.word_vocab(WORD_V)) + f"""
+, pieces AS (SELECT doc_id, split, unnest(ws) AS w, unnest(range(len(ws))) AS p
+  FROM (SELECT doc_id, split, regexp_extract_all(text, {O.q(O.WORD_PATTERN)}, 1) AS ws FROM corpus))
+SELECT c.doc_id, c.split, '<|endoftext|>' || coalesce(string_agg(' ' || w.word, '' ORDER BY w.p), '') AS kept,
+       coalesce(string_agg(w.word, ' ' ORDER BY w.p), '') AS dropped
+FROM corpus c LEFT JOIN (SELECT p.doc_id, p.p, coalesce(v.word, '<unk>') AS word FROM pieces p LEFT JOIN wvocab v ON v.word = p.w) w
+  ON w.doc_id = c.doc_id GROUP BY c.doc_id, c.split""")
+def q_decoded_words(spark, sf_dir):
+    """T10 through a vocabulary table, special tokens kept and dropped."""
+    docs, words = _word_encoder(spark, sf_dir)
+    vocab = V.word_vocab(docs, WORD_V).select("id", F.col("word").alias("piece"), F.lit(False).alias("special"))
+    extra = [(WORD_V, "<unk>", False)] + [(i, t, True) for t, i in words.specials.items()]
+    vocab = vocab.unionByName(spark.createDataFrame(extra, "id int, piece string, special boolean"))
+    d = C.document_ids(docs, words).select("doc_id", "split", "ids")
+    d = decode_ids(decode_ids(d, vocab, "kept", sep=" "), vocab, "dropped", sep=" ", skip_special=True)
+    return d.select("doc_id", "split", "kept", "dropped")
+
+
+@register("first_rows", _with(O.CORPUS) + """
+SELECT doc_id, split FROM corpus ORDER BY doc_id LIMIT 100""")
+def q_first_rows(spark, sf_dir):
+    """P5: the first 100 raw rows (the cap is the operator)."""
+    from textloom.operators.order import take_rows
+    return take_rows(X.corpus(spark, sf_dir).select("doc_id", "split"), ["doc_id"], 100)
+
+
+@register("valid_rows_per_worker", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN)) + """
+, shares AS (SELECT conv_id, turn, ((row_number() OVER (ORDER BY conv_id, turn) - 1) % 3)::INTEGER AS worker FROM instructions)
+SELECT worker, conv_id, turn FROM (
+  SELECT s.worker, s.conv_id, s.turn, row_number() OVER (PARTITION BY s.worker ORDER BY s.conv_id, s.turn) AS n
+  FROM sft JOIN shares s USING (conv_id, turn)) WHERE n <= 8""")
+def q_valid_rows_per_worker(spark, sf_dir):
+    """3 workers take their share of the rows and stop at 8 valid examples each."""
+    from textloom.operators.order import row_index, shard_rows
+    shares = shard_rows(row_index(X.instructions(spark, sf_dir), ["conv_id", "turn"], out="_i"), "_i", 3)
+    return CH.take_valid_rows(CH.sft_examples(shares), ["conv_id", "turn"], 8, "worker").select("worker", "conv_id", "turn")
+
+
+TEMPERATURE = 0.8
+
+
+@register("generation_draw", _with(O.LOGITS) + f"""
+, warm AS (SELECT row_id, list_transform(z, lambda x: x / {TEMPERATURE}) AS zs, list_max(z) / {TEMPERATURE} AS m FROM lg),
+cut AS (SELECT row_id, list_transform(zs, lambda x: CASE WHEN x < list_sort(zs, 'DESC')[least({THRESH_K}, len(zs))] THEN 0 ELSE exp(x - m) END) AS e FROM warm),
+ps AS (SELECT row_id, list_sort(list_transform(e, lambda x, i: {{'neg': -x / list_sum(e), 'token': i - 1}})) AS top,
+       ('0x' || substr(md5('42:' || row_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u FROM cut),
+cums AS (SELECT row_id, top, u, list_transform(top, lambda s, i: list_sum(list_transform(list_slice(top, 1, i), lambda t: -t.neg))) AS cum FROM ps)
+SELECT row_id, (top[list_position(list_transform(cum, lambda c: c > u * cum[-1]), true)]).token::INTEGER AS token FROM cums""")
+def q_generation_draw(spark, sf_dir):
+    """L5, L7, L1 and the draw as one flow: temperature, threshold, softmax, one token."""
+    lg = X.logits_table(spark, sf_dir).withColumn("z", S.topk_threshold(S.scale_temperature("logits", TEMPERATURE), THRESH_K))
+    return S.sample_pick(lg, "z", "row_id", MAX_TABLE, 42).select("row_id", F.col("token").cast("int").alias("token"))
+
+
+@register("step_throughput", _with(*_MANIFEST_CTES, O.step_plan(TOTAL_BATCH, B, T, N)) + f"""
+SELECT s.step::BIGINT AS step, {B * T * ACCUM * N}::BIGINT AS tokens, round({B * T * ACCUM * N} / dt, 6) AS tokens_per_sec,
+       round(dt * 1000, 6) AS ms_per_step
+FROM (SELECT s.step, 0.1::DOUBLE + (s.step % 7) * 0.01::DOUBLE AS dt
+      FROM (SELECT max_steps AS m FROM plan WHERE split = 'train') p, range(p.m) s(step)) s""")
+def q_step_throughput(spark, sf_dir):
+    """M5 over the steps of the plan, with step times by a fixed rule."""
+    from textloom.operators.windows import step_schedule
+    steps = step_schedule(spark, _max_steps(_manifest(spark, sf_dir)))
+    dt = F.lit(0.1) + F.pmod("step", F.lit(7)) * F.lit(0.01)
+    return M.throughput(steps.select("step", dt.alias("dt")), B, T, ACCUM, N).select(
+        "step", "tokens", _r6("tokens_per_sec"), _r6("ms_per_step"))
+
+
+@register("rank_windows", _with(*_MANIFEST_CTES, O.window_counts(B, T, N)) + """
+SELECT split, shard, sum(windows)::BIGINT AS total, avg(windows) AS mean FROM wcounts GROUP BY split, shard""")
+def q_rank_windows(spark, sf_dir):
+    """M6: the ranks' windows of a shard as SUM and AVG."""
+    c = _counts(_manifest(spark, sf_dir))
+    total = M.rank_reduce(c, ["split", "shard"], "windows", "sum").withColumnRenamed("windows", "total")
+    mean = M.rank_reduce(c, ["split", "shard"], "windows").withColumnRenamed("windows", "mean")
+    return total.join(mean, ["split", "shard"]).select("split", "shard", "total", "mean")

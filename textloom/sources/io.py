@@ -80,7 +80,7 @@ def read_shards(spark: SparkSession, path: str, split: str) -> DataFrame:
     df = spark.read.parquet(path).where(F.col("split") == split)
     if df.select("chunk").limit(1).count() == 0:  # one partition pruned probe, not a scan
         raise ValueError(f"no shards found for split {split}")
-    return df.withColumn("tokens", F.transform("tokens", lambda x: x.cast("long")))
+    return df.withColumn("tokens", F.col("tokens").cast("array<bigint>"))
 
 
 def list_shards(manifest: DataFrame, split: str) -> DataFrame:
@@ -96,11 +96,11 @@ def metric_lines(metrics: DataFrame) -> DataFrame:
 
 
 def write_metric_log(metrics: DataFrame, path: str) -> None:
-    """S7 write: one text file of lines in (step, kind order of the loop) order;
-    the folder is replaced, like the file emptied at start."""
+    """S7 write: text files of lines, in file name order in (step, kind order of the loop)
+    order; the folder is replaced, like the file emptied at start."""
     order = F.when(F.col("kind") == "val", 0).when(F.col("kind") == "hella", 1).otherwise(2)
     metric_lines(metrics).withColumn("_o", order).orderBy("step", "_o").select("line") \
-        .coalesce(1).write.mode("overwrite").text(path)
+        .write.mode("overwrite").text(path)
 
 
 def parse_metric_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -204,6 +204,8 @@ def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> Da
                     magic = fh.read(10)
                     hlen = int.from_bytes(magic[8:10], "little")
                     header = fh.read(hlen).decode("latin1")
+                if f"'{NPY_DTYPE}'" not in header:
+                    raise ValueError(f"{p} does not hold {NPY_DTYPE} ids: {header}")
                 n = int(_re.search(r"\((\d+),?\)", header).group(1))
                 stem = _re.sub(r"\.npy$", "", p.rsplit("/", 1)[-1])
                 split, shard = stem.rsplit("_", 2)[-2], int(stem.rsplit("_", 1)[-1])
@@ -218,14 +220,13 @@ def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> Da
         import numpy as np
         import pandas as pd
         for pdf in batches:
-            toks = []
-            for p, off, cnt in zip(pdf["path"], pdf["offset"], pdf["count"]):
-                fs_, path = _fs(p)
+            for r in pdf.itertuples(index=False):  # one range leaves before the next is read
+                fs_, path = _fs(r.path)
                 with fs_.open_input_file(path) as fh:
-                    fh.seek(int(off))
-                    toks.append(np.frombuffer(fh.read(2 * int(cnt)), dtype="<u2").astype(np.int32))
-            yield pd.DataFrame({"split": pdf["split"], "shard": pdf["shard"],
-                                "chunk_in_shard": pdf["chunk_in_shard"], "tokens": toks})
+                    fh.seek(int(r.offset))
+                    toks = np.frombuffer(fh.read(2 * int(r.count)), dtype="<u2").astype(np.int32)
+                yield pd.DataFrame({"split": [r.split], "shard": [r.shard],
+                                    "chunk_in_shard": [r.chunk_in_shard], "tokens": [toks]})
 
     return r.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
         read, "split string, shard long, chunk_in_shard long, tokens array<int>")

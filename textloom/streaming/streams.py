@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.text import compute_once
-from textloom.functions.tokens import EOT, byte_encode, byte_encode_length, checked_ids, prepend
 from pyspark.errors import AnalysisException
 
+from textloom.functions.tokens import byte_encode_length
+from textloom.operators.encoders import BYTES, Encoder
 from textloom.operators.order import prefix_sum
 from textloom.plans.chat import sft_examples
+from textloom.plans.corpus import document_ids
+from textloom.session import written_once
 
 
 def run_available(query) -> None:
@@ -28,9 +30,9 @@ def run_available(query) -> None:
 
 
 def stream_sft(spark: SparkSession, instructions: DataFrame, sink: str, checkpoint: str,
-               max_len: int = 1024) -> None:
+               max_len: int = 1024, encoder: Encoder = BYTES) -> None:
     """Streamed instruction rows -> P2, P3, P4, B8 -> parquet sink (append)."""
-    ex = sft_examples(instructions, max_len).select(
+    ex = sft_examples(instructions, max_len, encoder).select(
         "conv_id", "turn", "ids", F.col("prompt_len").cast("long").alias("prompt_len"))
     q = (ex.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
@@ -85,7 +87,7 @@ def stream_pack(spark: SparkSession, docs: DataFrame, pieces_path: str, state_pa
         offs = prefix_sum(lengths, "n_tokens", ["doc_id"], ["split"], out="local_start")
         offs = offs.join(F.broadcast(prev), "split", "left")  # one row per split
         offs = offs.withColumn("start", F.col("local_start") + F.coalesce("base", F.lit(0)))
-        ids = compute_once(offs, ids=checked_ids(prepend(byte_encode("text"), EOT)))
+        ids = document_ids(offs)
         n = F.size("ids").cast("long")
         start = F.col("start")
         end = start + n
@@ -140,7 +142,9 @@ def stream_metric_log(spark: SparkSession, folder: str, sink: str, checkpoint: s
 
 def stage_files(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000, min_files: int = 4) -> None:
     """Writes ``df`` as a sequence of files in ``key`` order, one bounded key range per
-    file and per write, so that a file stream sees them arrive in dataset order."""
+    file and per write, so that a file stream sees them arrive in dataset order. ``df`` is
+    computed once; each arrival reads its range of the written table."""
+    df = written_once(df.repartitionByRange(key), "staged")
     row = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if row["n"] == 0:
         df.limit(0).write.mode("append").parquet(path)
