@@ -105,3 +105,25 @@ def test_minimizers_represent_every_window():
     assert not ((at >= 1000) & (at < 1050)).any()
     own = {p - 100 for p in at if 200 <= p < 300}
     assert own == {p - 2000 for p in at if 2100 <= p < 2200}
+
+
+def test_common_gram_is_dealt_over_tasks(spark):
+    """A line in all rows, each time in other surroundings, over many small ranges: no link is lost at their edges."""
+    rng = random.Random(9)
+    line = "".join(rng.choices("abcdefgh", k=70))
+    fresh = lambda n: "".join(rng.choices("klmnop", k=n))
+    shared = [fresh(60) for _ in range(4)]
+    rows = [(i, fresh(40) + rng.choice(shared) + line + rng.choice(shared) + fresh(40) if i % 3 else fresh(90) + line + fresh(90)) for i in range(240)]
+    docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA).repartition(6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        occurrences = S._occurrences(S._keyed(docs, "doc_id", "text").select("doc", "tie", "text"), 100)
+        tasks = S._verdicts(occurrences).where("kind > 1").selectExpr("key", "spark_partition_id() AS t").distinct()
+        assert max(r["count"] for r in tasks.groupBy("key").count().collect()) > 1
+        for hot in (30, 20_000):
+            assert sorted(map(tuple, remove_repeats(docs, 100, hot=hot).collect()), key=str) == brute(rows, 100)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -5,7 +5,8 @@ id, or earlier in the same one). Matches never cross documents.
 
 Candidates. Every window of ``length`` bytes is represented by its minimizer, the gram of ``GRAM`` bytes with the
 smallest hash inside it: equal windows have the same one at the same place. Occurrences of minimizers are dealt
-by the gram's hash. An occurrence whose whole surroundings (all bytes that any window with this gram can cover)
+into ranges of the gram's hash and that of the surroundings, so a gram with very many surroundings is split over
+tasks; a gram at the edge of a range, whose other occurrences may be elsewhere, is checked in full. An occurrence whose whole surroundings (all bytes that any window with this gram can cover)
 equal an earlier occurrence's is repeated with all its windows; tasks settle such copies among their own rows
 first, so a passage that is in a third of all documents is a few rows per task. Of the others, those that share
 at least half a window's surroundings with another one are cut out as segments and dealt by that half.
@@ -13,8 +14,8 @@ at least half a window's surroundings with another one are cut out as segments a
 Suffix arrays. Segments that meet are concatenated and their suffixes sorted in two stages: those smaller than
 their successors are sorted directly (to ``length`` bytes and more), all others are induced by scanning the
 buckets of first bytes from the smallest up. Neighbours in the order with a common prefix of ``length`` bytes or
-more are equal windows; all but the earliest are repeated. Halves shared by more than ``hot`` segments are not
-sorted in one task: their windows are grouped by their bytes with Spark aggregates instead.
+more are equal windows; all but the earliest are repeated. Halves shared by more than ``hot`` segments, counted
+before any is cut out, are never dealt to one task: their windows are grouped by their bytes with Spark aggregates.
 
 Edge rows: a null text is empty. A null id counts as larger than all others; rows that share an id are ordered
 by a hash of the text; of whole repeated rows the first is judged and the others, if long enough, go entirely. Texts
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import rows_of, stored, text_bytes
+from textloom.llm.common import broadcast_if, rows_of, stored, text_bytes
 
 GRAM = 24
 #: Bytes hashed at a time, minimizer rows settled locally at a time, bytes of a suffix array.
@@ -176,34 +177,35 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _verdicts(occurrences: DataFrame) -> DataFrame:
-    """kind 1: repeated with all windows. kind 2, 4 or 6: the left half (2), the right (4) or both are shared."""
+    """kind 1: repeated with all windows. kind 2, 4 or 6: the left half (2), the right (4) or both are shared.
+
+    The first and last gram of a range may go on in another one, so all their occurrences count as shared."""
     names = ["key", "around", "doc", "tie", "pos", "lr", "kind"]
 
-    def judge(key, around, doc, tie, pos, lr, kind, prune: bool) -> pa.RecordBatch:
+    def judge(key, around, doc, tie, pos, lr, kind, open_first: bool, open_last: bool) -> pa.RecordBatch:
         new_key = np.r_[True, key[1:] != key[:-1]]
         new = new_key | np.r_[True, around[1:] != around[:-1]]
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
         other = (doc != doc[first]) | (tie != tie[first]) | (pos != pos[first])
         group = np.cumsum(new_key) - 1
-        several = np.bincount(group, new)[group] > 1
+        unsure = np.zeros(group[-1] + 1, bool)
+        unsure[0] |= open_first
+        unsure[-1] |= open_last
+        several = (np.bincount(group, new) > 1) | unsure
         out = np.where(other, 1, 0)
-        check = np.flatnonzero(new & (several if prune else True))
+        check = np.flatnonzero(new & several[group])
         if len(check):
             for bit, side in ((2, lr[check] >> 16 & 0xFFFF), (4, lr[check] & 0xFFFF)):
-                if prune:
-                    _, inverse, n = np.unique(group[check] << 16 | side, return_inverse=True, return_counts=True)
-                    shared = (n[inverse] > 1) & (side > 0)
-                else:
-                    shared = side > 0
-                out[check[shared]] |= bit
+                _, inverse, n = np.unique(group[check] << 16 | side, return_inverse=True, return_counts=True)
+                out[check[((n[inverse] > 1) | unsure[group[check]]) & (side > 0)]] |= bit
         own = kind == 1
         out[own] = 1
         keep = out > 0
-        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (doc, tie, pos, key, out)], ["doc", "tie", "pos", "key", "kind"])
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (doc, tie, pos, key, lr, out)], ["doc", "tie", "pos", "key", "lr", "kind"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        rows, whole = 0, True
+        rows, cut_off = 0, True
         for b in batches:
             if not b.num_rows:
                 continue
@@ -212,22 +214,21 @@ def _verdicts(occurrences: DataFrame) -> DataFrame:
             rows += b.num_rows
             key, around = cols[0], cols[1]
             cut = int(np.searchsorted(key, key[-1]))
-            if rows >= LOCAL_ROWS and not cut:  # one gram with very many surroundings: cut between those, and check all
-                cut, prune = int(np.flatnonzero(np.r_[True, around[1:] != around[:-1]])[-1]), False
-            elif rows >= 50_000 and cut:
-                prune = whole
-            else:
+            inside = rows >= LOCAL_ROWS and not cut
+            if inside:  # one gram with very many surroundings: cut between those
+                cut = int(np.flatnonzero(np.r_[True, around[1:] != around[:-1]])[-1])
+            elif rows < 50_000:
                 continue
             if not cut:
                 continue
             joined = [np.concatenate([h[i] for h in held[:-1]] + [cols[i][:cut]]) for i in range(len(names))]
-            yield judge(*joined, prune)
-            held, rows, whole = [[c[cut:] for c in cols]], len(key) - cut, prune
+            yield judge(*joined, cut_off, inside)
+            held, rows, cut_off = [[c[cut:] for c in cols]], len(key) - cut, inside
         if held:
-            yield judge(*(np.concatenate([h[i] for h in held]) for i in range(len(names))), whole)
+            yield judge(*(np.concatenate([h[i] for h in held]) for i in range(len(names))), cut_off, True)
 
-    dealt = occurrences.repartition("key").sortWithinPartitions("key", "around", "doc", "tie", "pos")
-    return dealt.mapInArrow(run, "doc long, tie long, pos long, key long, kind long")
+    dealt = occurrences.repartitionByRange("key", "around").sortWithinPartitions("key", "around", "doc", "tie", "pos")
+    return dealt.mapInArrow(run, "doc long, tie long, pos long, key long, lr long, kind long")
 
 
 def suffix_order(x: np.ndarray, depth: int) -> np.ndarray:
@@ -322,8 +323,25 @@ def repeated_windows(segments: list[tuple[int, int, int, bytes]], length: int) -
     return out
 
 
+def _places(verdicts: DataFrame, hot: int, broadcast_docs: int) -> DataFrame:
+    """Places to check per document; ``hot`` there has the bits of halves that more than ``hot`` places share."""
+    sides = {2: F.shiftright("lr", 16).bitwiseAND(F.lit(0xFFFF)), 4: F.col("lr").bitwiseAND(F.lit(0xFFFF))}
+    check = verdicts.where("kind <> 1").withColumn("hot", F.lit(0).cast("long"))
+    halves = F.array(*(F.when(F.col("kind").bitwiseAND(F.lit(bit)) > 0, F.struct(F.lit(bit).alias("bit"), side.alias("side")))
+                       for bit, side in sides.items()))
+    each = check.select("key", F.explode(halves).alias("half")).where("half IS NOT NULL")
+    many = stored(each.groupBy("key", "half").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot), "suffix-hot")
+    if not many.isEmpty():
+        for bit, side in sides.items():
+            own = many.where(F.col("half.bit") == bit).select("key", F.col("half.side").alias("side"), F.lit(bit).alias("more"))
+            check = (check.withColumn("side", side).join(broadcast_if(own, broadcast_docs), ["key", "side"], "left")
+                     .withColumn("hot", F.col("hot") + F.coalesce("more", F.lit(0)).bitwiseAND(F.col("kind"))).drop("side", "more"))
+    return stored(check.groupBy("doc", "tie").agg(F.collect_list(F.struct("pos", "key", "kind", "hot")).alias("places")), "suffix-places")
+
+
 def _segments(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """Segments (key, doc, tie, start, seg) around the places to check, keyed by the gram and the shared half."""
+    """Segments (key, doc, tie, start, seg, hot) around the places to check, keyed by the gram and the shared half;
+    hot ones, which need not meet, by their place."""
     wide, half = length - GRAM + 1, (length - GRAM) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,8 +354,9 @@ def _segments(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 for bit, lo, hi, a, b in ((2, at - wide + 1, at + GRAM + half, at - half, at), (4, at - half, at + length, at + GRAM, at + GRAM + half)):
                     lo, hi = max(0, lo), min(len(text), hi)
                     if kind & bit and hi - lo >= length:
-                        own = xxhash.xxh64_intdigest(text[a:b] + key.to_bytes(8, "little", signed=True), bit)
-                        out.append((own - (1 << 63), doc, tie, lo, text[lo:hi]))
+                        hot = p["hot"] & bit > 0
+                        met = b"%d %d" % (doc, at) if hot else text[a:b] + key.to_bytes(8, "little", signed=True)
+                        out.append((xxhash.xxh64_intdigest(met, bit) - (1 << 63), doc, tie, lo, text[lo:hi], hot))
             if len(out) >= 20_000:
                 yield _rows(out)
                 out = []
@@ -346,19 +365,21 @@ def _segments(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
         c = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.binary())], ["key", "doc", "tie", "start", "seg"])
+        cols = [*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.binary()), pa.array(c[5], pa.bool_())]
+        return pa.RecordBatch.from_arrays(cols, ["key", "doc", "tie", "start", "seg", "hot"])
 
     return docs.join(places, ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(
-        run, "key long, doc long, tie long, start long, seg binary")
+        run, "key long, doc long, tie long, start long, seg binary, hot boolean")
 
 
-def _sorted_segments(segments: DataFrame, length: int, hot: int) -> DataFrame:
-    """Runs of repeated windows; segments of halves that more than ``hot`` segments share are handed on."""
+def _sorted_segments(segments: DataFrame, length: int) -> DataFrame:
+    """Runs of repeated windows; hot segments are handed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple] = []
         group: list[tuple] = []
-        now, size, large = None, 0, False
+        large: list[tuple] = []
+        now, size = None, 0
 
         def batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             if rows:
@@ -368,25 +389,24 @@ def _sorted_segments(segments: DataFrame, length: int, hot: int) -> DataFrame:
         def sort(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             yield from batch([(*r, None) for r in repeated_windows(rows, length)])
 
-        for key, doc, tie, start, seg in rows_of(batches, "key", "doc", "tie", "start", "seg"):
+        for key, doc, tie, start, seg, hot in rows_of(batches, "key", "doc", "tie", "start", "seg", "hot"):
+            if hot:
+                large.append((doc, tie, start, start, seg))
+                if len(large) >= 10_000:
+                    yield from batch(large)
+                    large = []
+                continue
             if key != now:
-                if len(group) > 1 and not large:
+                if len(group) > 1:
                     ready += group
                     size += sum(len(r[3]) for r in group)
                 if size >= ARRAY_BYTES:
                     yield from sort(ready)
                     ready, size = [], 0
-                if large:
-                    yield from batch([(d, t, s, s, x) for d, t, s, x in group])
-                now, group, large = key, [], False
+                now, group = key, []
             group.append((doc, tie, start, seg))
-            if len(group) > hot:
-                large = True
-                yield from batch([(d, t, s, s, x) for d, t, s, x in group])
-                group = []
-        if large:
-            yield from batch([(d, t, s, s, x) for d, t, s, x in group])
-        elif len(group) > 1:
+        yield from batch(large)
+        if len(group) > 1:
             ready += group
         if ready:
             yield from sort(ready)
@@ -416,10 +436,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def removed_ranges(docs: DataFrame, length: int, hot: int = HOT, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
     """(doc, tie, ranges): per document with repeated windows the runs of their starts, merged and in order."""
     verdicts = stored(_verdicts(_occurrences(docs.select("doc", "tie", "text"), length)), "suffix-verdicts")
-    places = stored(verdicts.where("kind <> 1").groupBy("doc", "tie")
-                    .agg(F.collect_list(F.struct("pos", "key", "kind")).alias("places")), "suffix-places")  # by document
+    places = _places(verdicts, hot, broadcast_docs)
     once = docs.select("doc", "tie", "text")
-    found = stored(_sorted_segments(_segments(once, _bounded(places, broadcast_docs), length), length, hot), "suffix-runs")
+    found = stored(_sorted_segments(_segments(once, broadcast_if(places, broadcast_docs), length), length), "suffix-runs")
     wide = length - GRAM + 1
     runs = (verdicts.where("kind = 1").select("doc", "tie", F.greatest(F.col("pos") - wide + 1, F.lit(0)).alias("first"), F.col("pos").alias("last"))
             .unionByName(found.where("seg IS NULL").drop("seg")))
@@ -443,10 +462,6 @@ def removed_ranges(docs: DataFrame, length: int, hot: int = HOT, broadcast_docs:
     return stored(per.select("doc", "tie", "runs").mapInArrow(merge, "doc long, tie long, ranges array<long>"), "suffix-ranges")
 
 
-def _bounded(per_document: DataFrame, most: int) -> DataFrame:
-    return F.broadcast(per_document) if per_document.count() <= most else per_document
-
-
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
                    broadcast_docs: int = BROADCAST_DOCS, with_bytes: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``; ``with_bytes``
@@ -478,7 +493,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             cols = [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(c[4], pa.binary())] * with_bytes, names)
 
-    joined = rows.join(_bounded(ranges, broadcast_docs), ["doc", "tie"], "left").select("id", "tie", "text", "ranges")
+    joined = rows.join(broadcast_if(ranges, broadcast_docs), ["doc", "tie"], "left").select("id", "tie", "text", "ranges")
     schema = "id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     done = joined.mapInArrow(cut, schema)
     copy = F.row_number().over(Window.partitionBy("id", "tie").orderBy("n_bytes")) > 1  # a whole repeated row
