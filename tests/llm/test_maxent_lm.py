@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 import zlib
@@ -7,8 +8,8 @@ import numpy as np
 import pytest
 
 from textloom.llm.common import training_row
-from textloom.llm.maxent_lm import (CLASSES, FEATURES, HEAD, STATES, TAIL, Model, class_logs, features_of, score_documents, states_before,
-                                    tail_class, tail_class_column, word_logs)
+from textloom.llm.maxent_lm import (CLASSES, FEATURES, HEAD, STATES, TAIL, Model, class_logs, features_of, fit_weights, score_documents,
+                                    states_before, tail_class, tail_class_column, train, word_logs)
 
 from conftest_llm import ascii_lower, words
 
@@ -86,3 +87,32 @@ def test_tail_class_is_the_same_in_both_engines(spark):
     df = spark.createDataFrame([(w,) for w in own], "word binary")
     assert [r[0] for r in df.select(tail_class_column(df.word)).collect()] == [tail_class(w) for w in own]
     assert all(1 + HEAD <= tail_class(w) < 1 + HEAD + TAIL for w in own)
+
+
+def test_table_and_rounds_hold_the_features():
+    raw = 1 + 2 * STATES + STATES ** 2
+    used = np.unique(features_of(np.arange(STATES * STATES)))
+    assert FEATURES >= 8192 and len(used) > 0.6 * raw  # 4096 buckets: at most 43 % have one
+    assert all(inspect.signature(f).parameters["rounds"].default >= 12 for f in (score_documents, train))
+
+
+def test_weights_equal_dense_updates(spark):
+    rng = np.random.default_rng(2)
+    pairs = rng.choice(STATES * STATES, 300, replace=False)
+    rows = [(int(p), sorted(rng.choice(CLASSES, 3, replace=False).tolist()), rng.integers(1, 50, 3).tolist()) for p in pairs]
+    n = np.zeros((len(rows), CLASSES))
+    for i, (_, k, x) in enumerate(rows):
+        n[i, k] = x
+    totals = n.sum(axis=0)
+    weights = np.zeros((FEATURES, CLASSES))
+    weights[features_of(np.zeros(1, np.int64))[0, 0]] = np.log((totals + 0.5) / (totals + 0.5).sum())
+    for _ in range(3):
+        p = np.exp(class_logs(weights, pairs))
+        size = n.sum(axis=1, keepdims=True)
+        g, h = np.zeros((2, FEATURES, CLASSES))
+        for f in features_of(pairs).T:
+            np.add.at(g, f, n - size * p)
+            np.add.at(h, f, size * p * (1 - p))
+        weights = weights + np.clip(0.3 * (g - 2.0 * weights) / (h + 2.5), -0.7, 0.7)
+    got = fit_weights(spark.createDataFrame(rows, "pair long, classes array<long>, counts array<long>"), totals, 3, 2.0)
+    assert np.allclose(got, weights, atol=1e-3)

@@ -39,7 +39,9 @@ BLOCK_BYTES = 16 << 20
 HEAD, TAIL = 47, 48
 CLASSES = 1 + HEAD + TAIL  # class 0: the end of a text
 STATES = CLASSES + 1       # the last state: before the first word
-FEATURES = 4096
+FEATURES = 8192
+#: Rows of the feature table whose gradients meet in one task.
+SLICE = 1024
 #: Stands for the end of a text in tables of words; a word holds no white space.
 END = b"\n"
 #: Words handled at a time.
@@ -190,16 +192,18 @@ def _class_counts(docs: DataFrame, head: list[bytes]) -> DataFrame:
 
 
 def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float, tasks: int = 2) -> np.ndarray:
-    """Gradient updates of the class model over the table of pairs; a task sends its sums of gradient and curvature."""
+    """Gradient updates of the class model over the table of pairs. A task sends its sums of gradient and curvature for
+    the feature rows it touched, by slices of the table; the slices are added up in tasks too, and the driver gets the
+    steps of the touched rows alone."""
+    context = pairs.sparkSession.sparkContext
     weights = np.zeros((FEATURES, CLASSES))
     start = np.log((totals + 0.5) / (totals + 0.5).sum())
     weights[features_of(np.zeros(1, np.int64))[0, 0]] = start
 
-    def sums(weights: np.ndarray):
-        weights = weights.astype(np.float32)  # what goes to the tasks
-
+    def sums(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g, h = np.zeros((2, FEATURES, CLASSES), np.float32)
+            touched = np.zeros(FEATURES, bool)
             rows = list(rows_of(batches, "pair", "classes", "counts"))  # bounded by the number of pairs
             for at in range(0, len(rows), 1024):
                 part = rows[at:at + 1024]
@@ -207,27 +211,51 @@ def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float,
                 n = np.zeros((len(part), CLASSES))
                 for i, (_, k, x) in enumerate(part):
                     n[i, k] = x
-                p = np.exp(class_logs(weights, pair))
+                p = np.exp(class_logs(shared.value, pair))
                 size = n.sum(axis=1, keepdims=True)
                 for f in features_of(pair).T:
+                    touched[f] = True
                     np.add.at(g, f, (n - size * p).astype(np.float32))
                     np.add.at(h, f, (size * p * (1 - p)).astype(np.float32))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary()), pa.array([h.tobytes()], pa.binary())], ["g", "h"])
+            for k in range(0, FEATURES, SLICE):
+                own = k + np.flatnonzero(touched[k:k + SLICE])
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int64()), pa.array([own.tolist()], pa.list_(pa.int32())),
+                                                      pa.array([g[own].tobytes()], pa.binary()), pa.array([h[own].tobytes()], pa.binary())],
+                                                     ["slice", "own", "g", "h"])
+        return run
+
+    def steps(shared):
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            first = key[0].as_py() * SLICE
+            g, h = np.zeros((2, SLICE, CLASSES))
+            touched = np.zeros(SLICE, bool)
+            for own, *parts in rows_of(table.to_batches(), "own", "g", "h"):
+                at = np.array(own) - first
+                touched[at] = True
+                for x, part in zip((g, h), parts):
+                    x[at] += np.frombuffer(part, np.float32).reshape(-1, CLASSES)
+            own = np.flatnonzero(touched)
+            # the four features of a pair move together, hence the damping
+            step = np.clip(0.3 * (g[own] - ridge * shared.value[first + own]) / (h[own] + ridge + 0.5), -0.7, 0.7)
+            return pa.table([pa.array([(first + own).tolist()], pa.list_(pa.int32())),
+                             pa.array([step.astype(np.float32).tobytes()], pa.binary())], ["own", "step"])
         return run
 
     dealt = pairs.repartition(tasks)
     for _ in range(rounds):
-        parts = dealt.mapInArrow(sums(weights), "g binary, h binary").collect()  # a row per task
+        shared = context.broadcast(weights.astype(np.float32))
+        parts = (dealt.mapInArrow(sums(shared), "slice long, own array<int>, g binary, h binary")
+                 .groupBy("slice").applyInArrow(steps(shared), "own array<int>, step binary").collect())  # a row per slice
+        shared.destroy()
         if not parts:
             break
-        g, h = (sum(np.frombuffer(r[k], np.float32).reshape(weights.shape) for r in parts) for k in ("g", "h"))
-        # the four features of a pair move together, hence the damping
-        weights = weights + np.clip(0.3 * (g - ridge * weights) / (h + ridge + 0.5), -0.7, 0.7)
+        for r in parts:  # a row without counts has weight 0 and stays there
+            weights[r["own"]] += np.frombuffer(r["step"], np.float32).reshape(-1, CLASSES)
     return weights
 
 
-def train(docs: DataFrame, words: DataFrame, rounds: int = 10, ridge: float = 2.0) -> Model:
+def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0) -> Model:
     head, table = _class_table(words)
     size, kinds, once, twice = table.T.astype(float)
     discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
@@ -295,7 +323,7 @@ def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
-                    block_bytes: int = BLOCK_BYTES, rounds: int = 10) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, rounds: int = 12) -> DataFrame:
     """Trains on the rows where ``training`` holds and scores all rows."""
     rows = _documents(docs, id_col, text_col, training)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
