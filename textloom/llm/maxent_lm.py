@@ -5,7 +5,8 @@ log p(word | history) = log p(class | history) + log p(word | class).
 Classes are the ``HEAD`` most frequent words, each alone, the end of a text, and ``TAIL`` classes of all other
 words by a hash of their last two bytes. The class model is a softmax over hashed features of the two classes
 before: a bias, the last one, the pair (n-grams) and the one before the last (skip). A class's words follow
-their training counts with absolute discounting; what is discounted is the probability of a word not seen.
+their training counts with absolute discounting; what is discounted is the probability of a word not seen. This second
+factor is no softmax and ignores the history (README, exit of operator 5).
 
 The training loss depends on the corpus only through how often each class follows each pair of classes. These
 counts are summed over all training documents by Spark, and the gradient updates run over that table, in
