@@ -53,3 +53,13 @@ def test_edge_tables(edge, edge_docs, no_docs):
     out = line_frequency(edge, max_documents=2, with_text=True)
     assert sorted(map(tuple, out.collect()), key=str) == brute(edge_docs, 2, 30, 20)
     assert line_frequency(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_share_of_the_host_behaves_alike_at_every_size(spark, bound):
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    for size in (40, 400):
+        rows = [(i, body(i) + ("\nboiler plate line" if i % 5 == 0 else "") + ("\nrare line" if i % 20 == 0 else ""), None, "a") for i in range(size)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        out = line_frequency(docs, max_documents=1, max_share=10, broadcast_lines=bound).collect()
+        assert {r.doc_id: r.n_removed_words for r in out} == {i: 3 if i % 5 == 0 else 0 for i in range(size)}

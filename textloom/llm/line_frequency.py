@@ -66,21 +66,31 @@ def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.withColumn("n_repeat_words", covered.cast("long")).drop("windows", "sorted", "at")
 
 
-def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """(host, h) of lines that more than ``max_documents`` different documents of the host have."""
-    each = lines.select("host", "digest", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    counts = each.groupBy("host", "h").agg(F.countDistinct("digest").alias("documents"))
-    return counts.where(F.col("documents") > max_documents).select("host", "h")
+def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float | None = None,
+                 broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """(host, h) of lines that more than ``max_documents`` different documents of the host have, and more than
+    ``max_share`` per cent of its different documents if that is given."""
+    own = F.array_distinct(F.transform("lines", lambda x: x["h"]))
+    if max_share is not None:  # a null hash counts the host's documents
+        own = F.concat(own, F.array(F.lit(None).cast("long")))
+    counts = lines.select("host", "digest", F.explode(own).alias("h")).groupBy("host", "h").agg(F.countDistinct("digest").alias("documents"))
+    counts = counts.where(F.col("documents") > max_documents)
+    if max_share is not None:
+        counts = stored(counts, "line-counts")
+        hosts = counts.where("h IS NULL").select("host", F.col("documents").alias("of"))
+        counts = counts.where("h IS NOT NULL").join(broadcast_if(hosts, broadcast_lines), "host").where(F.col("documents") * 100 > F.col("of") * max_share)
+    return counts.select("host", "h")
 
 
 def line_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                    max_documents: int = MAX_DOCUMENTS, min_left_share: int = MIN_LEFT_SHARE,
                    min_left_words: int = MIN_LEFT_WORDS, broadcast_lines: int = BROADCAST_LINES,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, max_share: float | None = None) -> DataFrame:
     """One row per document with its base figures, ``n_removed_words`` and ``kept``; ``with_text`` adds the text
-    without its common lines."""
+    without its common lines. ``max_share`` (per cent of a host's documents) makes the limit relative, with
+    ``max_documents`` as the least count; without it the limit is ``max_documents`` on every host."""
     lines = stored(document_lines(docs, id_col, text_col, host_col, with_text), "lines")
-    common = stored(common_lines(lines, max_documents), "common-lines")
+    common = stored(common_lines(lines, max_documents, max_share, broadcast_lines), "common-lines")
     each = lines.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     hit = each.join(broadcast_if(common, broadcast_lines), ["host", "h"])
     removed = hit.groupBy("row").agg(F.sum("n").cast("long").alias("removed"), *([F.collect_set("h").alias("gone")] if with_text else []))
