@@ -65,3 +65,27 @@ def test_ranks_give_the_ids_of_the_file(ids_of, edge_docs):
     letters = [chr(i) for i in range(0x260)] + list("  \n\n\t''sdtlv") * 6
     for text in ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(3000)] + [d[1] or "" for d in edge_docs]:
         assert [*encode(text), 0] == ids_of(text)
+
+
+def test_given_ids_and_masks_are_packed_and_the_loss_limit_binds(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(1, 9, n).tolist(), (rng.random(n) < i % 3 / 2).astype(int).tolist()) for i, n in enumerate(rng.integers(0, 200, 60).tolist())]
+    rows += [(100, None, None), (101, [3, 4, 5], None)]
+    examples = spark.createDataFrame(rows, "example long, ids array<int>, loss_mask array<int>").coalesce(1)
+    packed = lambda limit: pack_documents(examples, *FILES, max_tokens=128, max_loss=limit, with_ids=True,
+                                          ids_col="ids", loss_col="loss_mask", id_col="example").collect()
+    sequences, docs = defaultdict(int), defaultdict(list)
+    for r in packed(48):
+        sequences[r.sequence_id] += r.loss_tokens
+        docs[r.doc_id].append(r)
+    assert max(sequences.values()) <= 48 < max(sum(r.loss_tokens for r in packed(128) if r.sequence_id == k) for k in sequences)
+    for i, ids, mask in rows:
+        own = sorted(docs[i], key=lambda r: r.start)
+        assert [x for r in own for x in r.ids] == [*(ids or []), 0]
+        assert sum(r.loss_tokens for r in own) == sum(mask if mask is not None else [1] * len(ids or []))
+
+
+def test_mask_of_another_length_is_an_error(spark):
+    examples = spark.createDataFrame([(1, [1, 2], [1])], "doc_id long, ids array<int>, loss array<int>")
+    with pytest.raises(Exception, match="loss mask of 1"):
+        pack_documents(examples, *FILES, ids_col="ids", loss_col="loss").collect()

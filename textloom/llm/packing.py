@@ -11,7 +11,8 @@ waiting pieces, each shorter than a sequence, and ends at most one sequence befo
 Sequence ids are the task's number in the upper bits and a counter in the lower ones; a retried task makes the
 same ones.
 
-Edge rows: a null text is empty, and an empty text is the end id alone. Null and repeated ids are kept as they
+Edge rows: a null text is empty, and an empty text is the end id alone. So are null ids; a loss mask of another length
+than its ids is an error. Null and repeated ids are kept as they
 are, each row is an example. An empty table gives no sequence. Other columns are ignored.
 """
 
@@ -156,24 +157,32 @@ def pack(examples: Iterator[tuple], limits: tuple[int, int, int], min_cut: int,
 
 def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = None, pattern: str | None = None,
                    end_id: int = 0, max_tokens: int = 1024, max_segments: int = 64, max_loss: int = 1024,
-                   min_cut: int = 16, pool: int = POOL, with_ids: bool = False) -> DataFrame:
+                   min_cut: int = 16, pool: int = POOL, with_ids: bool = False, ids_col: str | None = None,
+                   loss_col: str | None = None, id_col: str = "doc_id") -> DataFrame:
     """One row per piece of every document: its ids followed by ``end_id``, which bears no loss.
 
-    ``with_ids`` adds the piece's ids, the packed output itself."""
+    ``ids_col`` takes ids that are made already, as those of ``chat_tokens``, in place of the text, and ``loss_col``
+    their loss mask (null or none: every id bears the loss). ``with_ids`` adds the piece's ids, the packed output itself."""
+    if loss_col and not ids_col:
+        raise ValueError("a loss mask needs ids")
     limits = (max_tokens, max_segments, max_loss)
     schema = PIECES + (", ids array<int>" if with_ids else "")
     types = [pa.int64()] * 8 + [pa.list_(pa.int32())] * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(json_path, ranks_path, pattern)
+        encode = None if ids_col else encoder(json_path, ranks_path, pattern)
         sequence = TaskContext.get().partitionId() << 40
 
         def examples():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
-                ids = np.array([*encode(text), end_id], np.uint32)
+            for doc_id, text, mask in rows_of(batches, "doc_id", "text", "loss"):
+                ids = np.array([*(encode(text) if encode else text), end_id], np.uint32)
                 loss = np.ones(len(ids), np.uint8)
                 loss[-1] = 0
+                if mask is not None:
+                    if len(mask) != len(ids) - 1:
+                        raise ValueError(f"example {doc_id}: {len(ids) - 1} ids and a loss mask of {len(mask)}")
+                    loss[:-1] = np.array(mask, np.int64) != 0
                 yield (doc_id, len(ids)), ids, loss
 
         rows = []
@@ -190,4 +199,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
+    none = F.array().cast("array<int>")
+    text = F.coalesce(F.col(ids_col).cast("array<int>"), none) if ids_col else F.coalesce("text", F.lit(""))
+    loss = F.col(loss_col).cast("array<int>") if loss_col else F.lit(None).cast("array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), loss.alias("loss")).mapInArrow(run, schema)
