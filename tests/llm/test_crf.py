@@ -95,3 +95,10 @@ def test_edge_tables(spark, edge, edge_docs, no_docs):
     none = train(no_docs)
     assert isinstance(none, Model) and none.labels == []
     assert {r.lang_pred for r in predict(edge, none).collect()} == {"und"}
+
+
+def test_more_labels_than_the_bound_are_an_error(spark):
+    docs = spark.createDataFrame([(i, f"word{i} text", f"l{i % 3}") for i in range(12)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        train(docs, max_labels=2, rounds=1)
+    assert train(docs, max_labels=3, rounds=1).labels == ["l0", "l1", "l2"]

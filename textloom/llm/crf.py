@@ -9,7 +9,8 @@ document's shares are their means over its words with letters, and its language
 Training rows are a sample bounded by ``docs_per_label`` for each label, drawn by a hash of the id; whole texts
 are used. They are spliced into sequences that switch documents every few words, so that transitions between
 languages occur. The gradient of the log-likelihood is summed over blocks in Spark; the driver holds the weights
-(``BUCKETS`` and the lexicon, by labels) and nothing that grows with the corpus.
+(``BUCKETS`` and the lexicon, by labels) and nothing that grows with the corpus. Every label is learned; more labels
+than ``max_labels`` are an error.
 
 Forward-backward runs over many texts at once: texts are cut into pieces of ``PIECE`` words, the pieces' products
 of transfer matrices are chained, and then all pieces are finished side by side. The result is that of the plain
@@ -180,10 +181,13 @@ def _block_arrays(pairs: list[tuple[str, int]]) -> tuple:
 def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
           docs_per_label: int = 200, max_labels: int = 200, blocks: int = 12, rounds: int = 16, rate: float = 0.2,
           ridge: float = 1e-6) -> Model:
-    """Fits a model to at most about ``docs_per_label`` documents of each label (a documented bound)."""
+    """Fits a model to at most about ``docs_per_label`` documents of each label (a documented bound). All labels are
+    learned; more than ``max_labels``, whose weights the driver would have to hold, are an error."""
     named = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r["label"]: r["n"] for r in named.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "label").limit(max_labels).collect()}
+              .limit(max_labels + 1).collect()}
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} labels; a larger max_labels takes more driver memory")
     labels = sorted(counts)
     if not labels:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
