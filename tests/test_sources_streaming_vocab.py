@@ -129,3 +129,19 @@ def test_bpe_encode_matches_brute_force(spark):
         spelled = b"".join(vocab[i] if i in vocab else [t for t, j in sid.items() if j == i][0].encode() for i in got[k])
         assert spelled.decode("utf-8") == text
     assert got[0][:2] == [301, 32]  # "the" then " " before "cat"
+
+
+def test_staged_files_keep_null_keys_and_split_a_hot_key(spark, tmp_dir):
+    rows = [(None, f"n{i}") for i in range(7)] + [(5, f"h{i}") for i in range(60)] + [(i, f"r{i}") for i in range(6, 30)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    src = os.path.join(tmp_dir, "in")
+    ST.stage_files(df, src, "k", rows_per_file=20)
+    files = sorted(glob.glob(os.path.join(src, "*.parquet")), key=os.path.getmtime)
+    parts = [[(r.k, r.v) for r in spark.read.schema(df.schema).parquet(f).collect()] for f in files]
+    assert sorted((r for p in parts for r in p), key=str) == sorted(rows, key=str)
+    assert max(map(len, parts)) <= 20 and len(files) >= 5
+    keys = [[-1 if k is None else k for k, _ in p] for p in parts if p]
+    assert all(max(a) <= min(b) for a, b in zip(keys, keys[1:]))
+    none = spark.createDataFrame([(None, "a"), (None, "b")], "k long, v string")
+    ST.stage_files(none, os.path.join(tmp_dir, "none"), "k")
+    assert spark.read.parquet(os.path.join(tmp_dir, "none")).count() == 2

@@ -16,10 +16,10 @@ from pyspark.errors import AnalysisException
 
 from textloom.functions.tokens import byte_encode_length
 from textloom.operators.encoders import BYTES, Encoder
-from textloom.operators.order import prefix_sum
+from textloom.operators.order import prefix_sum, row_index
 from textloom.plans.chat import sft_examples
 from textloom.plans.corpus import document_ids
-from textloom.session import written_once
+from textloom.session import scratch_path, written_once
 
 
 def run_available(query) -> None:
@@ -141,21 +141,23 @@ def stream_metric_log(spark: SparkSession, folder: str, sink: str, checkpoint: s
 
 
 def stage_files(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000, min_files: int = 4) -> None:
-    """Writes ``df`` as a sequence of files in ``key`` order, one bounded key range per
-    file and per write, so that a file stream sees them arrive in dataset order. ``df`` is
-    computed once; each arrival reads its range of the written table."""
-    df = written_once(df.repartitionByRange(key), "staged")
-    row = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if row["n"] == 0:
-        df.limit(0).write.mode("append").parquet(path)
+    """Writes ``df`` as a sequence of files in ``key`` order, null keys first, so that a file stream sees them arrive in
+    dataset order. An arrival is a range of row positions, so a key with many rows is split over arrivals. All arrivals
+    are cut by one job; they then appear one after another, each read from its own folder of that table."""
+    columns = df.columns
+    df = written_once(row_index(df, [key], out="_arrival"), "staged")
+    n = df.count()
+    if n == 0:
+        df.select(*columns).limit(0).write.mode("append").parquet(path)
         return
-    files = max(min_files, -(-int(row["n"]) // rows_per_file))
-    lo, hi = int(row["lo"]), int(row["hi"])
-    width = max(1, -(-(hi - lo + 1) // files))
+    files = max(min_files, -(-n // rows_per_file))
+    size = -(-n // files)
+    cut = df.withColumn("_arrival", F.floor(F.col("_arrival") / size).cast("long")).repartition("_arrival")
+    folder = scratch_path(df.sparkSession, "arrivals")
+    cut.write.partitionBy("_arrival").parquet(folder)
+    staged = df.sparkSession.read.schema(cut.schema).parquet(folder)
     for i in range(files):
-        a, b = lo + i * width, lo + (i + 1) * width
-        part = df.where((F.col(key) >= a) & (F.col(key) < b))
-        part.coalesce(1).write.mode("append").parquet(path)  # one bounded range per file
+        staged.where(F.col("_arrival") == i).select(*columns).coalesce(1).write.mode("append").parquet(path)  # at most ``size`` rows
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
