@@ -142,3 +142,63 @@ def op8(spark, sf_dir):
     from textloom.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same,
+             list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, br) <= 5),
+m AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.vec_id NULLS LAST, s.br)::INT AS rank
+      FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 3""")
+def op11(spark, sf_dir):
+    from textloom.llm.hard_negatives import mine
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.select("vec_id", moved.alias("label"), F.when(finite, whole).alias("embedding"))
+    return mine(rows, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_jaccard_join", rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT r, s FROM (
+      SELECT r, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+      UNION ALL SELECT r, array_to_string(w, ' ') FROM d WHERE len(w) IN (1, 2))),
+n AS (SELECT r, count(*)::BIGINT AS n FROM g GROUP BY r),
+o AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach AS (SELECT r AS x, r AS y FROM n UNION SELECT reach.x, l.y FROM reach JOIN l ON l.x = reach.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN (SELECT x, min(doc_id) AS least FROM reach JOIN d ON d.r = reach.y GROUP BY x) c ON c.x = d.r""")
+def op12(spark, sf_dir):
+    from textloom.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op13_fill_in_middle", """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+k AS (SELECT doc_id, t, length(t) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+             ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM h),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || t[1:a] || '<S>' || t[b + 1:] || '<M>' || t[a + 1:b]
+                        ELSE '<S>' || t[b + 1:] || '<P>' || t[1:a] || '<M>' || t[a + 1:b] END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM c""")
+def op13(spark, sf_dir):
+    from textloom.llm.fim import fill_in_middle, restore_texts
+
+    out = restore_texts(fill_in_middle(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
