@@ -17,8 +17,9 @@ buckets of first bytes from the smallest up. Neighbours in the order with a comm
 more are equal windows; all but the earliest are repeated. Halves shared by more than ``hot`` segments, counted
 before any is cut out, are never dealt to one task: their windows are grouped by their bytes with Spark aggregates.
 
-Edge rows: a null text is empty. A null id counts as larger than all others; rows that share an id are ordered
-by a hash of the text; of whole repeated rows the first is judged and the others, if long enough, go entirely. Texts
+Edge rows: a null text is empty. A null id counts as larger than all others (below 2^63 - 2^31, where null ids lie, told
+apart by 31 bits of one hash of their text and 64 of another); rows that share an id are ordered by a 64-bit hash of the
+text; of whole repeated rows, compared by length and SHA-256, the first is judged and the others, if long enough, go entirely. Texts
 shorter than ``length`` stay. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -428,8 +429,9 @@ def _by_bytes(hot: DataFrame, length: int) -> DataFrame:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows with a document key (doc, tie) that orders them; whole repeated rows share it."""
-    tie = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), tie.alias("tie"),
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    none = F.lit(LAST) - F.xxhash64(F.lit(1), F.octet_length(text), text).bitwiseAND(F.lit(0x7FFFFFFF))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("doc"), F.xxhash64(text).alias("tie"),
                        F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
 
 
@@ -470,7 +472,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         raise ValueError(f"strings must have at least {GRAM + 4} bytes")
     rows = _keyed(docs, id_col, text_col)
     ranges = removed_ranges(rows, length, hot, broadcast_docs)
-    names = ["id", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes
+    names = ["id", "own", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -493,10 +495,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             cols = [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(c[4], pa.binary())] * with_bytes, names)
 
-    joined = rows.join(broadcast_if(ranges, broadcast_docs), ["doc", "tie"], "left").select("id", "tie", "text", "ranges")
-    schema = "id long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
+    joined = rows.join(broadcast_if(ranges, broadcast_docs), ["doc", "tie"], "left").select("id", F.sha2("text", 256).alias("own"), "text", "ranges")
+    schema = "id long, own string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     done = joined.mapInArrow(cut, schema)
-    copy = F.row_number().over(Window.partitionBy("id", "tie").orderBy("n_bytes")) > 1  # a whole repeated row
+    copy = F.row_number().over(Window.partitionBy("id", "own", "n_bytes").orderBy(F.lit(0))) > 1  # a whole repeated row
     gone = F.col("again") & (F.col("n_bytes") >= length)
     out = done.withColumn("again", copy)
     empty = hashlib.sha256(b"").hexdigest()
