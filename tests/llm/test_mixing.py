@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm.mixing import mix, mix_documents, route, targets, word_count
+from textloom.llm.mixing import mix, mix_documents, mixed_rows, route, targets, word_count
 
 from conftest_llm import words
 
@@ -68,3 +68,49 @@ def test_overlapping_sources(spark):
     assert sizes == {"a": 1200, "b": 1200, None: 600} and sum(quota.values()) == pytest.approx(1801)
     assert abs(sum(r.taken for r in out.collect()) - 1801) <= 8
     assert all(r.taken == 0 for r in out.collect() if r.pattern == "[]")
+
+
+def test_flow_runs_for_every_source(spark, monkeypatch):
+    """The registered query's amounts come through the solver: paths are counted in it."""
+    from textloom.llm import mixing
+    from textloom.llm.queries import QUERIES
+
+    steps, plain = [], mixing.route
+    monkeypatch.setattr(mixing, "route", lambda *a: plain(*a, steps=steps))
+    out = QUERIES["op6_source_mixing"](spark, "/root/testdata/sf0.001").collect()
+    assert len(steps) == len({r.target for r in out}) or len(steps) > 1
+    assert all(steps) and sum(r.taken for r in out) > 0
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sources_reach_their_targets(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    out = mix_documents(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    for s in {r.source for r in out}:
+        own = [r for r in out if r.source == s]
+        short = round(own[0].target) - sum(r.taken for r in own)
+        most = max(r.repeats for r in own)
+        unused = [r.size for r in own if r.size and r.repeats < most or most == min(x.repeats for x in own) and r.size]
+        assert 0 <= short and (20 * short <= own[0].target or short < min(unused))
+
+
+def test_other_id_and_clashing_columns(spark):
+    rows = [(i, "w " * (1 + i % 9), "ab"[i % 2], 99, 5, "p") for i in range(300)]
+    docs = spark.createDataFrame(rows, "key long, body string, source string, size int, h int, pattern string")
+    out = mix_documents(docs, id_col="key", text_col="body")
+    assert out.columns[0] == "key" and out.count() == 300
+    again = mixed_rows(docs, F.array("source"), id_col="key", text_col="body")
+    times = {r.key: r.repeats for r in out.collect()}
+    assert again.columns == docs.columns
+    got = [tuple(r) for r in again.collect()]
+    assert sorted(got) == sorted(r for r in rows for _ in range(times[r[0]]))
+
+
+def test_joined_sources_have_a_bound(monkeypatch):
+    from textloom.llm import mixing
+
+    monkeypatch.setattr(mixing, "MAX_JOINED", 2)
+    members = {"A": ("x",), "B": ("x", "y"), "C": ("y",)}
+    with pytest.raises(ValueError):
+        route({p: 1 for p in members}, members, {"x": 1, "y": 1})
+    assert route({"A": 5, "C": 5}, {"A": ("x",), "C": ("y",)}, {"x": 7, "y": 4}) == {"A": 7, "C": 4}

@@ -81,3 +81,16 @@ def test_run_packs_what_the_stages_keep(spark):
     assert pieces.keys() == left.keys() and len(left) > 50
     for doc_id, own in pieces.items():
         assert sum(r.length for r in own) == left[doc_id] * own[0].doc_tokens
+
+
+NAMES = ["_n", "_own", "_h", "_pattern", "_l_id", "_row", "c0", "number", "stay", "l_id", "kept"]
+
+
+@pytest.mark.parametrize("stage", [P.language_id, P.exact_copies, P.near_copies, P.mix_sources])
+def test_stages_leave_columns_of_any_name_alone(spark, edge_docs, stage):
+    rows = [(*d[:4], d[4], *range(50, 50 + len(NAMES))) for d in edge_docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in NAMES)
+    out = stage(spark, spark.createDataFrame(rows, schema), "")
+    assert out.columns[5:] == NAMES
+    got = out.collect()
+    assert got and {tuple(r)[5:] for r in got} == {tuple(range(50, 50 + len(NAMES)))}

@@ -60,17 +60,28 @@ def keep_rows(docs: DataFrame, keys: dict[str, Column], decisions: DataFrame, br
     ``keys`` are expressions on ``docs`` that the columns of the same names in ``decisions`` hold, one row there per
     row here, and ``kept``. Keys with no kept row go; of a key with several rows as many stay as were kept. Only
     keys that lose rows are matched, by broadcast behind a count or else by a shuffle."""
-    short = stored(decisions.groupBy(*keys).agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count(F.lit(1)).alias("_all"))
-                   .where("_stay < _all"), "keep-rows").toDF(*(f"_r_{k}" for k in keys), "_stay", "_all")
-    rows = docs.withColumns({f"_l_{k}": c for k, c in keys.items()})
-    same = lambda: _all([F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    short = stored(decisions.groupBy(*keys).agg(F.sum(F.col("kept").cast("long")).alias("stay"), F.count(F.lit(1)).alias("all"))
+                   .where("stay < all"), "keep-rows").toDF(*(f"r_{k}" for k in keys), "stay", "all")
+    rows = renamed(docs, **{f"l_{k}": c for k, c in keys.items()})
+    same = lambda: _all([F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys])
     out = rows.join(broadcast_if(short, broadcast_rows), same(), "left_anti")
-    part = short.where("_stay > 0")
+    part = short.where("stay > 0")
     if not part.isEmpty():
-        number = F.row_number().over(Window.partitionBy(*(f"_l_{k}" for k in keys)).orderBy(F.lit(0)))
-        some = rows.join(part, same()).withColumn("_n", number).where("_n <= _stay")
+        number = F.row_number().over(Window.partitionBy(*(f"l_{k}" for k in keys)).orderBy(F.lit(0)))
+        some = rows.join(part, same()).withColumn("number", number).where("number <= stay")
         out = out.unionByName(some.select(*out.columns))
-    return out.select(*docs.columns)
+    return named_again(out, docs)
+
+
+def renamed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """The table with its columns as c0, c1 and so on, so that no name can clash with the ``extra`` columns added."""
+    return docs.select(*(docs[f"`{c.replace('`', '``')}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)),
+                       *(c.alias(k) for k, c in extra.items()))
+
+
+def named_again(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``renamed`` rows under the names they had."""
+    return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def _all(conditions: list[Column]) -> Column:

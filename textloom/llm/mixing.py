@@ -3,13 +3,14 @@
 Documents are aggregated by membership pattern (the set of sources they are in). A flow routes words from
 patterns to source quotas; reading a pattern a second and third time costs more than the first, so repetition
 is convex in cost and spread evenly. The amounts then become documents: all of a pattern's documents as often
-as the amount covers them whole, and for the rest the first ones in a seeded order, found by narrowing the
-range of a hash step by step (counts per bucket, then the bucket that holds the limit), never by sorting a
-source in one task.
+as the amount covers them whole, and for the rest the first ones in a seeded order up to the one that would go
+beyond it, found by narrowing the range of a hash step by step (counts per bucket, then the bucket that holds the
+limit), never by sorting a source in one task. What is then missing is filled by later documents that still fit,
+in the same way, until none fits: a source misses its target by less than its smallest document left.
 
 The driver holds one row per pattern and per source, which must be fewer than ``MAX_PATTERNS``: a mixture is
-stated by weights per source, so their number does not grow with the documents. A pattern whose only source has
-no other pattern needs no flow: its amount is its quota.
+stated by weights per source, so their number does not grow with the documents. Sources that share no pattern, even
+through others, are flows of their own; one with more than ``MAX_JOINED`` patterns is an error.
 
 Edge rows: a null text has size 0 and is taken with any amount of its pattern at no words; a null source is a
 source of its own, last in order. Rows that repeat an id and text have a copy number in the seeded order. An
@@ -25,9 +26,11 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, stored
+from textloom.llm.common import WORD, named_again, renamed, stored
 
 MAX_PATTERNS = 100_000
+#: Patterns of one flow: shortest paths over more would take hours on the driver.
+MAX_JOINED = 2_000
 MAX_REPEATS = 3
 #: Bits of the seeded hash, and bits narrowed in a step.
 HASH_BITS, STEP_BITS = 60, 12
@@ -52,23 +55,33 @@ def targets(sizes: dict, weights: tuple[int, ...], total: int, max_repeats: int
     return {s: out[s] for s in order}
 
 
-def route(sizes: dict[str, int], members: dict[str, tuple], quota: dict, max_repeats: int = MAX_REPEATS) -> dict[str, int]:
-    """Words to take of each pattern: a maximum flow to the quotas with the least repetition cost.
-
-    Successive shortest paths with potentials; reading a pattern for the r-th time costs r - 1 a word."""
+def route(sizes: dict[str, int], members: dict[str, tuple], quota: dict, max_repeats: int = MAX_REPEATS,
+          steps: list | None = None) -> dict[str, int]:
+    """Words to take of each pattern: a maximum flow to the quotas with the least repetition cost, for each set of
+    sources that patterns connect. ``steps`` gets the number of paths that each flow took."""
     users = defaultdict(list)
     for p, sources in members.items():
         for s in sources:
             users[s].append(p)
-    out = {p: 0 for p in sizes}
-    shared = []
-    for p, sources in members.items():
-        if len(sources) == 1 and len(users[sources[0]]) == 1:
-            out[p] = min(round(quota[sources[0]]), max_repeats * sizes[p])
-        elif sources:
-            shared.append(p)
-    if not shared:
-        return out
+    out, seen = {p: 0 for p in sizes}, set()
+    for p in sorted(p for p in members if members[p]):
+        if p in seen:
+            continue
+        seen.add(p)
+        joined = [p]
+        for q in joined:  # grows while it is read
+            new = sorted({x for s in members[q] for x in users[s]} - seen)
+            seen.update(new)
+            joined += new
+        if len(joined) > MAX_JOINED:
+            raise ValueError(f"more than {MAX_JOINED} membership patterns share sources: state the mixture over fewer")
+        out.update(_flow({q: sizes[q] for q in joined}, members, quota, max_repeats, steps))
+    return out
+
+
+def _flow(sizes: dict[str, int], members: dict[str, tuple], quota: dict, max_repeats: int, steps: list | None) -> dict[str, int]:
+    """Successive shortest paths with potentials; reading a pattern for the r-th time costs r - 1 a word."""
+    shared, paths = list(sizes), 0
     graph: list[list[list]] = [[], []]  # edges: to, room, cost, place of the reverse edge
     place: dict = {}
 
@@ -104,6 +117,7 @@ def route(sizes: dict[str, int], members: dict[str, tuple], quota: dict, max_rep
                     heapq.heappush(heap, (far, b))
         if distance[1] is None:
             break
+        paths += 1
         potential = [v + (d if d is not None else distance[1]) for v, d in zip(potential, distance)]
         path, at = [], 1
         while at:
@@ -113,41 +127,67 @@ def route(sizes: dict[str, int], members: dict[str, tuple], quota: dict, max_rep
         for a, i in path:
             graph[a][i][1] -= flow
             graph[graph[a][i][0]][graph[a][i][3]][1] += flow
+    if steps is not None:
+        steps.append(paths)
+    out = {}
     for p in shared:
         own = {place["s", s] for s in members[p]}
         out[p] = sum(max_repeats * sizes[p] - room for to, room, _, _ in graph[place["p", p]] if to in own)
     return out
 
 
-def _cuts(rows: DataFrame, rest: dict[str, int]) -> dict[str, tuple[int, int]]:
-    """pattern -> hash limit below which its rows hold about ``rest`` words (the nearest there is)."""
+def _cuts(rows: DataFrame, wanted: dict[str, tuple[int, int, int]]) -> dict[str, tuple[int, int]]:
+    """pattern -> (limit, words): of its rows from a hash on and up to a size, those below the limit are the first
+    ones that hold no more than the words wanted. ``wanted``: pattern -> (words, first hash, largest size)."""
     spark = rows.sparkSession
-    state = {p: (0, need) for p, need in rest.items() if need > 0}  # pattern -> prefix, words still wanted
-    cut = {p: 0 for p in rest}
+    state = {p: (0, need, low, most) for p, (need, low, most) in wanted.items()}  # pattern -> prefix, words still wanted
+    out = {}
     for done in range(0, HASH_BITS, STEP_BITS):
         if not state:
             break
         shift = HASH_BITS - done - STEP_BITS
-        want = spark.createDataFrame([(p, prefix, need) for p, (prefix, need) in state.items()],
-                                     "pattern string, prefix long, need long")
-        own = rows.join(F.broadcast(want), "pattern").where(F.shiftright("h", shift + STEP_BITS) == F.col("prefix"))
+        want = spark.createDataFrame([(p, *v) for p, v in state.items()], "pattern string, prefix long, need long, low long, most long")
+        own = rows.join(F.broadcast(want), "pattern").where(
+            (F.shiftright("h", shift + STEP_BITS) == F.col("prefix")) & (F.col("h") >= F.col("low")) & (F.col("size") <= F.col("most")))
         sums = (own.groupBy("pattern", "need", F.shiftright("h", shift).alias("bucket"))
                 .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
-        before = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket")) - F.col("words")
-        hit = sums.withColumn("before", before).where("before < need AND before + words >= need")
-        found = {r["pattern"]: r for r in hit.collect()}  # one row per pattern
-        last = state
-        state = {}
-        for p, (prefix, need) in last.items():
+        upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))
+        over = F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"), "n")
+        found = (sums.withColumn("upto", upto).groupBy("pattern")
+                 .agg(F.max("upto").alias("all"), F.min(F.when(F.col("upto") > F.col("need"), over)).alias("over")).collect())
+        found = {r["pattern"]: r for r in found}  # one row per pattern
+        last, state = state, {}
+        for p, (prefix, need, low, most) in last.items():
             r = found.get(p)
-            if r is None:  # all words of the range are wanted
-                cut[p] = (prefix + 1) << (shift + STEP_BITS) if done else 1 << HASH_BITS
-            elif r["n"] == 1 or shift == 0:
-                more = need - r["before"]
-                cut[p] = (r["bucket"] + (2 * more >= r["words"])) << shift
+            if r is None or r["over"] is None:  # all words of the range fit
+                need -= r["all"] if r else 0
+                out[p] = ((prefix + 1) << (shift + STEP_BITS) if done else 1 << HASH_BITS, wanted[p][0] - need)
+            elif r["over"]["n"] == 1 or shift == 0:
+                out[p] = (r["over"]["bucket"] << shift, wanted[p][0] - need + r["over"]["before"])
             else:
-                state[p] = (r["bucket"], need - r["before"])
-    return cut
+                state[p] = (r["over"]["bucket"], need - r["over"]["before"], low, most)
+    return out
+
+
+def _bands(rows: DataFrame, rest: dict[str, int]) -> dict[str, list[tuple[int, int, int]]]:
+    """pattern -> (first hash, limit, largest size) of rows read once more, that hold ``rest`` words or as many as fit."""
+    out = {p: [] for p in rest}
+    open_ = {p: (need, 0, 1 << HASH_BITS) for p, need in rest.items() if need > 0}
+    while open_:
+        cut = _cuts(rows, open_)
+        left = []
+        for p, (need, low, most) in open_.items():
+            limit, words = cut[p]
+            out[p].append((low, limit, most))
+            if need > words:
+                left.append((p, need - words, max(low, limit)))
+        if not left:
+            break
+        state = rows.sparkSession.createDataFrame(left, "pattern string, need long, low long")
+        fits = rows.join(F.broadcast(state), "pattern").where("h >= low AND size > 0 AND size <= need")
+        go = {r["pattern"] for r in fits.select("pattern").distinct().collect()}
+        open_ = {p: (need, low, need) for p, need, low in left if p in go}
+    return out
 
 
 def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0,
@@ -170,11 +210,12 @@ def _place(row_hash: Column, copy: Column) -> Column:
 
 
 def _repeats() -> Column:
-    return F.col("whole") + (F.col("h") < F.col("cut")).cast("long")
+    more = F.exists("bands", lambda b: (F.col("h") >= b["low"]) & (F.col("h") < b["limit"]) & (F.col("size") <= b["most"]))
+    return F.col("whole") + more.cast("long")
 
 
 def _plan(docs, members, size, weights, share, seed, id_col, text_col, max_repeats):
-    """Rows (id, size, pattern, h) and the plan: how often each pattern is read whole, and below which ``h`` once more."""
+    """Rows (id, size, pattern, h) and the plan: how often each pattern is read whole, and which of its rows once more."""
     key = _pattern(members)
     base = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), key)
     rows = docs.select(F.col(id_col).alias("id"), size.cast("long").alias("size"), key.alias("pattern"), base.alias("b"))
@@ -194,8 +235,9 @@ def _plan(docs, members, size, weights, share, seed, id_col, text_col, max_repea
     amount = route(sizes, lists, quota, max_repeats)
 
     whole = {p: amount[p] // sizes[p] if sizes[p] else 0 for p in sizes}
-    cut = _cuts(rows, {p: amount[p] - whole[p] * sizes[p] for p in sizes})
-    plan = docs.sparkSession.createDataFrame([(p, whole[p], cut[p]) for p in sizes], "pattern string, whole long, cut long")
+    bands = _bands(rows, {p: amount[p] - whole[p] * sizes[p] for p in sizes})
+    plan = docs.sparkSession.createDataFrame([(p, whole[p], bands[p]) for p in sizes],
+                                             "pattern string, whole long, bands array<struct<low:long,limit:long,most:long>>")
     return rows, plan, lists, dict(sources), quota
 
 
@@ -204,21 +246,20 @@ def mixed_rows(docs: DataFrame, members: Column, weights: tuple[int, ...] = (5,
     """The input rows, each as often as the mixture reads it, with all their columns. The plan is applied where the
     rows are, without a shuffle; rows that are repeated whole are read equally often."""
     _, plan, *_ = _plan(docs, members, word_count(text_col), weights, share, seed, id_col, text_col, max_repeats)
-    plan = plan.toDF("_pattern", "whole", "cut").select("_pattern", F.struct("whole", "cut").alias("_plan"))
     base = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), _pattern(members))
-    rows = docs.withColumns({"_own": _pattern(members), "_h": _place(base, F.lit(1))})
-    rows = rows.join(F.broadcast(plan), F.col("_own") == F.col("_pattern"))
-    times = (F.col("_plan.whole") + (F.col("_h") < F.col("_plan.cut")).cast("long")).cast("int")
-    return rows.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    rows = renamed(docs, pattern=_pattern(members), h=_place(base, F.lit(1)), size=word_count(text_col).cast("long"))
+    rows = rows.join(F.broadcast(plan), "pattern")
+    rows = rows.withColumn("time", F.explode(F.array_repeat(F.lit(0), _repeats().cast("int"))))
+    return named_again(rows, docs)
 
 
 def word_count(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0))
 
 
-def mix_documents(docs: DataFrame, source_col: str = "source", **options) -> DataFrame:
-    """One row per document: id, ``size``, its ``source_size`` and ``target``, the words ``taken``."""
-    rows, sources, sizes, quota = mix(docs, F.array(source_col), word_count(), **options)
+def mix_documents(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: ``id_col``, ``size``, its ``source_size`` and ``target``, the words ``taken``."""
+    rows, sources, sizes, quota = mix(docs, F.array(source_col), word_count(text_col), id_col=id_col, text_col=text_col, **options)
     per = docs.sparkSession.createDataFrame([(p, sizes[s], quota[s]) for p, (s,) in sources.items()],
                                             "pattern string, source_size long, target double")
-    return rows.join(F.broadcast(per), "pattern").select("doc_id", "size", "source_size", "target", "taken", "repeats")
+    return rows.join(F.broadcast(per), "pattern").select(id_col, "size", "source_size", "target", "taken", "repeats")
