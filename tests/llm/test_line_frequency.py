@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import re
 from collections import Counter, defaultdict
 
@@ -45,12 +46,12 @@ def test_equals_brute_force(spark, bound):
     rows += [(1, None, None, None), (None, "", None, "hot"), (None, " \t\x0b\n", None, "b"), (5, "é É\nÉ é\né É", None, "b"), (5, "é É\nÉ é\né É", None, "b"),
              (6, "word " * 20_000, None, "d"), (7, "\n".join(f"l{k} m n" for k in range(3000)), None, "d")]
     docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id long, text string, lang string, source string, h long, row long, lines string")
-    out = line_frequency(docs, max_documents=5, broadcast_lines=bound, with_text=True)
+    out = line_frequency(docs, max_documents=5, max_share=None, broadcast_lines=bound, with_text=True)
     assert sorted(map(tuple, out.collect()), key=str) == brute(rows, 5, 30, 20)
 
 
 def test_edge_tables(edge, edge_docs, no_docs):
-    out = line_frequency(edge, max_documents=2, with_text=True)
+    out = line_frequency(edge, max_documents=2, max_share=None, with_text=True)
     assert sorted(map(tuple, out.collect()), key=str) == brute(edge_docs, 2, 30, 20)
     assert line_frequency(no_docs).count() == 0
 
@@ -63,3 +64,26 @@ def test_share_of_the_host_behaves_alike_at_every_size(spark, bound):
         docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
         out = line_frequency(docs, max_documents=1, max_share=10, broadcast_lines=bound).collect()
         assert {r.doc_id: r.n_removed_words for r in out} == {i: 3 if i % 5 == 0 else 0 for i in range(size)}
+
+
+def test_verdicts_do_not_change_with_the_size_of_the_crawl(spark):
+    """Ten times as many documents, each with an id and words of its own: every one gets the verdict of its first."""
+    body = lambda i, t: "\n".join([f"own{i}x{t} line {k} of words" for k in range(12 if i % 3 else 3)])
+    common = "\n".join(f"menu entry {k} with some more words in it" for k in range(8))  # in a tenth of the documents
+    rare = "a line that few documents of the host have"  # in one of a hundred
+
+    def table(times):
+        return spark.createDataFrame([(i * times + t, "\n".join([body(i, t), *[common] * (i % 10 == 0), *[rare] * (i % 100 == 1)]), "hot")
+                                      for i in range(600) for t in range(times)], "doc_id long, text string, source string")
+
+    one, ten = ({r.doc_id: (r.n_words, r.n_removed_words, r.kept) for r in line_frequency(table(n)).collect()} for n in (1, 10))
+    verdicts = {i: v[1:] for i, v in one.items()}
+    assert {i: v[1:] for i, v in ten.items()} == {10 * i + t: v for i, v in verdicts.items() for t in range(10)}
+    assert all((v[0] > 0) == (i % 10 == 0) for i, v in verdicts.items()) and any(not v[1] for v in verdicts.values())
+
+
+def test_registered_query_removes_words(spark):
+    from textloom.llm.queries import QUERIES
+
+    out = QUERIES["op2_line_frequency"](spark, "/root/testdata/sf0.01")
+    assert out.agg(F.sum("n_removed_words")).first()[0] > 0 and out.where("n_removed_words > 0 AND kept").count() > 0

@@ -1,8 +1,9 @@
 """Cross-document line frequency: boilerplate lines by the number of documents of a host that carry them.
 
 Lines are normalised (A-Z lower-cased, white space runs as one space, none at the ends) and hashed. A line is common on a host when
-more than ``max_documents`` different documents of that host have it; exact copies of a document count once,
-since removing those is another operator's work. Common lines are removed, and a document of which too little
+more than ``max_share`` per cent of the host's different documents have it, and more than ``max_documents``; a limit
+that follows the host's size gives the same verdicts on a small and a large crawl of it. Exact copies of a document count
+once, since removing those is another operator's work. Common lines are removed, and a document of which too little
 is left is rejected, as is one that fails the base rules on words and repeated word windows.
 
 Only DataFrame functions are used. Counts are partial aggregates on (host, line), so neither a hot host nor a
@@ -22,7 +23,8 @@ from textloom.llm.common import WORD, ascii_lower, broadcast_if, stored
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-MAX_DOCUMENTS = 20
+MAX_DOCUMENTS = 3
+MAX_SHARE = 2  # per cent of a host's different documents
 MIN_LEFT_SHARE = 30  # per cent of the words
 MIN_LEFT_WORDS = 20
 #: Common lines up to this many rows (host and hash) are broadcast; beyond it the join shuffles.
@@ -66,7 +68,7 @@ def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.withColumn("n_repeat_words", covered.cast("long")).drop("windows", "sorted", "at")
 
 
-def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float | None = None,
+def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float | None = MAX_SHARE,
                  broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """(host, h) of lines that more than ``max_documents`` different documents of the host have, and more than
     ``max_share`` per cent of its different documents if that is given."""
@@ -85,10 +87,10 @@ def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share
 def line_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                    max_documents: int = MAX_DOCUMENTS, min_left_share: int = MIN_LEFT_SHARE,
                    min_left_words: int = MIN_LEFT_WORDS, broadcast_lines: int = BROADCAST_LINES,
-                   with_text: bool = False, max_share: float | None = None) -> DataFrame:
+                   with_text: bool = False, max_share: float | None = MAX_SHARE) -> DataFrame:
     """One row per document with its base figures, ``n_removed_words`` and ``kept``; ``with_text`` adds the text
-    without its common lines. ``max_share`` (per cent of a host's documents) makes the limit relative, with
-    ``max_documents`` as the least count; without it the limit is ``max_documents`` on every host."""
+    without its common lines. ``max_share`` is in per cent of a host's different documents, ``max_documents`` the least
+    count; with no share the limit is ``max_documents`` on every host."""
     lines = stored(document_lines(docs, id_col, text_col, host_col, with_text), "lines")
     common = stored(common_lines(lines, max_documents, max_share, broadcast_lines), "common-lines")
     each = lines.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")

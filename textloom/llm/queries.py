@@ -122,7 +122,8 @@ l AS (SELECT r, host, t, unnest(list_filter(string_split(t, chr(10)), lambda x:
 dup AS (SELECT r, (count(*) - count(DISTINCT line))::BIGINT AS n FROM l GROUP BY r),
 h AS (SELECT r, host, t, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SP}', ' ', 'g'), ' ') AS k,
              len(regexp_extract_all(line, '{_WD}')) AS n FROM l),
-common AS (SELECT host, k FROM h GROUP BY host, k HAVING count(DISTINCT t) > 20),
+hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
+common AS (SELECT host, k FROM h JOIN hosts USING (host) GROUP BY host, k, hosts.n HAVING count(DISTINCT t) > 3 AND 100 * count(DISTINCT t) > 2 * hosts.n),
 gone AS (SELECT r, sum(n)::BIGINT AS n FROM h JOIN common USING (host, k) GROUP BY r),
 f AS (SELECT doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
              length(regexp_replace(d.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
