@@ -70,3 +70,30 @@ def test_missing_text_column_is_empty_text(spark, tmp_dir):
 
     spark.createDataFrame([(1, "x")], "doc_id long, title string").write.parquet(f"{tmp_dir}/d")
     assert [tuple(r) for r in read_documents(spark, f"{tmp_dir}/d").collect()] == [(1, "")]
+
+
+def test_numbering_leaves_columns_of_any_name_alone(spark):
+    from textloom.operators.order import row_index
+
+    df = spark.createDataFrame([(3, 7, "a", 1, 5), (1, 8, "b", 2, 6)], "k long, _row long, _range string, _v0 int, c0 int")
+    got = row_index(df, ["k"], out="n").orderBy("n").collect()
+    assert [tuple(r) for r in got] == [(1, 8, "b", 2, 6, 0), (3, 7, "a", 1, 5, 1)]
+
+
+def test_draw_takes_the_token_at_the_running_sum(spark):
+    import numpy as np
+
+    from textloom.operators.scores import sample_pick, uniform
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, 2, 50)]) for i in range(40)] + [(90, [0.0] * 20), (91, [1.0])]
+    df = spark.createDataFrame(rows, "row_id long, z array<double>")
+    for k in (None, 1, 7):
+        got = sample_pick(df, "z", "row_id", k).withColumn("u", uniform(F.lit(42), F.col("row_id"))).collect()
+        for r in got:
+            p = np.exp(np.array(r.z) - max(r.z))
+            p /= p.sum()
+            order = np.lexsort((np.arange(len(p)), -p))[:k]
+            cum = np.cumsum(p[order])
+            at = int(np.searchsorted(cum, r.u * cum[-1], side="right"))
+            assert r.token in order[max(0, at - 1):at + 2] and abs(cum[list(order).index(r.token)] - cum[min(at, len(cum) - 1)]) < 1e-9

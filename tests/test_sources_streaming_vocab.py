@@ -53,17 +53,76 @@ def test_metric_log_roundtrip(spark, tmp_dir):
     assert back[0].step == 0 and back[0].kind == "val" and back[0].value == 3.1416
 
 
-def test_stream_pack_equals_batch(spark, tmp_dir):
-    rows = [("train" if i % 5 else "val", i, "x" * (i * 37 % 300)) for i in range(120)]
-    docs = spark.createDataFrame(rows, "split string, doc_id long, text string")
-    src, pieces, state, ck = (os.path.join(tmp_dir, n) for n in ("in", "pieces", "state", "ck"))
-    ST.stage_files(docs, src, "doc_id", rows_per_file=20)
-    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), pieces, state, ck, 64)
-    got = ST.packed_from_pieces(spark, pieces, 256, 64).orderBy("split", "chunk").collect()
+def _documents(spark):
+    rows = [("train" if i % 5 else "val", i, "x y " * (i * 37 % 90)) for i in range(120)] + [("rare", 30, "once " * 40)]
+    return spark.createDataFrame(rows, "split string, doc_id long, text string")
+
+
+def _crash_once(monkeypatch, name_part, after):
+    """The write of a batch to a folder fails once, ``after`` writes to it have been made."""
+    plain, left = ST.put_batch, [after]
+
+    def put(df, path, batch_id, *within):
+        if name_part in path:
+            left[0] -= 1
+            if left[0] == -1:
+                raise RuntimeError("killed")
+        plain(df, path, batch_id, *within)
+    monkeypatch.setattr(ST, "put_batch", put)
+
+
+@pytest.mark.parametrize("encoder", ["bytes", "words"])
+def test_stream_pack_equals_batch(spark, tmp_dir, monkeypatch, encoder):
+    """Chunks leave once, a run that is killed between its writes goes on where it was, and tails stay under a chunk."""
+    from textloom.operators.encoders import BYTES, WordEncoder
     from textloom.plans.corpus import corpus_chunks
-    want = corpus_chunks(docs, 256, 64).orderBy("split", "chunk").collect()
-    assert [(r.split, r.chunk, r.tokens) for r in got] == [(r.split, r.chunk, r.tokens) for r in want]
-    assert len(glob.glob(os.path.join(state, "batch_id=*"))) >= 4  # several micro-batches
+    docs = _documents(spark)
+    enc = BYTES if encoder == "bytes" else WordEncoder(V.word_vocab(docs, 2), 2)
+    src, shards, state, ck = (os.path.join(tmp_dir, n) for n in ("in", "shards", "state", "ck"))
+    ST.stage_files(docs, src, "doc_id", rows_per_file=20)
+    _crash_once(monkeypatch, state, 2)
+    with pytest.raises(Exception, match="killed"):
+        ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), shards, state, ck, 256, 64, enc)
+    closed = lambda: {(r.split, r.chunk): (r.batch_id, r.tokens)
+                      for r in spark.read.parquet(shards).where("closed = 'true'").collect()}
+    before = closed()
+    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), shards, state, ck, 256, 64, enc)
+    after = closed()
+    assert before and before.items() <= after.items()  # the batch that ran again made the same chunks
+    got = ST.streamed_chunks(spark, shards, state, 256, 64).orderBy("split", "chunk").collect()
+    want = corpus_chunks(docs, 256, 64, enc).select(got[0].__fields__).orderBy("split", "chunk").collect()
+    assert got == want
+    tails = spark.read.parquet(state)
+    assert tails.select("batch_id").distinct().count() >= 4 and tails.where("size(ids) >= 64").count() == 0
+    assert spark.read.parquet(shards).where("closed = 'true'").groupBy("split", "chunk").count().where("count > 1").count() == 0
+
+
+def test_stream_valid_rows_equals_batch(spark, tmp_dir, monkeypatch):
+    """Streamed JSON in several batches, killed once between the rows and the state: each worker has its first n valid rows."""
+    from pyspark.sql import types as T
+
+    from textloom.operators.order import row_index, shard_rows
+    from textloom.plans.chat import sft_examples, take_valid_rows
+    rows = [(i // 3, i % 3, "be brief" if i % 2 else None, f"q {i}" if i % 7 else "", f"answer {i}" if i % 4 else None) for i in range(90)]
+    schema = "conv_id long, turn long, system_prompt string, question string, response string"
+    instr = spark.createDataFrame(rows, schema)
+    shares = shard_rows(row_index(instr, ["conv_id", "turn"], out="_i"), "_i", 4)
+    for n in (6, 1000):
+        src, sink, state, ck = (os.path.join(tmp_dir, f"{n}{x}") for x in ("in", "out", "state", "ck"))
+        ST.stage_files(instr, src, ["conv_id", "turn"], rows_per_file=15, fmt="json")
+        stream = lambda: IO.read_instructions(spark, src, streaming=True, schema=T.StructType(instr.schema.fields),
+                                              maxFilesPerTrigger=1)
+        with monkeypatch.context() as m:
+            _crash_once(m, state, 1)
+            with pytest.raises(Exception, match="killed"):
+                ST.stream_valid_rows(spark, stream(), sink, state, ck, n, 4)
+        ST.stream_valid_rows(spark, stream(), sink, state, ck, n, 4)
+        want = take_valid_rows(sft_examples(shares), ["conv_id", "turn"], n, "worker")
+        got = spark.read.parquet(sink)
+        key = ["worker", "conv_id", "turn"]
+        assert got.select(*key, "ids").orderBy(key).collect() == want.select(*key, "ids").orderBy(key).collect()
+        assert got.count() > 0 and got.groupBy("worker").count().where(f"count > {n}").count() == 0
+    assert spark.read.parquet(state).select("batch_id").distinct().count() >= 5
 
 
 def test_stream_sft_equals_batch(spark, tmp_dir):

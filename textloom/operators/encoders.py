@@ -25,9 +25,6 @@ MAX_TABLE = 1 << 20  # rows of a vocabulary or merges table
 ROWS_AT_A_TIME = 256  # whole texts encoded before their ids leave the worker
 IDS = T.ArrayType(T.IntegerType())
 
-_SPECIAL_RUN = re.compile("(" + "|".join(re.escape(t) for t, _ in SPECIAL_TOKENS) + ")")
-
-
 def bounded_rows(table: DataFrame, *cols: str) -> list:
     """Rows of a lookup table in one fetch; an error when it is larger than a vocabulary."""
     rows = table.select(*cols).limit(MAX_TABLE + 1).collect()
@@ -36,12 +33,31 @@ def bounded_rows(table: DataFrame, *cols: str) -> list:
     return rows
 
 
+class Specials:
+    """Special tokens and their ids: those of a table as ``special_tokens`` or ``read_tokenizer_folder`` give it (token, id,
+    roles), or of a dict. The delimiter is the token with the role eos, else <|endoftext|>; padding the one with the
+    role pad, else the delimiter."""
+
+    def __init__(self, tokens: DataFrame | dict[str, int]):
+        from textloom.operators.vocab import trie_pattern
+
+        rows = [(t, i, ()) for t, i in tokens.items()] if isinstance(tokens, dict) else [
+            (r["token"], r["id"], r["roles"]) for r in bounded_rows(tokens, "token", "id", "roles")]
+        self.ids = {t: int(i) for t, i, _ in rows}
+        role = {name: i for _, i, roles in rows for name in roles or ()}
+        self.eot = role.get("eos", self.ids.get("<|endoftext|>"))
+        self.pad = role.get("pad", self.ids.get("<|pad|>", self.eot))
+        self.pattern = trie_pattern(self.ids)
+
+
 class Encoder:
     """``arrays`` maps an Arrow array of texts (or of what ``prepare`` makes of a text) to
-    an Arrow array of id lists; a null text gives an empty list."""
+    an Arrow array of id lists; a null text gives an empty list. Ids outside [0, ``vocab_size``) are an error (T7),
+    looked for once per Arrow batch."""
 
     eot: int
     pad: int
+    vocab_size: int = 65536
 
     def prepare(self, text: Column) -> Column:
         return F.coalesce(text.cast("string"), F.lit(""))
@@ -55,19 +71,26 @@ class Encoder:
 
     def with_ids(self, df: DataFrame, **texts: Column) -> DataFrame:
         """``df`` with one id array per named text."""
-        kept, made = len(df.columns), self.encode
+        kept, made, hi = len(df.columns), self.encode, self.vocab_size
+
+        def checked(ids: pa.Array) -> pa.Array:
+            ends = pc.min_max(ids.values).as_py()
+            if ends["min"] is not None and (ends["min"] < 0 or ends["max"] >= hi):
+                raise ValueError(f"token id outside [0, {hi})")
+            return ids
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             arrays = made()
             for whole in batches:
                 for at in range(0, whole.num_rows, ROWS_AT_A_TIME):
                     b = whole.slice(at, ROWS_AT_A_TIME)
-                    ids = [arrays(c) for c in b.columns[kept:]]
+                    ids = [checked(arrays(c)) for c in b.columns[kept:]]
                     yield pa.RecordBatch.from_arrays(b.columns[:kept] + ids, names=names)
 
         names = df.columns + list(texts)
         schema = T.StructType(df.schema.fields + [T.StructField(n, IDS) for n in texts])
-        source = df.select("*", *[self.prepare(c).alias(f"_text_{n}") for n, c in texts.items()])
+        source = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)],
+                           *[self.prepare(c).alias(f"text{i}") for i, c in enumerate(texts.values())])
         return source.mapInArrow(run, schema)
 
 
@@ -89,56 +112,68 @@ def utf8_ids(texts: pa.Array) -> pa.Array:
 
 
 class ByteEncoder(Encoder):
-    """UTF-8 bytes, special tokens from 256; ids cannot be out of range."""
+    """UTF-8 bytes; special tokens from 256, or those of ``specials`` with their own ids."""
 
     eot, pad = EOT, PAD
 
+    def __init__(self, specials: DataFrame | dict[str, int] | None = None):
+        self.specials = None
+        if specials is not None:
+            self.specials = Specials(specials)
+            self.eot, self.pad = self.specials.eot, self.specials.pad
+
     def length(self, text: str) -> Column:
-        return byte_encode_length(text)
+        if self.specials is None:
+            return byte_encode_length(text)
+        pattern = F.lit(self.specials.pattern)
+        t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+        return F.octet_length(F.regexp_replace(t, pattern, F.lit(""))) + F.regexp_count(t, pattern)
 
     def encode(self):
-        sid = byte_special_ids()
+        own = self.specials or Specials(byte_special_ids())
+        sid, run, first = own.ids, re.compile(f"({own.pattern})"), {t[0] for t in own.ids}
+        hint = "<|" if all(t.startswith("<|") for t in sid) else next(iter(first)) if len(first) == 1 else None
 
         def cut(text: str):
-            return np.concatenate([[sid[p]] if p in sid else np.frombuffer(p.encode("utf-8"), np.uint8)
-                                   for p in _SPECIAL_RUN.split(text)])
+            return np.concatenate([[sid[p]] if k % 2 else np.frombuffer(p.encode("utf-8"), np.uint8)
+                                   for k, p in enumerate(run.split(text))])
 
         def arrays(texts: pa.Array) -> pa.Array:
-            if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            if not sid or hint and not pc.any(pc.match_substring(texts, hint)).as_py():
                 return utf8_ids(texts)
-            return id_lists([cut(t) if "<|" in t else np.frombuffer(t.encode("utf-8"), np.uint8)
+            return id_lists([cut(t) if hint is None or hint in t else np.frombuffer(t.encode("utf-8"), np.uint8)
                              for t in texts.to_pylist()])
         return arrays
 
 
 class PieceEncoder(Encoder):
-    """Texts cut in the JVM into special tokens and pieces; ``ids_of`` maps an Arrow array of
-    pieces to id lists or single ids."""
+    """Texts cut in the JVM into special tokens and pieces; ``encode`` maps an Arrow array of
+    pieces to id lists."""
+
+    def __init__(self, pieces: Callable[[Column], Column], specials: dict[str, int]):
+        from textloom.operators.vocab import trie_pattern
 
-    def __init__(self, pieces: Callable[[Column], Column]):
-        self.pieces = pieces
+        self.pieces, self.tokens, self.pattern = pieces, list(specials), trie_pattern(specials)
 
     def prepare(self, text: Column) -> Column:
-        from textloom.operators.vocab import SPECIAL_BOUNDARY
+        from textloom.operators.vocab import special_runs
 
         t = super().prepare(text)
-        special = F.array(*[F.lit(s) for s, _ in SPECIAL_TOKENS])
-        runs = F.when(F.instr(t, "<|") > 0, F.split(t, SPECIAL_BOUNDARY)).otherwise(F.array(t))
-        return F.flatten(F.transform(runs, lambda r: F.when(F.array_contains(special, r), F.array(r)).otherwise(
-            self.pieces(r))))
+        runs = F.when(t.rlike(self.pattern), special_runs(t, self.tokens)).otherwise(F.array(t))
+        return F.flatten(F.transform(runs, lambda r, i: F.when(i % 2 == 1, F.array(r)).otherwise(self.pieces(r))))
 
 
 class WordEncoder(PieceEncoder):
     """Ids of the words of ``vocab`` (word, id from 0); unknown words are ``size``, the special
-    tokens follow from ``size + 1``."""
+    tokens follow from ``size + 1``, or are those of ``specials`` with their own ids."""
 
-    def __init__(self, vocab: DataFrame, size: int):
+    def __init__(self, vocab: DataFrame, size: int, specials: DataFrame | dict[str, int] | None = None):
         from textloom.operators.vocab import word_pieces
 
-        super().__init__(word_pieces)
         self.size = size
-        self.specials = {t: size + 1 + k for k, (t, _) in enumerate(SPECIAL_TOKENS)}
-        self.eot, self.pad = self.specials["<|endoftext|>"], self.specials["<|pad|>"]
+        own = Specials({t: size + 1 + k for k, (t, _) in enumerate(SPECIAL_TOKENS)} if specials is None else specials)
+        self.specials, self.eot, self.pad = own.ids, own.eot, own.pad
+        super().__init__(word_pieces, self.specials)
         rows = [(r["word"], r["id"]) for r in bounded_rows(vocab, "word", "id")] + list(self.specials.items())
         self.table = vocab.sparkSession.sparkContext.broadcast(([w for w, _ in rows], [i for _, i in rows]))
 
@@ -158,20 +193,19 @@ class BpeEncoder(PieceEncoder):
     """Byte-level BPE with given ``merges`` (rank, left, right, id) over byte ids; specials
     as in the byte encoder. A worker keeps the ids of up to ``MAX_TABLE`` pre-tokens."""
 
-    eot, pad = EOT, PAD
-
-    def __init__(self, merges: DataFrame):
-        from textloom.operators.vocab import BPE_PRETOKEN
+    def __init__(self, merges: DataFrame, specials: DataFrame | dict[str, int] | None = None):
+        from textloom.operators.vocab import BPE_PRETOKEN, MergeTable
 
-        super().__init__(lambda t: F.regexp_extract_all(t, F.lit(BPE_PRETOKEN), 1))
-        ranks = {(int(r["left"]), int(r["right"])): (int(r["rank"]), int(r["id"]))
-                 for r in bounded_rows(merges, "rank", "left", "right", "id")}
-        self.ranks = merges.sparkSession.sparkContext.broadcast(ranks)
+        own = Specials(byte_special_ids() if specials is None else specials)
+        self.specials, self.eot, self.pad = own.ids, own.eot, own.pad
+        super().__init__(lambda t: F.regexp_extract_all(t, F.lit(BPE_PRETOKEN), 1), self.specials)
+        rows = [(r["rank"], r["left"], r["right"], r["id"]) for r in bounded_rows(merges, "rank", "left", "right", "id")]
+        self.ranks = merges.sparkSession.sparkContext.broadcast(MergeTable(rows))
 
     def encode(self):
         from textloom.operators.vocab import _apply_merges
 
-        ranks, known = self.ranks.value, {t: [i] for t, i in byte_special_ids().items()}
+        ranks, known = self.ranks.value, {t: [i] for t, i in self.specials.items()}
 
         def ids_of(piece: str) -> list[int]:
             ids = known.get(piece)
@@ -194,15 +228,8 @@ class UserEncoder(Encoder):
         self.factory, self.eot, self.pad, self.vocab_size = factory, eot, pad, vocab_size
 
     def encode(self):
-        user, hi = self.factory(), self.vocab_size
-
-        def arrays(texts: pa.Array) -> pa.Array:
-            out = id_lists(user(texts.to_pylist()))
-            ids = out.values.to_numpy()
-            if len(ids) and not (0 <= ids.min() and ids.max() < hi):
-                raise ValueError(f"token id outside [0, {hi})")
-            return out
-        return arrays
+        user = self.factory()
+        return lambda texts: id_lists(user(texts.to_pylist()))
 
 
 def decode_ids(df: DataFrame, vocab: DataFrame, out: str = "decoded", ids_col: str = "ids", sep: str = "",

@@ -25,11 +25,14 @@ def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequenc
                    partition_cols: Sequence[str] = (), inclusive: bool = True) -> DataFrame:
     """Running sums of several values at once (E6) in ``order_cols`` order within
     ``partition_cols``; rows with equal keys come in the order they are read."""
-    rows = written_once(df.withColumn("_row", F.monotonically_increasing_id()), "order-rows")
-    groups = {f"_g{i}": F.col(c) for i, c in enumerate(partition_cols)}
-    order = {f"_o{i}": F.col(c) for i, c in enumerate(order_cols)}
-    sums = {f"_v{i}": v.cast("long") for i, v in enumerate(values.values())}
-    keys = rows.select("_row", *[c.alias(n) for n, c in {**groups, **order, **sums}.items()])
+    place = {c: f"c{i}" for i, c in enumerate(df.columns)}  # no name of the input can clash with those added here
+    named = df.select(*(F.col(f"`{c}`").alias(n) for c, n in place.items()),
+                      *(v.cast("long").alias(f"_v{i}") for i, v in enumerate(values.values())))
+    rows = written_once(named.withColumn("_row", F.monotonically_increasing_id()), "order-rows")
+    groups = {f"_g{i}": F.col(place[c]) for i, c in enumerate(partition_cols)}
+    order = {f"_o{i}": F.col(place[c]) for i, c in enumerate(order_cols)}
+    sums = [f"_v{i}" for i in range(len(values))]
+    keys = rows.select("_row", *[c.alias(n) for n, c in {**groups, **order}.items()], *sums)
     ranged = keys.repartitionByRange(*groups, *order, "_row")
     keys = written_once(ranged.withColumn("_range", F.spark_partition_id()), "order-keys")
 
@@ -45,10 +48,9 @@ def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequenc
         same = same & F.col(g).eqNullSafe(F.col(f"_s{g}"))
     totals = keys.join(starts, same).select(
         "_row", *[(F.col(f"_b{v}") + F.col(v)).cast("long").alias(f"_t{v}") for v in sums])
-    out = rows.join(totals, "_row")
-    named = {name: F.col(f"_t{v}") for name, v in zip(values, sums)}
-    kept = [c for c in df.columns if c not in named]
-    return out.select(*kept, *[c.alias(n) for n, c in named.items()])
+    out = rows.drop(*sums).join(totals, "_row")
+    kept = [F.col(n).alias(c) for c, n in place.items() if c not in values]
+    return out.select(*kept, *[F.col(f"_t{v}").alias(name) for name, v in zip(values, sums)])
 
 
 def prefix_sum(df: DataFrame, value: Column | str, order_cols: Sequence[str],

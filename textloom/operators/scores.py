@@ -94,24 +94,27 @@ def uniform(seed, key) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def running_sum(a: Column) -> Column:
-    """Inclusive running sums of a double array in one pass."""
-    init = F.struct(F.lit(0.0).cast("double").alias("s"), F.array().cast("array<double>").alias("acc"))
-    return F.aggregate(a, init, lambda st, x: F.struct((st["s"] + x).alias("s"),
-                                                      F.concat(st["acc"], F.array(st["s"] + x)).alias("acc")),
-                       lambda st: st["acc"])
-
-
-def sample_pick(df: DataFrame, z: str, key: str, k: int = 50, seed: int = 42, rank: int = 0,
+def sample_pick(df: DataFrame, z: str, key: str, k: int | None = 50, seed: int = 42, rank: int = 0,
                 out: str = "token") -> DataFrame:
-    """Draws one of the k most likely tokens in proportion to its (unnormalised)
-    probability, with a deterministic uniform number from (seed + rank, key)."""
-    d = df.withColumn("_top", topk_sorted(softmax(z), k))
-    d = d.withColumn("_cum", running_sum(F.transform("_top", lambda s: -s["neg"])))
-    u = uniform(F.lit(seed + rank), key) * F.element_at("_cum", -1)
-    j = F.array_position(with_scalar(F.col("_cum"), u, lambda c, t: c > t), True)
-    d = d.withColumn("_j", F.when(j == 0, F.size("_cum")).otherwise(j).cast("int"))
-    return d.withColumn(out, F.element_at("_top", F.col("_j"))["token"]).drop("_top", "_cum", "_j")
+    """Draws one of the k most likely tokens (None: of all that are left) in proportion to its (unnormalised)
+    probability, with a deterministic uniform number from (seed + rank, key).
+
+    Only tokens with a probability are sorted, and the running sum is one number carried along them, so a row costs
+    one pass over its logits plus a sort of what a threshold has left."""
+    kept = F.filter(F.transform(softmax(z), lambda x, i: F.struct((-x).alias("neg"), i.alias("token"))), lambda s: s["neg"] != 0)
+    top = F.array_sort(kept)
+    d = df.withColumn("_top", top if k is None else F.slice(top, 1, k))
+    zero = F.lit(0.0).cast("double")
+    total = F.aggregate("_top", zero, lambda a, s: a - s["neg"])
+    d = d.withColumn("_u", uniform(F.lit(seed + rank), key) * total)
+    start = F.struct(zero.alias("sum"), F.col("_u").alias("u"), F.lit(None).cast("int").alias("token"), F.lit(False).alias("hit"))
+
+    def step(a, s):
+        to = a["sum"] - s["neg"]
+        return F.struct(to.alias("sum"), a["u"].alias("u"), F.when(a["hit"], a["token"]).otherwise(s["token"].cast("int")).alias("token"),
+                        (a["hit"] | (to > a["u"])).alias("hit"))
+
+    return d.withColumn(out, F.aggregate("_top", start, step, lambda a: a["token"])).drop("_top", "_u")
 
 
 def pad_after_eos(df: DataFrame, new_col: str, eos: int, pad: int | None = None, max_new: int | None = None,

@@ -7,8 +7,9 @@ desc, word), unknown words map to V. Special tokens are split off first.
 
 from __future__ import annotations
 
-import re
+import heapq
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,48 @@ from textloom.functions.tokens import SPECIAL_ROLES, SPECIAL_TOKENS
 # Word pattern (letters, digits, other non-space runs); the space
 # class is written out so that both regex engines agree on it.
 WORD_PATTERN = r"(\p{L}+|\p{N}+|[^\p{L}\p{N}\t\n\x0B\f\r ]+)"
-_ALT = "|".join(re.escape(t) for t, _ in SPECIAL_TOKENS)
-SPECIAL_BOUNDARY = f"(?=({_ALT}))|(?<=({_ALT}))"
+
+
+def trie_pattern(tokens) -> str:
+    """A pattern that matches the longest of ``tokens`` at a place: their trie, branch by branch, ends last. Python and
+    Java read it alike."""
+    trie: dict = {}
+    for t in tokens:
+        if not t:
+            raise ValueError("a special token can't be empty")
+        node = trie
+        for c in t:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        text = ""
+        while len(node) == 1 and "" not in node:  # a run without branches
+            c, node = next(iter(node.items()))
+            text += _escaped(c)
+        if set(node) == {""}:
+            return text
+        branches = [_escaped(c) + pattern(n) for c, n in sorted(node.items()) if c]
+        return text + "(?:" + "|".join(branches) + ")" + ("?" if "" in node else "")
+
+    return pattern(trie) if trie else r"(?!)"
+
+
+def _escaped(c: str) -> str:
+    return "\\" + c if c in r"\^$.|?*+()[]{}<>-#&~" else c
+
+
+#: Marks around special tokens while a text is cut; both are written otherwise where a text holds them.
+_ESC, _OWN, _CUT = "\x01", "\x02", "\x03"
+
+
+def special_runs(text, tokens):
+    """T5 in the JVM: the text cut at its special tokens, plain runs and tokens in turn (the first run is plain, some are
+    empty). Leftmost first, longest first; a token inside a longer or overlapping one that was taken isn't seen."""
+    pattern = trie_pattern([t.replace(_ESC, _ESC + _OWN) for t in tokens])
+    t = F.replace(text, F.lit(_ESC), F.lit(_ESC + _OWN))
+    parts = F.split(F.regexp_replace(t, F.lit(f"({pattern})"), F.lit(f"{_ESC}{_CUT}$1{_ESC}{_CUT}")), f"{_ESC}{_CUT}")
+    return F.transform(parts, lambda r: F.replace(r, F.lit(_ESC + _OWN), F.lit(_ESC)))
 
 
 def special_tokens(spark: SparkSession, base: int | None = None) -> DataFrame:
@@ -87,21 +128,23 @@ def compare_encoders(df: DataFrame, counts: dict, split_col: str = "split") -> D
 BPE_PRETOKEN = r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+)"
 
 
+# Pre-tokens up to this many bytes are merged by looking at all pairs each time.
+SHORT = 24
+
+
 def _apply_merges(ids: list[int], ranks: dict) -> list[int]:
     """Standard BPE: merge the adjacent pair of lowest rank, everywhere, until none is left."""
+    if len(ids) > SHORT:
+        return merge_long(np.asarray(ids, np.int64), ranks).tolist()
     while len(ids) > 1:
-        best = None
-        for a, b in zip(ids, ids[1:]):
-            r = ranks.get((a, b))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = (r[0], a, b, r[1])
-        if best is None:
+        best = min((ranks.get(p, _NO_RANK) for p in zip(ids, ids[1:])), key=lambda r: r[0])
+        if best is _NO_RANK:
             break
-        _, a, b, new = best
-        out, i = [], 0
+        at = [k for k, p in enumerate(zip(ids, ids[1:])) if ranks.get(p) == best]
+        out, i, starts = [], 0, set(at)
         while i < len(ids):
-            if i + 1 < len(ids) and ids[i] == a and ids[i + 1] == b:
-                out.append(new)
+            if i in starts:
+                out.append(best[1])
                 i += 2
             else:
                 out.append(ids[i])
@@ -110,6 +153,79 @@ def _apply_merges(ids: list[int], ranks: dict) -> list[int]:
     return ids
 
 
+_NO_RANK = (float("inf"), -1)
+
+
+class MergeTable(dict):
+    """(left, right) -> (rank, id), and the same as sorted arrays for many pairs at once."""
+
+    def __init__(self, rows):
+        super().__init__(((int(a), int(b)), (int(r), int(i))) for r, a, b, i in rows)
+        pairs = np.array([(a << 32) | b for a, b in self], np.int64)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.rank = np.array([v[0] for v in self.values()], np.int64)[order]
+        self.made = np.array([v[1] for v in self.values()], np.int64)[order]
+        if len(np.unique(self.rank)) != len(self.rank):
+            raise ValueError("two merges have one rank")
+
+    def __reduce__(self):
+        return MergeTable, ([(r, a, b, i) for (a, b), (r, i) in self.items()],)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair's merge, -1 where it has none."""
+        if not len(self.pairs):
+            return np.full(len(left), -1)
+        want = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == want, at, -1)
+
+
+def merge_long(ids: np.ndarray, ranks: dict) -> np.ndarray:
+    """The same merges over a linked list of symbols and a heap of ranks: each rank has the places whose pair had it
+    when it was noted. A rank is taken once for all its places, and only the two neighbours of a merged pair get a new
+    rank, so the work is that of the merges made (n log n in all), not a pass over the text for each."""
+    table = ranks if isinstance(ranks, MergeTable) else MergeTable([(r, a, b, i) for (a, b), (r, i) in ranks.items()])
+    n = len(ids)
+    sym = np.append(ids, -1)  # place n is a wall that no merge has
+    after, ahead = np.arange(1, n + 2), np.arange(-1, n)
+    places: dict[int, list[np.ndarray]] = {}
+    heap: list[tuple[int, int]] = []
+
+    def note(at: np.ndarray) -> None:
+        found = table.find(sym[at], sym[after[at]])
+        at, found = at[found >= 0], found[found >= 0]
+        order = np.argsort(found, kind="stable")
+        at, found = at[order], found[order]
+        starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else []
+        for lo, hi in zip(starts, [*starts[1:], len(found)]):
+            k = int(found[lo])
+            if k not in places:
+                places[k] = []
+                heapq.heappush(heap, (int(table.rank[k]), k))
+            places[k].append(at[lo:hi])
+
+    note(np.arange(n - 1))
+    while heap:
+        _, k = heapq.heappop(heap)
+        at = np.unique(np.concatenate(places.pop(k)))
+        left, right = table.pairs[k] >> 32, table.pairs[k] & 0xFFFFFFFF
+        at = at[(sym[at] == left) & (sym[after[at]] == right)]  # what is still there
+        if left == right and len(at) > 1:  # of a run a a a every second pair
+            head = np.r_[True, after[at[:-1]] != at[1:]]
+            first = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - first) % 2 == 0]
+        if not len(at):
+            continue
+        gone = after[at]
+        sym[at], sym[gone] = table.made[k], -2  # a place that was merged away is in no pair
+        after[at] = after[gone]
+        ahead[after[at]] = at
+        before = ahead[at]
+        note(np.unique(np.concatenate([before[before >= 0], at[after[at] < n]])))
+    return sym[:n][sym[:n] >= 0]
+
+
 def bpe_encode(df: DataFrame, merges: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
     """T4 ``bpe``: byte-level BPE with a given merges table over byte ids (0-255; specials
     from 256 as in the byte encoder)."""

@@ -29,16 +29,21 @@ def document_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
     return encoder.with_ids(docs, ids=F.col("text")).withColumn("ids", prepend("ids", encoder.eot))
 
 
-def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, chunk_size: int = TEST_CHUNK_SIZE,
-                  encoder: Encoder = BYTES) -> DataFrame:
-    """K2 over a corpus (split, doc_id, text). An encoder that knows lengths without encoding
+def placed_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
+    """(split, start, ids) of a corpus (split, doc_id, text). An encoder that knows lengths without encoding
     encodes after the offsets; any other one encodes once, before them."""
     if encoder.length("text") is None:
         ids = document_ids(docs, encoder).select("split", "doc_id", "ids")
         ids = token_offsets(ids, F.size("ids"))
     else:
         ids = document_ids(token_offsets(docs, F.lit(1) + encoder.length("text")), encoder)
-    return pack_chunks(ids.select("split", "start", "ids"), shard_size, chunk_size)
+    return ids.select("split", "start", "ids")
+
+
+def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, chunk_size: int = TEST_CHUNK_SIZE,
+                  encoder: Encoder = BYTES) -> DataFrame:
+    """K2 over a corpus (split, doc_id, text)."""
+    return pack_chunks(placed_ids(docs, encoder), shard_size, chunk_size)
 
 
 def corpus_totals(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> DataFrame:

@@ -632,13 +632,17 @@ def q_stream_choice_accuracy(spark, sf_dir):
     return ST.accuracy_result(spark, sink).select("total", "correct", "correct_norm", _r6("acc"), _r6("acc_norm"))
 
 
+def _streamed_chunks(spark, docs, encoder):
+    src, shards, state, ck = (scratch_path(spark, n) for n in ("pack-in", "pack-shards", "pack-state", "pack-ck"))
+    ST.stage_files(docs, src, "doc_id", rows_per_file=20_000)
+    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), shards, state, ck, SHARD, CHUNK, encoder)
+    return ST.streamed_chunks(spark, shards, state, SHARD, CHUNK)
+
+
 @register("stream_packed_chunks", ORACLE["packed_chunks"])
 def q_stream_packed_chunks(spark, sf_dir):
-    src, pieces, state, ck = (scratch_path(spark, n) for n in ("pack-in", "pack-pieces", "pack-state", "pack-ck"))
-    docs = X.corpus(spark, sf_dir)
-    ST.stage_files(docs, src, "doc_id", rows_per_file=20_000)
-    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), pieces, state, ck, CHUNK)
-    ch = ST.packed_from_pieces(spark, pieces, SHARD, CHUNK)
+    """X3 with the byte encoder."""
+    ch = _streamed_chunks(spark, X.corpus(spark, sf_dir), BYTES)
     return ch.select("split", "shard", "chunk", "chunk_in_shard", "n_tokens", ids_text("tokens").alias("tokens"))
 
 
@@ -903,7 +907,7 @@ def q_context_crop(spark, sf_dir):
 
 # ---------------------------------------------------------------- encoders as a parameter, caps, draws, reductions
 
-from textloom.operators.encoders import MAX_TABLE, BpeEncoder, UserEncoder, WordEncoder, decode_ids  # noqa: E402
+from textloom.operators.encoders import BYTES, BpeEncoder, ByteEncoder, UserEncoder, WordEncoder, decode_ids  # noqa: E402
 
 WORD_EOT = WORD_V + 1
 # Merges (rank, left, right, id) over byte ids: th, the, " the", in, ing, er, an, and, de
@@ -927,6 +931,13 @@ def q_packed_word_chunks(spark, sf_dir):
     return ch.select("split", "shard", "chunk", "n_tokens", ids_text("tokens").alias("tokens"))
 
 
+@register("stream_packed_words", ORACLE["packed_word_chunks"])
+def q_stream_packed_words(spark, sf_dir):
+    """X3 with the word encoder."""
+    ch = _streamed_chunks(spark, *_word_encoder(spark, sf_dir))
+    return ch.select("split", "shard", "chunk", "n_tokens", ids_text("tokens").alias("tokens"))
+
+
 def _plain_bytes():
     return lambda texts: [list(t.encode("utf-8")) for t in texts]
 
@@ -948,6 +959,45 @@ def q_bpe_token_ids(spark, sf_dir):
     return bpe.with_ids(X.corpus(spark, sf_dir), ids=F.col("text")).select("doc_id", "split", ids_text("ids").alias("ids"))
 
 
+# A merges table of thousands of rules: each joins two ASCII letters, digits or a space, or such a pair and one more.
+BPE_ALPHABET = " abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def large_merges(spark):
+    """Two-byte rules for all pairs of ``BPE_ALPHABET`` after a space rule order by id, then three-byte rules by pair and letter."""
+    k = len(BPE_ALPHABET)
+    byte = F.array(*[F.lit(ord(c)) for c in BPE_ALPHABET])
+    two = spark.range(k * k).select(F.col("id").cast("int").alias("rank"), F.get(byte, F.expr(f"cast(id div {k} as int)")).alias("left"),
+                                    F.get(byte, (F.col("id") % k).cast("int")).alias("right"))
+    n = k * k
+    three = spark.range(n * 8).select((F.col("id") + n).cast("int").alias("rank"), F.expr("cast(id div 8 as int) + 300").alias("left"),
+                                      F.get(byte, (F.col("id") % 8 + 1).cast("int")).alias("right"))
+    return two.unionByName(three).withColumn("id", F.col("rank") + 300)
+
+
+@register("bpe_large_totals", _with(O.CORPUS) + """
+SELECT split, count(*)::BIGINT AS documents, sum(octet_length(encode(text)))::BIGINT AS bytes FROM corpus GROUP BY split""")
+def q_bpe_large_totals(spark, sf_dir):
+    """T4 ``bpe`` with a merges table of 12,321 rules over all documents: each id stands for one, two or three bytes, and
+    these must add up to the bytes of the texts."""
+    ids = BpeEncoder(large_merges(spark)).with_ids(X.corpus(spark, sf_dir), ids=F.col("text"))
+    two = len(BPE_ALPHABET) ** 2
+    size = F.aggregate("ids", F.lit(0).cast("long"), lambda s, i: s + F.when(i < 300, 1).when(i < 300 + two, 2).otherwise(3))
+    return ids.groupBy("split").agg(F.count(F.lit(1)).alias("documents"), F.sum(size).alias("bytes"))
+
+
+@register("folder_special_ids", _with(O.INSTRUCTIONS, O.CHAT_TEXT, O.sft(CH.CHAT_MAX_LEN)) + f"""
+SELECT conv_id, turn, len(ids)::BIGINT AS n_ids,
+       {O.ids_text("list_transform(ids, lambda x: CASE WHEN x >= 256 THEN x - 256 + 32256 ELSE x END)")} AS ids FROM sft""")
+def q_folder_special_ids(spark, sf_dir):
+    """T1 + T5: control strings and their ids as a tokenizer's folder has them, used to encode the chat texts."""
+    folder = scratch_path(spark, "tokenizer")
+    V.write_tokenizer_folder(V.special_tokens(spark), folder)
+    enc = ByteEncoder(V.read_tokenizer_folder(spark, folder))
+    ex = CH.sft_examples(X.instructions(spark, sf_dir), CH.CHAT_MAX_LEN, enc)
+    return ex.select("conv_id", "turn", F.size("ids").cast("long").alias("n_ids"), ids_text("ids").alias("ids"))
+
+
 @register("decoded_words", _with(O.CORPUS, O.word_vocab(WORD_V)) + f"""
 , pieces AS (SELECT doc_id, split, unnest(ws) AS w, unnest(range(len(ws))) AS p
   FROM (SELECT doc_id, split, regexp_extract_all(text, {O.q(O.WORD_PATTERN)}, 1) AS ws FROM corpus))
@@ -986,6 +1036,17 @@ def q_valid_rows_per_worker(spark, sf_dir):
     return CH.take_valid_rows(CH.sft_examples(shares), ["conv_id", "turn"], 8, "worker").select("worker", "conv_id", "turn")
 
 
+@register("stream_valid_rows", ORACLE["valid_rows_per_worker"])
+def q_stream_valid_rows(spark, sf_dir):
+    """X1 + S3 + P6: JSON lines streamed in several batches, 3 workers that stop at 8 valid examples each."""
+    src, sink, state, ck = (scratch_path(spark, n) for n in ("valid-in", "valid-out", "valid-state", "valid-ck"))
+    instr = X.instructions(spark, sf_dir)
+    ST.stage_files(instr, src, ["conv_id", "turn"], fmt="json")
+    rows = IO.read_instructions(spark, src, streaming=True, schema=instr.schema, maxFilesPerTrigger=1)
+    ST.stream_valid_rows(spark, rows, sink, state, ck, 8, 3)
+    return spark.read.parquet(sink).select("worker", "conv_id", "turn")
+
+
 TEMPERATURE = 0.8
 
 
@@ -999,7 +1060,7 @@ SELECT row_id, (top[list_position(list_transform(cum, lambda c: c > u * cum[-1])
 def q_generation_draw(spark, sf_dir):
     """L5, L7, L1 and the draw as one flow: temperature, threshold, softmax, one token."""
     lg = X.logits_table(spark, sf_dir).withColumn("z", S.topk_threshold(S.scale_temperature("logits", TEMPERATURE), THRESH_K))
-    return S.sample_pick(lg, "z", "row_id", MAX_TABLE, 42).select("row_id", F.col("token").cast("int").alias("token"))
+    return S.sample_pick(lg, "z", "row_id", None, 42).select("row_id", F.col("token").cast("int").alias("token"))
 
 
 @register("step_throughput", _with(*_MANIFEST_CTES, O.step_plan(TOTAL_BATCH, B, T, N)) + f"""

@@ -54,9 +54,10 @@ def read_choice_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_instructions(spark: SparkSession, path: str, fmt: str = "json", streaming: bool = False,
-                      schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
-    """S3: instruction rows, batch or streamed; missing columns come back null."""
-    reader = spark.readStream if streaming else spark.read
+                      schema: T.StructType = INSTRUCTION_SCHEMA, **options) -> DataFrame:
+    """S3: instruction rows, batch or streamed (``options`` of the file stream, as maxFilesPerTrigger); missing columns
+    come back null."""
+    reader = (spark.readStream if streaming else spark.read).options(**options)
     return reader.schema(schema).format(fmt).load(path)
 
 

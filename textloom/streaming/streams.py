@@ -8,17 +8,17 @@ batch id, so a retried micro-batch leaves no duplicate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pyspark.errors import AnalysisException
 
-from textloom.functions.tokens import byte_encode_length
 from textloom.operators.encoders import BYTES, Encoder
-from textloom.operators.order import prefix_sum, row_index
+from textloom.operators.order import row_index
+from textloom.operators.pack import pack_chunks
 from textloom.plans.chat import sft_examples
-from textloom.plans.corpus import document_ids
+from textloom.plans.corpus import placed_ids
 from textloom.session import scratch_path, written_once
 
 
@@ -39,6 +39,59 @@ def stream_sft(spark: SparkSession, instructions: DataFrame, sink: str, checkpoi
     run_available(q)
 
 
+def put_batch(df: DataFrame, path: str, batch_id: int, *within: str) -> None:
+    """Writes the rows of a micro-batch as the partition of its id; a retried batch replaces what it wrote before."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", *within).parquet(path))
+
+
+def before_batch(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What the batches before ``batch_id`` wrote; no rows if there is no such folder yet."""
+    try:
+        return spark.read.schema(f"{schema}, batch_id long").parquet(path).where(F.col("batch_id") < batch_id)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing folder means: no state yet
+            raise
+        return spark.createDataFrame([], f"{schema}, batch_id long")
+
+
+WORKER_STATE = "worker int, seen long, taken long"
+
+
+def stream_valid_rows(spark: SparkSession, instructions: DataFrame, sink: str, state: str, checkpoint: str, max_rows: int,
+                      workers: int = 1, order_cols=("conv_id", "turn"), max_len: int = 1024, encoder: Encoder = BYTES) -> None:
+    """X1 with the cap of P6: every worker takes each ``workers``-th row of the stream and stops at ``max_rows`` valid ones.
+
+    The state of a worker is how many rows it has seen and taken. Each micro-batch adds one row per worker to the state
+    folder under its id and reads only those of the batches before it, so a batch that is run again, after a crash between
+    its two writes too, makes the same rows. Rows have positions of arrival: batch after batch, ``order_cols`` within one.
+    Rows of workers that have all they need are counted but not encoded; once all have, a batch reads nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        past = before_batch(spark, state, batch_id, WORKER_STATE).groupBy("worker").agg(
+            F.sum("seen").alias("seen"), F.sum("taken").alias("taken")).collect()  # one row per worker
+        taken = {w: 0 for w in range(workers)} | {r["worker"]: r["taken"] for r in past}
+        if all(n >= max_rows for n in taken.values()):
+            return
+        at = F.lit(sum(r["seen"] for r in past)) + F.col("arrival")
+        left = F.element_at(F.create_map(*[F.lit(x) for w, n in taken.items() for x in (w, max(0, max_rows - n))]), F.col("worker"))
+        rows = row_index(batch, list(order_cols), out="arrival")
+        rows = written_once(rows.withColumn("worker", F.pmod(at, F.lit(workers)).cast("int")), "stream-shares")
+        own = F.row_number().over(Window.partitionBy("worker").orderBy("arrival"))
+        valid = sft_examples(rows.where(left > 0), max_len, encoder).withColumn("nth", own)
+        # the constant limit is what Spark cuts to before the shuffle; a worker's own is at most that
+        valid = valid.where((F.col("nth") <= max_rows) & (F.col("nth") <= left))
+        put_batch(valid.select("worker", *order_cols, "ids", F.col("prompt_len").cast("long").alias("prompt_len")), sink, batch_id)
+        seen = rows.groupBy("worker").agg(F.count(F.lit(1)).alias("seen"))
+        new = spark.read.parquet(sink).where(F.col("batch_id") == batch_id).groupBy("worker").agg(F.count(F.lit(1)).alias("taken"))
+        put_batch(seen.join(new, "worker", "left").select("worker", "seen", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")),
+                  state, batch_id)
+
+    q = (instructions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    run_available(q)
+
+
 def stream_accuracy(spark: SparkSession, labelled: DataFrame, sink: str, checkpoint: str) -> None:
     """Running accuracy as items arrive: a streaming global aggregate in complete
     mode; each micro-batch rewrites the current totals."""
@@ -61,66 +114,56 @@ def accuracy_result(spark: SparkSession, sink: str) -> DataFrame:
                     (F.col("correct_norm") / F.col("total")).alias("acc_norm"))
 
 
-PIECE_SCHEMA = T.StructType([
-    T.StructField("split", T.StringType()), T.StructField("chunk", T.LongType()),
-    T.StructField("pos", T.LongType()), T.StructField("piece", T.ArrayType(T.IntegerType())),
-])
+CHUNK_ROW = "split string, shard long, chunk long, chunk_in_shard long, tokens array<int>, n_tokens long, closed boolean"
+TAIL_ROW = "split string, total long, ids array<int>"
+
 
+def stream_pack(spark: SparkSession, docs: DataFrame, shards: str, state: str, checkpoint: str, shard_size: int,
+                chunk_size: int, encoder: Encoder = BYTES) -> None:
+    """Packs documents as they arrive, with any encoder.
 
-def stream_pack(spark: SparkSession, docs: DataFrame, pieces_path: str, state_path: str, checkpoint: str,
-                chunk_size: int) -> None:
-    """Packs documents as they arrive. Per micro-batch: offsets inside the batch
-    (K1) plus the split's end offset of all earlier batches (state table keyed by
-    batch id), pieces per chunk (K2). The open last chunk of a batch simply gets
-    more pieces from the next batch; chunks are assembled on read."""
-    C = F.lit(chunk_size).cast("long")
+    The state is one row per split: its tokens so far and the ids of its unfinished chunk, fewer than ``chunk_size``.
+    A micro-batch puts that tail in front of its documents, packs both (K1, K2), and writes the chunks under its id; full
+    ones are closed and never written again, what is left of each split is the next tail. Each batch reads the state of
+    the one before it alone, so a batch that is run again makes the same chunks."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lengths = batch.withColumn("n_tokens", (F.lit(1) + byte_encode_length("text")).cast("long"))
-        try:
-            prev = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id) \
-                .groupBy("split").agg(F.sum("tokens").alias("base"))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # only a missing folder means: no state yet
-                raise
-            prev = spark.createDataFrame([], "split string, base long")
-        offs = prefix_sum(lengths, "n_tokens", ["doc_id"], ["split"], out="local_start")
-        offs = offs.join(F.broadcast(prev), "split", "left")  # one row per split
-        offs = offs.withColumn("start", F.col("local_start") + F.coalesce("base", F.lit(0)))
-        ids = document_ids(offs)
-        n = F.size("ids").cast("long")
-        start = F.col("start")
-        end = start + n
-
-        def piece(c):
-            lo = F.greatest(c * C, start)
-            hi = F.least(end, (c + 1) * C)
-            return F.struct(c.alias("chunk"), lo.alias("pos"),
-                            F.slice("ids", (lo - start + 1).cast("int"), (hi - lo).cast("int")).alias("piece"))
-
-        pieces = ids.select("split", F.explode(F.transform(
-            F.sequence(F.floor(start / C).cast("long"), F.floor((end - 1) / C).cast("long")), piece)).alias("p"))
-        pieces = pieces.select("split", "p.chunk", "p.pos", "p.piece").withColumn("batch_id", F.lit(batch_id))
-        (pieces.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(pieces_path))
-        state = lengths.groupBy("split").agg(F.sum("n_tokens").cast("long").alias("tokens")) \
-            .withColumn("batch_id", F.lit(batch_id))
-        state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(state_path)
+        past = before_batch(spark, state, batch_id, TAIL_ROW)
+        last = past.agg(F.max("batch_id").alias("b")).first()["b"]
+        tails = past.where(F.col("batch_id") == F.lit(last)).drop("batch_id")  # one row per split
+        new = placed_ids(batch, encoder)
+        base = F.coalesce("total", F.lit(0).cast("long"))
+        new = new.join(F.broadcast(tails.select("split", "total")), "split", "left")
+        open_ = tails.where(F.size("ids") > 0).select("split", (F.col("total") - F.size("ids")).alias("start"), "ids")
+        parts = new.select("split", (base + F.col("start")).alias("start"), "ids").unionByName(open_)
+        chunks = pack_chunks(parts, shard_size, chunk_size)
+        put_batch(chunks.withColumn("closed", F.col("n_tokens") == chunk_size), shards, batch_id, "closed")
+
+        made = spark.read.schema(f"{CHUNK_ROW}, batch_id long").parquet(shards).where(F.col("batch_id") == batch_id)
+        totals = made.groupBy("split").agg(F.max(F.col("chunk") * chunk_size + F.col("n_tokens")).alias("total"))
+        rest = made.where("NOT closed").select("split", F.col("tokens").alias("ids"))  # at most one chunk per split
+        none = F.array().cast("array<int>")
+        now = totals.join(rest, "split", "left").select("split", "total", F.coalesce("ids", none).alias("ids"))
+        kept = tails.join(totals, "split", "left_anti").select("split", "total", "ids")
+        put_batch(now.unionByName(kept), state, batch_id)
 
     q = (docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     run_available(q)
 
 
-def packed_from_pieces(spark: SparkSession, pieces_path: str, shard_size: int, chunk_size: int) -> DataFrame:
-    """Chunks assembled from the streamed pieces; same layout as ``pack_chunks``."""
-    per_shard = shard_size // chunk_size
-    p = spark.read.parquet(pieces_path)
-    g = p.groupBy("split", "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
-    tokens = F.flatten(F.transform("parts", lambda s: s["piece"]))
-    return g.select("split", (F.col("chunk") / per_shard).cast("long").alias("shard"), "chunk",
-                    F.pmod("chunk", F.lit(per_shard)).cast("long").alias("chunk_in_shard"),
-                    tokens.alias("tokens")).withColumn("n_tokens", F.size("tokens").cast("long"))
+def streamed_chunks(spark: SparkSession, shards: str, state: str, shard_size: int, chunk_size: int) -> DataFrame:
+    """The closed chunks, and each split's open one as its last; same layout as ``pack_chunks``, nothing is assembled."""
+    every = spark.read.schema(f"{CHUNK_ROW}, batch_id long").parquet(shards)
+    tails = spark.read.schema(f"{TAIL_ROW}, batch_id long").parquet(state)
+    last = tails.agg(F.max("batch_id").alias("b")).scalar()
+    per = shard_size // chunk_size
+    chunk = F.expr(f"total div {chunk_size}")
+    open_ = tails.where((F.col("batch_id") == last) & (F.size("ids") > 0)).select(
+        "split", F.expr(f"total div {shard_size}").alias("shard"), chunk.alias("chunk"),
+        F.pmod(chunk, F.lit(per)).cast("long").alias("chunk_in_shard"), F.col("ids").alias("tokens"),
+        F.size("ids").cast("long").alias("n_tokens"))
+    return every.where("closed").select(*open_.columns).unionByName(open_)
 
 
 def stream_metric_log(spark: SparkSession, folder: str, sink: str, checkpoint: str) -> None:
@@ -140,15 +183,16 @@ def stream_metric_log(spark: SparkSession, folder: str, sink: str, checkpoint: s
     run_available(q)
 
 
-def stage_files(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000, min_files: int = 4) -> None:
+def stage_files(df: DataFrame, path: str, key: str | list[str], rows_per_file: int = 50_000, min_files: int = 4,
+                fmt: str = "parquet") -> None:
     """Writes ``df`` as a sequence of files in ``key`` order, null keys first, so that a file stream sees them arrive in
     dataset order. An arrival is a range of row positions, so a key with many rows is split over arrivals. All arrivals
     are cut by one job; they then appear one after another, each read from its own folder of that table."""
     columns = df.columns
-    df = written_once(row_index(df, [key], out="_arrival"), "staged")
+    df = written_once(row_index(df, [key] if isinstance(key, str) else key, out="_arrival"), "staged")
     n = df.count()
     if n == 0:
-        df.select(*columns).limit(0).write.mode("append").parquet(path)
+        df.select(*columns).limit(0).write.mode("append").format(fmt).save(path)
         return
     files = max(min_files, -(-n // rows_per_file))
     size = -(-n // files)
@@ -157,7 +201,7 @@ def stage_files(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000,
     cut.write.partitionBy("_arrival").parquet(folder)
     staged = df.sparkSession.read.schema(cut.schema).parquet(folder)
     for i in range(files):
-        staged.where(F.col("_arrival") == i).select(*columns).coalesce(1).write.mode("append").parquet(path)  # at most ``size`` rows
+        staged.where(F.col("_arrival") == i).select(*columns).coalesce(1).write.mode("append").format(fmt).save(path)  # at most ``size`` rows
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
