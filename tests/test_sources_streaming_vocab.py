@@ -204,3 +204,28 @@ def test_staged_files_keep_null_keys_and_split_a_hot_key(spark, tmp_dir):
     none = spark.createDataFrame([(None, "a"), (None, "b")], "k long, v string")
     ST.stage_files(none, os.path.join(tmp_dir, "none"), "k")
     assert spark.read.parquet(os.path.join(tmp_dir, "none")).count() == 2
+
+
+def test_stream_accuracy_scores_items_as_they_arrive(spark, tmp_dir, monkeypatch):
+    """A run that is killed before a batch's counters are written counts every item once; no batch scoring before."""
+    from textloom.operators import choice as CE
+    rows = [(i, f"ctx {i}", i % 4, [f"end {(i * 7 + e) % 5} {'x' * e}" for e in range(4)]) for i in range(60)]
+    items = spark.createDataFrame(rows, "item long, ctx string, label int, endings array<string>")
+    losses = spark.createDataFrame([(t, 0.5 + (t * 37 % 11) / 7) for t in range(266)], "token int, loss double")
+    seen = []
+
+    def score(batch):
+        seen.append(batch.count())
+        return CE.with_correct(CE.pick_choice(CE.ending_losses(CE.token_losses(CE.render_choices(batch), losses))))
+
+    src, counters, ck = (os.path.join(tmp_dir, n) for n in ("in", "counters", "ck"))
+    ST.stage_files(items, src, "item", rows_per_file=12)
+    with monkeypatch.context() as m:
+        _crash_once(m, counters, 2)
+        with pytest.raises(Exception, match="killed"):
+            ST.stream_accuracy(spark, ST.file_stream(spark, src, items.schema), score, counters, ck)
+    ST.stream_accuracy(spark, ST.file_stream(spark, src, items.schema), score, counters, ck)
+    want = CE.choice_accuracy(score(items)).first()
+    got = ST.accuracy_result(spark, counters).first()
+    assert got.asDict() == want.asDict() and 0 < got.correct < 60
+    assert seen[:-1] == [12] * 6  # the third batch twice, the last call is the whole table

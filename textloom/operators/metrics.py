@@ -20,16 +20,19 @@ MAX_LOOKUP = 1 << 20  # a per-token table is bounded by the vocabulary size
 
 
 def with_loss_table(df: DataFrame, losses_by_token: DataFrame) -> DataFrame:
-    """``df`` with ``_table``, (token, loss) pairs as one array whose position is the token, null
-    where a token has no loss. The table is bounded by the vocabulary size, checked, and comes
-    by a scalar subquery: no driver job, no shuffle of tokens."""
+    """``df`` with ``_table``, the losses as one array whose position is the token, null where a token has none. The
+    table is bounded by the vocabulary size, checked, and comes by one scalar subquery: no driver job, no shuffle
+    of tokens, one pass over what the losses are made from."""
     few = losses_by_token.where(F.col("token") >= 0).limit(MAX_LOOKUP + 1)
-    wide = F.raise_error(F.lit("per-token loss table larger than a vocabulary")).cast("int")
-    size = few.agg(F.when(F.max("token") < MAX_LOOKUP, F.max("token") + 1).when(
-        F.max("token").isNull(), F.lit(0)).otherwise(wide).alias("n")).scalar()
-    ids = losses_by_token.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), size)).alias("token"))
-    full = ids.join(few, "token", "left").groupBy("token").agg(F.first("loss").alias("loss"))
-    table = full.agg(F.transform(F.array_sort(F.collect_list(F.struct("token", "loss"))), lambda p: p["loss"]).alias("t"))
+    pairs = few.groupBy("token").agg(F.first("loss").alias("loss")).agg(
+        F.array_sort(F.collect_list(F.struct("token", "loss"))).alias("p"))
+    wide = F.raise_error(F.lit("per-token loss table larger than a vocabulary")).cast(pairs.schema["p"].dataType)
+    pairs = pairs.select(F.when((F.size("p") == 0) | (F.try_element_at("p", F.lit(-1))["token"] < F.lit(MAX_LOOKUP)), F.col("p"))
+                         .otherwise(wide).alias("p"))
+    before = lambda i: F.coalesce(F.get("p", i - 1)["token"], F.lit(-1))  # noqa: E731  of the first: -1
+    none = F.lit(None).cast("double")
+    table = pairs.select(F.flatten(F.transform("p", lambda x, i: F.concat(
+        F.array_repeat(none, (x["token"] - before(i) - 1).cast("int")), F.array(x["loss"].cast("double"))))).alias("t"))
     return df.withColumn("_table", table.scalar())
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.session import written_once
+
 # Evaluation every 250 steps, 20 validation windows, checkpoint
 # every 5,000 steps (and at the last step).
 EVAL_EVERY = 250
@@ -207,6 +209,31 @@ def window_buffers(chunks: DataFrame, counts: DataFrame, B: int, T: int, N: int,
         .select("split", "shard", "rank", "k", F.slice("buf", 1, bt).alias("x"), F.slice("buf", 2, bt).alias("y"))
 
 
+def needed_chunks(windows: DataFrame, B: int, T: int, shard_size: int, chunk_size: int) -> DataFrame:
+    """(split, shard, chunk) that the B*T+1 tokens of the windows lie in."""
+    first = F.expr(f"shard * {shard_size // chunk_size} + start div {chunk_size}")
+    last = F.expr(f"shard * {shard_size // chunk_size} + (start + {B * T}) div {chunk_size}")
+    return windows.select("split", F.col("shard").cast("long").alias("shard"),
+                          F.explode(F.sequence(first, last)).alias("chunk")).distinct()
+
+
+# Chunks named one by one up to this many (a few MB); more of them are most of a store, which is then read plainly.
+MAX_NAMED_CHUNKS = 50_000
+
+
+def only_chunks(stored: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows of a shard store that are needed. The few keys are broadcast, so Spark prunes the folders of other
+    shards when the query runs, and the range of chunks, two scalars, skips row groups inside the files left."""
+    needed = written_once(needed, "needed-chunks")
+    if needed.count() > MAX_NAMED_CHUNKS:
+        return stored
+    ends = needed.agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
+    near = stored.where(F.col("chunk").between(ends.select("lo").scalar(), ends.select("hi").scalar()))
+    keys = needed.select(F.col("split").alias("_split"), F.col("shard").alias("_shard"), F.col("chunk").alias("_chunk"))
+    same = (F.col("split") == F.col("_split")) & (F.col("shard") == F.col("_shard")) & (F.col("chunk") == F.col("_chunk"))
+    return near.join(F.broadcast(keys), same, "left_semi")
+
+
 def read_windows(buffers: DataFrame, reads: DataFrame, keys=("split", "rank", "read")) -> DataFrame:
     """The windows that the reads of K9 / K10 take, by an equi-join on (split, rank, shard, k)."""
     return reads.select(*keys, "shard", "k").join(buffers, ["split", "rank", "shard", "k"]) \

@@ -153,16 +153,30 @@ def q_validation_windows(spark, sf_dir):
     return v.withColumn("rank", F.col("rank").cast("int"))
 
 
-def _window_xy(spark, sf_dir, manifest, windows):
-    """x, y of the windows that ``windows`` (split, rank, read, shard, k) read."""
-    from textloom.operators.windows import read_windows, window_buffers
-    docs = X.corpus(spark, sf_dir)
-    return read_windows(window_buffers(C.corpus_chunks(docs, SHARD, CHUNK), _counts(manifest), B, T, N, SHARD, CHUNK, windows), windows)
-
-
-def _window_batches(spark, sf_dir, manifest, windows):
+def _stored(spark, sf_dir, split):
+    """The stored shards of one split, packed once for a session."""
+    from textloom.plans.store import input_mark, shard_store
+    from textloom.sources.io import read_table
+    return shard_store(spark, X.corpus(spark, sf_dir), input_mark(read_table(spark, sf_dir, "documents")), split, SHARD, CHUNK)
+
+
+def _window_xy(spark, sf_dir, manifest, windows, splits=("train", "val")):
+    """x, y of the windows that ``windows`` (split, rank, read, shard, k, start) read, cut from stored shards: training
+    reads almost all chunks, validation the few that its windows lie in."""
+    from textloom.operators.windows import needed_chunks, only_chunks, read_windows, window_buffers
+    parts = []
+    for split in splits:
+        chunks = _stored(spark, sf_dir, split)
+        if split == "val":
+            chunks = only_chunks(chunks, needed_chunks(windows.where(F.col("split") == split), B, T, SHARD, CHUNK))
+        parts.append(chunks.select("split", "shard", "chunk", "tokens"))
+    chunks = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return read_windows(window_buffers(chunks, _counts(manifest), B, T, N, SHARD, CHUNK, windows), windows)
+
+
+def _window_batches(spark, sf_dir, manifest, windows, split):
     from textloom.operators.windows import window_rows
-    r = window_rows(_window_xy(spark, sf_dir, manifest, windows), B, T)
+    r = window_rows(_window_xy(spark, sf_dir, manifest, windows, (split,)), B, T)
     return r.select("split", F.col("rank").cast("int").alias("rank"), "read", F.col("row").cast("int").alias("row"),
                     ids_text("x").alias("x"), ids_text("y").alias("y"))
 
@@ -172,7 +186,7 @@ def _window_batches(spark, sf_dir, manifest, windows):
 SELECT split, rank, read, row, x, y FROM wrows""")
 def q_validation_batches(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return _window_batches(spark, sf_dir, m, _val_windows(spark, m))
+    return _window_batches(spark, sf_dir, m, _val_windows(spark, m), "val")
 
 
 @register("train_batches", _with(*_MANIFEST_CTES, O.window_counts(B, T, N), O.step_plan(TOTAL_BATCH, B, T, N),
@@ -181,7 +195,7 @@ def q_validation_batches(spark, sf_dir):
 SELECT split, rank, read, row, x, y FROM wrows""")
 def q_train_batches(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return _window_batches(spark, sf_dir, m, _train_windows(spark, m))
+    return _window_batches(spark, sf_dir, m, _train_windows(spark, m), "train")
 
 
 # ---------------------------------------------------------------- chat and warm-up batches
@@ -272,7 +286,11 @@ def _choice_losses(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     items, cl = _choice_losses(spark, sf_dir)
-    return items, cl, CE.with_correct(CE.pick_choice(cl))
+    return items, cl, _picked(cl)
+
+
+def _picked(losses):
+    return CE.with_correct(CE.pick_choice(losses))
 
 
 def _r6(c):
@@ -521,19 +539,19 @@ def q_warmup_epoch_metrics(spark, sf_dir):
     return e.select("epoch", _r6("epoch_loss"), "targets", "dataset_tokens", _r6("ppl"))
 
 
-def _window_losses(spark, sf_dir, manifest, windows):
-    return TR.window_losses(_window_xy(spark, sf_dir, manifest, windows), X.byte_losses(spark, sf_dir))
+def _window_losses(spark, sf_dir, manifest, windows, splits=("train", "val")):
+    return TR.window_losses(_window_xy(spark, sf_dir, manifest, windows, splits), X.byte_losses(spark, sf_dir))
 
 
 def _val_loss(spark, sf_dir):
     m = _manifest(spark, sf_dir)
-    return M.validation_loss(_window_losses(spark, sf_dir, m, _val_windows(spark, m)), VAL_N)
+    return M.validation_loss(_window_losses(spark, sf_dir, m, _val_windows(spark, m), ("val",)), VAL_N)
 
 
 def _train_loss(spark, sf_dir):
     m = _manifest(spark, sf_dir)
     a = _train_windows(spark, m)
-    return TR.train_step_losses(a, _window_losses(spark, sf_dir, m, a), ACCUM)
+    return TR.train_step_losses(a, _window_losses(spark, sf_dir, m, a, ("train",)), ACCUM)
 
 
 _VAL_LOSS_CTES = (*_MANIFEST_CTES, O.window_counts(B, T, N), O.reads("val", str(VAL_N), B, T, N),
@@ -624,12 +642,18 @@ def q_stream_sft_examples(spark, sf_dir):
 
 @register("stream_choice_accuracy", ORACLE["choice_accuracy"])
 def q_stream_choice_accuracy(spark, sf_dir):
-    src, sink, ck = (scratch_path(spark, n) for n in ("acc-in", "acc-out", "acc-ck"))
-    _, _, lab = _labelled(spark, sf_dir)
-    lab = lab.select("item", "pred", "pred_norm", "label", "correct", "correct_norm")
-    ST.stage_files(lab, src, "item", rows_per_file=10_000)
-    ST.stream_accuracy(spark, ST.file_stream(spark, src, lab.schema), sink, ck)
-    return ST.accuracy_result(spark, sink).select("total", "correct", "correct_norm", _r6("acc"), _r6("acc_norm"))
+    """The items stream, each batch is rendered, scored and counted; the loss table is static and computed once."""
+    from textloom.session import written_once
+    src, counters, ck = (scratch_path(spark, n) for n in ("acc-in", "acc-counters", "acc-ck"))
+    items = X.choice_items(spark, sf_dir)
+    ST.stage_files(items, src, "item", rows_per_file=10_000)
+    losses = written_once(X.byte_losses(spark, sf_dir), "byte-losses")
+
+    def score(batch):
+        return _picked(CE.ending_losses(CE.token_losses(CE.render_choices(batch), losses)))
+
+    ST.stream_accuracy(spark, ST.file_stream(spark, src, items.schema), score, counters, ck)
+    return ST.accuracy_result(spark, counters).select("total", "correct", "correct_norm", _r6("acc"), _r6("acc_norm"))
 
 
 def _streamed_chunks(spark, docs, encoder):

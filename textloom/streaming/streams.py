@@ -8,6 +8,8 @@ batch id, so a retried micro-batch leaves no duplicate.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,26 +94,29 @@ def stream_valid_rows(spark: SparkSession, instructions: DataFrame, sink: str, s
     run_available(q)
 
 
-def stream_accuracy(spark: SparkSession, labelled: DataFrame, sink: str, checkpoint: str) -> None:
-    """Running accuracy as items arrive: a streaming global aggregate in complete
-    mode; each micro-batch rewrites the current totals."""
-    agg = labelled.groupBy().agg(
-        F.count(F.lit(1)).cast("long").alias("total"), F.sum("correct").cast("long").alias("correct"),
-        F.sum("correct_norm").cast("long").alias("correct_norm"))
+COUNTERS = "total long, correct long, correct_norm long"
+
+
+def stream_accuracy(spark: SparkSession, items: DataFrame, score: Callable[[DataFrame], DataFrame], counters: str,
+                    checkpoint: str) -> None:
+    """Items are scored as they arrive (E1-E4) and counted. ``score`` makes (correct, correct_norm) rows of items;
+    an item is one row with its endings, so it is whole within its micro-batch, and what it is scored with (a loss
+    table) is static. The state is one row of counters per batch id, so a batch that is run again replaces its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(sink)
+        put_batch(score(batch).agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum("correct"), F.lit(0)).cast("long").alias("correct"),
+                                   F.coalesce(F.sum("correct_norm"), F.lit(0)).cast("long").alias("correct_norm")), counters, batch_id)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    q = (items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     run_available(q)
 
 
-def accuracy_result(spark: SparkSession, sink: str) -> DataFrame:
-    t = spark.read.parquet(sink)
-    return t.select("total", "correct", "correct_norm",
-                    (F.col("correct") / F.col("total")).alias("acc"),
-                    (F.col("correct_norm") / F.col("total")).alias("acc_norm"))
+def accuracy_result(spark: SparkSession, counters: str) -> DataFrame:
+    """E5 of all batches so far."""
+    t = spark.read.schema(f"{COUNTERS}, batch_id long").parquet(counters).agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("total", "correct", "correct_norm")])
+    return t.select("*", (F.col("correct") / F.col("total")).alias("acc"), (F.col("correct_norm") / F.col("total")).alias("acc_norm"))
 
 
 CHUNK_ROW = "split string, shard long, chunk long, chunk_in_shard long, tokens array<int>, n_tokens long, closed boolean"
