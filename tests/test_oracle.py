@@ -8,7 +8,9 @@ SF = "/root/testdata/sf0.001"
 SUBSET = ["doc_token_ids", "packed_chunks", "shard_manifest", "window_counts", "train_steps", "validation_batches",
           "sft_examples", "chat_batches", "warmup_batches", "rendered_choices", "choice_predictions",
           "running_accuracy", "logit_scores", "sampled_tokens", "generation_tail", "chat_epoch_metrics",
-          "validation_loss", "decoded_documents", "word_token_ids", "row_positions", "custom_collate"]
+          "validation_loss", "decoded_documents", "word_token_ids", "row_positions", "custom_collate",
+          "stream_valid_rows", "folder_special_ids", "bpe_large_totals", "generation_draw", "long_logit_losses", "long_topk_tokens",
+          "loss_curve", "choice_losses"]
 
 
 def _queries():

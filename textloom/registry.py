@@ -401,6 +401,31 @@ def q_topk_tokens(spark, sf_dir):
                     _r6("prob"))
 
 
+def _long_logits(spark, sf_dir):
+    """The logits one row per token, dealt over all tasks, as a model on many machines writes them."""
+    lg = X.logits_table(spark, sf_dir)
+    return lg, lg.select("row_id", F.posexplode("logits").alias("token", "logit"))
+
+
+@register("long_logit_losses", _with(O.LOGITS) + """
+SELECT row_id, target, round(loss, 6) AS loss, round(m + ln(se), 6) AS lse, greedy FROM scored""")
+def q_long_logit_losses(spark, sf_dir):
+    """L1, L2, L4 on a long logits table."""
+    from textloom.operators.long_scores import long_cross_entropy, long_topk
+    lg, long = _long_logits(spark, sf_dir)
+    loss = long_cross_entropy(long, lg.select("row_id", "target"))
+    first = long_topk(long, 1).select("row_id", F.col("token").cast("int").alias("greedy"))
+    return loss.join(first, "row_id").select("row_id", "target", _r6("loss"), _r6("lse"), "greedy")
+
+
+@register("long_topk_tokens", ORACLE["topk_tokens"])
+def q_long_topk_tokens(spark, sf_dir):
+    """L6 on a long logits table."""
+    from textloom.operators.long_scores import long_topk
+    t = long_topk(_long_logits(spark, sf_dir)[1], TOPK)
+    return t.select("row_id", "rank", F.col("token").cast("int").alias("token"), _r6("prob"))
+
+
 @register("topk_threshold", _with(O.LOGITS) + f"""
 SELECT row_id, len(list_filter(z, lambda x: x >= list_sort(z, 'DESC')[greatest(1, least({THRESH_K}, len(z)))]))::BIGINT AS kept,
        round(list_sort(z, 'DESC')[greatest(1, least({THRESH_K}, len(z)))], 6) AS kth FROM scored""")
