@@ -929,6 +929,20 @@ def q_choice_items_json(spark, sf_dir):
     return i.select(F.col("ind").alias("item"), "ctx", "label", F.array_join("endings", " || ").alias("endings"))
 
 
+@register("documents_files", _with(O.CORPUS) + """
+SELECT fmt, doc_id, text FROM corpus, (VALUES ('json'), ('parquet')) f(fmt)""")
+def q_documents_files(spark, sf_dir):
+    """Documents as JSON lines and as parquet, with columns a reader must leave out; null texts come back empty."""
+    rows = IO.read_table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").alias("body"))
+    out = []
+    for fmt in ("json", "parquet"):
+        path = scratch_path(spark, f"documents-{fmt}")
+        rows.write.format(fmt).save(path)
+        back = IO.read_documents(spark, path, fmt, text_col="body")
+        out.append(back.select(F.lit(fmt).alias("fmt"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return out[0].unionByName(out[1])
+
+
 @register("instructions_json", _with(O.INSTRUCTIONS) + """
 SELECT conv_id, turn, system_prompt, question, response FROM instructions""")
 def q_instructions_json(spark, sf_dir):

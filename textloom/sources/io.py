@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.text import coerce_text
+from textloom.sources import npy
 
 SPLITS = ("train", "val")
 
@@ -115,119 +116,21 @@ def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_metric_lines(spark.read.text(path))
 
 
-NPY_DTYPE = "<u2"  # uint16, little endian, as the reference's shard files
-
-
-def _npy_header(n: int) -> bytes:
-    """Version 1.0 header of a 1-D uint16 array of length n."""
-    d = "{'descr': '%s', 'fortran_order': False, 'shape': (%d,), }" % (NPY_DTYPE, n)
-    pad = 64 - (10 + len(d) + 1) % 64
-    body = (d + " " * pad + "\n").encode("latin1")
-    return b"\x93NUMPY\x01\x00" + len(body).to_bytes(2, "little") + body
-
-
-def _fs(path: str):
-    """(file system, path inside it) for a local path, a ``file:`` URI or any URI
-    pyarrow knows (hdfs://, s3://, ...), so tasks on any executor reach the shared
-    folder."""
-    from urllib.parse import urlparse
-
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), urlparse(path).path
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), os.path.abspath(path)
-
-
 def export_npy(chunks: DataFrame, manifest: DataFrame, folder: str, name: str = "corpus") -> None:
-    """S6 export: one ``{name}_{split}_{shard:06d}.npy`` per shard in a shared folder.
-
-    Chunks are partitioned by shard and sorted by chunk inside each task, so a task
-    streams one chunk at a time into the open file; the header length comes from the
-    manifest (one row per shard, broadcast). A retried task rewrites its files from the
-    start through a temporary name that is moved into place at the end."""
-    import numpy as np
-
-    lengths = {(r["split"], int(r["shard"])): int(r["n_tokens"])
-               for r in manifest.select("split", "shard", "n_tokens").collect()}
-    bc = chunks.sparkSession.sparkContext.broadcast(lengths)
-    fs, base = _fs(folder)
-    fs.create_dir(base, recursive=True)
-
-    def write_part(rows):
-        import uuid
-
-        fs_, base_ = _fs(folder)
-        cur, fh, tmp, final = None, None, None, None
-        for r in rows:
-            key = (r["split"], int(r["shard"]))
-            if key != cur:
-                if fh is not None:
-                    fh.close()
-                    fs_.move(tmp, final)
-                cur = key
-                final = f"{base_}/{name}_{key[0]}_{key[1]:06d}.npy"
-                tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-                fh = fs_.open_output_stream(tmp)
-                fh.write(_npy_header(bc.value[key]))
-            fh.write(np.asarray(r["tokens"], dtype="<u2").tobytes())
-        if fh is not None:
-            fh.close()
-            fs_.move(tmp, final)
-
-    (chunks.select("split", "shard", "chunk", "tokens").repartition("split", "shard")
-     .sortWithinPartitions("split", "shard", "chunk").foreachPartition(write_part))
-
-
-def import_npy(spark: SparkSession, folder: str, chunk_size: int = 62_500) -> DataFrame:
-    """S6 import: ``.npy`` shards back to (split, shard, chunk_in_shard, tokens) rows.
-    The driver lists file names only; tasks read the headers and emit byte ranges of
-    ``chunk_size`` tokens, which other tasks read. No task holds a file."""
-    from pyarrow import fs as pafs
-
-    fs, base = _fs(folder)
-    infos = fs.get_file_info(pafs.FileSelector(base))
-    paths = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.path.endswith(".npy"))
-    scheme = folder.split("://", 1)[0] + "://" if "://" in folder and not folder.startswith("file:") else ""
-    files = spark.createDataFrame([(scheme + p if scheme and "://" not in p else p,) for p in paths], "path string")
-
-    def ranges(batches):
-        import re as _re
-
-        import pandas as pd
-        for pdf in batches:
-            out = []
-            for p in pdf["path"]:
-                fs_, path = _fs(p)
-                with fs_.open_input_file(path) as fh:
-                    magic = fh.read(10)
-                    hlen = int.from_bytes(magic[8:10], "little")
-                    header = fh.read(hlen).decode("latin1")
-                if f"'{NPY_DTYPE}'" not in header:
-                    raise ValueError(f"{p} does not hold {NPY_DTYPE} ids: {header}")
-                n = int(_re.search(r"\((\d+),?\)", header).group(1))
-                stem = _re.sub(r"\.npy$", "", p.rsplit("/", 1)[-1])
-                split, shard = stem.rsplit("_", 2)[-2], int(stem.rsplit("_", 1)[-1])
-                for c in range(0, -(-n // chunk_size)):
-                    cnt = min(chunk_size, n - c * chunk_size)
-                    out.append((p, split, shard, c, 10 + hlen + 2 * c * chunk_size, cnt))
-            yield pd.DataFrame(out, columns=["path", "split", "shard", "chunk_in_shard", "offset", "count"])
-
-    r = files.mapInPandas(ranges, "path string, split string, shard long, chunk_in_shard long, offset long, count long")
-
-    def read(batches):
-        import numpy as np
-        import pandas as pd
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):  # one range leaves before the next is read
-                fs_, path = _fs(r.path)
-                with fs_.open_input_file(path) as fh:
-                    fh.seek(int(r.offset))
-                    toks = np.frombuffer(fh.read(2 * int(r.count)), dtype="<u2").astype(np.int32)
-                yield pd.DataFrame({"split": [r.split], "shard": [r.shard],
-                                    "chunk_in_shard": [r.chunk_in_shard], "tokens": [toks]})
-
-    return r.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
-        read, "split string, shard long, chunk_in_shard long, tokens array<int>")
+    """S6 export: one ``{name}_{split}_{shard:06d}.npy`` per shard through the ``npy_shards`` data source.
+
+    Chunks are partitioned by shard, joined to their shard's length in that partitioning and sorted by chunk, so a task
+    streams one shard after the other into files; they appear in the folder once all tasks have succeeded."""
+    spark = chunks.sparkSession
+    npy.register(spark)
+    lengths = manifest.select("split", "shard", F.col("n_tokens").cast("long").alias("shard_tokens"))
+    rows = chunks.select("split", F.col("shard").cast("long").alias("shard"), F.col("chunk").cast("long").alias("chunk"),
+                         F.col("tokens").cast("array<int>").alias("tokens")).repartition("split", "shard")
+    (rows.join(lengths, ["split", "shard"], "left").sortWithinPartitions("split", "shard", "chunk")
+     .write.format(npy.FORMAT).option("name", name).mode("append").save(npy.qualified(spark, folder)))
+
+
+def import_npy(spark: SparkSession, folder: str, chunk_size: int = npy.CHUNK_SIZE) -> DataFrame:
+    """S6 import: ``.npy`` shards back to (split, shard, chunk_in_shard, tokens) rows, by ranges of bytes."""
+    npy.register(spark)
+    return spark.read.format(npy.FORMAT).option("chunk_size", chunk_size).load(npy.qualified(spark, folder))
