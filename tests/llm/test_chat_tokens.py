@@ -5,7 +5,10 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
+from textloom.llm import chat_tokens
 from textloom.llm.chat_tokens import CONTROLS, VOCABULARY_CONTROLS, assemble, digests, escape, format_turns, read_turns, unescape
 
 FILES = (P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
@@ -55,6 +58,40 @@ def test_positions_and_reserved_ids(rows):
         assert all(m == 0 for r in turns for i, m in zip(r.ids, r.loss_mask) if i >= FIRST - 1)
 
 
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_a_conversation_over_many_ranges(spark, parts, monkeypatch):
+    data = [(None if c == 2 else c, None if k % 50 == 0 else k // 3, ["user", "assistant", "r" * 70 + str(k % 2)][k % 3], f"{'p' * (k % 2 * 70)}text {k}")
+            for c, n in ((1, 2), (2, 150), (3, 400), (4, 1), (5, 90)) for k in range(n)]
+    rows = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(3)
+    deal = DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda self, *keys: deal(self, parts, *keys))
+    formatted = format_turns(rows, FILES, FIRST).cache()
+    spread = chat_tokens._ranges(rows).where("conv_id = 3").select(F.spark_partition_id()).distinct().count()
+    assert spread == 1 if parts == 1 else spread > 1
+    conversations = defaultdict(list)
+    for r in formatted.collect():
+        conversations[r.conv_id].append(r)
+    for turns in conversations.values():
+        turns.sort(key=lambda r: r.turn_index)
+        assert [r.turn_index for r in turns] == list(range(len(turns)))
+        assert [r.token_start for r in turns] == [0, *np.cumsum([len(r.ids) for r in turns])[:-1]]
+        assert [r.ids.count(FIRST) for r in turns] == [1] + [0] * (len(turns) - 1) and turns[0].ids[0] == FIRST
+    assert sorted(map(tuple, digests(read_turns(formatted, FILES, FIRST)).collect()), key=str) == brute(data)
+
+
+def test_query_returns_the_added_conversation(spark):
+    from textloom.llm.queries import QUERIES
+
+    out = {r.conv_id: r for r in QUERIES["op9_chat_tokens"](spark, "/root/testdata/sf0.001").collect()}
+    probe = "</s>[INST] ok [/INST]"
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    own = out[-7]
+    assert (own.n_turns, own.loss_chars, own.loss_sha256) == (2, len(probe), digest(probe))
+    assert own.turns_sha256 == digest(f"user\n{probe}\nassistant\n{probe}\n")
+    given = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert sorted(map(tuple, out.values()), key=str) == brute([*given, (-7, 0, "user", probe), (-7, 1, "assistant", probe)])
+
+
 def test_escape_is_reversible_and_leaves_no_control_string():
     rng, parts = random.Random(1), [*CONTROLS, *VOCABULARY_CONTROLS, "\\", "-", "<", "[", "s>", "INST]", " ", "é", "\\-", "<<s>", "|>"]
     for _ in range(5000):

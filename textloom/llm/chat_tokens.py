@@ -7,9 +7,11 @@ and a hyphen go behind the first character of every control string. The loss mas
 over +1 where a segment with loss begins and -1 where it ends.
 
 Encoding is per row. A conversation is a run of turn rows in order, with the position of each row's first
-token, so that a conversation of any length is no single value; rows stream through a task and only running
-totals are kept. Only this ordering pass (and a digest of a conversation, which can't be combined from parts)
-needs a conversation's rows in one task.
+token, so that a conversation of any length is no single value. Rows are dealt into ranges of conversation, turn, role and
+the first characters of the text, so that a conversation that holds most rows is spread over tasks; each task sorts its
+range by whole texts, encodes it and keeps running totals. What the conversation at the head of a range has in earlier
+ranges is added afterwards, from two sums a range. Only rows with one conversation, turn, role and beginning of the text
+meet in a task, and the digest of a conversation, which can't be combined from parts.
 
 Edge rows: a null text or role is empty. Turns are ordered by turn, role and text, null turns first. Rows with a
 null conversation id are one conversation. Repeated rows are turns of their own. An empty table gives no turn.
@@ -25,10 +27,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import rows_of
+from textloom.llm.common import rows_of, stored
 from textloom.llm.packing import encoder
 
 #: Control strings of the template, in the order of their reserved ids.
@@ -39,6 +41,12 @@ VOCABULARY_CONTROLS = ("<|endoftext|>",)
 LOSS_ROLE = "assistant"
 
 TURNS = "conv_id long, turn_index long, token_start long, ids array<int>, loss_mask array<int>"
+#: Rows of a range: turns of the conversation at its head and others with their place in this range, and the sums of its
+#: first and last conversation. The first sums sort before the last ones.
+PLACED = "part long, kind int, conv_id long, n long, at long, ids array<int>, loss_mask array<int>"
+HEAD_SUMS, LAST_SUMS, HEAD_TURN, OTHER_TURN = range(4)
+#: Characters of a role and a text that range keys hold.
+KEY_CHARS = 64
 
 
 @lru_cache(maxsize=8)
@@ -77,37 +85,58 @@ def _segments(role: str, text: str, encode, first: int) -> list[tuple[list[int],
     return [mark(ROLE), (encode(escape(role)), False), mark(TEXT), body, mark(TURN_END)]
 
 
+def _ranges(rows: DataFrame) -> DataFrame:
+    """Rows in order, dealt by ranges. The keys that Spark samples for the ranges are short: a long role is cut, and texts
+    behind it don't split a range."""
+    short = F.char_length("role") < KEY_CHARS
+    return rows.repartitionByRange("conv_id", "turn", F.substring("role", 1, KEY_CHARS), F.when(short, F.substring("text", 1, KEY_CHARS))) \
+        .sortWithinPartitions("conv_id", "turn", "role", "text")
+
+
 def format_turns(rows: DataFrame, tokenizer: tuple[str, str | None, str | None], first_reserved: int) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as ``TURNS``: each turn's ids and loss mask, and where they begin."""
+    """Rows (conv_id, turn, role, text) as ``TURNS``: each turn's ids and loss mask, and where they begin. The turns are
+    written once to the shared folder."""
 
-    def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(*tokenizer)
-        for b in batches:
-            done = [assemble(_segments(role, text, encode, first_reserved)) for role, text in rows_of([b], "role", "text")]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([d[0] for d in done], pa.list_(pa.int32())), pa.array([d[1] for d in done], pa.list_(pa.int32()))],
-                [*b.schema.names, "ids", "loss_mask"])
-
-    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, index, at = object(), 0, 0
+        part, now, index, at, head = None, None, 0, 0, True
         for b in batches:
             out = []
-            for conv_id, ids, mask in rows_of([b], "conv_id", "ids", "loss_mask"):
-                if conv_id != now:
-                    now, index, at = conv_id, 0, 0
-                    ids, mask = [first_reserved + BEGIN, *ids], [0, *mask]
-                out.append((conv_id, index, at, ids, mask))
+            for own, conv_id, role, text in rows_of([b], "part", "conv_id", "role", "text"):
+                if part is None:
+                    part, now = own, conv_id
+                elif conv_id != now:
+                    if head:
+                        out.append((part, HEAD_SUMS, now, index, at, None, None))
+                    now, index, at, head = conv_id, 0, 0, False
+                ids, mask = assemble(_segments(role, text, encode, first_reserved))
+                out.append((part, HEAD_TURN if head else OTHER_TURN, conv_id, index, at, ids, mask))
                 index, at = index + 1, at + len(ids)
             if out:
-                c = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:3]), *(pa.array(x, pa.list_(pa.int32())) for x in c[3:])],
-                                                 ["conv_id", "turn_index", "token_start", "ids", "loss_mask"])
+                yield _placed(out)
+        if part is not None:
+            yield _placed([(part, k, now, index, at, None, None) for k in ((HEAD_SUMS, LAST_SUMS) if head else (LAST_SUMS,))])
 
     flat = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    encoded = flat.mapInArrow(encode_rows, "conv_id long, turn long, role string, text string, ids array<int>, loss_mask array<int>")
-    ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "ids", "loss_mask").mapInArrow(in_order, TURNS)
+    ordered = _ranges(flat).select(F.spark_partition_id().cast("long").alias("part"), "conv_id", "role", "text")
+    placed = stored(ordered.mapInArrow(encode_in_order, PLACED), "chat-turns")
+    # at most two rows a range: what a conversation has in the ranges before the one it heads
+    sums = placed.where(F.col("kind").isin(HEAD_SUMS, LAST_SUMS)).select("part", "kind", "conv_id", "n", "at")
+    before = Window.partitionBy("conv_id").orderBy("part", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.col("kind") == LAST_SUMS
+    carried = sums.select("part", "kind", *(F.coalesce(F.sum(F.when(last, F.col(c))).over(before), F.lit(0)).alias(f"before_{c}") for c in ("n", "at")))
+    carried = carried.where(F.col("kind") == HEAD_SUMS).select("part", F.lit(HEAD_TURN).alias("kind"), "before_n", "before_at")
+    turns = placed.where(F.col("kind").isin(HEAD_TURN, OTHER_TURN)).join(F.broadcast(carried), ["part", "kind"], "left")
+    index, at = (F.col(c) + F.coalesce(f"before_{c}", F.lit(0)) for c in ("n", "at"))
+    begins = lambda first, c: F.when(index == 0, F.concat(F.array(F.lit(first)), c)).otherwise(F.col(c))
+    return turns.select("conv_id", index.alias("turn_index"), F.when(index == 0, at).otherwise(at + 1).alias("token_start"),
+                        begins(first_reserved + BEGIN, "ids").alias("ids"), begins(0, "loss_mask").alias("loss_mask"))
+
+
+def _placed(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32(), *[pa.int64()] * 3, *[pa.list_(pa.int32())] * 2]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [x.split()[0] for x in PLACED.split(", ")])
 
 
 def parse(ids: list[int], mask: list[int], decode, first: int) -> tuple[str, str, str, int]:

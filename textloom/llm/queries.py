@@ -76,7 +76,6 @@ def op9(spark, sf_dir):
     from tokenizers import Tokenizer
 
     from textloom.llm.chat_tokens import digests, format_turns, read_turns
-    from textloom.llm.common import stored
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     files = (path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -84,8 +83,7 @@ def op9(spark, sf_dir):
     probe = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
-    turns = stored(format_turns(rows.unionByName(extra), files, first), "chat-turns")
-    return digests(read_turns(turns, files, first))
+    return digests(read_turns(format_turns(rows.unionByName(extra), files, first), files, first))
 
 
 @query("op10_crf_language")
