@@ -139,9 +139,9 @@ def _placed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [x.split()[0] for x in PLACED.split(", ")])
 
 
-def parse(ids: list[int], mask: list[int], decode, first: int) -> tuple[str, str, str, int]:
+def parse(ids: np.ndarray, mask: np.ndarray, decode, first: int) -> tuple[str, str, str, int]:
     """(role, text, text under the mask, characters of the rendered turn) of one turn's ids."""
-    marks = [i for i, x in enumerate(ids) if x >= first]
+    marks = np.flatnonzero(ids >= first).tolist()
     chars = sum(len(CONTROLS[ids[i] - first]) for i in marks)
     inner = [i for i in marks if ids[i] - first != BEGIN]
     starts = [i + 1 for i in marks]
@@ -149,7 +149,7 @@ def parse(ids: list[int], mask: list[int], decode, first: int) -> tuple[str, str
 
     def between(lo: int, hi: int) -> str:
         nonlocal chars
-        text = decode(ids[lo:hi])
+        text = decode(ids[lo:hi].tolist())
         chars += len(text)
         return unescape(text)
 
@@ -162,8 +162,11 @@ def parse(ids: list[int], mask: list[int], decode, first: int) -> tuple[str, str
     else:
         raise ValueError(f"not a turn: marks {kinds}")
     text = between(lo, hi)
-    under = [x for x, m in zip(ids, mask) if m]
-    return role, text, unescape(decode(under)), chars
+    return role, text, unescape(decode(ids[mask > 0].tolist())), chars
+
+
+def _values(ids: pa.ListScalar) -> np.ndarray:
+    return ids.values.to_numpy()
 
 
 def read_turns(turns: DataFrame, tokenizer: tuple[str, str | None, str | None], first_reserved: int) -> DataFrame:
@@ -172,7 +175,8 @@ def read_turns(turns: DataFrame, tokenizer: tuple[str, str | None, str | None],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = decoder(tokenizer[0])
         for b in batches:
-            out = [parse(ids, mask, decode, first_reserved) for ids, mask in rows_of([b], "ids", "loss_mask")]
+            pairs = zip(*(map(_values, b.column(b.schema.get_field_index(c))) for c in ("ids", "loss_mask")))
+            out = [parse(ids, mask, decode, first_reserved) for ids, mask in pairs]
             if out:
                 c = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.string()) for x in c[:3]), pa.array(c[3], pa.int64())],
