@@ -28,6 +28,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from textloom.session import ship_package
+
 FORMAT = "npy_shards"
 DTYPE = "<u2"  # little-endian uint16, as the reference's shard files
 SCHEMA = "split string, shard long, chunk_in_shard long, tokens array<int>"
@@ -84,7 +86,8 @@ def shard_of(path: str) -> tuple[str, int]:
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the format known to the session."""
+    """Makes the format known to the session, and the package to its Python workers."""
+    ship_package(spark)
     spark.dataSource.register(NpyShards)
 
 
