@@ -97,3 +97,20 @@ def test_draw_takes_the_token_at_the_running_sum(spark):
             cum = np.cumsum(p[order])
             at = int(np.searchsorted(cum, r.u * cum[-1], side="right"))
             assert r.token in order[max(0, at - 1):at + 2] and abs(cum[list(order).index(r.token)] - cum[min(at, len(cum) - 1)]) < 1e-9
+
+
+def test_rows_stay_where_they_are_stored(spark):
+    import re
+
+    from textloom.operators.order import row_index
+
+    df = spark.range(5000, numPartitions=7).select((F.col("id") * 37 % 1001).alias("k"), F.col("id").cast("string").alias("text"))
+    got = row_index(df, ["k", "text"], out="n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    scan = re.search(r"\n( *):- Sort.*?FileScan parquet \S*order_rows", plan, re.S).group(0)  # the rows' side of the join
+    assert "Exchange" not in scan
+    assert [r.n for r in got.orderBy("n").collect()] == list(range(5000))
+    assert [(r.k, r.text) for r in got.orderBy("n").collect()] == sorted((i * 37 % 1001, str(i)) for i in range(5000))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("order_rows")]
+    assert 0 < len([f for f in got.inputFiles() if "order-rows" in f]) <= 7  # one per writing task, however many buckets

@@ -7,8 +7,11 @@ partition columns, all order columns and the row number, so that rows with equal
 and a key that holds most rows, are split over ranges as well; Spark chooses the number
 of ranges from the size; (3) one sum per range and group, a table of one row per range
 and group, gives each range's starting value; (4) a window inside each range, and the
-result is joined back by the row number, which is unique. No row is lost: null keys sort
-first, null groups are groups, an empty input gives an empty result.
+sums, numbers alone, are shuffled back to where their rows are stored: a table bucketed by
+the task that wrote a row, one file per task. The rows, with their texts or ids, are read
+from their buckets and joined in place by the row number, with no exchange of their own.
+No row is lost: null keys sort first, null groups are groups, an empty input gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import written_once
+from textloom.session import bucketed_once, written_once
+
+#: Bits of ``monotonically_increasing_id`` below the number of the writing task.
+_TASK_SHIFT = 33
 
 
 def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequence[str],
@@ -28,7 +34,9 @@ def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequenc
     place = {c: f"c{i}" for i, c in enumerate(df.columns)}  # no name of the input can clash with those added here
     named = df.select(*(F.col(f"`{c}`").alias(n) for c, n in place.items()),
                       *(v.cast("long").alias(f"_v{i}") for i, v in enumerate(values.values())))
-    rows = written_once(named.withColumn("_row", F.monotonically_increasing_id()), "order-rows")
+    numbered = named.withColumn("_row", F.monotonically_increasing_id())
+    task = F.shiftright("_row", _TASK_SHIFT)
+    rows, buckets = bucketed_once(numbered.withColumn("_task", task), "_task", "order-rows")
     groups = {f"_g{i}": F.col(place[c]) for i, c in enumerate(partition_cols)}
     order = {f"_o{i}": F.col(place[c]) for i, c in enumerate(order_cols)}
     sums = [f"_v{i}" for i in range(len(values))]
@@ -47,8 +55,8 @@ def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequenc
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_s{g}"))
     totals = keys.join(starts, same).select(
-        "_row", *[(F.col(f"_b{v}") + F.col(v)).cast("long").alias(f"_t{v}") for v in sums])
-    out = rows.drop(*sums).join(totals, "_row")
+        task.alias("_task"), "_row", *[(F.col(f"_b{v}") + F.col(v)).cast("long").alias(f"_t{v}") for v in sums])
+    out = rows.drop(*sums).join(totals.repartition(buckets, "_task").hint("merge"), ["_task", "_row"])
     kept = [F.col(n).alias(c) for c, n in place.items() if c not in values]
     return out.select(*kept, *[F.col(f"_t{v}").alias(name) for name, v in zip(values, sums)])
 

@@ -67,6 +67,24 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed_once(df: DataFrame, column: str, name: str) -> tuple[DataFrame, int]:
+    """``written_once`` as a table in buckets of ``column``, and the number of buckets (the session's shuffle
+    partitions). A join on ``column`` and others with a side in as many hash partitions of it reads the table in place;
+    Spark takes that side as it is only without ``requireAllClusterKeysForCoPartition``, which is therefore set for the
+    session (it changes plans, no results). The table's entry in the catalog is dropped again; its files stay."""
+    import uuid
+
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entry = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    df.write.bucketBy(buckets, column).format("parquet").option("path", scratch_path(spark, name)).saveAsTable(entry)
+    table = spark.table(entry)
+    table.schema  # resolved: the files are known from here on
+    spark.sql(f"DROP TABLE {entry}")
+    return table, buckets
+
+
 def ship_package(spark: SparkSession) -> None:
     """Makes ``textloom`` importable in the Python workers of every executor: the
     package is zipped once per SparkContext and added with ``addPyFile`` (functions
