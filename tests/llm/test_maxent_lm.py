@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 
 from textloom.llm.common import training_row
-from textloom.llm.maxent_lm import (CLASSES, FEATURES, HEAD, STATES, TAIL, Model, class_logs, features_of, fit_weights, score_documents,
-                                    states_before, tail_class, tail_class_column, train, word_logs)
+from textloom.llm.maxent_lm import (CLASSES, END, FEATURES, HEAD, LEAVES, MAX_WORD_ROWS, NODES, RADIX, STATES, TAIL, Lexicon, Model, _documents,
+                                    class_logs, features_of, fit_weights, fit_word_weights, leaf_choices,
+                                    leaf_code, leaf_code_column, leaf_logs, leaf_prior, score, score_documents, states_before,
+                                    tail_class, tail_class_column, train, word_logs, word_rows, word_table)
 
 from conftest_llm import ascii_lower, words
 
@@ -116,3 +118,126 @@ def test_weights_equal_dense_updates(spark):
         weights = weights + np.clip(0.3 * (g - 2.0 * weights) / (h + 2.5), -0.7, 0.7)
     got = fit_weights(spark.createDataFrame(rows, "pair long, classes array<long>, counts array<long>"), totals, 3, 2.0)
     assert np.allclose(got, weights, atol=1e-3)
+
+
+def _prose(n, seed=5):
+    """Texts of common words and words that few texts have."""
+    rng = random.Random(seed)
+    common = ["the", "of", "and", "to", "in"]
+    own = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    return [(i, " ".join(rng.choice(common) if rng.random() < 0.4 else rng.choice(own) for _ in range(rng.randint(0, 60)))) for i in range(n)]
+
+
+def _fit(spark, rows):
+    docs = _documents(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", training_row("doc_id", 10))
+    docs = docs.selectExpr("*", "0L AS block").cache()
+    table = word_table(docs, 1)
+    return docs, table, train(docs, table, rounds=2)
+
+
+def _brute_score(model, text, count):
+    """The model's score, word by word, in plain arithmetic."""
+    head = {w: 1 + i for i, w in enumerate(model.head)}
+    kind = lambda w: 0 if w == END else head.get(w) or tail_class(w)
+    total, before = 0.0, []
+    for w in [*text.encode().lower().split(), END]:
+        k = kind(w)
+        last = kind(before[-1]) if before else CLASSES
+        skip = kind(before[-2]) if len(before) > 1 else CLASSES
+        total += class_logs(model.weights, np.array([skip * STATES + last]))[0, k] / math.log(10)
+        if k > HEAD:
+            c, d, size = count.get(w, 0), model.discount[k], model.sizes[k]
+            if not c:
+                total += math.log10(d * model.kinds[k] / size) if size else 0
+            else:
+                lexicon = Lexicon.of([*before[-2:], w], model.head)
+                for at, node, digit, rows in leaf_choices(lexicon, np.arange(len(lexicon.kind)), np.array([0]), len(model.word_weights)):
+                    x = model.prior[node[-1]] + sum(model.word_weights[f[-1]] for f in rows)
+                    assert at[-1] == len(lexicon.kind) - 1
+                    total += math.log10(math.exp(x[digit[-1]]) / np.exp(x).sum())
+                leaf = 1 + HEAD + (k - 1 - HEAD) * LEAVES + leaf_code(w)
+                total += math.log10((1 - d * model.kinds[k] / size) * (c - d) / model.mass[leaf])
+        before.append(w)
+    return total
+
+
+def test_score_equals_brute_force(spark):
+    rows = _prose(120) + [(500, ""), (501, None), (502, "unheard of wordforms"), (503, "the"), (503, "the")]
+    docs, table, model = _fit(spark, rows)
+    count = Counter(w for i, t in rows if trains(i) for w in (t or "").encode().lower().split())
+    got = sorted((r.doc_id, round(r.score, 4)) for r in score(docs, table, model).collect())
+    want = sorted((i, round(_brute_score(model, t or "", count), 4)) for i, t in rows)
+    assert np.allclose([x for _, x in got], [x for _, x in want], atol=2e-3) and [i for i, _ in got] == [i for i, _ in want]
+
+
+def test_word_probabilities_of_a_history_sum_to_one(spark):
+    rows = _prose(200)
+    docs, table, model = _fit(spark, rows)
+    count = Counter(w for i, t in rows if trains(i) for w in t.encode().split())
+    for history in ([], [b"the"], [b"nowhere", rows[3][1].split()[0].encode()]):
+        words_ = sorted(count)
+        kinds = Lexicon.of(words_, model.head).kind
+        last = Lexicon.of(history, model.head).kind
+        pair = np.array([(last[-2] if len(last) > 1 else CLASSES) * STATES + (last[-1] if len(last) else CLASSES)])
+        classes = np.exp(class_logs(model.weights, pair))[0]
+        total = classes[0]
+        for w, k in zip(words_, kinds):
+            lexicon = Lexicon.of([*history, w], model.head)
+            inside = leaf_logs(model, lexicon, np.arange(len(lexicon.kind)), np.array([0]), np.ones(len(lexicon.kind), bool))[-1]
+            total += classes[k] * 10 ** (inside + word_logs(model, np.array([k]), np.array([count[w]]), lexicon.leaves()[-1:])[0])
+        unseen = 10 ** word_logs(model, np.arange(1 + HEAD, CLASSES), np.zeros(TAIL, int))
+        total += (classes[1 + HEAD:] * unseen).sum() + classes[1 + len(model.head):1 + HEAD].sum()
+        # what is left over is the bias of leaves without a training word
+        assert total == pytest.approx(1, abs=0.02) and total <= 1 + 1e-6
+
+
+def test_a_copy_scores_better_than_its_words_in_another_order(spark):
+    rng = random.Random(11)
+    rows = _prose(400)
+    source = next(t for i, t in rows if trains(i) and len(t.split()) > 50)
+    words_ = source.split()
+    docs, table, model = _fit(spark, rows)
+    same: dict[int, list[int]] = {}  # places whose words share a class, which the class model can't tell apart
+    lexicon = Lexicon.of([w.encode() for w in words_], model.head)
+    for i, k in enumerate(lexicon.kind):
+        same.setdefault(int(k), []).append(i)
+    shuffled = list(words_)
+    for places in same.values():
+        for i, j in zip(places, rng.sample(places, len(places))):
+            shuffled[i] = words_[j]
+    assert shuffled != words_ and sorted(shuffled) == sorted(words_)
+    count = Counter(w for i, t in rows if trains(i) for w in t.encode().split())
+    assert _brute_score(model, source, count) > _brute_score(model, " ".join(shuffled), count) + 1
+
+
+def test_word_weights_equal_dense_updates(spark):
+    rows = _prose(60, seed=8)
+    texts = [t.encode().split() + [END] for i, t in rows if trains(i)]
+    head, table_rows, ridge = [b"the", b"of"], 1 << 14, 2.0
+    prior = leaf_prior(np.random.default_rng(1).integers(0, 9, (TAIL, LEAVES)).astype(float))
+    weights = np.zeros((table_rows, RADIX))
+    for _ in range(2):
+        g, n = np.zeros((table_rows, RADIX)), np.zeros(table_rows)
+        for t in texts:
+            for _, node, digit, features in leaf_choices(Lexicon.of(t, head), np.arange(len(t)), np.array([0]), table_rows):
+                for j in range(len(node)):
+                    x = np.exp(prior[node[j]] + sum(weights[f[j]] for f in features))
+                    for f in features:
+                        g[f[j]] -= x / x.sum()
+                        g[f[j], digit[j]] += 1
+                        n[f[j]] += 1
+        used = n > 0
+        weights[used] += np.clip((g[used] - ridge * weights[used]) / (0.45 * n[used, None] + ridge), -1, 1)
+    docs = _documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text", training_row("doc_id", 10))
+    assert np.allclose(fit_word_weights(docs, head, prior, table_rows, 2, ridge), weights, atol=1e-3)
+    assert (n > 1).sum() > 100 and NODES == len(prior)
+
+
+def test_word_table_grows_with_the_corpus_up_to_its_bound():
+    assert [word_rows(n) for n in (0, 10 ** 6, 10 ** 8, 10 ** 12)] == [1 << 14, 1 << 14, 1 << 17, MAX_WORD_ROWS]
+
+
+def test_leaf_code_is_the_same_in_both_engines(spark):
+    own = [b"a", b"abc", "é".encode(), b"longer-word", b"."]
+    df = spark.createDataFrame([(w,) for w in own], "word binary")
+    assert [r[0] for r in df.select(leaf_code_column(df.word)).collect()] == [leaf_code(w) for w in own]

@@ -1,16 +1,23 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-log p(word | history) = log p(class | history) + log p(word | class).
+log p(word | history) = log p(class | history) + log p(seen | class) + log p(leaf | class, history) + log p(word | leaf).
 
 Classes are the ``HEAD`` most frequent words, each alone, the end of a text, and ``TAIL`` classes of all other
 words by a hash of their last two bytes. The class model is a softmax over hashed features of the two classes
-before: a bias, the last one, the pair (n-grams) and the one before the last (skip). A class's words follow
-their training counts with absolute discounting; what is discounted is the probability of a word not seen. This second
-factor is no softmax and ignores the history (README, exit of operator 5).
+before: a bias, the last one, the pair (n-grams) and the one before the last (skip).
 
-The training loss depends on the corpus only through how often each class follows each pair of classes. These
+The words of a tail class are dealt into ``LEAVES`` leaves by two digits of a hash. Each digit is a softmax over hashed
+features of the two words before, the words themselves and not their classes: the last one, the pair (n-grams) and the
+one before the last (skip), beside the digit's share of the training tokens as a fixed bias. Words of one leaf follow
+their training counts with absolute discounting; what a class's words lose by it is the probability of a word not seen,
+which has no leaf.
+
+The class loss depends on the corpus only through how often each class follows each pair of classes. These
 counts are summed over all training documents by Spark, and the gradient updates run over that table, in
-tasks, with the diagonal of the curvature as step size. The table is bounded by the number of classes.
+tasks, with the diagonal of the curvature as step size. The table is bounded by the number of classes. The gradient of
+the word features is taken over all training documents in every round: tasks send the rows they touched, which are
+added up by slices of the table. The word table has a row for every ``TOKENS_A_ROW`` training tokens, at most
+``MAX_WORD_ROWS``, so that it may be broadcast.
 
 Word counts grow with the corpus and are never broadcast. Documents are dealt into blocks of about
 ``BLOCK_BYTES``; a block asks for the counts of its distinct words only, and gets back those that differ from
@@ -33,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from textloom.llm.common import rows_of, stored, text_bytes
 
@@ -43,6 +51,15 @@ STATES = CLASSES + 1       # the last state: before the first word
 FEATURES = 8192
 #: Rows of the feature table whose gradients meet in one task.
 SLICE = 1024
+#: Digits of a tail word's leaf, values of a digit, leaves of a class, and the nodes where a digit is chosen.
+DIGITS, RADIX = 2, 16
+LEAVES = RADIX ** DIGITS
+NODES = TAIL * (1 + RADIX)
+#: Rows of the table of word features: one for so many training tokens, within these bounds (a row has RADIX floats).
+TOKENS_A_ROW, MIN_WORD_ROWS, MAX_WORD_ROWS = 1024, 1 << 14, 1 << 18
+ONES = np.ones(RADIX, np.float32)
+#: Rows of the word table sent as one row of a shuffle.
+WORD_SLICE = 4096
 #: Stands for the end of a text in tables of words; a word holds no white space.
 END = b"\n"
 #: Words handled at a time.
@@ -59,6 +76,14 @@ def tail_class_column(word: Column) -> Column:
     return F.lit(1 + HEAD) + F.crc32(F.when(F.octet_length(word) > 2, F.substring(word, -2, 2)).otherwise(word)) % TAIL
 
 
+def leaf_code(word: bytes) -> int:
+    return (zlib.crc32(word) >> 16) % LEAVES
+
+
+def leaf_code_column(word: Column) -> Column:
+    return F.shiftright(F.crc32(word), 16) % LEAVES
+
+
 class _Places(dict):
     """word -> its number, given at first sight."""
 
@@ -92,6 +117,57 @@ def features_of(pairs: np.ndarray) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(FEATURES)).astype(np.int64)
 
 
+@dataclass
+class Lexicon:
+    """Class, leaf within the class and hash of distinct words."""
+    kind: np.ndarray
+    code: np.ndarray
+    hashed: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[bytes], head: list[bytes]) -> Lexicon:
+        known = _Classes({END: 0, **{w: 1 + i for i, w in enumerate(head)}})
+        n = len(words)
+        return cls(np.fromiter((known[w] for w in words), np.int64, n), np.fromiter(map(leaf_code, words), np.int64, n),
+                   np.fromiter(map(xxh64_intdigest, words), np.uint64, n))
+
+    def leaves(self) -> np.ndarray:
+        """Number of a word's leaf in the model's tables; a class of one word is its own leaf."""
+        return np.where(self.kind <= HEAD, self.kind, 1 + HEAD + (self.kind - 1 - HEAD) * LEAVES + self.code)
+
+
+def leaf_choices(lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, rows: int, seen: np.ndarray | None = None):
+    """For each digit of the tail words among ``numbers`` (places in the lexicon; ``starts``: first tokens of the
+    texts): the tokens' places, the node, the digit, and the rows of last, pair and skip. ``seen``: words with a leaf."""
+    hashed = lexicon.hashed[numbers]
+    last = np.r_[np.uint64(0), hashed[:-1]]
+    last[starts] = 0
+    skip = np.r_[np.uint64(0), last[:-1]]
+    skip[starts] = 0
+    tail_words = lexicon.kind > HEAD if seen is None else (lexicon.kind > HEAD) & seen
+    at = np.flatnonzero(tail_words[numbers])
+    tail, code = lexicon.kind[numbers[at]] - 1 - HEAD, lexicon.code[numbers[at]]
+    last, skip = last[at] * np.uint64(0x9E3779B97F4A7C15), skip[at] * np.uint64(0xC2B2AE3D27D4EB4F)
+    for node, digit in ((tail, code // RADIX), (TAIL + tail * RADIX + code // RADIX, code % RADIX)):
+        own = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        raw = (last + own, (last ^ np.uint64(1)) + (skip >> np.uint64(1)) + own, (skip ^ np.uint64(2)) + own)
+        yield at, node, digit, [_row(x, rows) for x in raw]
+
+
+def _row(x: np.ndarray, rows: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(32))) % np.uint64(rows)).astype(np.int64)
+
+
+def digit_scores(prior: np.ndarray, weights: np.ndarray, node: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Unnormalised log p(digit | node, history), a row per choice. A row of weights moves by at most 1 a round and the
+    prior is at most 0, so its exponential stays small."""
+    x, own = prior.take(node, axis=0), np.empty((len(node), RADIX), np.float32)
+    for f in features:
+        x += weights.take(f, axis=0, out=own, mode="clip")
+    return x
+
+
 def class_logs(weights: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """log p(class | pair) for each pair."""
     x = weights[features_of(pairs)].sum(axis=1)
@@ -140,10 +216,13 @@ class Model:
     kinds: np.ndarray
     discount: np.ndarray
     weights: np.ndarray
+    mass: np.ndarray | None = None          # discounted training tokens of each leaf
+    prior: np.ndarray | None = None         # (NODES, RADIX): log share of a digit at its node
+    word_weights: np.ndarray | None = None  # (rows, RADIX)
 
 
 def _class_table(words: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The head words, and per class: tokens, types, words seen once, words seen twice."""
+    """The head words, and per class and leaf: tokens, types, words seen once, words seen twice."""
     seen = words.where("first AND c > 0")
     top = seen.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(HEAD).select("word").collect()
     head = [bytes(r["word"]) for r in top]
@@ -152,9 +231,11 @@ def _class_table(words: DataFrame) -> tuple[list[bytes], np.ndarray]:
         kind = kind.when(F.col("word") == F.lit(w), F.lit(1 + i).cast("bigint"))
     kind = kind.otherwise(tail_class_column(F.col("word")))
     once = lambda k: F.sum((F.col("c") == k).cast("long"))
-    table = np.zeros((CLASSES, 4), np.int64)
-    for r in seen.groupBy(kind.alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), once(1).alias("n1"), once(2).alias("n2")).collect():
-        table[int(r["k"])] = r["c"], r["v"], r["n1"], r["n2"]
+    table = np.zeros((CLASSES, LEAVES, 4), np.int64)
+    leaf = F.when(F.col("k") > HEAD, leaf_code_column(F.col("word"))).otherwise(F.lit(0).cast("bigint"))
+    for r in seen.withColumn("k", kind).groupBy("k", leaf.alias("leaf")).agg(
+            F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), once(1).alias("n1"), once(2).alias("n2")).collect():  # one row a leaf
+        table[int(r["k"]), int(r["leaf"])] = r["c"], r["v"], r["n1"], r["n2"]
     return head, table
 
 
@@ -256,27 +337,147 @@ def fit_weights(pairs: DataFrame, totals: np.ndarray, rounds: int, ridge: float,
     return weights
 
 
-def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0) -> Model:
+def leaf_prior(tokens: np.ndarray) -> np.ndarray:
+    """Log share of each digit at its node, from the discounted tokens of the tail classes' leaves (TAIL, LEAVES)."""
+    first = tokens.reshape(TAIL, RADIX, RADIX).sum(axis=2)
+    x = np.concatenate([first, tokens.reshape(TAIL * RADIX, RADIX)]) + 0.01
+    return np.log(x / x.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def word_rows(tokens: int) -> int:
+    """Rows of the word table for so many training tokens: a power of two."""
+    return min(MAX_WORD_ROWS, max(MIN_WORD_ROWS, 1 << (max(1, tokens // TOKENS_A_ROW) - 1).bit_length()))
+
+
+def add_gradient(lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, prior: np.ndarray, weights: np.ndarray,
+                 g: np.ndarray, n: np.ndarray) -> None:
+    """Adds the gradient of these texts' digits to ``g``, and how often each row was used to ``n``."""
+    cells = np.arange(RADIX)
+    flat = g.reshape(-1)
+    for _, node, digit, features in leaf_choices(lexicon, numbers, starts, len(weights)):
+        for lo in range(0, len(node), 50_000):
+            part = slice(lo, lo + 50_000)
+            own = [f[part] for f in features]
+            miss = digit_scores(prior, weights, node[part], own)
+            np.exp(miss, out=miss)
+            miss /= -(miss @ ONES)[:, None]
+            miss[np.arange(len(miss)), digit[part]] += 1
+            miss = miss.reshape(-1)
+            for f in own:
+                np.add.at(flat, (f[:, None] * RADIX + cells).reshape(-1), miss)
+                n += np.bincount(f, minlength=len(n))
+
+
+def _steps_of_texts(batches: Iterator[pa.RecordBatch], head: list[bytes]) -> Iterator[tuple[Lexicon, np.ndarray, np.ndarray]]:
+    """Texts by steps of about ``STEP_WORDS`` words: the step's words, their places and the texts' first tokens."""
+
+    def step(texts: list[list[bytes]]):
+        place = _Places()
+        lengths = np.array([len(t) for t in texts])
+        numbers = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
+        return Lexicon.of(list(place), head), numbers, np.cumsum(lengths) - lengths
+
+    texts, n = [], 0
+    for (text,) in rows_of(batches, "text"):
+        texts.append([*text.lower().split(), END])
+        n += len(texts[-1])
+        if n >= STEP_WORDS:
+            yield step(texts)
+            texts, n = [], 0
+    if texts:
+        yield step(texts)
+
+
+def fit_word_weights(docs: DataFrame, head: list[bytes], prior: np.ndarray, rows: int, rounds: int, ridge: float) -> np.ndarray:
+    """Gradient updates of the digits' features over all training documents. The step of a row is its gradient over a bound
+    of the curvature of the three features that move together. Sums are added up as they arrive, by slices of the table."""
+    context = docs.sparkSession.sparkContext
+    weights = np.zeros((rows, RADIX), np.float32)
+    texts = docs.where("training").select("text")
+
+    def sums(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fixed, own = shared.value
+            g, n = np.zeros_like(own), np.zeros(rows)
+            for lexicon, numbers, starts in _steps_of_texts(batches, head):
+                add_gradient(lexicon, numbers, starts, fixed, own, g, n)
+            for lo in range(0, rows, WORD_SLICE):
+                touched = lo + np.flatnonzero(n[lo:lo + WORD_SLICE])
+                if len(touched):
+                    yield _slice_row(lo // WORD_SLICE, touched, g[touched], n[touched])
+        return run
+
+    def steps(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value[1]
+            total: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # at most the whole table
+            for k, touched, g, n in rows_of(batches, "slice", "own", "g", "n"):
+                if k not in total:
+                    total[k] = np.zeros((WORD_SLICE, RADIX)), np.zeros(WORD_SLICE)
+                at = np.frombuffer(touched, np.int64) - k * WORD_SLICE
+                total[k][0][at] += np.frombuffer(g, np.float32).reshape(-1, RADIX)
+                total[k][1][at] += np.frombuffer(n, np.float32)
+            for k, (g, n) in total.items():
+                at = np.flatnonzero(n)
+                step = (g[at] - ridge * own[k * WORD_SLICE + at]) / (0.45 * n[at, None] + ridge)
+                yield _slice_row(k, k * WORD_SLICE + at, np.clip(step, -1, 1), n[at])
+        return run
+
+    schema = "slice long, own binary, g binary, n binary"
+    for _ in range(rounds):
+        shared = context.broadcast((prior, weights))  # bounded: MAX_WORD_ROWS rows
+        parts = texts.mapInArrow(sums(shared), schema).repartition("slice").mapInArrow(steps(shared), schema)
+        for r in parts.select("own", "g").collect():  # a row per slice
+            weights[np.frombuffer(r["own"], np.int64)] += np.frombuffer(r["g"], np.float32).reshape(-1, RADIX)
+        shared.destroy()
+    return weights
+
+
+def _slice_row(k: int, own: np.ndarray, g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    packed = [pa.array([x.tobytes()], pa.binary()) for x in (own.astype(np.int64), g.astype(np.float32), n.astype(np.float32))]
+    return pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), *packed], ["slice", "own", "g", "n"])
+
+
+def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0, word_rounds: int = 3) -> Model:
     head, table = _class_table(words)
-    size, kinds, once, twice = table.T.astype(float)
+    size, kinds, once, twice = table.sum(axis=1).T.astype(float)
     discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
     discount[:1 + HEAD] = 0
     weights = fit_weights(_class_counts(docs, head), size, rounds, ridge)
-    return Model(head, int(size.sum()), int(kinds.sum()), size, kinds, discount, weights.astype(np.float32))
-
-
-def word_logs(model: Model, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 p(word | class) of words with these training counts; count 0: a word not seen."""
-    size, kinds, d = model.sizes[classes], model.kinds[classes], model.discount[classes]
-    known = (counts - d) / np.maximum(size, 1)
-    unseen = np.where(size > 0, d * kinds / np.maximum(size, 1), 1.0)
+    mass = table[:, :, 0] - discount[:, None] * table[:, :, 1]
+    prior, tokens = leaf_prior(mass[1 + HEAD:]), int(size.sum())
+    word_weights = fit_word_weights(docs, head, prior, word_rows(tokens), word_rounds, ridge)
+    return Model(head, tokens, int(kinds.sum()), size, kinds, discount, weights.astype(np.float32),
+                 np.r_[mass[:1 + HEAD, 0], mass[1 + HEAD:].reshape(-1)], prior, word_weights)
+
+
+def word_logs(model: Model, classes: np.ndarray, counts: np.ndarray, leaves: np.ndarray | None = None) -> np.ndarray:
+    """log10 p(seen | class) p(word | leaf) of words with these training counts (without leaves: p(word | class)); count 0: log10
+    p(not seen | class)."""
+    size, d = model.sizes[classes], model.discount[classes]
+    lost = d * model.kinds[classes]
+    mass = size - lost if leaves is None else model.mass[leaves]
+    known = (size - lost) / np.maximum(size, 1) * (counts - d) / np.maximum(mass, 1e-9)
+    unseen = np.where(size > 0, lost / np.maximum(size, 1), 1.0)
     p = np.where(counts > 0, known, unseen)
     return np.where(classes <= HEAD, 0.0, np.log10(np.maximum(p, 1e-300)))
 
 
+def leaf_logs(model: Model, lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """log10 p(leaf | class, history) of each token; 0 for a class of one word and for words not seen."""
+    out = np.zeros(len(numbers))
+    for at, node, digit, features in leaf_choices(lexicon, numbers, starts, len(model.word_weights), seen):
+        for lo in range(0, len(at), 50_000):
+            part = slice(lo, lo + 50_000)
+            x = digit_scores(model.prior, model.word_weights, node[part], [f[part] for f in features])
+            own = x[np.arange(len(x)), digit[part]]
+            out[at[part]] += (own - np.log(np.exp(x, out=x) @ ONES)) / np.log(10)
+    return out
+
+
 def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     """Scores of all documents, block by block, from the block's texts and the counts it asked for."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: features by classes
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: features by classes, MAX_WORD_ROWS
 
     def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
         own = shared.value
@@ -299,10 +500,10 @@ def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
         for b in counts.to_batches():
             where = np.fromiter(map(place.__getitem__, b.column("word").to_pylist()), np.int64, b.num_rows)
             n[where] = b.column("c").to_numpy()
-        known = _Classes({END: 0, **{w: 1 + i for i, w in enumerate(own.head)}})
-        kind = np.fromiter(map(known.__getitem__, place), np.int64, len(place))
+        lexicon = Lexicon.of(list(place), own.head)
+        kind = lexicon.kind
         base = np.log10((n + 0.1) / (own.tokens + 0.1 * (own.types + 1)))
-        inner = word_logs(own, kind, n)
+        inner = word_logs(own, kind, n, lexicon.leaves())
         first = np.cumsum(lengths) - lengths
         out = {k: np.zeros(len(ids)) for k in ("base", "score", "known")}
         lo = 0
@@ -311,7 +512,7 @@ def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
             own_tokens = numbers[first[lo]:first[hi] if hi < len(ids) else len(numbers)]
             starts = first[lo:hi] - first[lo]
             classes = kind[own_tokens]
-            total = logs[states_before(classes, starts), classes] + inner[own_tokens]
+            total = logs[states_before(classes, starts), classes] + inner[own_tokens] + leaf_logs(own, lexicon, own_tokens, starts, n > 0)
             for name, x in (("base", base[own_tokens]), ("score", total), ("known", (n[own_tokens] > 0).astype(float))):
                 out[name][lo:hi] = np.add.reduceat(x, starts)
             lo = hi
