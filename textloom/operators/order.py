@@ -8,7 +8,7 @@ and a key that holds most rows, are split over ranges as well; Spark chooses the
 of ranges from the size; (3) one sum per range and group, a table of one row per range
 and group, gives each range's starting value; (4) a window inside each range, and the
 sums, numbers alone, are shuffled back to where their rows are stored: a table bucketed by
-the task that wrote a row, one file per task. The rows, with their texts or ids, are read
+the task that wrote a row, four files per task. The rows, with their texts or ids, are read
 from their buckets and joined in place by the row number, with no exchange of their own.
 No row is lost: null keys sort first, null groups are groups, an empty input gives an
 empty result.
@@ -25,6 +25,8 @@ from textloom.session import bucketed_once, written_once
 
 #: Bits of ``monotonically_increasing_id`` below the number of the writing task.
 _TASK_SHIFT = 33
+#: Parts (files) that a writing task deals its rows into, so that few tasks still fill the buckets evenly.
+_PARTS = 4
 
 
 def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequence[str],
@@ -35,7 +37,7 @@ def running_totals(df: DataFrame, values: dict[str, Column], order_cols: Sequenc
     named = df.select(*(F.col(f"`{c}`").alias(n) for c, n in place.items()),
                       *(v.cast("long").alias(f"_v{i}") for i, v in enumerate(values.values())))
     numbered = named.withColumn("_row", F.monotonically_increasing_id())
-    task = F.shiftright("_row", _TASK_SHIFT)
+    task = F.shiftright("_row", _TASK_SHIFT) * _PARTS + F.col("_row") % _PARTS
     rows, buckets = bucketed_once(numbered.withColumn("_task", task), "_task", "order-rows")
     groups = {f"_g{i}": F.col(place[c]) for i, c in enumerate(partition_cols)}
     order = {f"_o{i}": F.col(place[c]) for i, c in enumerate(order_cols)}
