@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import broadcast_if, rows_of, stored, text_bytes
-from textloom.sources.io import _fs as file_system
+from textloom.sources.npy import file_system
 
 GZIP = 16 + zlib.MAX_WBITS
 PIECE = 1 << 20
