@@ -93,3 +93,30 @@ def test_loss_table_has_gaps_as_nulls(spark):
     row = with_loss_table(spark.range(1), losses).first()
     assert row["_table"] == [1.5, None, 0.5, None, None, 2.5]
     assert with_loss_table(spark.range(1), losses.limit(0)).first()["_table"] in (None, [])
+
+
+def test_many_shards_share_folders(spark, tmp_dir, monkeypatch):
+    """A split with more shards than folders: same chunks, and windows still open only the folders they lie in."""
+    from textloom.plans import corpus as C
+    from textloom.sources import io as IO
+
+    monkeypatch.setattr(C, "MAX_FOLDERS", 6)
+    docs = _docs(spark)
+    counts = W.window_counts(corpus_manifest(docs, SHARD), B, T, N)
+    store = shard_store(spark, docs, ("folded",), "val", SHARD, CHUNK)
+    path = spark.__dict__["_textloom_stores"][next(k for k in spark.__dict__["_textloom_stores"] if k[1] == ("folded",))].removeprefix("file:")
+    files = glob.glob(os.path.join(path, "split=val", "shard=*", "*.parquet"))
+    assert 3 < len(glob.glob(os.path.join(path, "split=val", "shard=*"))) == len(files) <= 6
+    plain = corpus_chunks(docs, SHARD, CHUNK)
+    cols = ["split", "shard", "chunk", "chunk_in_shard", "n_tokens", "tokens"]
+    assert store.select(cols).orderBy("chunk").collect() == plain.where("split = 'val'").select(cols).orderBy("chunk").collect()
+    wins = W.validation_windows(spark, counts, B, T, N, n=2)
+    need = W.needed_chunks(wins, B, T, SHARD, CHUNK)
+    rows, opened = files_opened(W.only_chunks(store, need).select("shard", "chunk", "tokens"))
+    assert {(r.shard, r.chunk) for r in rows} == {(r.shard, r.chunk) for r in need.collect()} and opened < len(files)
+    fold = C.shards_per_folder(docs, SHARD)
+    assert fold > 1
+    IO.write_shards(corpus_chunks(docs, SHARD, CHUNK, group_shards=fold), tmp_dir, per_folder=fold)
+    for split in IO.SPLITS:
+        back = IO.read_shards(spark, tmp_dir, split).select(cols).orderBy("chunk").collect()
+        assert [tuple(r) for r in back] == [tuple(r) for r in plain.where(f"split = '{split}'").select(cols).orderBy("chunk").collect()]

@@ -37,22 +37,22 @@ GROUP_TOKENS = 16_000_000
 
 def pack_chunks(docs: DataFrame, shard_size: int, chunk_size: int, ids_col: str = "ids",
                 start_col: str = "start", split_col: str = "split",
-                group_tokens: int = GROUP_TOKENS) -> DataFrame:
+                group_tokens: int = GROUP_TOKENS, group_shards: int = 1) -> DataFrame:
     """K2: concatenates documents in order and cuts rows of ``chunk_size`` tokens.
 
     Input rows: (split, start, ids). Output: (split, shard, chunk, chunk_in_shard,
     n_tokens, tokens); ``chunk`` counts from 0 within the split.
 
     Pieces are shuffled once, by (split, group) where a group is ``group_tokens`` of
-    consecutive chunks (at most one shard), and aggregated per chunk inside that
-    partitioning (a hash partitioning on a subset of the grouping keys needs no second
+    consecutive chunks (at most one shard, or ``group_shards`` whole ones, for stores that keep
+    so many in a folder), and aggregated per chunk inside that partitioning (a hash partitioning on a subset of the grouping keys needs no second
     exchange). The output stays partitioned by group: a shard is written by a few
     tasks (about shard_size / group_tokens) without another shuffle, while the
     aggregation runs over many bounded groups in parallel."""
     if shard_size % chunk_size != 0:
         raise ValueError("chunk_size must divide shard_size")
     per_shard = shard_size // chunk_size
-    group = max(1, min(per_shard, group_tokens // chunk_size))
+    group = max(1, min(per_shard, group_tokens // chunk_size)) if group_shards == 1 else per_shard * group_shards
     C = F.lit(chunk_size).cast("long")
     ids = F.col(ids_col)
     start = F.col(start_col).cast("long")

@@ -229,8 +229,11 @@ def only_chunks(stored: DataFrame, needed: DataFrame) -> DataFrame:
         return stored
     ends = needed.agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
     near = stored.where(F.col("chunk").between(ends.select("lo").scalar(), ends.select("hi").scalar()))
-    keys = needed.select(F.col("split").alias("_split"), F.col("shard").alias("_shard"), F.col("chunk").alias("_chunk"))
-    same = (F.col("split") == F.col("_split")) & (F.col("shard") == F.col("_shard")) & (F.col("chunk") == F.col("_chunk"))
+    # a store with several shards in a folder prunes by that folder, and says how many there are
+    place, width = ("folder", stored.schema["folder"].metadata["shards"]) if "folder" in stored.columns else ("shard", 1)
+    keys = needed.select(F.col("split").alias("_split"), (F.col("shard") - F.col("shard") % width).alias("_place"),
+                         F.col("chunk").alias("_chunk"))
+    same = (F.col("split") == F.col("_split")) & (F.col(place) == F.col("_place")) & (F.col("chunk") == F.col("_chunk"))
     return near.join(F.broadcast(keys), same, "left_semi")
 
 

@@ -18,6 +18,10 @@ from textloom.operators.pack import pack_chunks, shard_manifest, split_totals, t
 TEST_SHARD_SIZE = 65_536
 TEST_CHUNK_SIZE = 4_096
 
+#: Folders of a split's store. Up to so many shards have one each; of more, some consecutive ones share a folder, as
+#: every folder and file costs a task, and the driver's listing, the same however few tokens it holds.
+MAX_FOLDERS = 1024
+
 
 def document_offsets(docs: DataFrame) -> DataFrame:
     """K1 over (split, doc_id, text): adds n_tokens (EOT included) and start."""
@@ -41,9 +45,9 @@ def placed_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
 
 
 def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, chunk_size: int = TEST_CHUNK_SIZE,
-                  encoder: Encoder = BYTES) -> DataFrame:
+                  encoder: Encoder = BYTES, group_shards: int = 1) -> DataFrame:
     """K2 over a corpus (split, doc_id, text)."""
-    return pack_chunks(placed_ids(docs, encoder), shard_size, chunk_size)
+    return pack_chunks(placed_ids(docs, encoder), shard_size, chunk_size, group_shards=group_shards)
 
 
 def corpus_totals(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> DataFrame:
@@ -52,6 +56,13 @@ def corpus_totals(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> DataFra
     return split_totals(lengths, shard_size)
 
 
+def shards_per_folder(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE) -> int:
+    """How many consecutive shards share a folder of a store, so that no split has more than ``MAX_FOLDERS`` of them. By
+    bytes of the texts: an estimate for encoders with other lengths, which moves the bound and no result."""
+    most = corpus_totals(docs, shard_size).agg(F.max("shards")).first()[0] or 1
+    return -(-most // MAX_FOLDERS)
+
+
 def corpus_manifest(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, name: str = "corpus") -> DataFrame:
     return shard_manifest(corpus_totals(docs, shard_size), shard_size, name)
 

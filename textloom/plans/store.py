@@ -1,7 +1,8 @@
 """Stored shards of a corpus: packed once for a session and an input, read by every window query.
 
-A store is the parquet layout of ``write_shards`` (a folder per split and shard, rows in chunk order), so a read of
-some windows opens the folders of their shards alone and, inside a file, the row groups of their chunks.
+A store is the parquet layout of ``write_shards`` (a folder per split and shard, or per some consecutive shards of a split
+that has very many; rows in chunk order), so a read of some windows opens the folders of their shards alone and, inside a
+file, the row groups of their chunks.
 """
 
 from __future__ import annotations
@@ -10,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.encoders import BYTES, Encoder
-from textloom.plans.corpus import corpus_chunks
+from textloom.plans.corpus import corpus_chunks, shards_per_folder
 from textloom.session import scratch_path
-from textloom.sources.io import write_shards
+from textloom.sources.io import whole_shards, write_shards
 
-STORE_ROW = "chunk long, chunk_in_shard long, tokens array<int>, n_tokens long, split string, shard long"
+STORE_ROW = "chunk long, chunk_in_shard long, tokens array<int>, n_tokens long, shard_in_folder long, split string, shard long"
 
 
 def input_mark(table: DataFrame) -> tuple:
@@ -29,9 +30,13 @@ def shard_store(spark: SparkSession, docs: DataFrame, mark: tuple, split: str, s
     """The chunks of one split of ``docs`` (split, doc_id, text) from its store. Only that split is read and encoded,
     and only if the session has no store of it yet; ``mark`` is the input's ``input_mark``."""
     stores = spark.__dict__.setdefault("_textloom_stores", {})
+    folds = spark.__dict__.setdefault("_textloom_store_folds", {})
     key = (spark.sparkContext.applicationId, mark, split, shard_size, chunk_size, encoder)
     if key not in stores:
         path = scratch_path(spark, f"shards-{split}")
-        write_shards(corpus_chunks(docs.where(F.col("split") == split), shard_size, chunk_size, encoder), path)
+        docs = docs.where(F.col("split") == split)
+        folds[path] = shards_per_folder(docs, shard_size)
+        write_shards(corpus_chunks(docs, shard_size, chunk_size, encoder, folds[path]), path, per_folder=folds[path])
         stores[key] = path
-    return spark.read.schema(STORE_ROW).parquet(stores[key]).where(F.col("split") == split)
+    rows = spark.read.schema(STORE_ROW).parquet(stores[key]).where(F.col("split") == split)
+    return whole_shards(rows, folds[stores[key]])

@@ -722,7 +722,9 @@ from textloom.sources import io as IO  # noqa: E402
 def q_stored_shards(spark, sf_dir):
     """S4 write, S5 read of each split (partition pruning), union."""
     path = scratch_path(spark, "shards")
-    IO.write_shards(C.corpus_chunks(X.corpus(spark, sf_dir), SHARD, CHUNK), path)
+    docs = X.corpus(spark, sf_dir)
+    fold = C.shards_per_folder(docs, SHARD)
+    IO.write_shards(C.corpus_chunks(docs, SHARD, CHUNK, group_shards=fold), path, per_folder=fold)
     parts = [IO.read_shards(spark, path, s) for s in IO.SPLITS]
     ch = parts[0].unionByName(parts[1])
     return ch.select("split", F.col("shard").cast("long").alias("shard"), "chunk", "chunk_in_shard", "n_tokens",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,27 +63,43 @@ def read_instructions(spark: SparkSession, path: str, fmt: str = "json", streami
     return reader.schema(schema).format(fmt).load(path)
 
 
-def write_shards(chunks: DataFrame, path: str, mode: str = "overwrite", packed: bool = True) -> None:
+def write_shards(chunks: DataFrame, path: str, mode: str = "overwrite", packed: bool = True, per_folder: int = 1) -> None:
     """Packed chunks as parquet partitioned by split and shard, rows in chunk order.
 
     Output of ``pack_chunks`` is already partitioned by groups of chunks of one shard,
     so each shard is written by a few tasks without another shuffle (``packed``).
-    Other input is first partitioned the same way (by split and shard group)."""
+    Other input is first partitioned the same way (by split and shard group). With ``per_folder`` above 1 (and chunks
+    packed with as many ``group_shards``) so many consecutive shards share a folder and a file: the folder has the number of
+    the first one, and ``shard_in_folder`` what is to be added."""
     if not packed:
         chunks = chunks.repartition("split", (F.col("chunk") / 8).cast("long"))
+    at = F.pmod(F.col("shard"), F.lit(per_folder)).cast("long")
+    chunks = chunks.withColumn("shard_in_folder", at).withColumn("shard", F.col("shard") - F.col("shard_in_folder"))
     (chunks.sortWithinPartitions("split", "shard", "chunk")
      .write.mode(mode).partitionBy("split", "shard").parquet(path))
 
 
+def whole_shards(rows: DataFrame, per_folder: int = 1) -> DataFrame:
+    """Rows of a store with their own shard; ``folder`` (its metadata: shards in one) is the partition to prune by."""
+    folder = F.col("shard").cast("long")
+    return rows.withColumn("folder", folder.alias("folder", metadata={"shards": per_folder})) \
+        .withColumn("shard", F.col("shard").cast("long") + F.col("shard_in_folder")).drop("shard_in_folder")
+
+
 def read_shards(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """The chunks of one split (partition pruning), ids widened to long.
+    """The chunks of one split (partition pruning; other splits are not even listed), ids widened to long.
     Refuses an unknown split and a split without shards."""
     if split not in SPLITS:
         raise ValueError(f"split must be one of {SPLITS}, got {split!r}")
-    df = spark.read.parquet(path).where(F.col("split") == split)
-    if df.select("chunk").limit(1).count() == 0:  # one partition pruned probe, not a scan
+    try:
+        df = spark.read.option("basePath", path).parquet(os.path.join(path, f"split={split}"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"no shards found for split {split}") from None
+    if df.select("chunk").limit(1).count() == 0:  # one probe, not a scan
         raise ValueError(f"no shards found for split {split}")
-    return df.withColumn("tokens", F.col("tokens").cast("array<bigint>"))
+    return whole_shards(df).drop("folder").withColumn("tokens", F.col("tokens").cast("array<bigint>"))
 
 
 def list_shards(manifest: DataFrame, split: str) -> DataFrame:
