@@ -229,3 +229,22 @@ def test_stream_accuracy_scores_items_as_they_arrive(spark, tmp_dir, monkeypatch
     got = ST.accuracy_result(spark, counters).first()
     assert got.asDict() == want.asDict() and 0 < got.correct < 60
     assert seen[:-1] == [12] * 6  # the third batch twice, the last call is the whole table
+
+
+def test_a_packing_batch_reads_the_folders_of_its_own_and_the_last_batch(spark, tmp_dir, monkeypatch):
+    """What a batch reads does not grow with the batches before it; batches that wrote nothing are passed over."""
+    docs = _documents(spark)
+    src, shards, state, ck = (os.path.join(tmp_dir, n) for n in ("in", "shards", "state", "ck"))
+    ST.stage_files(docs, src, "doc_id", rows_per_file=20)
+    plain, scans = ST.before_batch, []
+    monkeypatch.setattr(ST, "before_batch", lambda *a: scans.append(a) or plain(*a))
+    ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), shards, state, ck, 256, 64)
+    ids = [r[0] for r in spark.read.parquet(state).select("batch_id").distinct().collect()]
+    assert len(ids) >= 4 and not scans
+    end = max(ids)
+    rows = lambda df: sorted((r.split, r.total, tuple(r.ids)) for r in df.collect())
+    own = rows(ST.of_batch(spark, state, end, ST.TAIL_ROW))
+    assert own and {r.batch_id for r in ST.of_batch(spark, state, end, ST.TAIL_ROW).collect()} == {end}
+    assert all(f"batch_id={end}/" in f for f in ST.of_batch(spark, state, end, ST.TAIL_ROW).inputFiles())
+    assert rows(ST.last_before(spark, state, end + 1, ST.TAIL_ROW)) == own == rows(ST.last_before(spark, state, end + 5, ST.TAIL_ROW))
+    assert scans and not ST.of_batch(spark, state, end + 9, ST.TAIL_ROW).collect() and not ST.last_before(spark, state, 0, ST.TAIL_ROW).collect()

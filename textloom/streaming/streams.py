@@ -57,6 +57,30 @@ def before_batch(spark: SparkSession, path: str, batch_id: int, schema: str) ->
         return spark.createDataFrame([], f"{schema}, batch_id long")
 
 
+def of_batch(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What batch ``batch_id`` alone wrote, from its own folder: the folders of other batches are not even listed, so a
+    batch costs the same however many came before it. No rows if it wrote none."""
+    try:
+        return spark.read.schema(f"{schema}, batch_id long").option("basePath", path).parquet(f"{path}/batch_id={batch_id}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{schema}, batch_id long")
+
+
+def last_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What the last batch before ``batch_id`` that wrote anything wrote: the one just before it, or, if that wrote
+    nothing, the last one found."""
+    if batch_id == 0:
+        return spark.createDataFrame([], f"{schema}, batch_id long")
+    just = of_batch(spark, path, batch_id - 1, schema)
+    if just.inputFiles():
+        return just
+    past = before_batch(spark, path, batch_id, schema)
+    last = past.agg(F.max("batch_id").alias("b")).first()["b"]
+    return past.where(F.col("batch_id") == F.lit(last))
+
+
 WORKER_STATE = "worker int, seen long, taken long"
 
 
@@ -133,9 +157,7 @@ def stream_pack(spark: SparkSession, docs: DataFrame, shards: str, state: str, c
     the one before it alone, so a batch that is run again makes the same chunks."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        past = before_batch(spark, state, batch_id, TAIL_ROW)
-        last = past.agg(F.max("batch_id").alias("b")).first()["b"]
-        tails = past.where(F.col("batch_id") == F.lit(last)).drop("batch_id")  # one row per split
+        tails = last_before(spark, state, batch_id, TAIL_ROW).drop("batch_id")  # one row per split
         new = placed_ids(batch, encoder)
         base = F.coalesce("total", F.lit(0).cast("long"))
         new = new.join(F.broadcast(tails.select("split", "total")), "split", "left")
@@ -144,7 +166,7 @@ def stream_pack(spark: SparkSession, docs: DataFrame, shards: str, state: str, c
         chunks = pack_chunks(parts, shard_size, chunk_size)
         put_batch(chunks.withColumn("closed", F.col("n_tokens") == chunk_size), shards, batch_id, "closed")
 
-        made = spark.read.schema(f"{CHUNK_ROW}, batch_id long").parquet(shards).where(F.col("batch_id") == batch_id)
+        made = of_batch(spark, shards, batch_id, CHUNK_ROW)
         totals = made.groupBy("split").agg(F.max(F.col("chunk") * chunk_size + F.col("n_tokens")).alias("total"))
         rest = made.where("NOT closed").select("split", F.col("tokens").alias("ids"))  # at most one chunk per split
         none = F.array().cast("array<int>")
