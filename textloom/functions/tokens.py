@@ -137,4 +137,4 @@ def keep_last(ids, n: int) -> Column:
 
 def ids_text(ids) -> Column:
     """Array of ints as a space-separated string, for output and comparison."""
-    return F.array_join(F.transform(_col(ids), lambda x: x.cast("string")), " ")
+    return F.array_join(_col(ids).cast("array<string>"), " ")
