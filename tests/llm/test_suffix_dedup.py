@@ -148,3 +148,35 @@ def test_common_gram_is_dealt_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_ranges_hold_every_place_once():
+    """Ranges by their last gram and surroundings, several of one gram among them, against a plain comparison."""
+    rng = np.random.default_rng(4)
+    key, around = rng.integers(0, 6, 500), rng.integers(-4, 5, 500)
+    ends = sorted({(int(k), int(a)) for k, a in zip(rng.integers(0, 6, 9), rng.integers(-4, 5, 9))} | {(3, -2), (3, 0), (3, 3)})
+    keys, arounds = (np.array(c, np.int64) for c in zip(*ends))
+    assert S._range_of(key, around, keys, arounds).tolist() == [sum(e < (k, a) for e in ends) for k, a in zip(key.tolist(), around.tolist())]
+    none = np.zeros(0, np.int64)
+    assert not S._range_of(key, around, none, none).any()
+    wide = np.array([-10**18, -5, -4, 10**17], np.int64)
+    own = S._inside_ranges(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2), wide)
+    assert not np.isin(own, wide).any()
+    assert (np.bincount(np.searchsorted(wide, own), minlength=5)[[0, 1, 3, 4]] > 800).all()
+
+
+@pytest.mark.parametrize("docs_a_range, rows_a_range", [(16, 1000), (1, 1)])
+def test_texts_are_scanned_once(spark, monkeypatch, docs_a_range, rows_a_range):
+    """Sampling inside a range exchange would run the scan of all texts twice; the ends of ranges never change results."""
+    monkeypatch.setattr(S, "SAMPLE_DOCS", docs_a_range)
+    monkeypatch.setattr(S, "SAMPLE_ROWS", rows_a_range)
+    rng = random.Random(11)
+    fresh = lambda n: "".join(rng.choices("klmnop", k=n))
+    shared = [fresh(130) for _ in range(5)]
+    rows = [(i, fresh(50) + rng.choice(shared) + fresh(50)) for i in range(60)] + [(None, shared[0]), (61, None), (62, "")]
+    docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA).repartition(5)
+    verdicts = S._verdicts(S._occurrences(S._keyed(docs, "doc_id", "text").select("doc", "tie", "text"), 100))
+    assert "rangepartitioning" not in verdicts._jdf.queryExecution().toString().lower()
+    got = {r[0]: tuple(r) for r in remove_repeats(docs).collect()}
+    want = {r[0]: r for r in brute([r for r in rows if r[0] is not None], 100)}
+    assert {k: v for k, v in got.items() if k is not None} == want
