@@ -102,3 +102,17 @@ def test_more_labels_than_the_bound_are_an_error(spark):
     with pytest.raises(ValueError, match="more than 2 labels"):
         train(docs, max_labels=2, rounds=1)
     assert train(docs, max_labels=3, rounds=1).labels == ["l0", "l1", "l2"]
+
+
+def test_word_scores_of_a_task_are_bounded():
+    """600,000 different words: few of their scores are held at a time, and each is that of the word alone."""
+    import textloom.llm.crf as C
+
+    rng = np.random.default_rng(3)
+    model = C.Model(["a", "b"], rng.normal(size=(C.BUCKETS, 2)), np.zeros((2, 2)))
+    store = C._Scores(model)
+    for k in range(10):
+        own = [f"w{k}x{i}" for i in range(60_000)]
+        rows = store.rows([own, own[:5]])
+        assert len(store.scores) <= 400_000 and len(store.place) <= 200_000
+        assert np.allclose(store.scores[rows[-5:]], C.emissions(own[:5], model.weights, {})[0])

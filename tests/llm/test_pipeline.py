@@ -94,3 +94,19 @@ def test_stages_leave_columns_of_any_name_alone(spark, edge_docs, stage):
     assert out.columns[5:] == NAMES
     got = out.collect()
     assert got and {tuple(r)[5:] for r in got} == {tuple(range(50, 50 + len(NAMES)))}
+
+
+def test_stages_send_texts_in_batches_of_bounded_bytes(spark, edge):
+    """Ten thousand texts of any length at a time took most of an executor's memory."""
+    import pyarrow as pa
+
+    session = spark.newSession()
+    docs = session.range(0, 4000, 1, 1).selectExpr("id", "repeat('abcdefgh', 1000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    P.near_copies(session, session.createDataFrame([], edge.schema), "")
+    got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 6 << 20

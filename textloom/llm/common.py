@@ -12,6 +12,8 @@ from textloom.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: The words of every contract: runs of anything but space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch that the pipeline's stages send to a task's Python worker; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,7 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Shared folder and worker-side package, for callers outside the entry module."""
+    """Shared folder, worker-side package and the session's bound on Arrow batches, for callers outside the entry module."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 

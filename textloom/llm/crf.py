@@ -42,7 +42,7 @@ PIECE = 64
 #: Words between two switches of a training sequence, and words of a training sequence.
 SPLICE, SEQUENCE = 40, 640
 #: Words whose scores a task keeps; the store starts anew beyond it.
-KEPT_TYPES = 500_000
+KEPT_TYPES = 100_000
 #: Word scores (words by labels) that are labelled at a time.
 STEP_SCORES = 250_000
 
