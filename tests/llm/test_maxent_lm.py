@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from textloom.llm import maxent_lm
 from textloom.llm.common import training_row
 from textloom.llm.maxent_lm import (CLASSES, END, FEATURES, HEAD, LEAVES, MAX_WORD_ROWS, NODES, RADIX, STATES, TAIL, Lexicon, Model, _documents,
                                     class_logs, features_of, fit_weights, fit_word_weights, leaf_choices,
@@ -241,3 +242,42 @@ def test_leaf_code_is_the_same_in_both_engines(spark):
     own = [b"a", b"abc", "é".encode(), b"longer-word", b"."]
     df = spark.createDataFrame([(w,) for w in own], "word binary")
     assert [r[0] for r in df.select(leaf_code_column(df.word)).collect()] == [leaf_code(w) for w in own]
+
+
+def test_texts_are_split_once(spark):
+    """All passes over the texts but the size and the numbering read the stored numbers."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    rows = _prose(40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", F.udf(look, "string")("text"))
+    assert score_documents(docs, training_row("doc_id", 10), rounds=2).count() == len(rows)
+    assert seen.value == 2 * len(rows)
+
+
+def test_numbered_blocks_give_the_words_of_any_bytes_back(spark):
+    texts = [b"", b" \t\n", b"The the CAT", b" lead  and trail \x0b\x0c\r", "É é\x1cq\x85 日本語\xa0x".encode(), b"\xff\xfeA \xc3 \x00 b", None, b"the"]
+    rows = [(i if i else None, bytearray(t) if t is not None else None, i % 3 != 0, i % 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text binary, training boolean, block long")
+    docs = docs.selectExpr("doc_id", "coalesce(text, X'') AS text", "training", "block")
+    table = maxent_lm.numbered(docs)
+    want = {(None if i == 0 else i): [*(t or b"").lower().split(), END] for i, t in enumerate(texts)}
+    got = {}
+    for b in table.where("place IS NULL").collect():
+        own = [bytes(r.word) for r in table.where(f"block = {b.block} AND place IS NOT NULL").orderBy("place").collect()]
+        numbers, lengths = np.frombuffer(b.numbers, np.uint32), np.frombuffer(b.lengths, np.int64)
+        assert own[0] == END and len(set(own)) == len(own)
+        lexicon, plain = Lexicon.stored(b.hashed, b.tail, b.code, [b"the", b"b"]), Lexicon.of(own, [b"the", b"b"])
+        for x, y in ((lexicon.kind, plain.kind), (lexicon.hashed, plain.hashed), (lexicon.leaves(), plain.leaves())):
+            assert x.tolist() == y.tolist()
+        for i, t, end, n in zip(b.ids, b.training, np.cumsum(lengths), lengths):
+            got[i] = [own[k] for k in numbers[end - n:end]]
+            assert t == ((i or 0) % 3 != 0)
+        count = Counter(w for i, t in zip(b.ids, b.training) if t for w in want[i])
+        assert {bytes(r.word): r.n for r in table.where(f"block = {b.block} AND n > 0").collect()} == dict(count)
+    assert got == want

@@ -28,12 +28,12 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts the lineage, so a lost
     executor costs no recomputation, and a table that is used twice is computed once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

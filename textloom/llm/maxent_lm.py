@@ -19,9 +19,12 @@ the word features is taken over all training documents in every round: tasks sen
 added up by slices of the table. The word table has a row for every ``TOKENS_A_ROW`` training tokens, at most
 ``MAX_WORD_ROWS``, so that it may be broadcast.
 
-Word counts grow with the corpus and are never broadcast. Documents are dealt into blocks of about
-``BLOCK_BYTES``; a block asks for the counts of its distinct words only, and gets back those that differ from
-its own. A block's text and counts then meet in one task and are scored with numpy.
+Documents are dealt into blocks of about ``BLOCK_BYTES``. A block's texts are split once: its distinct words are
+numbered by falling frequency, and the numbers of its tokens are stored with the words' hashes, classes and leaves.
+All passes after that (class counts, rounds over the word features, scores) read the numbers.
+
+Word counts grow with the corpus and are never broadcast. A block asks for the counts of its distinct words only, and
+gets back those that differ from its own. A block's numbers and counts then meet in one task and are scored with numpy.
 
 Edge rows: a null or empty text is the end token alone. A null id counts as the empty string for the fold.
 Repeated rows are separate training texts. Without training rows the unigram score is 0 and the model's scores
@@ -31,13 +34,12 @@ are those of zero weights. An empty table gives an empty result. Other columns a
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -64,7 +66,14 @@ WORD_SLICE = 4096
 END = b"\n"
 #: Words handled at a time.
 STEP_WORDS = 200_000
-
+#: Choices of a digit whose scores are worked out at a time, few enough for the cache.
+CHOICES = 4000
+#: Blocks whose gradients of the word features are added up by one task, where there are tasks enough.
+BLOCKS_A_TASK = 4
+
+#: Numbered blocks hold rows of two kinds: one a block (no place), and one for each of its words.
+NUMBERED = ("block long, ids array<long>, training array<boolean>, lengths binary, numbers binary, hashed binary, tail binary, code binary, "
+            "place int, word binary, n long")
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -84,16 +93,8 @@ def leaf_code_column(word: Column) -> Column:
     return F.shiftright(F.crc32(word), 16) % LEAVES
 
 
-class _Places(dict):
-    """word -> its number, given at first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 class _Classes(dict):
-    """word -> its class; head words are there from the start."""
+    """word, or its last two bytes -> its class; head words are there from the start."""
 
     def __missing__(self, word: bytes) -> int:
         self[word] = c = tail_class(word)
@@ -131,6 +132,17 @@ class Lexicon:
         return cls(np.fromiter((known[w] for w in words), np.int64, n), np.fromiter(map(leaf_code, words), np.int64, n),
                    np.fromiter(map(xxh64_intdigest, words), np.uint64, n))
 
+    @classmethod
+    def stored(cls, hashed: bytes, tail: bytes, code: bytes, head: list[bytes]) -> Lexicon:
+        """Of a numbered block's words; the first is the end of a text. Head words are told by hash, class and leaf."""
+        own = cls(np.frombuffer(tail, np.uint8).astype(np.int64) + 1 + HEAD, np.frombuffer(code, np.uint8).astype(np.int64),
+                  np.frombuffer(hashed, np.uint64))
+        known = {(xxh64_intdigest(w), tail_class(w), leaf_code(w)): 1 + i for i, w in enumerate(head)}
+        for i in np.flatnonzero(np.isin(own.hashed, np.array([h for h, _, _ in known], np.uint64))).tolist():
+            own.kind[i] = known.get((int(own.hashed[i]), int(own.kind[i]), int(own.code[i])), own.kind[i])
+        own.kind[0] = 0
+        return own
+
     def leaves(self) -> np.ndarray:
         """Number of a word's leaf in the model's tables; a class of one word is its own leaf."""
         return np.where(self.kind <= HEAD, self.kind, 1 + HEAD + (self.kind - 1 - HEAD) * LEAVES + self.code)
@@ -138,7 +150,8 @@ class Lexicon:
 
 def leaf_choices(lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, rows: int, seen: np.ndarray | None = None):
     """For each digit of the tail words among ``numbers`` (places in the lexicon; ``starts``: first tokens of the
-    texts): the tokens' places, the node, the digit, and the rows of last, pair and skip. ``seen``: words with a leaf."""
+    texts): the tokens' places, the node, the digit, and the rows of last, pair and skip, of ``rows``, a power of two.
+    ``seen``: words with a leaf."""
     hashed = lexicon.hashed[numbers]
     last = np.r_[np.uint64(0), hashed[:-1]]
     last[starts] = 0
@@ -156,7 +169,7 @@ def leaf_choices(lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, rows
 
 def _row(x: np.ndarray, rows: int) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(rows)).astype(np.int64)
+    return ((x ^ (x >> np.uint64(32))) & np.uint64(rows - 1)).astype(np.int64)
 
 
 def digit_scores(prior: np.ndarray, weights: np.ndarray, node: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
@@ -179,31 +192,83 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, training: Column) ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"), training.alias("training"))
 
 
-def word_table(docs: DataFrame, blocks: int) -> DataFrame:
-    """(block, word, n, c, first): distinct words of each block with their training count there and everywhere.
-    Rows whose counts agree are left out unless they are a word's first."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
-        for block, text, training in rows_of(batches, "block", "text", "training"):
-            words = text.lower().split()  # bytes: A-Z and ASCII white space only
-            words.append(END)
-            own = counts.setdefault(block, Counter())
-            if training:
-                own.update(words)
-            else:
-                for w in set(words):
-                    own[w] += 0
-        for block, own in counts.items():
-            words, n = list(own), list(own.values())
-            for at in range(0, len(words), STEP_WORDS):
-                part = words[at:at + STEP_WORDS]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.binary()),
-                                                  pa.array(n[at:at + STEP_WORDS], pa.int64())], ["block", "word", "n"])
-
-    rows = docs.repartition("block").mapInArrow(count, "block long, word binary, n long")
+def numbered(docs: DataFrame) -> DataFrame:
+    """Blocks of documents as stored numbers (``NUMBERED``). A block's words have places by falling frequency and hash,
+    behind the end of a text; its row has the documents' ids, folds and lengths, the places of all tokens, and hash, tail
+    class and leaf of each place. A word's row has its training count in the block. A table without blocks: its partitions."""
+    if "block" not in docs.columns:
+        docs = docs.withColumn("block", F.spark_partition_id().cast("long"))
+
+    def number(key: tuple, texts: pa.Table) -> pa.Table:
+        training = texts.column("training").to_numpy()
+        text = pa.concat_arrays([b.column("text") for b in texts.to_batches()]).cast(pa.string(), safe=False)  # any bytes
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(text))
+        own = parts.flatten()
+        some = pc.greater(pc.binary_length(own), 0)  # white space at a text's ends leaves an empty part there
+        behind = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))][np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]]
+        lengths = np.diff(behind) + 1
+        own = own.filter(some).dictionary_encode()
+        words = [*own.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), END]
+        size = len(words)
+        numbers = np.full(int(lengths.sum()), size - 1)
+        inside = np.ones(len(numbers), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        numbers[inside] = own.indices.to_numpy()
+        hashed = np.fromiter(map(xxh64_intdigest, words), np.uint64, size)
+        often = np.bincount(numbers, minlength=size)
+        often[-1] = len(numbers) + 1  # the end comes first
+        order = np.lexsort((hashed, -often))
+        rank = np.empty(size, np.uint32)
+        rank[order] = np.arange(size, dtype=np.uint32)
+        classes = _Classes()
+        tail = np.fromiter((classes[w[-2:]] for w in words), np.int64, size)[order] - 1 - HEAD
+        code = (np.fromiter(map(zlib.crc32, words), np.int64, size)[order] >> 16) % LEAVES
+        n = np.bincount(numbers[np.repeat(training, lengths)], minlength=size)[order]
+        blob = lambda x, kind: pa.array([x.astype(kind).tobytes()], pa.binary())
+        ids = pa.array([texts.column("doc_id").to_pylist()], pa.list_(pa.int64()))
+        block = {"block": pa.array([key[0].as_py()], pa.int64()), "ids": ids, "training": pa.array([training.tolist()], pa.list_(pa.bool_())),
+                 "lengths": blob(lengths, np.int64), "numbers": blob(rank[numbers], np.uint32), "hashed": blob(hashed[order], np.uint64),
+                 "tail": blob(tail, np.uint8), "code": blob(code, np.uint8)}
+        own = {"block": pa.array(np.full(size, key[0].as_py()), pa.int64()), "place": pa.array(np.arange(size), pa.int32()),
+               "word": pa.array(words, pa.binary()).take(pa.array(order)), "n": pa.array(n, pa.int64())}
+        types = {k: v.type for k, v in {**block, **own}.items()}
+        whole = lambda x, n: pa.table([x.get(k, pa.nulls(n, types[k])) for k in types], list(types))
+        return pa.concat_tables([whole(block, 1), whole(own, size)])
+
+    return stored(docs.groupBy("block").applyInArrow(number, NUMBERED), "lm-blocks", compression="zstd")
+
+
+def _block_rows(blocks: DataFrame) -> DataFrame:
+    return blocks.where("place IS NULL").drop("place", "word", "n")
+
+
+def _training_steps(batches: Iterator[pa.RecordBatch], head: list[bytes]) -> Iterator[tuple[Lexicon, np.ndarray, np.ndarray]]:
+    """Training texts of numbered blocks by steps: the block's words, the tokens' places and the texts' first tokens."""
+    for training, lengths, numbers, *words in rows_of(batches, "training", "lengths", "numbers", "hashed", "tail", "code"):
+        training, lengths = np.array(training, bool), np.frombuffer(lengths, np.int64)
+        numbers = np.frombuffer(numbers, np.uint32)[np.repeat(training, lengths)]
+        lexicon = Lexicon.stored(*words, head)
+        for _, own, starts in _steps(numbers, lengths[training]):
+            yield lexicon, own, starts
+
+
+def _steps(numbers: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Whole texts of about ``STEP_WORDS`` words at a time: which texts, their tokens, the texts' first tokens."""
+    first = np.r_[0, np.cumsum(lengths)]
+    lo = 0
+    while lo < len(lengths):
+        hi = max(lo + 1, int(np.searchsorted(first[:-1], first[lo] + STEP_WORDS)))
+        yield slice(lo, hi), numbers[first[lo]:first[hi]].astype(np.int64), first[lo:hi] - first[lo]
+        lo = hi
+
+
+def word_table(docs: DataFrame, blocks: int, numbers: DataFrame | None = None) -> DataFrame:
+    """(block, place, word, n, c, first): distinct words of each block with their training count there and everywhere.
+    Rows whose counts agree are left out unless they are a word's first. ``numbers``: the documents' numbered blocks."""
+    rows = (numbered(docs) if numbers is None else numbers).where("place IS NOT NULL")
     same = Window.partitionBy("word")
-    rows = rows.select("block", "word", "n", F.sum("n").over(same).alias("c"), (F.min("block").over(same) == F.col("block")).alias("first"))
+    rows = rows.select("block", "place", "word", "n", F.sum("n").over(same).alias("c"),
+                       (F.min("block").over(same) == F.col("block")).alias("first"))
     return stored(rows.where("first OR c <> n"), "lm-words")
 
 
@@ -239,35 +304,18 @@ def _class_table(words: DataFrame) -> tuple[list[bytes], np.ndarray]:
     return head, table
 
 
-def _class_counts(docs: DataFrame, head: list[bytes]) -> DataFrame:
+def _class_counts(blocks: DataFrame, head: list[bytes]) -> DataFrame:
     """(pair, classes, counts): how often each class follows each pair of classes in the training documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = _Classes({END: 0, **{w: 1 + i for i, w in enumerate(head)}})
         total = np.zeros(STATES * STATES * CLASSES, np.int64)
-
-        def add(texts: list[list[bytes]]) -> None:
-            lengths = np.array([len(t) for t in texts])
-            own = np.fromiter(map(classes.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
-            cells, n = np.unique(states_before(own, np.cumsum(lengths) - lengths) * CLASSES + own, return_counts=True)
-            total[cells] += n
-            if len(classes) > 1_000_000:
-                classes.clear()
-                classes.update({END: 0, **{w: 1 + i for i, w in enumerate(head)}})
-
-        texts, n = [], 0
-        for (text,) in rows_of(batches, "text"):
-            texts.append([*text.lower().split(), END])
-            n += len(texts[-1])
-            if n >= STEP_WORDS:
-                add(texts)
-                texts, n = [], 0
-        if texts:
-            add(texts)
+        for lexicon, numbers, starts in _training_steps(batches, head):
+            own = lexicon.kind[numbers]
+            np.add.at(total, states_before(own, starts) * CLASSES + own, 1)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells // CLASSES), pa.array(cells % CLASSES), pa.array(total[cells])], ["pair", "class", "n"])
 
-    cells = docs.where("training").select("text").mapInArrow(count, "pair long, class long, n long")
+    cells = _block_rows(blocks).drop("block", "ids").mapInArrow(count, "pair long, class long, n long")
     sums = cells.groupBy("pair", "class").agg(F.sum("n").alias("n"))
     pairs = sums.groupBy("pair").agg(F.collect_list(F.struct("class", "n")).alias("x"))  # at most CLASSES entries
     return stored(pairs.select("pair", "x.class", "x.n").toDF("pair", "classes", "counts"), "lm-pairs")
@@ -351,60 +399,47 @@ def word_rows(tokens: int) -> int:
 
 def add_gradient(lexicon: Lexicon, numbers: np.ndarray, starts: np.ndarray, prior: np.ndarray, weights: np.ndarray,
                  g: np.ndarray, n: np.ndarray) -> None:
-    """Adds the gradient of these texts' digits to ``g``, and how often each row was used to ``n``."""
-    cells = np.arange(RADIX)
-    flat = g.reshape(-1)
+    """Adds the gradient of these texts' digits to ``g`` (a line per value of a digit), and how often each row was used to
+    ``n``. Lines are summed one at a time, so that the sums being added to stay in the cache."""
+    moved = weights.any()  # else the first round: all are 0
     for _, node, digit, features in leaf_choices(lexicon, numbers, starts, len(weights)):
-        for lo in range(0, len(node), 50_000):
-            part = slice(lo, lo + 50_000)
-            own = [f[part] for f in features]
-            miss = digit_scores(prior, weights, node[part], own)
-            np.exp(miss, out=miss)
-            miss /= -(miss @ ONES)[:, None]
-            miss[np.arange(len(miss)), digit[part]] += 1
-            miss = miss.reshape(-1)
-            for f in own:
-                np.add.at(flat, (f[:, None] * RADIX + cells).reshape(-1), miss)
-                n += np.bincount(f, minlength=len(n))
-
-
-def _steps_of_texts(batches: Iterator[pa.RecordBatch], head: list[bytes]) -> Iterator[tuple[Lexicon, np.ndarray, np.ndarray]]:
-    """Texts by steps of about ``STEP_WORDS`` words: the step's words, their places and the texts' first tokens."""
-
-    def step(texts: list[list[bytes]]):
-        place = _Places()
-        lengths = np.array([len(t) for t in texts])
-        numbers = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
-        return Lexicon.of(list(place), head), numbers, np.cumsum(lengths) - lengths
-
-    texts, n = [], 0
-    for (text,) in rows_of(batches, "text"):
-        texts.append([*text.lower().split(), END])
-        n += len(texts[-1])
-        if n >= STEP_WORDS:
-            yield step(texts)
-            texts, n = [], 0
-    if texts:
-        yield step(texts)
-
-
-def fit_word_weights(docs: DataFrame, head: list[bytes], prior: np.ndarray, rows: int, rounds: int, ridge: float) -> np.ndarray:
+        miss = np.empty((RADIX, len(node)))
+        if not moved:
+            share = np.exp(prior)
+            np.take(-(share / (share @ ONES)[:, None]).T.astype(float), node, axis=1, out=miss, mode="clip")
+        for lo in range(0, len(node) if moved else 0, CHOICES):
+            part = slice(lo, lo + CHOICES)
+            x = digit_scores(prior, weights, node[part], [f[part] for f in features])
+            np.exp(x, out=x)
+            x /= -(x @ ONES)[:, None]
+            miss[:, part] = x.T
+        miss[digit, np.arange(len(node))] += 1
+        for f in features:
+            for line, own in zip(g, miss):
+                line += np.bincount(f, own, len(line))
+            n += np.bincount(f, minlength=len(n))
+
+
+def fit_word_weights(docs: DataFrame, head: list[bytes], prior: np.ndarray, rows: int, rounds: int, ridge: float,
+                     blocks: DataFrame | None = None) -> np.ndarray:
     """Gradient updates of the digits' features over all training documents. The step of a row is its gradient over a bound
-    of the curvature of the three features that move together. Sums are added up as they arrive, by slices of the table."""
+    of the curvature of the three features that move together. Sums are added up as they arrive, by slices of the table.
+    A task adds up several blocks, so that fewer sums are sent. ``blocks``: the documents' numbered blocks."""
     context = docs.sparkSession.sparkContext
     weights = np.zeros((rows, RADIX), np.float32)
-    texts = docs.where("training").select("text")
+    texts = _block_rows(numbered(docs) if blocks is None else blocks).drop("block", "ids")
+    texts = texts.coalesce(max(2 * context.defaultParallelism, -(-texts.count() // BLOCKS_A_TASK)))
 
     def sums(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fixed, own = shared.value
-            g, n = np.zeros_like(own), np.zeros(rows)
-            for lexicon, numbers, starts in _steps_of_texts(batches, head):
+            g, n = np.zeros((RADIX, rows)), np.zeros(rows)
+            for lexicon, numbers, starts in _training_steps(batches, head):
                 add_gradient(lexicon, numbers, starts, fixed, own, g, n)
             for lo in range(0, rows, WORD_SLICE):
                 touched = lo + np.flatnonzero(n[lo:lo + WORD_SLICE])
                 if len(touched):
-                    yield _slice_row(lo // WORD_SLICE, touched, g[touched], n[touched])
+                    yield _slice_row(lo // WORD_SLICE, touched, g[:, touched].T, n[touched])
         return run
 
     def steps(shared):
@@ -438,15 +473,17 @@ def _slice_row(k: int, own: np.ndarray, g: np.ndarray, n: np.ndarray) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), *packed], ["slice", "own", "g", "n"])
 
 
-def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0, word_rounds: int = 3) -> Model:
+def train(docs: DataFrame, words: DataFrame, rounds: int = 12, ridge: float = 2.0, word_rounds: int = 3,
+          blocks: DataFrame | None = None) -> Model:
+    blocks = numbered(docs) if blocks is None else blocks
     head, table = _class_table(words)
     size, kinds, once, twice = table.sum(axis=1).T.astype(float)
     discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
     discount[:1 + HEAD] = 0
-    weights = fit_weights(_class_counts(docs, head), size, rounds, ridge)
+    weights = fit_weights(_class_counts(blocks, head), size, rounds, ridge)
     mass = table[:, :, 0] - discount[:, None] * table[:, :, 1]
     prior, tokens = leaf_prior(mass[1 + HEAD:]), int(size.sum())
-    word_weights = fit_word_weights(docs, head, prior, word_rows(tokens), word_rounds, ridge)
+    word_weights = fit_word_weights(docs, head, prior, word_rows(tokens), word_rounds, ridge, blocks)
     return Model(head, tokens, int(kinds.sum()), size, kinds, discount, weights.astype(np.float32),
                  np.r_[mass[:1 + HEAD, 0], mass[1 + HEAD:].reshape(-1)], prior, word_weights)
 
@@ -467,61 +504,43 @@ def leaf_logs(model: Model, lexicon: Lexicon, numbers: np.ndarray, starts: np.nd
     """log10 p(leaf | class, history) of each token; 0 for a class of one word and for words not seen."""
     out = np.zeros(len(numbers))
     for at, node, digit, features in leaf_choices(lexicon, numbers, starts, len(model.word_weights), seen):
-        for lo in range(0, len(at), 50_000):
-            part = slice(lo, lo + 50_000)
+        for lo in range(0, len(at), CHOICES):
+            part = slice(lo, lo + CHOICES)
             x = digit_scores(model.prior, model.word_weights, node[part], [f[part] for f in features])
             own = x[np.arange(len(x)), digit[part]]
             out[at[part]] += (own - np.log(np.exp(x, out=x) @ ONES)) / np.log(10)
     return out
 
 
-def score(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
-    """Scores of all documents, block by block, from the block's texts and the counts it asked for."""
+def score(docs: DataFrame, words: DataFrame, model: Model, blocks: DataFrame | None = None) -> DataFrame:
+    """Scores of all documents, block by block, from the block's numbers and the counts it asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: features by classes, MAX_WORD_ROWS
 
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+    def run(block: pa.Table, counts: pa.Table) -> pa.Table:
         own = shared.value
         logs = class_logs(own.weights, np.arange(STATES * STATES)) / np.log(10)
-        place = _Places({END: 0})
-        ids, training = texts.column("doc_id"), texts.column("training").to_numpy()
-        numbers, lengths = [], np.zeros(len(ids), np.int64)
-        at, step, size = 0, [], 0
-        for i, text in enumerate(chain.from_iterable(b.column("text") for b in texts.to_batches())):
-            w = text.as_py().lower().split()
-            lengths[i] = len(w) + 1
-            step += w
-            step.append(END)
-            if len(step) >= STEP_WORDS:
-                numbers.append(np.fromiter(map(place.__getitem__, step), np.int32, len(step)))
-                step = []
-        numbers.append(np.fromiter(map(place.__getitem__, step), np.int32, len(step)))
-        numbers = np.concatenate(numbers)
-        n = np.bincount(numbers[np.repeat(training, lengths)], minlength=len(place)).astype(np.int64)
-        for b in counts.to_batches():
-            where = np.fromiter(map(place.__getitem__, b.column("word").to_pylist()), np.int64, b.num_rows)
-            n[where] = b.column("c").to_numpy()
-        lexicon = Lexicon.of(list(place), own.head)
+        ((ids, training, lengths, numbers, *stored_words),) = rows_of(
+            block.to_batches(), "ids", "training", "lengths", "numbers", "hashed", "tail", "code")
+        training, lengths, numbers = np.array(training, bool), np.frombuffer(lengths, np.int64), np.frombuffer(numbers, np.uint32)
+        lexicon = Lexicon.stored(*stored_words, own.head)
         kind = lexicon.kind
+        n = np.bincount(numbers[np.repeat(training, lengths)], minlength=len(kind)).astype(np.int64)
+        n[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
         base = np.log10((n + 0.1) / (own.tokens + 0.1 * (own.types + 1)))
         inner = word_logs(own, kind, n, lexicon.leaves())
-        first = np.cumsum(lengths) - lengths
         out = {k: np.zeros(len(ids)) for k in ("base", "score", "known")}
-        lo = 0
-        while lo < len(ids):
-            hi = max(lo + 1, int(np.searchsorted(first, first[lo] + STEP_WORDS)))
-            own_tokens = numbers[first[lo]:first[hi] if hi < len(ids) else len(numbers)]
-            starts = first[lo:hi] - first[lo]
+        for which, own_tokens, starts in _steps(numbers, lengths):
             classes = kind[own_tokens]
             total = logs[states_before(classes, starts), classes] + inner[own_tokens] + leaf_logs(own, lexicon, own_tokens, starts, n > 0)
             for name, x in (("base", base[own_tokens]), ("score", total), ("known", (n[own_tokens] > 0).astype(float))):
-                out[name][lo:hi] = np.add.reduceat(x, starts)
-            lo = hi
-        return pa.table([ids, pa.array(~training), pa.array(lengths), pa.array(out["known"].astype(np.int64)),
+                out[name][which] = np.add.reduceat(x, starts)
+        return pa.table([pa.array(ids, pa.int64()), pa.array(~training), pa.array(lengths), pa.array(out["known"].astype(np.int64)),
                          pa.array(np.full(len(ids), own.tokens)), pa.array(out["base"]), pa.array(out["score"])],
                         [x.split()[0] for x in SCHEMA.split(", ")])
 
-    asked = words.where("c <> n").select("block", "word", "c")
-    return docs.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, SCHEMA)
+    rows = _block_rows(numbered(docs) if blocks is None else blocks)
+    asked = words.where("c <> n").select("block", "place", "c")
+    return rows.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, SCHEMA)
 
 
 def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -531,5 +550,6 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    words = word_table(rows, blocks)
-    return score(rows, words, train(rows, words, rounds))
+    numbers = numbered(rows)
+    words = word_table(rows, blocks, numbers)
+    return score(rows, words, train(rows, words, rounds, blocks=numbers), numbers)
