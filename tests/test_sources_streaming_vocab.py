@@ -248,3 +248,50 @@ def test_a_packing_batch_reads_the_folders_of_its_own_and_the_last_batch(spark,
     assert all(f"batch_id={end}/" in f for f in ST.of_batch(spark, state, end, ST.TAIL_ROW).inputFiles())
     assert rows(ST.last_before(spark, state, end + 1, ST.TAIL_ROW)) == own == rows(ST.last_before(spark, state, end + 5, ST.TAIL_ROW))
     assert scans and not ST.of_batch(spark, state, end + 9, ST.TAIL_ROW).collect() and not ST.last_before(spark, state, 0, ST.TAIL_ROW).collect()
+
+
+def test_a_batch_of_one_row_group_is_encoded_by_many_tasks(spark, tmp_dir):
+    """Two files with one row group each, out of order, with equal and null keys and a null split: all tasks encode, results as in batch."""
+    from textloom.operators.encoders import UserEncoder
+    from textloom.plans.corpus import corpus_chunks
+    rows = [((None if i % 11 == 0 else "train" if i % 5 else "val"), (None if i % 50 == 0 else i * 7919 % 300 // 2), f"{i} " * (i % 13)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "split string, doc_id long, text string").coalesce(1)
+    src, shards, state, ck, marks = (os.path.join(tmp_dir, n) for n in ("in", "shards", "state", "ck", "marks"))
+    docs.where("doc_id < 75 OR doc_id IS NULL").write.parquet(src)
+    docs.where("doc_id >= 75").write.mode("append").parquet(src)
+    os.mkdir(marks)
+
+    def factory():
+        from pyspark import TaskContext
+
+        def ids(texts):
+            with open(os.path.join(marks, str(TaskContext.get().partitionId())), "a") as f:
+                f.write("x" * len(texts))
+            return [list(t.encode("utf-8")) for t in texts]
+        return ids
+
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # so few bytes would be put together into one task
+    try:
+        ST.stream_pack(spark, ST.file_stream(spark, src, docs.schema), shards, state, ck, 256, 64, UserEncoder(factory, 256, 257))
+    finally:
+        spark.conf.unset(coalesce)
+    counts = [os.path.getsize(f) for f in glob.glob(os.path.join(marks, "*"))]
+    assert sum(counts) == 400 and len(counts) >= 4 and max(counts) <= 200
+    got = ST.streamed_chunks(spark, shards, state, 256, 64).orderBy("split", "chunk").collect()
+    plain = UserEncoder(lambda: lambda texts: [list(t.encode("utf-8")) for t in texts], 256, 257)
+    assert got == corpus_chunks(docs, 256, 64, plain).select(got[0].__fields__).orderBy("split", "chunk").collect()
+
+
+def test_staged_files_are_read_by_many_tasks_and_come_after_those_there(spark, tmp_dir):
+    """Arrivals have row groups of a few megabytes, and each is later than all that were staged before it."""
+    import pyarrow.parquet as pq
+    df = spark.range(3000).select(F.col("id").alias("k"), F.concat(*[F.sha2(F.concat("id", F.lit(f"-{j}")), 512) for j in range(32)]).alias("v"))
+    src = os.path.join(tmp_dir, "in")
+    for part in (df.where("k < 1500"), df.where("k >= 1500")):
+        ST.stage_files(part, src, "k", rows_per_file=10_000, min_files=1)
+    files = sorted(glob.glob(os.path.join(src, "*.parquet")), key=os.path.getmtime)
+    assert len({os.path.getmtime(f) for f in files}) == len(files) == 2
+    keys = [spark.read.parquet(f).agg(F.min("k"), F.max("k"), F.count("v")).first() for f in files]
+    assert [tuple(k) for k in keys] == [(0, 1499, 1500), (1500, 2999, 1500)]
+    assert all(pq.ParquetFile(f).num_row_groups >= 2 for f in files)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.tokens import EOT, PAD, SPECIAL_TOKENS, byte_encode_length, byte_special_ids
+from textloom.functions.tokens import EOT, PAD, SPECIAL_TOKENS, byte_encode_length, byte_special_ids, prepend
 
 MAX_TABLE = 1 << 20  # rows of a vocabulary or merges table
 ROWS_AT_A_TIME = 256  # whole texts encoded before their ids leave the worker
@@ -71,7 +71,14 @@ class Encoder:
 
     def with_ids(self, df: DataFrame, **texts: Column) -> DataFrame:
         """``df`` with one id array per named text."""
-        kept, made, hi = len(df.columns), self.encode, self.vocab_size
+        schema = T.StructType(df.schema.fields + [T.StructField(n, IDS) for n in texts])
+        source = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)],
+                           *[self.prepare(c).alias(f"text{i}") for i, c in enumerate(texts.values())])
+        return source.mapInArrow(self._batches(len(df.columns), df.columns + list(texts)), schema)
+
+    def _batches(self, kept: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """What runs in a task: the first ``kept`` columns as they are, id lists of the others."""
+        made, hi = self.encode, self.vocab_size
 
         def checked(ids: pa.Array) -> pa.Array:
             ends = pc.min_max(ids.values).as_py()
@@ -87,11 +94,31 @@ class Encoder:
                     ids = [checked(arrays(c)) for c in b.columns[kept:]]
                     yield pa.RecordBatch.from_arrays(b.columns[:kept] + ids, names=names)
 
-        names = df.columns + list(texts)
-        schema = T.StructType(df.schema.fields + [T.StructField(n, IDS) for n in texts])
-        source = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)],
-                           *[self.prepare(c).alias(f"text{i}") for i, c in enumerate(texts.values())])
-        return source.mapInArrow(run, schema)
+        return run
+
+    def with_places(self, df: DataFrame, text: str, group: str) -> DataFrame:
+        """(group, before, n, ids) of a table whose rows are in order within its partitions, those of a group in a row:
+        ids with the delimiter first, their number, and the ids of the rows of its group ahead of it in its partition. All
+        of it in the one pass that encodes."""
+        encoded, eot = self._batches(1, [group, "ids"]), self.eot
+        schema = T.StructType([df.schema[group], T.StructField("before", T.LongType()), T.StructField("n", T.LongType()),
+                               T.StructField("ids", IDS)])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, total = object(), 0  # a group that no row is in
+            for b in encoded(batches):
+                n = (pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False) + 1).tolist()
+                before = []
+                for g, k in zip(b.column(0).to_pylist(), n):
+                    if g != own:
+                        own, total = g, 0
+                    before.append(total)
+                    total += k
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(before, pa.int64()), pa.array(n, pa.int64()), b.column(1)], names=schema.names)
+
+        placed = df.select(group, self.prepare(F.col(text)).alias("text")).mapInArrow(run, schema)
+        return placed.withColumn("ids", prepend("ids", eot))
 
 
 def id_lists(lists) -> pa.Array:

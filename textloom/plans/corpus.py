@@ -44,6 +44,16 @@ def placed_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
     return ids.select("split", "start", "ids")
 
 
+def ranges_of_ids(docs: DataFrame, encoder: Encoder = BYTES) -> DataFrame:
+    """(range, split, before, n, ids) of a corpus (split, doc_id, text): texts are dealt into ranges of their order, so
+    that all tasks encode however few files or row groups they came in, and encoded once. ``before``: the ids ahead of
+    a row in its split and range. Rows with equal keys come in the order they are read."""
+    order = ["split", "doc_id", "_row"]
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return encoder.with_places(rows, "text", "split").withColumn("range", F.spark_partition_id())
+
+
 def corpus_chunks(docs: DataFrame, shard_size: int = TEST_SHARD_SIZE, chunk_size: int = TEST_CHUNK_SIZE,
                   encoder: Encoder = BYTES, group_shards: int = 1) -> DataFrame:
     """K2 over a corpus (split, doc_id, text)."""

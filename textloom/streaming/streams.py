@@ -8,7 +8,9 @@ batch id, so a retried micro-batch leaves no duplicate.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from textloom.operators.encoders import BYTES, Encoder
 from textloom.operators.order import row_index
 from textloom.operators.pack import pack_chunks
 from textloom.plans.chat import sft_examples
-from textloom.plans.corpus import placed_ids
+from textloom.plans.corpus import ranges_of_ids
 from textloom.session import scratch_path, written_once
 
 
@@ -154,25 +156,34 @@ def stream_pack(spark: SparkSession, docs: DataFrame, shards: str, state: str, c
     The state is one row per split: its tokens so far and the ids of its unfinished chunk, fewer than ``chunk_size``.
     A micro-batch puts that tail in front of its documents, packs both (K1, K2), and writes the chunks under its id; full
     ones are closed and never written again, what is left of each split is the next tail. Each batch reads the state of
-    the one before it alone, so a batch that is run again makes the same chunks."""
+    the one before it alone, so a batch that is run again makes the same chunks.
+
+    Its documents are encoded by all tasks at once, in ranges of their order, and stored with their places within a range,
+    in a folder that the next batch overwrites. One sum per range and split, with the tokens so far ahead of the first
+    range, makes starts of them."""
+    encoded = scratch_path(spark, "pack-ids")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tails = last_before(spark, state, batch_id, TAIL_ROW).drop("batch_id")  # one row per split
-        new = placed_ids(batch, encoder)
-        base = F.coalesce("total", F.lit(0).cast("long"))
-        new = new.join(F.broadcast(tails.select("split", "total")), "split", "left")
+        made = ranges_of_ids(batch, encoder)
+        made.write.mode("overwrite").parquet(encoded)
+        rows = spark.read.schema(made.schema).parquet(encoded)
+        sums = rows.groupBy("split", "range").agg(F.sum("n").alias("n")).unionByName(
+            tails.select("split", F.lit(-1).alias("range"), F.col("total").alias("n")))  # one row per split and range
+        ahead = Window.partitionBy("split").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sums.select(F.col("split").alias("_s"), F.col("range").alias("_r"),
+                             F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+        new = rows.join(F.broadcast(starts), F.col("split").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
         open_ = tails.where(F.size("ids") > 0).select("split", (F.col("total") - F.size("ids")).alias("start"), "ids")
-        parts = new.select("split", (base + F.col("start")).alias("start"), "ids").unionByName(open_)
+        parts = new.select("split", (F.col("ahead") + F.col("before")).alias("start"), "ids").unionByName(open_)
         chunks = pack_chunks(parts, shard_size, chunk_size)
         put_batch(chunks.withColumn("closed", F.col("n_tokens") == chunk_size), shards, batch_id, "closed")
 
-        made = of_batch(spark, shards, batch_id, CHUNK_ROW)
-        totals = made.groupBy("split").agg(F.max(F.col("chunk") * chunk_size + F.col("n_tokens")).alias("total"))
-        rest = made.where("NOT closed").select("split", F.col("tokens").alias("ids"))  # at most one chunk per split
-        none = F.array().cast("array<int>")
-        now = totals.join(rest, "split", "left").select("split", "total", F.coalesce("ids", none).alias("ids"))
-        kept = tails.join(totals, "split", "left_anti").select("split", "total", "ids")
-        put_batch(now.unionByName(kept), state, batch_id)
+        totals = sums.groupBy(F.col("split").alias("_s")).agg(F.sum("n").alias("total"))
+        rest = of_batch(spark, shards, batch_id, CHUNK_ROW).where("NOT closed")  # at most one chunk per split
+        now = totals.join(rest, F.col("_s").eqNullSafe(F.col("split")), "left").select(
+            F.col("_s").alias("split"), "total", F.coalesce("tokens", F.array().cast("array<int>")).alias("ids"))
+        put_batch(now, state, batch_id)
 
     q = (docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -210,11 +221,15 @@ def stream_metric_log(spark: SparkSession, folder: str, sink: str, checkpoint: s
     run_available(q)
 
 
+#: Bytes of a row group of a staged file.
+ROW_GROUP_BYTES = 4 << 20
+
+
 def stage_files(df: DataFrame, path: str, key: str | list[str], rows_per_file: int = 50_000, min_files: int = 4,
                 fmt: str = "parquet") -> None:
     """Writes ``df`` as a sequence of files in ``key`` order, null keys first, so that a file stream sees them arrive in
     dataset order. An arrival is a range of row positions, so a key with many rows is split over arrivals. All arrivals
-    are cut by one job; they then appear one after another, each read from its own folder of that table."""
+    are written by one job, in row groups that several tasks can read; then their files are named one after another."""
     columns = df.columns
     df = written_once(row_index(df, [key] if isinstance(key, str) else key, out="_arrival"), "staged")
     n = df.count()
@@ -224,11 +239,29 @@ def stage_files(df: DataFrame, path: str, key: str | list[str], rows_per_file: i
     files = max(min_files, -(-n // rows_per_file))
     size = -(-n // files)
     cut = df.withColumn("_arrival", F.floor(F.col("_arrival") / size).cast("long")).repartition("_arrival")
-    folder = scratch_path(df.sparkSession, "arrivals")
-    cut.write.partitionBy("_arrival").parquet(folder)
-    staged = df.sparkSession.read.schema(cut.schema).parquet(folder)
-    for i in range(files):
-        staged.where(F.col("_arrival") == i).select(*columns).coalesce(1).write.mode("append").format(fmt).save(path)  # at most ``size`` rows
+    folder = f"{path.rstrip('/')}/_arrivals-{uuid4().hex[:12]}"  # in the same store, and hidden from readers
+    cut.write.partitionBy("_arrival").option("parquet.block.size", ROW_GROUP_BYTES).format(fmt).save(folder)
+    name_in_order(df.sparkSession, folder, "_arrival", path)
+
+
+def name_in_order(spark: SparkSession, folder: str, column: str, path: str) -> None:
+    """Moves the files of ``folder``, written by ``column``, into ``path``, by the numbers in ``column``: names and times
+    change, no bytes are copied. Each file's time is later than that of any before it, as file streams go by times; a store
+    that doesn't keep times that are set is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(folder), hadoop.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max([s.getModificationTime() for s in fs.listStatus(target) if s.isFile()], default=0)
+    parts = [(int(s.getPath().getName().split("=")[1]), s.getPath()) for s in fs.listStatus(source) if s.isDirectory()]
+    for i, part in sorted(parts, key=lambda p: p[0]):
+        for file in sorted((f.getPath() for f in fs.listStatus(part)), key=lambda f: f.getName()):
+            named = hadoop.Path(target, f"arrival-{i:08d}-{file.getName()}")
+            last = max(last + 1, int(time.time() * 1000))
+            if not fs.rename(file, named):
+                raise OSError(f"can't name {named}")
+            fs.setTimes(named, last, -1)
+            if fs.getFileStatus(named).getModificationTime() != last:
+                raise OSError(f"the store of {path} keeps no times that are set, so its files have no order")
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
