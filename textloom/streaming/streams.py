@@ -231,7 +231,7 @@ def stage_files(df: DataFrame, path: str, key: str | list[str], rows_per_file: i
     dataset order. An arrival is a range of row positions, so a key with many rows is split over arrivals. All arrivals
     are written by one job, in row groups that several tasks can read; then their files are named one after another."""
     columns = df.columns
-    df = written_once(row_index(df, [key] if isinstance(key, str) else key, out="_arrival"), "staged")
+    df = row_index(df, [key] if isinstance(key, str) else key, out="_arrival")  # of stored rows and keys, so not made twice
     n = df.count()
     if n == 0:
         df.select(*columns).limit(0).write.mode("append").format(fmt).save(path)
