@@ -246,8 +246,8 @@ def stage_files(df: DataFrame, path: str, key: str | list[str], rows_per_file: i
 
 def name_in_order(spark: SparkSession, folder: str, column: str, path: str) -> None:
     """Moves the files of ``folder``, written by ``column``, into ``path``, by the numbers in ``column``: names and times
-    change, no bytes are copied. Each file's time is later than that of any before it, as file streams go by times; a store
-    that doesn't keep times that are set is an error."""
+    change, no bytes are copied. Each file's time is later than that of any before it, as file streams go by times; where
+    the store sets no later time, that is an error."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(folder), hadoop.Path(path)
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -256,12 +256,12 @@ def name_in_order(spark: SparkSession, folder: str, column: str, path: str) -> N
     for i, part in sorted(parts, key=lambda p: p[0]):
         for file in sorted((f.getPath() for f in fs.listStatus(part)), key=lambda f: f.getName()):
             named = hadoop.Path(target, f"arrival-{i:08d}-{file.getName()}")
-            last = max(last + 1, int(time.time() * 1000))
             if not fs.rename(file, named):
                 raise OSError(f"can't name {named}")
-            fs.setTimes(named, last, -1)
-            if fs.getFileStatus(named).getModificationTime() != last:
-                raise OSError(f"the store of {path} keeps no times that are set, so its files have no order")
+            fs.setTimes(named, max(last + 1, int(time.time() * 1000)), -1)
+            before, last = last, fs.getFileStatus(named).getModificationTime()
+            if last <= before:
+                raise OSError(f"the files of {path} have no order: the store set no later time")
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
